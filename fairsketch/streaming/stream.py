@@ -39,7 +39,7 @@ def prefix(df: DataFrame, batch_col: str, t: int) -> DataFrame:
     sizes = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy(batch_col)
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = sizes.where(before < F.lit(t)).agg(F.max(batch_col)).scalar()
+    last = sizes.withColumn("_before", before).where(F.col("_before") < F.lit(t)).agg(F.max(batch_col)).scalar()
     return df.where(F.col(batch_col) <= last)
 
 
