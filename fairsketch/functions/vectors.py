@@ -12,6 +12,7 @@ Both are row-local: assigning points to centres never shuffles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -29,11 +30,25 @@ def coord(p: Column | str, j: int) -> Column:
     return p.getItem(j)
 
 
-def sq_dist(p: Column | str, c: Sequence[float]) -> Column:
-    """Squared Euclidean distance between the array column ``p`` and a literal point ``c``.
+def num(v: float) -> str:
+    """A double literal in SQL text (exact: the shortest repr round-trips)."""
+    v = float(v)
+    if not math.isfinite(v):
+        raise ValueError("centre coordinates must be finite")
+    return f"{v!r}D"
 
-    Summed in coordinate order, starting from the first term, like a plain Python loop.
-    """
+
+def sq_dist_sql(p: str, c: Sequence[float]) -> str:
+    """SQL text of the squared distance between array column ``p`` and literal point ``c``,
+    summed in coordinate order like a plain loop."""
+    terms = [f"(`{p}`[{j}] - {num(v)}) * (`{p}`[{j}] - {num(v)})" for j, v in enumerate(c)]
+    return " + ".join(terms) if terms else "0D"
+
+
+def sq_dist(p: Column | str, c: Sequence[float]) -> Column:
+    """Squared Euclidean distance between the array column ``p`` and a literal point ``c``."""
+    if isinstance(p, str):
+        return F.expr(sq_dist_sql(p, c))
     total = None
     for j, cj in enumerate(c):
         diff = coord(p, j) - F.lit(float(cj))
@@ -42,19 +57,9 @@ def sq_dist(p: Column | str, c: Sequence[float]) -> Column:
     return total if total is not None else F.lit(0.0)
 
 
-def sq_dist_cols(p: Column | str, q: Column | str, d: int) -> Column:
+def sq_dist_cols(p: str, q: str, d: int) -> Column:
     """Squared distance between two array columns of known length ``d``."""
-    total = None
-    for j in range(d):
-        diff = coord(p, j) - coord(q, j)
-        term = diff * diff
-        total = term if total is None else total + term
-    return total if total is not None else F.lit(0.0)
-
-
-def _sq_dist_hof(p: Column, c: Column) -> Column:
-    sq = F.zip_with(p, c, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x)
+    return F.expr(" + ".join(f"(`{p}`[{j}] - `{q}`[{j}]) * (`{p}`[{j}] - `{q}`[{j}])" for j in range(d)))
 
 
 def check_centers(centers: Centers) -> tuple[int, int]:
@@ -69,29 +74,37 @@ def check_centers(centers: Centers) -> tuple[int, int]:
     return k, d
 
 
+def nearest_sql(p: str, centers: Centers) -> str:
+    """SQL text of ``struct(d2, cid)`` of the nearest centre (see ``nearest``)."""
+    k, d = check_centers(centers)
+    if k * d <= UNROLL_LIMIT:
+        cands = [f"named_struct('d2', {sq_dist_sql(p, c)}, 'cid', {i})" for i, c in enumerate(centers)]
+        return cands[0] if k == 1 else f"least({', '.join(cands)})"
+    arr = "array(" + ", ".join("array(" + ", ".join(num(v) for v in c) + ")" for c in centers) + ")"
+    dist = f"aggregate(zip_with(`{p}`, c, (a, b) -> (a - b) * (a - b)), 0D, (acc, t) -> acc + t)"
+    return f"array_min(transform({arr}, (c, i) -> named_struct('d2', {dist}, 'cid', i)))"
+
+
 def nearest(p: Column | str, centers: Centers) -> Column:
     """``struct(d2 double, cid int)`` of the nearest centre.
 
     Ties go to the lowest centre index (struct ordering compares d2, then cid), the same rule as
-    a strict ``<`` scan over the centres in order.
+    a strict ``<`` scan over the centres in order.  The expression is handed to Spark as SQL
+    text: one parse in the JVM instead of thousands of client-side column calls.
     """
-    p = F.col(p) if isinstance(p, str) else p
+    if isinstance(p, str):
+        return F.expr(nearest_sql(p, centers))
     k, d = check_centers(centers)
-    if k * d <= UNROLL_LIMIT:
-        cands = [F.struct(sq_dist(p, c).alias("d2"), F.lit(i).alias("cid"))
-                 for i, c in enumerate(centers)]
-        return cands[0] if k == 1 else F.least(*cands)
-    lit_c = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centers])
-    cands = F.transform(lit_c, lambda c, i: F.struct(_sq_dist_hof(p, c).alias("d2"), i.alias("cid")))
-    return F.array_min(cands)
+    cands = [F.struct(sq_dist(p, c).alias("d2"), F.lit(i).alias("cid")) for i, c in enumerate(centers)]
+    return cands[0] if k == 1 else F.least(*cands)
 
 
-def distances(p: Column | str, centers: Centers, squared: bool = True) -> list[Column]:
+def distances(p: str, centers: Centers, squared: bool = True) -> list[Column]:
     """One distance column per centre (``dist_i``)."""
     out = []
     for i, c in enumerate(centers):
-        d2 = sq_dist(p, c)
-        out.append((d2 if squared else F.sqrt(d2)).alias(f"dist_{i}"))
+        d2 = sq_dist_sql(p, c)
+        out.append(F.expr(d2 if squared else f"sqrt({d2})").alias(f"dist_{i}"))
     return out
 
 

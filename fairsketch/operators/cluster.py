@@ -39,8 +39,8 @@ def lloyd_step(points: DataFrame, centers) -> DataFrame:
     cs = as_center_list(centers)
     d = len(cs[0])
     per = (nearest_center(points.select("p"), cs).groupBy("cid")
-           .agg(*[F.avg(F.col("p")[j]).alias(f"m{j}") for j in range(d)]))
-    return per.select("cid", F.array(*[F.col(f"m{j}") for j in range(d)]).alias("c"))
+           .agg(*[F.expr(f"avg(p[{j}])").alias(f"m{j}") for j in range(d)]))
+    return per.select("cid", F.expr("array(" + ", ".join(f"m{j}" for j in range(d)) + ")").alias("c"))
 
 
 def lloyd(points: DataFrame, init, m: int, persist: bool = True) -> list[tuple[float, ...]]:

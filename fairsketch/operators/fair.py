@@ -38,13 +38,12 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
     """Per non-empty cluster: ``[cid, n_a, n_b, na_total, nb_total, alpha, beta, ell, d_a, d_b, mu_a, mu_b]``."""
     cs = as_center_list(centers)
     d = len(cs[0])
-    a = F.col("grp") == "A"
-    b = F.col("grp") == "B"
-    x = [F.col("p")[j] for j in range(d)]
-    aggs = [F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b")]
+    # per-dimension aggregates as SQL text: one JVM parse each instead of many client calls
+    aggs = [F.expr("count_if(grp = 'A')").alias("n_a"), F.expr("count_if(grp = 'B')").alias("n_b")]
     for j in range(d):
-        aggs += [F.avg(F.when(a, x[j])).alias(f"ma{j}"), F.avg(F.when(b, x[j])).alias(f"mb{j}"),
-                 F.var_pop(F.when(a, x[j])).alias(f"va{j}"), F.var_pop(F.when(b, x[j])).alias(f"vb{j}")]
+        for g, tag in (("A", "a"), ("B", "b")):
+            aggs.append(F.expr(f"avg(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"m{tag}{j}"))
+            aggs.append(F.expr(f"var_pop(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"v{tag}{j}"))
     per = nearest_center(points.select("p", "grp"), cs).groupBy("cid").agg(*aggs)
 
     everything = Window.partitionBy()  # K rows: one small partition
@@ -52,23 +51,17 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
     nb = F.sum("n_b").over(everything)
     has_a = F.col("n_a") > 0
     has_b = F.col("n_b") > 0
-    ell2 = None
-    for j in range(d):
-        diff = F.col(f"ma{j}") - F.col(f"mb{j}")
-        ell2 = diff * diff if ell2 is None else ell2 + diff * diff
-    sum_va = None
-    sum_vb = None
-    for j in range(d):
-        sum_va = F.col(f"va{j}") if sum_va is None else sum_va + F.col(f"va{j}")
-        sum_vb = F.col(f"vb{j}") if sum_vb is None else sum_vb + F.col(f"vb{j}")
+    ell2 = F.expr(" + ".join(f"(ma{j} - mb{j}) * (ma{j} - mb{j})" for j in range(d)))
+    sum_va = F.expr(" + ".join(f"va{j}" for j in range(d)))
+    sum_vb = F.expr(" + ".join(f"vb{j}" for j in range(d)))
     out = per.select(
         "cid", "n_a", "n_b",
         na.alias("na_total"), nb.alias("nb_total"),
         F.when(has_a & has_b, F.sqrt(ell2)).otherwise(F.lit(0.0)).alias("ell"),
         F.when(has_a, F.col("n_a") * sum_va).otherwise(F.lit(0.0)).alias("d_a"),
         F.when(has_b, F.col("n_b") * sum_vb).otherwise(F.lit(0.0)).alias("d_b"),
-        F.array(*[F.coalesce(F.col(f"ma{j}"), F.col(f"mb{j}")) for j in range(d)]).alias("mu_a"),
-        F.array(*[F.coalesce(F.col(f"mb{j}"), F.col(f"ma{j}")) for j in range(d)]).alias("mu_b"),
+        F.expr("array(" + ", ".join(f"coalesce(ma{j}, mb{j})" for j in range(d)) + ")").alias("mu_a"),
+        F.expr("array(" + ", ".join(f"coalesce(mb{j}, ma{j})" for j in range(d)) + ")").alias("mu_b"),
     )
     guard = lambda n, g, v: F.when(n == 0, F.raise_error(F.lit(f"group {g} is empty"))).otherwise(v)
     return out.select(

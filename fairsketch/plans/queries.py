@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import cluster, fair, heavy, objective, sketch
-from ..operators.assign import min_sq_distance, nearest_center, point_distances
+from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
 from ..sources import generate, tables
 from ..sources.points import flat
 from ..streaming import stream
@@ -26,13 +26,13 @@ def out(df: DataFrame) -> DataFrame:
     """Round doubles, widen integers (the result form shared with the oracles)."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), P.DIGITS)
+            c = f"round(CAST({c} AS DOUBLE), {P.DIGITS})"
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("bigint")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"CAST({c} AS BIGINT)"
+        cols.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*cols)
 
 
 def _centers_df(spark: SparkSession, cs, with_gamma=None) -> DataFrame:
@@ -43,8 +43,7 @@ def _centers_df(spark: SparkSession, cs, with_gamma=None) -> DataFrame:
 
 
 def _flat_centers(df: DataFrame, d: int, extra=()) -> DataFrame:
-    return df.select(F.col("cid").cast("bigint").alias("cid"),
-                     *[F.col("c")[j].alias(f"x{j}") for j in range(d)], *extra)
+    return df.selectExpr("CAST(cid AS BIGINT) AS cid", *[f"c[{j}] AS x{j}" for j in range(d)], *extra)
 
 
 # ---------------------------------------------------------------- points, assignment, objectives
@@ -105,9 +104,9 @@ def q_cluster_group_counts(spark, sf):
 def emb_centers(spark, sf) -> list[tuple[float, ...]]:
     """Centres for the 64-D embeddings: the mean vector of each label (at most 10 rows)."""
     e = tables.emb(spark, sf, keep_label=True)
-    means = e.groupBy("label").agg(*[F.avg(F.col("p")[j]).alias(f"m{j}") for j in range(64)])
-    rows = means.orderBy("label").limit(1000).collect()
-    return [tuple(float(r[f"m{j}"]) for j in range(64)) for r in rows]
+    means = e.groupBy(F.col("label").alias("cid")).agg(
+        F.expr("array(" + ", ".join(f"avg(p[{j}])" for j in range(64)) + ")").alias("c"))
+    return as_center_list(means)  # at most MAX_K rows reach the driver
 
 
 def q_nearest_center_emb(spark, sf):
