@@ -43,7 +43,7 @@ def lloyd_step(points: DataFrame, centers) -> DataFrame:
     return per.select("cid", F.expr("array(" + ", ".join(f"m{j}" for j in range(d)) + ")").alias("c"))
 
 
-def lloyd(points: DataFrame, init, m: int, persist: bool = True) -> list[tuple[float, ...]]:
+def lloyd(points: DataFrame, init, m: int, persist: bool = False) -> list[tuple[float, ...]]:
     """``m`` Lloyd iterations from ``init``; an empty cluster keeps its centre."""
     pts = points.select("p")
     if persist:

@@ -34,8 +34,8 @@ GAMMA_ROUNDS = 10
 GAMMA_START = 0.5
 
 
-def cluster_stats(points: DataFrame, centers) -> DataFrame:
-    """Per non-empty cluster: ``[cid, n_a, n_b, na_total, nb_total, alpha, beta, ell, d_a, d_b, mu_a, mu_b]``."""
+def cluster_moments(points: DataFrame, centers) -> DataFrame:
+    """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]`` (one hash aggregate)."""
     cs = as_center_list(centers)
     d = len(cs[0])
     # per-dimension aggregates as SQL text: one JVM parse each instead of many client calls
@@ -45,39 +45,60 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
             aggs.append(F.expr(f"avg(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"m{tag}{j}"))
             aggs.append(F.expr(f"var_pop(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"v{tag}{j}"))
     per = nearest_center(points.select("p", "grp"), cs).groupBy("cid").agg(*aggs)
-
-    everything = Window.partitionBy()  # K rows: one small partition
-    na = F.sum("n_a").over(everything)
-    nb = F.sum("n_b").over(everything)
     has_a = F.col("n_a") > 0
     has_b = F.col("n_b") > 0
     ell2 = F.expr(" + ".join(f"(ma{j} - mb{j}) * (ma{j} - mb{j})" for j in range(d)))
     sum_va = F.expr(" + ".join(f"va{j}" for j in range(d)))
     sum_vb = F.expr(" + ".join(f"vb{j}" for j in range(d)))
-    out = per.select(
+    return per.select(
         "cid", "n_a", "n_b",
-        na.alias("na_total"), nb.alias("nb_total"),
         F.when(has_a & has_b, F.sqrt(ell2)).otherwise(F.lit(0.0)).alias("ell"),
         F.when(has_a, F.col("n_a") * sum_va).otherwise(F.lit(0.0)).alias("d_a"),
         F.when(has_b, F.col("n_b") * sum_vb).otherwise(F.lit(0.0)).alias("d_b"),
         F.expr("array(" + ", ".join(f"coalesce(ma{j}, mb{j})" for j in range(d)) + ")").alias("mu_a"),
         F.expr("array(" + ", ".join(f"coalesce(mb{j}, ma{j})" for j in range(d)) + ")").alias("mu_b"),
     )
-    guard = lambda n, g, v: F.when(n == 0, F.raise_error(F.lit(f"group {g} is empty"))).otherwise(v)
-    return out.select(
+
+
+def _guard(n: Column, g: str, v: Column) -> Column:
+    return F.when(n == 0, F.raise_error(F.lit(f"group {g} is empty"))).otherwise(v)
+
+
+def cluster_stats(points: DataFrame, centers) -> DataFrame:
+    """Per non-empty cluster: ``[cid, n_a, n_b, na_total, nb_total, alpha, beta, ell, d_a, d_b, mu_a, mu_b]``.
+
+    The group totals come from a window over the K cluster rows (one small partition).
+    """
+    everything = Window.partitionBy()
+    m = cluster_moments(points, centers).select(
+        "*", F.sum("n_a").over(everything).alias("na_total"), F.sum("n_b").over(everything).alias("nb_total"))
+    return m.select(
         "cid", "n_a", "n_b", "na_total", "nb_total",
-        guard(F.col("na_total"), "A", F.col("n_a") / F.col("na_total")).alias("alpha"),
-        guard(F.col("nb_total"), "B", F.col("n_b") / F.col("nb_total")).alias("beta"),
+        _guard(F.col("na_total"), "A", F.col("n_a") / F.col("na_total")).alias("alpha"),
+        _guard(F.col("nb_total"), "B", F.col("n_b") / F.col("nb_total")).alias("beta"),
         "ell", "d_a", "d_b", "mu_a", "mu_b")
 
 
-def run_stats(stats: DataFrame) -> DataFrame:
-    """One row: ``[fixed_a, fixed_b, clusters]``; ``clusters`` is the K statistics ordered by cid."""
-    cl = F.struct("cid", "alpha", "beta", "ell", "mu_a", "mu_b")
-    return stats.agg(
-        (F.sum("d_a") / F.max("na_total")).alias("fixed_a"),
-        (F.sum("d_b") / F.max("nb_total")).alias("fixed_b"),
-        F.array_sort(F.collect_list(cl)).alias("clusters"))
+def run_stats(moments: DataFrame) -> DataFrame:
+    """One row: ``[na, nb, fixed_a, fixed_b, clusters]`` from the per-cluster moments.
+
+    ``clusters`` holds the K cluster statistics ordered by cid, with ``alpha`` and ``beta``.
+    A single global aggregate over the K rows: the group totals need no separate pass.
+    """
+    cl = F.struct("cid", "n_a", "n_b", "ell", "mu_a", "mu_b")
+    agg = moments.agg(
+        F.sum("n_a").alias("na"), F.sum("n_b").alias("nb"),
+        F.sum("d_a").alias("sum_d_a"), F.sum("d_b").alias("sum_d_b"),
+        F.array_sort(F.collect_list(cl)).alias("_cl"))
+    na, nb = F.col("na"), F.col("nb")
+    shares = F.transform("_cl", lambda c: F.struct(
+        c["cid"].alias("cid"), (c["n_a"] / na).alias("alpha"), (c["n_b"] / nb).alias("beta"),
+        c["ell"].alias("ell"), c["mu_a"].alias("mu_a"), c["mu_b"].alias("mu_b")))
+    return agg.select(
+        "na", "nb",
+        _guard(na, "A", F.col("sum_d_a") / na).alias("fixed_a"),
+        _guard(nb, "B", F.col("sum_d_b") / nb).alias("fixed_b"),
+        shares.alias("clusters"))
 
 
 def _x(c: Column, g: Column) -> Column:
@@ -133,15 +154,20 @@ def update_centers(balanced: DataFrame) -> DataFrame:
 
 def fair_step(points: DataFrame, centers) -> DataFrame:
     """``[cid, c, gamma]``: one fair Lloyd iteration from ``centers`` (non-empty clusters only)."""
-    return update_centers(balance(run_stats(cluster_stats(points, centers))))
+    return update_centers(balance(run_stats(cluster_moments(points, centers))))
 
 
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,
-                init=None, persist: bool = True, history: list | None = None) -> list[tuple[float, ...]]:
+                init=None, persist: bool = False, history: list | None = None) -> list[tuple[float, ...]]:
     """Fair Lloyd: seed with k-means|| (or ``init``), then ``m`` fair steps.
 
     An empty cluster keeps its previous centre.  ``history``, when given, receives the γ of
     every step.  Returns the K centres.
+
+    Every step re-reads ``points``: over a columnar source (parquet) the scan is pruned to the
+    coordinate and group columns and vectorised, which measured faster than Spark's in-memory
+    cache of ``array<double>`` rows.  Pass ``persist=True`` when ``points`` is costly to
+    recompute (e.g. parsed from text).
     """
     pts = points.select("p", "grp")
     if persist:
@@ -166,14 +192,11 @@ def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int
 
 def compare(points: DataFrame, k: int, m: int, seed: int | None = None) -> DataFrame:
     """``[method, phi_a, phi_b, phi]`` of standard (k-means||, m iterations) and fair centres."""
-    pts = points.select("p", "grp").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stand = _cluster.kmeans(pts, k, m, seed)
-        fair = fair_kmeans(pts, k, m, seed, persist=False)
-        rows = []
-        for name, cs in (("standard", stand), ("fair", fair)):
-            r = fair_objective(pts, cs).first()
-            rows.append((name, r["phi_a"], r["phi_b"], r["phi"]))
-    finally:
-        pts.unpersist()
+    pts = points.select("p", "grp")
+    stand = _cluster.kmeans(pts, k, m, seed)
+    fair = fair_kmeans(pts, k, m, seed)
+    rows = []
+    for name, cs in (("standard", stand), ("fair", fair)):
+        r = fair_objective(pts, cs).first()
+        rows.append((name, r["phi_a"], r["phi_b"], r["phi"]))
     return points.sparkSession.createDataFrame(rows, "method string, phi_a double, phi_b double, phi double")

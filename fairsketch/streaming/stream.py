@@ -5,8 +5,8 @@ Two ways are offered:
 * ``histogram_state`` / ``sketch_state`` return *streaming* aggregates for the caller to write
   (state store holds one row per distinct item, resp. at most d*w cells);
 * ``run_sketches`` drives a stream through ``foreachBatch``: every micro-batch writes its own
-  deltas - histogram, count-min cells, count-sketch cells and its length - under
-  ``<sink>/<table>/batch_id=<id>``.  Writes overwrite by batch id, so a replayed batch (the
+  deltas - histogram, count-min cells, count-sketch cells and its length - in one atomic job
+  under ``<sink>/delta/batch_id=<id>``.  Writes overwrite by batch id, so a replayed batch (the
   sink is at-least-once) replaces itself instead of counting twice; the snapshot functions
   sum the deltas (sketches are linear).  With a target length ``t``, a batch is taken only if
   the items of the earlier batches number fewer than ``t`` (whole batches only, so the total
@@ -26,7 +26,9 @@ from ..functions.hashing import SketchSpec
 from ..operators.sketch import count_min, count_sketch, histogram
 from ..session import scratch_path
 
-TABLES = ("hist", "cm", "cs", "length")
+# Kinds of rows in the per-batch delta table ``<sink>/delta/batch_id=<id>/kind=<kind>``:
+# hist (a=item, v=freq), cm and cs (a=r, b=c, v=cell value), len (v=items in the batch).
+KINDS = ("hist", "cm", "cs", "len")
 
 
 def prefix(df: DataFrame, batch_col: str, t: int) -> DataFrame:
@@ -57,18 +59,38 @@ def sketch_state(stream: DataFrame, spec: SketchSpec, kind: str = "cm", item_col
     raise ValueError("kind is 'cm' or 'cs'")
 
 
-def _read(spark: SparkSession, sink: str, name: str) -> DataFrame | None:
+def _deltas(spark: SparkSession, sink: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{sink}/{name}")
+        return spark.read.parquet(f"{sink}/delta")
     except AnalysisException:
         return None
 
 
+def batch_deltas(batch: DataFrame, spec: SketchSpec, item_col: str = "item") -> DataFrame:
+    """``[kind, a, b, v]``: every delta of one batch, derived from its histogram.
+
+    The batch is aggregated once (one row per distinct item); the sketches and the length are
+    computed from that histogram, and Spark reuses its shuffle for all four branches.
+    """
+    hist = histogram(batch, item_col)
+    cm = count_min(hist, spec.cm_h, spec.w, weight="freq")
+    cs = count_sketch(hist, spec.cs_h, spec.cs_g, spec.w, weight="freq")
+    null = F.lit(None).cast("bigint")
+    return (hist.select(F.lit("hist").alias("kind"), F.col("item").alias("a"), null.alias("b"),
+                        F.col("freq").cast("bigint").alias("v"))
+            .unionByName(cm.select(F.lit("cm").alias("kind"), F.col("r").cast("bigint").alias("a"),
+                                   F.col("c").cast("bigint").alias("b"), F.col("v").cast("bigint").alias("v")))
+            .unionByName(cs.select(F.lit("cs").alias("kind"), F.col("r").cast("bigint").alias("a"),
+                                   F.col("c").cast("bigint").alias("b"), F.col("v").cast("bigint").alias("v")))
+            .unionByName(hist.agg(F.lit("len").alias("kind"), null.alias("a"), null.alias("b"),
+                                  F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("v"))))
+
+
 def length_before(spark: SparkSession, sink: str, batch_id: int) -> int:
-    lengths = _read(spark, sink, "length")
-    if lengths is None:
+    deltas = _deltas(spark, sink)
+    if deltas is None:
         return 0
-    v = lengths.where(F.col("batch_id") < batch_id).agg(F.sum("n")).first()[0]
+    v = deltas.where((F.col("kind") == "len") & (F.col("batch_id") < batch_id)).agg(F.sum("v")).first()[0]
     return int(v or 0)
 
 
@@ -79,20 +101,14 @@ class _BatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if self.t is not None and length_before(spark, self.sink, batch_id) >= self.t:
-            self.reached.set()
-            return
-        part = f"batch_id={batch_id}"
-        hist_path = f"{self.sink}/hist/{part}"
-        histogram(batch, self.item_col).write.mode("overwrite").parquet(hist_path)
-        hist = spark.read.parquet(hist_path)  # the pre-aggregated batch: one row per distinct item
-        count_min(hist, self.spec.cm_h, self.spec.w, weight="freq").write.mode("overwrite").parquet(
-            f"{self.sink}/cm/{part}")
-        count_sketch(hist, self.spec.cs_h, self.spec.cs_g, self.spec.w, weight="freq").write.mode(
-            "overwrite").parquet(f"{self.sink}/cs/{part}")
-        # the length row is written last: it marks the batch as complete
-        hist.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("n")).write.mode(
-            "overwrite").parquet(f"{self.sink}/length/{part}")
+        if self.t is not None:
+            before = length_before(spark, self.sink, batch_id)
+            if before >= self.t:
+                self.reached.set()
+                return
+        # one job, committed atomically: a replayed batch id overwrites its own folder
+        (batch_deltas(batch, self.spec, self.item_col).write.mode("overwrite").partitionBy("kind")
+         .parquet(f"{self.sink}/delta/batch_id={batch_id}"))
         if self.t is not None and length_before(spark, self.sink, batch_id + 1) >= self.t:
             self.reached.set()
 
@@ -141,28 +157,34 @@ def run_sketches(stream: DataFrame, spec: SketchSpec, sink: str | None = None, t
 
 
 def snapshot_histogram(spark: SparkSession, sink: str) -> DataFrame:
-    hist = _read(spark, sink, "hist")
-    if hist is None:
+    """``[item, freq]`` summed over all written batches."""
+    d = _deltas(spark, sink)
+    if d is None:
         return spark.createDataFrame([], "item bigint, freq bigint")
-    return hist.groupBy("item").agg(F.sum("freq").cast("bigint").alias("freq"))
+    return (d.where(F.col("kind") == "hist")
+            .groupBy(F.col("a").alias("item")).agg(F.sum("v").cast("bigint").alias("freq")))
 
 
 def snapshot_cells(spark: SparkSession, sink: str, kind: str = "cm") -> DataFrame:
+    """``[r, c, v]`` of the count-min (``cm``) or count sketch (``cs``) of all written batches."""
     if kind not in ("cm", "cs"):
         raise ValueError("kind is 'cm' or 'cs'")
-    cells = _read(spark, sink, kind)
-    if cells is None:
+    d = _deltas(spark, sink)
+    if d is None:
         return spark.createDataFrame([], "r int, c int, v bigint")
-    return cells.groupBy("r", "c").agg(F.sum("v").cast("bigint").alias("v"))
+    return (d.where(F.col("kind") == kind)
+            .groupBy(F.col("a").cast("int").alias("r"), F.col("b").cast("int").alias("c"))
+            .agg(F.sum("v").cast("bigint").alias("v")))
 
 
 def snapshot_length(spark: SparkSession, sink: str) -> DataFrame:
     """``[n_items, n_batches]``."""
-    lengths = _read(spark, sink, "length")
-    if lengths is None:
+    d = _deltas(spark, sink)
+    if d is None:
         return spark.createDataFrame([(0, 0)], "n_items bigint, n_batches bigint")
-    return lengths.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"),
-                       F.count(F.lit(1)).alias("n_batches"))
+    return (d.where(F.col("kind") == "len")
+            .agg(F.coalesce(F.sum("v"), F.lit(0)).cast("bigint").alias("n_items"),
+                 F.count(F.lit(1)).alias("n_batches")))
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
