@@ -44,18 +44,33 @@ def as_center_list(centers, max_k: int = MAX_K) -> list[tuple[float, ...]]:
 
 
 def nearest_center(points: DataFrame, centers, p: str = "p") -> DataFrame:
-    """Add ``cid`` (nearest centre, lowest index on ties) and ``d2`` (its squared distance)."""
+    """Add ``cid`` (nearest centre, lowest index on ties) and ``d2`` (its squared distance).
+
+    While the kernel is unrolled, the K distances are plain double columns, ``d2`` is their
+    ``least`` and ``cid`` the first index reaching it: no per-row struct is built.
+    """
     cs = as_center_list(centers)
-    return (points.withColumn("_nc", V.nearest(p, cs))
-            .withColumn("cid", F.col("_nc.cid"))
-            .withColumn("d2", F.col("_nc.d2"))
-            .drop("_nc"))
+    k, d = V.check_centers(cs)
+    if k * d > V.UNROLL_LIMIT:
+        return (points.withColumn("_nc", V.nearest(p, cs))
+                .withColumn("cid", F.col("_nc.cid"))
+                .withColumn("d2", F.col("_nc.d2"))
+                .drop("_nc"))
+    tmp = [f"_d{i}" for i in range(k)]
+    with_d = points.select("*", *[F.expr(V.sq_dist_sql(p, c)).alias(t) for t, c in zip(tmp, cs)])
+    with_m = with_d.withColumn("d2", F.least(*tmp) if k > 1 else F.col(tmp[0]))
+    first = "CASE " + " ".join(f"WHEN {t} = d2 THEN {i}" for i, t in enumerate(tmp)) + " END"
+    return with_m.withColumn("cid", F.expr(first)).drop(*tmp).select(*points.columns, "cid", "d2")
 
 
 def min_sq_distance(points: DataFrame, centers, p: str = "p") -> DataFrame:
     """Add ``d2``: the squared distance to the nearest centre."""
     cs = as_center_list(centers)
-    return points.withColumn("d2", V.nearest(p, cs).getField("d2"))
+    k, d = V.check_centers(cs)
+    if k * d > V.UNROLL_LIMIT:
+        return points.withColumn("d2", V.nearest(p, cs).getField("d2"))
+    terms = [F.expr(V.sq_dist_sql(p, c)) for c in cs]
+    return points.withColumn("d2", F.least(*terms) if k > 1 else terms[0])
 
 
 def point_distances(points: DataFrame, centers, p: str = "p", squared: bool = False) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.points import prepare
 from .assign import as_center_list, nearest_center
 
 
@@ -43,17 +43,11 @@ def lloyd_step(points: DataFrame, centers) -> DataFrame:
     return per.select("cid", F.expr("array(" + ", ".join(f"m{j}" for j in range(d)) + ")").alias("c"))
 
 
-def lloyd(points: DataFrame, init, m: int, persist: bool = False) -> list[tuple[float, ...]]:
+def lloyd(points: DataFrame, init, m: int, persist: bool = True) -> list[tuple[float, ...]]:
     """``m`` Lloyd iterations from ``init``; an empty cluster keeps its centre."""
-    pts = points.select("p")
-    if persist:
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cs = list(as_center_list(init))
+    cs = list(as_center_list(init))
+    with prepare(points, len(cs[0]), persist=persist) as prep:
         for _ in range(m):
-            for r in lloyd_step(pts, cs).collect():  # at most K rows
+            for r in lloyd_step(prep.points, cs).collect():  # at most K rows
                 cs[r["cid"]] = tuple(float(v) for v in r["c"])
-        return cs
-    finally:
-        if persist:
-            pts.unpersist()
+    return cs

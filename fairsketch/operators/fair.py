@@ -4,8 +4,8 @@ One fair Lloyd step, given centres C:
 
 1. assign every point to its nearest centre (row-local, see ``assign``);
 2. per cluster i: group sizes, group means μA_i, μB_i and within-group scatter ΔA_i, ΔB_i,
-   as one hash aggregate with partial aggregation (``avg`` and ``var_pop`` are mergeable, so
-   a huge or skewed cluster never has to sit in one task);
+   as one hash aggregate by (cluster, group) with partial aggregation (``avg`` and
+   ``var_pop`` are mergeable, so a huge or skewed cluster never has to sit in one task);
 3. over the K cluster rows: α_i = nA_i/NA, β_i = nB_i/NB, ℓ_i = ‖μA_i − μB_i‖ and the fixed
    terms ΣΔA/NA, ΣΔB/NB;
 4. the balance search: 10 rounds of bisection on γ, each evaluating
@@ -22,9 +22,9 @@ once per iteration, to become the literals of the next assignment.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.points import prepare
 from .assign import as_center_list, nearest_center
 from .objective import fair_objective
 from . import cluster as _cluster
@@ -35,26 +35,34 @@ GAMMA_START = 0.5
 
 
 def cluster_moments(points: DataFrame, centers) -> DataFrame:
-    """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]`` (one hash aggregate)."""
+    """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]``.
+
+    The points are aggregated once per (cluster, group) with plain ``count``/``avg``/``var_pop``
+    (partial aggregation before the shuffle); the at most 2K group rows are then folded into
+    one row per cluster.
+    """
     cs = as_center_list(centers)
     d = len(cs[0])
     # per-dimension aggregates as SQL text: one JVM parse each instead of many client calls
-    aggs = [F.expr("count_if(grp = 'A')").alias("n_a"), F.expr("count_if(grp = 'B')").alias("n_b")]
+    aggs = [F.count(F.lit(1)).alias("n")]
     for j in range(d):
-        for g, tag in (("A", "a"), ("B", "b")):
-            aggs.append(F.expr(f"avg(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"m{tag}{j}"))
-            aggs.append(F.expr(f"var_pop(CASE WHEN grp = '{g}' THEN p[{j}] END)").alias(f"v{tag}{j}"))
-    per = nearest_center(points.select("p", "grp"), cs).groupBy("cid").agg(*aggs)
+        aggs += [F.expr(f"avg(p[{j}])").alias(f"m{j}"), F.expr(f"var_pop(p[{j}])").alias(f"v{j}")]
+    per_group = nearest_center(points.select("p", "grp"), cs).groupBy("cid", "grp").agg(*aggs)
+    var_sum = " + ".join(f"v{j}" for j in range(d))
+    folded = per_group.groupBy("cid").agg(
+        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("n_a"),
+        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("n_b"),
+        F.expr(f"coalesce(sum(CASE WHEN grp = 'A' THEN n * ({var_sum}) END), 0D)").alias("d_a"),
+        F.expr(f"coalesce(sum(CASE WHEN grp = 'B' THEN n * ({var_sum}) END), 0D)").alias("d_b"),
+        *[F.expr(f"max(CASE WHEN grp = 'A' THEN m{j} END)").alias(f"ma{j}") for j in range(d)],
+        *[F.expr(f"max(CASE WHEN grp = 'B' THEN m{j} END)").alias(f"mb{j}") for j in range(d)])
     has_a = F.col("n_a") > 0
     has_b = F.col("n_b") > 0
     ell2 = F.expr(" + ".join(f"(ma{j} - mb{j}) * (ma{j} - mb{j})" for j in range(d)))
-    sum_va = F.expr(" + ".join(f"va{j}" for j in range(d)))
-    sum_vb = F.expr(" + ".join(f"vb{j}" for j in range(d)))
-    return per.select(
+    return folded.select(
         "cid", "n_a", "n_b",
         F.when(has_a & has_b, F.sqrt(ell2)).otherwise(F.lit(0.0)).alias("ell"),
-        F.when(has_a, F.col("n_a") * sum_va).otherwise(F.lit(0.0)).alias("d_a"),
-        F.when(has_b, F.col("n_b") * sum_vb).otherwise(F.lit(0.0)).alias("d_b"),
+        "d_a", "d_b",
         F.expr("array(" + ", ".join(f"coalesce(ma{j}, mb{j})" for j in range(d)) + ")").alias("mu_a"),
         F.expr("array(" + ", ".join(f"coalesce(mb{j}, ma{j})" for j in range(d)) + ")").alias("mu_b"),
     )
@@ -158,24 +166,19 @@ def fair_step(points: DataFrame, centers) -> DataFrame:
 
 
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,
-                init=None, persist: bool = False, history: list | None = None) -> list[tuple[float, ...]]:
+                init=None, persist: bool = True, history: list | None = None) -> list[tuple[float, ...]]:
     """Fair Lloyd: seed with k-means|| (or ``init``), then ``m`` fair steps.
 
     An empty cluster keeps its previous centre.  ``history``, when given, receives the γ of
-    every step.  Returns the K centres.
-
-    Every step re-reads ``points``: over a columnar source (parquet) the scan is pruned to the
-    coordinate and group columns and vectorised, which measured faster than Spark's in-memory
-    cache of ``array<double>`` rows.  Pass ``persist=True`` when ``points`` is costly to
-    recompute (e.g. parsed from text).
+    every step.  Returns the K centres.  The points are parsed once into a cached, spread-out
+    form (``sources.points.prepare``) unless ``persist=False`` (the caller prepared them).
     """
-    pts = points.select("p", "grp")
-    if persist:
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    if init is None and k is None:
+        raise ValueError("give k or init")
+    dims = len(as_center_list(init)[0]) if init is not None else None
+    with prepare(points, dims, persist=persist) as prep:
+        pts = prep.points
         if init is None:
-            if k is None:
-                raise ValueError("give k or init")
             init = _cluster.init_centers(pts, k, seed)
         cs = list(as_center_list(init))
         for _ in range(m):
@@ -185,18 +188,16 @@ def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int
             if history is not None and rows:
                 history.append(rows[0]["gamma"])
         return cs
-    finally:
-        if persist:
-            pts.unpersist()
 
 
 def compare(points: DataFrame, k: int, m: int, seed: int | None = None) -> DataFrame:
     """``[method, phi_a, phi_b, phi]`` of standard (k-means||, m iterations) and fair centres."""
-    pts = points.select("p", "grp")
-    stand = _cluster.kmeans(pts, k, m, seed)
-    fair = fair_kmeans(pts, k, m, seed)
-    rows = []
-    for name, cs in (("standard", stand), ("fair", fair)):
-        r = fair_objective(pts, cs).first()
-        rows.append((name, r["phi_a"], r["phi_b"], r["phi"]))
+    with prepare(points) as prep:
+        pts = prep.points
+        stand = _cluster.kmeans(pts, k, m, seed)
+        fair = fair_kmeans(pts, k, m, seed, persist=False)
+        rows = []
+        for name, cs in (("standard", stand), ("fair", fair)):
+            r = fair_objective(pts, cs).first()
+            rows.append((name, r["phi_a"], r["phi_b"], r["phi"]))
     return points.sparkSession.createDataFrame(rows, "method string, phi_a double, phi_b double, phi double")

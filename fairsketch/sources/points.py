@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 GROUPS = ("A", "B")
@@ -62,6 +63,52 @@ def flat(points: DataFrame, dims: int, prefix: str = "x") -> DataFrame:
     return points.select(*[F.col("p")[j].alias(f"{prefix}{j}") for j in range(dims)], "grp")
 
 
+class Prepared:
+    """Points parsed once for an iterative job (see ``prepare``); ``release()`` frees the cache."""
+
+    def __init__(self, points: DataFrame, cached: DataFrame | None, dims: int):
+        self.points, self._cached, self.dims = points, cached, dims
+
+    def release(self) -> None:
+        if self._cached is not None:
+            self._cached.unpersist()
+            self._cached = None
+
+    def __enter__(self) -> "Prepared":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.release()
+
+
+def prepare(points: DataFrame, dims: int | None = None, partitions: int | None = None,
+            persist: bool = True) -> Prepared:
+    """Parse-once form of ``points`` for loops that scan them many times.
+
+    Coordinates are stored as flat double columns (the in-memory cache keeps them columnar;
+    an ``array`` column would be cached row by row) and the data is spread over at least
+    ``partitions`` tasks (default: the cluster's parallelism) - a source with fewer, larger
+    splits is repartitioned once, a source that is already wide is left as it is.  The cache
+    level spills to disk; lost blocks are recomputed from the source.  ``points`` of the
+    returned object exposes ``p`` again as ``array(x0, ...)``, which the optimizer reduces to
+    plain column reads.
+    """
+    if dims is None:
+        first = points.select(F.size("p").alias("d")).first()
+        if first is None:
+            raise ValueError("no points")
+        dims = int(first["d"])
+    flat_df = points.select(*[F.col("p")[j].cast("double").alias(f"x{j}") for j in range(dims)], "grp")
+    if not persist:
+        return Prepared(points.select("p", "grp"), None, dims)
+    want = partitions or points.sparkSession.sparkContext.defaultParallelism
+    if flat_df.rdd.getNumPartitions() < want:
+        flat_df = flat_df.repartition(want)
+    cached = flat_df.persist(StorageLevel.MEMORY_AND_DISK)
+    view = cached.select(F.array(*[F.col(f"x{j}") for j in range(dims)]).alias("p"), "grp")
+    return Prepared(view, cached, dims)
+
+
 def write_points(points: DataFrame, path: str, dims: int, mode: str = "error") -> None:
     """Write points in the text form ``c1,...,cD,label`` (the reader's input format)."""
     flat(points, dims, "c").write.mode(mode).option("header", "false").csv(path)
