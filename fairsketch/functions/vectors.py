@@ -31,8 +31,13 @@ def coord(p: Column | str, j: int) -> Column:
 
 
 def num(v: float) -> str:
-    """A double literal in SQL text (exact: the shortest repr round-trips)."""
-    v = float(v)
+    """A double literal in SQL text (exact: the shortest repr round-trips).
+
+    ``-0.0`` is written as ``0.0``: squared differences do not change, and a projection that
+    holds both signed zeros as literals was seen to mix up common subexpressions in generated
+    code (wrong distances), so they are never emitted together.
+    """
+    v = float(v) + 0.0
     if not math.isfinite(v):
         raise ValueError("centre coordinates must be finite")
     return f"{v!r}D"
@@ -51,7 +56,7 @@ def sq_dist(p: Column | str, c: Sequence[float]) -> Column:
         return F.expr(sq_dist_sql(p, c))
     total = None
     for j, cj in enumerate(c):
-        diff = coord(p, j) - F.lit(float(cj))
+        diff = coord(p, j) - F.lit(float(cj) + 0.0)  # no signed zero literal (see num)
         term = diff * diff
         total = term if total is None else total + term
     return total if total is not None else F.lit(0.0)

@@ -135,3 +135,11 @@ def test_empty_group_fails(spark):
     pts = spark.createDataFrame([([0.0], "A")], "p array<double>, grp string")
     with pytest.raises(Exception, match="group B is empty"):
         objective.fair_objective(pts, [(0.0,)]).collect()
+
+
+def test_signed_zero_centres(spark):
+    # centres (0, 0) and (0, -0.0) are the same point; every distance must still be right
+    pts = spark.createDataFrame([([0.0, 0.0], "A"), ([50.0, 0.0], "A"), ([0.0, 1.0], "B")], "p array<double>, grp string")
+    cs = [(0.0, 0.0), (0.0, -0.0)]
+    assert objective.standard_objective(pts, cs).first()["delta"] == (0.0 + 2500.0 + 1.0) / 3
+    assert objective.fair_objective(pts, cs).first()["phi_b"] == 1.0
