@@ -31,17 +31,42 @@ from ..session import scratch_path
 KINDS = ("hist", "cm", "cs", "len")
 
 
+# Number of range buckets of batch ids for the two-level running total in ``prefix``.
+PREFIX_BUCKETS = 1024
+
+
+def items_before(sizes: DataFrame, batch_col: str, buckets: int = PREFIX_BUCKETS) -> DataFrame:
+    """``sizes`` ``[batch, n]`` plus ``before``: the total ``n`` of all smaller batch ids.
+
+    A two-level prefix sum, so no task ever holds all batches: batch ids are cut into at most
+    ``buckets`` ranges, running totals are taken inside each range (one window partition per
+    range), and each range is offset by the totals of the ranges before it (a window over at
+    most ``buckets`` rows, broadcast back).
+    """
+    b = F.col(batch_col)
+    lo, hi = sizes.agg(F.min(batch_col), F.max(batch_col)).first()
+    if lo is None:
+        return sizes.withColumn("before", F.lit(0).cast("bigint"))
+    width = max(1, -(-(int(hi) - int(lo) + 1) // buckets))
+    keyed = sizes.withColumn("_bucket", F.floor((b - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    local = keyed.withColumn("_local", F.coalesce(F.sum("n").over(
+        Window.partitionBy("_bucket").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    totals = keyed.groupBy("_bucket").agg(F.sum("n").alias("_tot"))  # at most `buckets` rows
+    offsets = totals.select("_bucket", F.coalesce(F.sum("_tot").over(
+        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_bucket")
+            .select(*sizes.columns, (F.col("_off") + F.col("_local")).cast("bigint").alias("before")))
+
+
 def prefix(df: DataFrame, batch_col: str, t: int) -> DataFrame:
     """Rows of the batches taken by the stop-at-``t`` rule (batch b is taken iff the earlier
     batches hold fewer than ``t`` rows).
 
-    The running total is a window over one row per batch (the per-batch counts), not over the
-    items; the items themselves are only filtered.
+    The running total runs over one row per batch (see ``items_before``), never over the
+    items; the items themselves are only filtered by the last batch taken.
     """
     sizes = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(batch_col)
-                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = sizes.withColumn("_before", before).where(F.col("_before") < F.lit(t)).agg(F.max(batch_col)).scalar()
+    last = items_before(sizes, batch_col).where(F.col("before") < F.lit(t)).agg(F.max(batch_col)).scalar()
     return df.where(F.col(batch_col) <= last)
 
 

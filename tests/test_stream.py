@@ -89,3 +89,17 @@ def test_streaming_state_aggregates(spark, staged):
     got = sorted(map(tuple, spark.sql("SELECT r, c, v FROM test_cm_state").collect()))
     want = sorted(map(tuple, sketch.count_min(_batch_items(spark), SPEC.cm_h, SPEC.w).collect()))
     assert got == want
+
+
+def test_items_before_across_buckets(spark):
+    import random
+
+    rng = random.Random(3)
+    sizes = [(b, rng.randint(1, 9)) for b in sorted(rng.sample(range(-40, 400), 60))]
+    df = spark.createDataFrame(sizes, "batch bigint, n bigint")
+    for buckets in (1, 3, 7, 1024):
+        got = {r["batch"]: r["before"] for r in stream.items_before(df, "batch", buckets).collect()}
+        run = 0
+        for b, n in sizes:
+            assert got[b] == run
+            run += n
