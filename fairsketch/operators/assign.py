@@ -3,6 +3,11 @@
 The K centres are a bounded, small input: they are taken to the driver (at most ``max_k`` rows)
 and inlined as literals, so every point is assigned inside its own task with no shuffle and no
 join.  Catalyst folds the literal arithmetic into the generated code.
+
+Loops that assign the same points to a new set of centres every iteration pass
+``shared_code=True``: the centres then reach the tasks as one ``array<double>`` scalar
+subquery instead of literals, so the generated code is the same in every iteration and is
+compiled once (new literals would cost a fresh compilation per iteration).
 """
 
 from __future__ import annotations
@@ -43,11 +48,18 @@ def as_center_list(centers, max_k: int = MAX_K) -> list[tuple[float, ...]]:
     return out
 
 
-def nearest_center(points: DataFrame, centers, p: str = "p") -> DataFrame:
+def _centers_param(spark, cs) -> F.Column:
+    """The centres, flattened row-major, as a scalar subquery over a one-row JVM-side frame."""
+    flat = ", ".join(V.num(v) for c in cs for v in c)
+    return spark.range(1).select(F.expr(f"array({flat})").alias("c")).scalar()
+
+
+def nearest_center(points: DataFrame, centers, p: str = "p", shared_code: bool = False) -> DataFrame:
     """Add ``cid`` (nearest centre, lowest index on ties) and ``d2`` (its squared distance).
 
     While the kernel is unrolled, the K distances are plain double columns, ``d2`` is their
     ``least`` and ``cid`` the first index reaching it: no per-row struct is built.
+    ``shared_code`` reads the centres from a scalar subquery (see the module note).
     """
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
@@ -57,10 +69,18 @@ def nearest_center(points: DataFrame, centers, p: str = "p") -> DataFrame:
                 .withColumn("d2", F.col("_nc.d2"))
                 .drop("_nc"))
     tmp = [f"_d{i}" for i in range(k)]
-    with_d = points.select("*", *[F.expr(V.sq_dist_sql(p, c)).alias(t) for t, c in zip(tmp, cs)])
-    with_m = with_d.withColumn("d2", F.least(*tmp) if k > 1 else F.col(tmp[0]))
+    cols = [f"`{c}`" for c in points.columns]
+    if shared_code:
+        base = points.select("*", _centers_param(points.sparkSession, cs).alias("_c"))
+        dist = [" + ".join(f"(`{p}`[{j}] - _c[{i * d + j}]) * (`{p}`[{j}] - _c[{i * d + j}])" for j in range(d))
+                for i in range(k)]
+    else:
+        base = points
+        dist = [V.sq_dist_sql(p, c) for c in cs]
+    with_d = base.selectExpr(*cols, *[f"{e} AS {t}" for t, e in zip(tmp, dist)],
+                             (f"least({', '.join(tmp)})" if k > 1 else tmp[0]) + " AS d2")
     first = "CASE " + " ".join(f"WHEN {t} = d2 THEN {i}" for i, t in enumerate(tmp)) + " END"
-    return with_m.withColumn("cid", F.expr(first)).drop(*tmp).select(*points.columns, "cid", "d2")
+    return with_d.selectExpr(*cols, f"{first} AS cid", "d2")
 
 
 def min_sq_distance(points: DataFrame, centers, p: str = "p") -> DataFrame:

@@ -34,11 +34,11 @@ def init_centers(points: DataFrame, k: int, seed: int | None = None) -> list[tup
     return kmeans(points, k, 0, seed)
 
 
-def lloyd_step(points: DataFrame, centers) -> DataFrame:
+def lloyd_step(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
     """``[cid, c]``: the mean of every non-empty cluster."""
     cs = as_center_list(centers)
     d = len(cs[0])
-    per = (nearest_center(points.select("p"), cs).groupBy("cid")
+    per = (nearest_center(points.select("p"), cs, shared_code=shared_code).groupBy("cid")
            .agg(*[F.expr(f"avg(p[{j}])").alias(f"m{j}") for j in range(d)]))
     return per.select("cid", F.expr("array(" + ", ".join(f"m{j}" for j in range(d)) + ")").alias("c"))
 
@@ -48,6 +48,6 @@ def lloyd(points: DataFrame, init, m: int, persist: bool = True) -> list[tuple[f
     cs = list(as_center_list(init))
     with prepare(points, len(cs[0]), persist=persist) as prep:
         for _ in range(m):
-            for r in lloyd_step(prep.points, cs).collect():  # at most K rows
+            for r in lloyd_step(prep.points, cs, shared_code=True).collect():  # at most K rows
                 cs[r["cid"]] = tuple(float(v) for v in r["c"])
     return cs

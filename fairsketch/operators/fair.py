@@ -34,7 +34,7 @@ GAMMA_ROUNDS = 10
 GAMMA_START = 0.5
 
 
-def cluster_moments(points: DataFrame, centers) -> DataFrame:
+def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
     """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]``.
 
     The points are aggregated once per (cluster, group) with plain ``count``/``avg``/``var_pop``
@@ -47,7 +47,8 @@ def cluster_moments(points: DataFrame, centers) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n")]
     for j in range(d):
         aggs += [F.expr(f"avg(p[{j}])").alias(f"m{j}"), F.expr(f"var_pop(p[{j}])").alias(f"v{j}")]
-    per_group = nearest_center(points.select("p", "grp"), cs).groupBy("cid", "grp").agg(*aggs)
+    per_group = (nearest_center(points.select("p", "grp"), cs, shared_code=shared_code)
+                 .groupBy("cid", "grp").agg(*aggs))
     var_sum = " + ".join(f"v{j}" for j in range(d))
     folded = per_group.groupBy("cid").agg(
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("n_a"),
@@ -109,60 +110,63 @@ def run_stats(moments: DataFrame) -> DataFrame:
         shares.alias("clusters"))
 
 
-def _x(c: Column, g: Column) -> Column:
-    one_minus = F.lit(1.0) - g
-    return (one_minus * c["beta"] * c["ell"]) / (g * c["alpha"] + one_minus * c["beta"])
+def _x_sql(c: str, g: str) -> str:
+    """x_i = (1-γ)β_iℓ_i / (γα_i + (1-γ)β_i) as SQL text over a cluster struct ``c``."""
+    return f"(((1D - {g}) * {c}.beta * {c}.ell) / ({g} * {c}.alpha + (1D - {g}) * {c}.beta))"
 
 
-def _f_a(clusters: Column, fixed_a: Column, g: Column) -> Column:
-    return F.aggregate(clusters, fixed_a, lambda acc, c: acc + c["alpha"] * _x(c, g) * _x(c, g))
+def _f_sql(clusters: str, fixed: str, g: str, side: str) -> str:
+    x = _x_sql("c", g)
+    term = f"c.alpha * {x} * {x}" if side == "a" else f"c.beta * (c.ell - {x}) * (c.ell - {x})"
+    return f"aggregate({clusters}, {fixed}, (acc, c) -> acc + {term})"
 
 
-def _f_b(clusters: Column, fixed_b: Column, g: Column) -> Column:
-    return F.aggregate(clusters, fixed_b,
-                       lambda acc, c: acc + c["beta"] * (c["ell"] - _x(c, g)) * (c["ell"] - _x(c, g)))
+def gamma_search_sql(clusters: str = "clusters", fixed_a: str = "fixed_a", fixed_b: str = "fixed_b",
+                     rounds: int = GAMMA_ROUNDS) -> str:
+    """SQL text of the γ of the last evaluated round of the bisection.
 
-
-def gamma_search(clusters: Column, fixed_a: Column, fixed_b: Column,
+    The state is ``(gamma, power, used, done)``; each round halves ``power``, evaluates fA and
+    fB at ``gamma`` (summing the clusters in cid order), stops on fA = fB, and otherwise moves
+    ``gamma`` up when fA > fB, down when fA < fB.
+    """
+    fa = _f_sql(clusters, fixed_a, "s.gamma", "a")
+    fb = _f_sql(clusters, fixed_b, "s.gamma", "b")
+    start = f"{GAMMA_START!r}D"
+    moved = (f"named_struct('gamma', CASE WHEN {fa} = {fb} THEN s.gamma WHEN {fa} > {fb} "
+             f"THEN s.gamma + s.power / 2D ELSE s.gamma - s.power / 2D END, "
+             f"'power', s.power / 2D, 'used', s.gamma, 'done', {fa} = {fb})")
+    init = f"named_struct('gamma', {start}, 'power', {start}, 'used', {start}, 'done', false)"
+    return (f"aggregate(sequence(1, {int(rounds)}), {init}, "
+            f"(s, t) -> CASE WHEN s.done THEN s ELSE {moved} END).used")
+
+
+def gamma_search(clusters: str = "clusters", fixed_a: str = "fixed_a", fixed_b: str = "fixed_b",
                  rounds: int = GAMMA_ROUNDS) -> Column:
     """The γ of the last evaluated round of the bisection (a column expression)."""
-    init = F.struct(F.lit(GAMMA_START).alias("gamma"), F.lit(GAMMA_START).alias("power"),
-                    F.lit(GAMMA_START).alias("used"), F.lit(False).alias("done"))
-
-    def step(s, _t):
-        g = s["gamma"]
-        power = s["power"] / F.lit(2.0)
-        fa = _f_a(clusters, fixed_a, g)
-        fb = _f_b(clusters, fixed_b, g)
-        equal = fa == fb
-        nxt = F.when(equal, g).when(fa > fb, g + power).otherwise(g - power)
-        moved = F.struct(nxt.alias("gamma"), power.alias("power"), g.alias("used"), equal.alias("done"))
-        return F.when(s["done"], s).otherwise(moved)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), init, step).getField("used")
+    return F.expr(gamma_search_sql(clusters, fixed_a, fixed_b, rounds))
 
 
 def balance(run: DataFrame) -> DataFrame:
     """Add ``gamma`` (last evaluated) and ``x`` (array of ``struct(cid, x)``) to a run row."""
-    withg = run.withColumn("gamma", gamma_search(F.col("clusters"), F.col("fixed_a"), F.col("fixed_b")))
-    return withg.withColumn("x", F.transform("clusters", lambda c: F.struct(
-        c["cid"].alias("cid"), _x(c, F.col("gamma")).alias("x"))))
+    withg = run.select("*", gamma_search().alias("gamma"))
+    return withg.selectExpr(
+        "*", f"transform(clusters, c -> named_struct('cid', c.cid, 'x', {_x_sql('c', 'gamma')})) AS x")
 
 
 def update_centers(balanced: DataFrame) -> DataFrame:
     """``[cid, c, gamma]``: the moved centre of every non-empty cluster."""
-    moved = F.transform("clusters", lambda c: F.struct(
-        c["cid"].alias("cid"),
-        F.when(c["ell"] == 0.0, c["mu_a"]).otherwise(
-            F.zip_with(c["mu_a"], c["mu_b"],
-                       lambda a, b: ((c["ell"] - _x(c, F.col("gamma"))) * a + _x(c, F.col("gamma")) * b) / c["ell"])
-        ).alias("c")))
-    return balanced.select(F.inline(moved), "gamma")
+    x = _x_sql("c", "gamma")
+    moved = (f"transform(clusters, c -> named_struct('cid', c.cid, 'c', CASE WHEN c.ell = 0D THEN c.mu_a "
+             f"ELSE zip_with(c.mu_a, c.mu_b, (a, b) -> ((c.ell - {x}) * a + {x} * b) / c.ell) END))")
+    return balanced.select(F.inline(F.expr(moved)), "gamma")
+
 
+def fair_step(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
+    """``[cid, c, gamma]``: one fair Lloyd iteration from ``centers`` (non-empty clusters only).
 
-def fair_step(points: DataFrame, centers) -> DataFrame:
-    """``[cid, c, gamma]``: one fair Lloyd iteration from ``centers`` (non-empty clusters only)."""
-    return update_centers(balance(run_stats(cluster_moments(points, centers))))
+    ``shared_code`` passes the centres as a scalar subquery (for loops; see ``assign``).
+    """
+    return update_centers(balance(run_stats(cluster_moments(points, centers, shared_code))))
 
 
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,
@@ -182,7 +186,7 @@ def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int
             init = _cluster.init_centers(pts, k, seed)
         cs = list(as_center_list(init))
         for _ in range(m):
-            rows = fair_step(pts, cs).collect()  # at most K rows
+            rows = fair_step(pts, cs, shared_code=True).collect()  # at most K rows
             for r in rows:
                 cs[r["cid"]] = tuple(float(v) for v in r["c"])
             if history is not None and rows:
