@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.hashing import SketchSpec
-from .sketch import estimate_cm, estimate_cs
+from .sketch import estimate_both
 
 
 def phi_k(hist: DataFrame, k: int) -> DataFrame:
@@ -32,9 +32,8 @@ def report(hist: DataFrame, k: int, cm_cells: DataFrame, cs_cells: DataFrame, sp
     ``*_err`` is the relative error ``|f - f_est| / f``.
     """
     hh = top_k_with_ties(hist, k)
-    cm = estimate_cm(hh, cm_cells, spec.cm_h, spec.w)
-    cs = estimate_cs(hh, cs_cells, spec.cs_h, spec.cs_g, spec.w)
-    out = hh.join(cm, "item").join(cs, "item")
+    # one pass: probes of both sketches joined to their (bounded) cells, one aggregate by item
+    out = estimate_both(hh, cm_cells, cs_cells, spec, keep=("freq",))
     f = F.col("freq").cast("double")
     return out.select(
         "item", "freq", "cm_est", "cs_est",

@@ -114,3 +114,27 @@ def estimate_cs(queries: DataFrame, cells: DataFrame, h: HashFamily, g: HashFami
     est = F.coalesce("v", F.lit(0)) * F.col("g")
     return joined.groupBy("item").agg(
         F.sort_array(F.collect_list(est)).getItem(h.d // 2).cast("bigint").alias("cs_est"))
+
+
+def estimate_both(queries: DataFrame, cm_cells: DataFrame, cs_cells: DataFrame, spec: SketchSpec,
+                  item_col: str = "item", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``[item, *keep, cm_est, cs_est]`` in one pass for distinct query items.
+
+    Each item yields d probe rows carrying both its count-min cell and its count-sketch cell
+    and sign; both cell tables (at most d*w rows each) are joined to the probes, and a single
+    aggregate by item takes the count-min minimum and the count-sketch upper median.
+    ``keep`` columns must be functions of the item (e.g. its true frequency).
+    """
+    x = F.col(item_col)
+    w, d = spec.w, spec.d
+    rows = [F.struct(F.lit(r).alias("r"), spec.cm_h.bucket(x, r, w).alias("cm_c"),
+                     spec.cs_h.bucket(x, r, w).alias("cs_c"), spec.cs_g.sign(x, r).alias("g"))
+            for r in range(d)]
+    probes = queries.select(x.alias("item"), *keep, F.inline(F.array(*rows)))
+    cm = _probe(cm_cells.select("r", F.col("c").alias("cm_c"), F.col("v").alias("cm_v")), d, w)
+    cs = _probe(cs_cells.select("r", F.col("c").alias("cs_c"), F.col("v").alias("cs_v")), d, w)
+    joined = probes.join(cm, ["r", "cm_c"], "left").join(cs, ["r", "cs_c"], "left")
+    return joined.groupBy("item", *keep).agg(
+        F.min(F.coalesce("cm_v", F.lit(0))).cast("bigint").alias("cm_est"),
+        F.sort_array(F.collect_list(F.coalesce("cs_v", F.lit(0)) * F.col("g"))).getItem(d // 2)
+        .cast("bigint").alias("cs_est"))
