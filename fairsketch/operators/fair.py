@@ -6,8 +6,8 @@ One fair Lloyd step, given centres C:
 2. per cluster i: group sizes, group means μA_i, μB_i and within-group scatter ΔA_i, ΔB_i,
    as one hash aggregate by (cluster, group) with partial aggregation (``avg`` and
    ``var_pop`` are mergeable, so a huge or skewed cluster never has to sit in one task);
-3. over the K cluster rows: α_i = nA_i/NA, β_i = nB_i/NB, ℓ_i = ‖μA_i − μB_i‖ and the fixed
-   terms ΣΔA/NA, ΣΔB/NB;
+3. over the at most 2K (cluster, group) rows, in one global aggregate: α_i = nA_i/NA,
+   β_i = nB_i/NB, ℓ_i = ‖μA_i − μB_i‖ and the fixed terms ΣΔA/NA, ΣΔB/NB;
 4. the balance search: 10 rounds of bisection on γ, each evaluating
    x_i = (1−γ)β_iℓ_i / (γα_i + (1−γ)β_i),
    fA = ΣΔA/NA + Σ α_i x_i², fB = ΣΔB/NB + Σ β_i (ℓ_i − x_i)²,
@@ -34,12 +34,12 @@ GAMMA_ROUNDS = 10
 GAMMA_START = 0.5
 
 
-def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
-    """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]``.
+def group_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
+    """Per (non-empty cluster, group): ``[cid, grp, n, m, scatter]``.
 
-    The points are aggregated once per (cluster, group) with plain ``count``/``avg``/``var_pop``
-    (partial aggregation before the shuffle); the at most 2K group rows are then folded into
-    one row per cluster.
+    ``m`` is the group mean vector and ``scatter`` = n · Σ_j var_pop(x_j), the sum of squared
+    distances of the group's points to that mean.  One hash aggregate with plain
+    ``count``/``avg``/``var_pop`` (partial aggregation before the shuffle); at most 2K rows.
     """
     cs = as_center_list(centers)
     d = len(cs[0])
@@ -49,24 +49,30 @@ def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> Da
         aggs += [F.expr(f"avg(p[{j}])").alias(f"m{j}"), F.expr(f"var_pop(p[{j}])").alias(f"v{j}")]
     per_group = (nearest_center(points.select("p", "grp"), cs, shared_code=shared_code)
                  .groupBy("cid", "grp").agg(*aggs))
-    var_sum = " + ".join(f"v{j}" for j in range(d))
-    folded = per_group.groupBy("cid").agg(
+    return per_group.selectExpr(
+        "cid", "grp", "n", "array(" + ", ".join(f"m{j}" for j in range(d)) + ") AS m",
+        "n * (" + " + ".join(f"v{j}" for j in range(d)) + ") AS scatter")
+
+
+def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
+    """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]`` (the group rows folded)."""
+    g = group_moments(points, centers, shared_code)
+    folded = g.groupBy("cid").agg(
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("n_a"),
         F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("n_b"),
-        F.expr(f"coalesce(sum(CASE WHEN grp = 'A' THEN n * ({var_sum}) END), 0D)").alias("d_a"),
-        F.expr(f"coalesce(sum(CASE WHEN grp = 'B' THEN n * ({var_sum}) END), 0D)").alias("d_b"),
-        *[F.expr(f"max(CASE WHEN grp = 'A' THEN m{j} END)").alias(f"ma{j}") for j in range(d)],
-        *[F.expr(f"max(CASE WHEN grp = 'B' THEN m{j} END)").alias(f"mb{j}") for j in range(d)])
-    has_a = F.col("n_a") > 0
-    has_b = F.col("n_b") > 0
-    ell2 = F.expr(" + ".join(f"(ma{j} - mb{j}) * (ma{j} - mb{j})" for j in range(d)))
-    return folded.select(
-        "cid", "n_a", "n_b",
-        F.when(has_a & has_b, F.sqrt(ell2)).otherwise(F.lit(0.0)).alias("ell"),
-        "d_a", "d_b",
-        F.expr("array(" + ", ".join(f"coalesce(ma{j}, mb{j})" for j in range(d)) + ")").alias("mu_a"),
-        F.expr("array(" + ", ".join(f"coalesce(mb{j}, ma{j})" for j in range(d)) + ")").alias("mu_b"),
-    )
+        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN scatter END), 0D)").alias("d_a"),
+        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN scatter END), 0D)").alias("d_b"),
+        F.expr("max(CASE WHEN grp = 'A' THEN m END)").alias("ma"),
+        F.expr("max(CASE WHEN grp = 'B' THEN m END)").alias("mb"))
+    return folded.selectExpr(
+        "cid", "n_a", "n_b", f"{_ELL_SQL.format(a='ma', b='mb')} AS ell", "d_a", "d_b",
+        "coalesce(ma, mb) AS mu_a", "coalesce(mb, ma) AS mu_b")
+
+
+# ℓ = ‖μA − μB‖ when both groups are present (coordinates summed in order), else 0
+_ELL_SQL = ("CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN "
+            "sqrt(aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (acc, t) -> acc + t)) "
+            "ELSE 0D END")
 
 
 def _guard(n: Column, g: str, v: Column) -> Column:
@@ -88,26 +94,35 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
         "ell", "d_a", "d_b", "mu_a", "mu_b")
 
 
-def run_stats(moments: DataFrame) -> DataFrame:
-    """One row: ``[na, nb, fixed_a, fixed_b, clusters]`` from the per-cluster moments.
+def run_stats(groups: DataFrame) -> DataFrame:
+    """One row: ``[na, nb, fixed_a, fixed_b, clusters]`` from the per-(cluster, group) moments.
 
-    ``clusters`` holds the K cluster statistics ordered by cid, with ``alpha`` and ``beta``.
-    A single global aggregate over the K rows: the group totals need no separate pass.
+    ``clusters`` holds the K cluster statistics ordered by cid (``alpha``, ``beta``, ``ell``,
+    ``mu_a``, ``mu_b``).  A single global aggregate over the at most 2K group rows: group
+    totals, fixed terms and the regrouping by cluster need no further shuffle.  A one-sided
+    cluster takes the other group's mean for the missing group (so ℓ = 0).
     """
-    cl = F.struct("cid", "n_a", "n_b", "ell", "mu_a", "mu_b")
-    agg = moments.agg(
-        F.sum("n_a").alias("na"), F.sum("n_b").alias("nb"),
-        F.sum("d_a").alias("sum_d_a"), F.sum("d_b").alias("sum_d_b"),
-        F.array_sort(F.collect_list(cl)).alias("_cl"))
+    agg = groups.agg(
+        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("na"),
+        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("nb"),
+        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN scatter END), 0D)").alias("sum_d_a"),
+        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN scatter END), 0D)").alias("sum_d_b"),
+        F.expr("collect_list(named_struct('cid', cid, 'grp', grp, 'n', n, 'm', m))").alias("_g"))
+    pairs = agg.selectExpr(
+        "na", "nb", "sum_d_a", "sum_d_b",
+        "transform(array_sort(array_distinct(transform(_g, r -> r.cid))), i -> named_struct("
+        "'cid', i, 'a', get(filter(_g, r -> r.cid = i AND r.grp = 'A'), 0), "
+        "'b', get(filter(_g, r -> r.cid = i AND r.grp = 'B'), 0))) AS _cl")
+    ell = _ELL_SQL.format(a="c.a.m", b="c.b.m")
+    clusters = ("transform(_cl, c -> named_struct('cid', c.cid, "
+                "'alpha', coalesce(c.a.n, 0) / na, 'beta', coalesce(c.b.n, 0) / nb, "
+                f"'ell', {ell}, 'mu_a', coalesce(c.a.m, c.b.m), 'mu_b', coalesce(c.b.m, c.a.m)))")
     na, nb = F.col("na"), F.col("nb")
-    shares = F.transform("_cl", lambda c: F.struct(
-        c["cid"].alias("cid"), (c["n_a"] / na).alias("alpha"), (c["n_b"] / nb).alias("beta"),
-        c["ell"].alias("ell"), c["mu_a"].alias("mu_a"), c["mu_b"].alias("mu_b")))
-    return agg.select(
+    return pairs.select(
         "na", "nb",
         _guard(na, "A", F.col("sum_d_a") / na).alias("fixed_a"),
         _guard(nb, "B", F.col("sum_d_b") / nb).alias("fixed_b"),
-        shares.alias("clusters"))
+        F.expr(clusters).alias("clusters"))
 
 
 def _x_sql(c: str, g: str) -> str:
@@ -166,7 +181,7 @@ def fair_step(points: DataFrame, centers, shared_code: bool = False) -> DataFram
 
     ``shared_code`` passes the centres as a scalar subquery (for loops; see ``assign``).
     """
-    return update_centers(balance(run_stats(cluster_moments(points, centers, shared_code))))
+    return update_centers(balance(run_stats(group_moments(points, centers, shared_code))))
 
 
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,

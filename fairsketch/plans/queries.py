@@ -128,12 +128,12 @@ def q_fair_cluster_stats(spark, sf):
 
 
 def q_fair_fixed_terms(spark, sf):
-    run = fair.run_stats(fair.cluster_moments(tables.pts3(spark, sf), P.CENTERS_PTS3))
+    run = fair.run_stats(fair.group_moments(tables.pts3(spark, sf), P.CENTERS_PTS3))
     return out(run.select("fixed_a", "fixed_b", F.size("clusters").alias("n_clusters")))
 
 
 def q_fair_balance(spark, sf):
-    b = fair.balance(fair.run_stats(fair.cluster_moments(tables.pts3(spark, sf), P.CENTERS_PTS3)))
+    b = fair.balance(fair.run_stats(fair.group_moments(tables.pts3(spark, sf), P.CENTERS_PTS3)))
     return out(b.select("gamma", F.inline("x")))
 
 
