@@ -219,6 +219,7 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     xs3 = ", ".join(f"{rnd(f'p.x{j}')} AS x{j}" for j in range(3))
     q["points_scan"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp FROM pts p")
+    q["points_roundtrip"] = q["points_scan"]
     q["group_filter"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp FROM pts p WHERE p.grp = 'A'")
     q["group_counts"] = with_ctes([PTS3], "SELECT CAST(count(*) AS BIGINT) AS n, "
                                           "CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "

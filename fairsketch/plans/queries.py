@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators import cluster, fair, heavy, objective, sketch
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
 from ..sources import generate, tables
-from ..sources.points import flat
+from ..sources.points import flat, read_points, write_points
 from ..streaming import stream
 from ..session import scratch_path
 from . import params as P
@@ -52,6 +52,13 @@ def q_points_scan(spark, sf):
     return out(flat(tables.pts3(spark, sf), 3))
 
 
+def q_points_roundtrip(spark, sf):
+    """Points written in the text form c1,...,cD,label and parsed back (any-D text reader)."""
+    path = scratch_path(spark, "points-text")
+    write_points(tables.pts3(spark, sf), path, 3)
+    return out(flat(read_points(spark, path), 3))
+
+
 def q_group_filter(spark, sf):
     return out(flat(objective.group_filter(tables.pts3(spark, sf), "A"), 3))
 
@@ -301,6 +308,7 @@ def q_stream_report(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "points_scan": q_points_scan,
+    "points_roundtrip": q_points_roundtrip,
     "group_filter": q_group_filter,
     "group_counts": q_group_counts,
     "point_distance": q_point_distance,
