@@ -103,3 +103,16 @@ def test_items_before_across_buckets(spark):
         for b, n in sizes:
             assert got[b] == run
             run += n
+
+
+def test_processing_time_stream_stops_at_t(spark, staged):
+    path, schema = staged
+    t = 300
+    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, t=t,
+                               processing_time="200 milliseconds", timeout=120)
+    lengths = stream.snapshot_length(spark, sink).first()
+    per_batch = [r["v"] for r in spark.read.parquet(f"{sink}/delta").where("kind = 'len'").orderBy("batch_id").collect()]
+    assert lengths["n_items"] >= t and lengths["n_items"] - per_batch[-1] < t
+    assert lengths["n_batches"] < 5
+    with pytest.raises(ValueError):
+        stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, processing_time="1 second")
