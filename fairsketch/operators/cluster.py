@@ -43,9 +43,15 @@ def lloyd_step(points: DataFrame, centers, shared_code: bool = False) -> DataFra
     return per.select("cid", F.expr("array(" + ", ".join(f"m{j}" for j in range(d)) + ")").alias("c"))
 
 
-def lloyd(points: DataFrame, init, m: int, persist: bool = True) -> list[tuple[float, ...]]:
-    """``m`` Lloyd iterations from ``init``; an empty cluster keeps its centre."""
+def lloyd(points: DataFrame, init, m: int, persist: bool | None = None) -> list[tuple[float, ...]]:
+    """``m`` Lloyd iterations from ``init``; an empty cluster keeps its centre.
+
+    ``persist`` None caches the prepared points only when ``m >= 3`` (caching costs one extra
+    pass, so it pays off from about three scans).
+    """
     cs = list(as_center_list(init))
+    if persist is None:
+        persist = m >= 3
     with prepare(points, len(cs[0]), persist=persist) as prep:
         for _ in range(m):
             for r in lloyd_step(prep.points, cs, shared_code=True).collect():  # at most K rows

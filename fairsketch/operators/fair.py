@@ -185,15 +185,18 @@ def fair_step(points: DataFrame, centers, shared_code: bool = False) -> DataFram
 
 
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,
-                init=None, persist: bool = True, history: list | None = None) -> list[tuple[float, ...]]:
+                init=None, persist: bool | None = None, history: list | None = None) -> list[tuple[float, ...]]:
     """Fair Lloyd: seed with k-means|| (or ``init``), then ``m`` fair steps.
 
     An empty cluster keeps its previous centre.  ``history``, when given, receives the γ of
     every step.  Returns the K centres.  The points are parsed once into a cached, spread-out
-    form (``sources.points.prepare``) unless ``persist=False`` (the caller prepared them).
+    form (``sources.points.prepare``) when the job scans them at least three times (``persist``
+    None: k-means|| seeding, or ``m >= 3``); ``persist=False`` when the caller prepared them.
     """
     if init is None and k is None:
         raise ValueError("give k or init")
+    if persist is None:
+        persist = init is None or m >= 3
     dims = len(as_center_list(init)[0]) if init is not None else None
     with prepare(points, dims, persist=persist) as prep:
         pts = prep.points
