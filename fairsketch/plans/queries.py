@@ -281,7 +281,7 @@ def stream_sink(spark: SparkSession, sf: str, files: int = 8) -> str:
     ev.repartitionByRange(files, "event_id").write.parquet(staged)
     src = stream.file_stream(spark, staged, ev.schema)
     items = src.select(tables.skew_item_expr().cast("bigint").alias("item"))
-    sink = stream.run_sketches(items, P.SPEC_NARROW, sink=f"{staged}-sink")
+    sink = stream.run_sketches(items, P.SPEC_NARROW, sink=f"{staged}-sink", compact_every=4)
     _STREAM_RUNS[key] = sink
     return sink
 

@@ -111,46 +111,131 @@ def batch_deltas(batch: DataFrame, spec: SketchSpec, item_col: str = "item") ->
                                   F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("v"))))
 
 
+def _latest_base(spark: SparkSession, sink: str) -> int | None:
+    """The highest ``upto`` of a completely written base snapshot (its ``_SUCCESS`` marker)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{sink}/base")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return None
+    best = None
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            upto = int(name[len("upto="):])
+            best = upto if best is None or upto > best else best
+    return best
+
+
+def _current(spark: SparkSession, sink: str, below: int | None = None, upto: int | None = None
+             ) -> DataFrame | None:
+    """``[kind, a, b, v]`` rows that together make the sink's state: the latest base snapshot
+    plus the deltas of later batches (optionally only batch ids ``< below`` / ``<= upto``).
+    Every delta ``len`` row also yields a ``batches`` row counting one batch."""
+    base_upto = _latest_base(spark, sink)
+    parts = []
+    if base_upto is not None:
+        parts.append(spark.read.parquet(f"{sink}/base/upto={base_upto}").select("kind", "a", "b", "v"))
+    d = _deltas(spark, sink)
+    if d is not None:
+        if base_upto is not None:
+            d = d.where(F.col("batch_id") > base_upto)
+        if below is not None:
+            d = d.where(F.col("batch_id") < below)
+        if upto is not None:
+            d = d.where(F.col("batch_id") <= upto)
+        d = d.select("kind", "a", "b", "v")
+        parts.append(d)
+        parts.append(d.where(F.col("kind") == "len").select(
+            F.lit("batches").alias("kind"), "a", "b", F.lit(1).cast("bigint").alias("v")))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def length_before(spark: SparkSession, sink: str, batch_id: int) -> int:
-    deltas = _deltas(spark, sink)
-    if deltas is None:
+    """Items of all written batches with a smaller id (base snapshot included)."""
+    cur = _current(spark, sink, below=batch_id)
+    if cur is None:
         return 0
-    v = deltas.where((F.col("kind") == "len") & (F.col("batch_id") < batch_id)).agg(F.sum("v")).first()[0]
+    v = cur.where(F.col("kind") == "len").agg(F.sum("v")).first()[0]
     return int(v or 0)
 
 
+def compact(spark: SparkSession, sink: str, upto: int | None = None) -> int | None:
+    """Fold the base snapshot and the deltas of batches ``<= upto`` into ``<sink>/base/upto=<upto>``.
+
+    Snapshots then read one base plus the later deltas, so their cost does not grow with the
+    number of batches.  Only batches the stream has committed may be folded (a replayed batch
+    rewrites its delta, which must still be read on its own); ``run_sketches`` folds up to the
+    batch before the current one.  The write is one job; readers ignore a base without its
+    ``_SUCCESS`` marker.  Returns the ``upto`` now in effect.
+    """
+    base_upto = _latest_base(spark, sink)
+    if upto is None:
+        d = _deltas(spark, sink)
+        if d is None:
+            return base_upto
+        upto = d.agg(F.max("batch_id")).first()[0]
+    if upto is None or (base_upto is not None and upto <= base_upto):
+        return base_upto
+    cur = _current(spark, sink, upto=upto)
+    merged = cur.groupBy("kind", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
+    merged.write.mode("overwrite").parquet(f"{sink}/base/upto={upto}")
+    return upto
+
+
 class _BatchWriter:
-    def __init__(self, spec: SketchSpec, sink: str, t: int | None, item_col: str):
+    def __init__(self, spec: SketchSpec, sink: str, t: int | None, item_col: str,
+                 compact_every: int | None = None):
         self.spec, self.sink, self.t, self.item_col = spec, sink, t, item_col
+        self.compact_every = compact_every
         self.reached = threading.Event()
+        self.known: tuple[int, int] | None = None  # (last batch id written, items up to it)
+
+    def _before(self, spark: SparkSession, batch_id: int) -> int:
+        if self.known is not None and batch_id == self.known[0] + 1:
+            return self.known[1]
+        return length_before(spark, self.sink, batch_id)  # first batch of this run, or a replay
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        before = 0
         if self.t is not None:
-            before = length_before(spark, self.sink, batch_id)
+            before = self._before(spark, batch_id)
             if before >= self.t:
                 self.reached.set()
                 return
         # one job, committed atomically: a replayed batch id overwrites its own folder
-        (batch_deltas(batch, self.spec, self.item_col).write.mode("overwrite").partitionBy("kind")
-         .parquet(f"{self.sink}/delta/batch_id={batch_id}"))
-        if self.t is not None and length_before(spark, self.sink, batch_id + 1) >= self.t:
-            self.reached.set()
+        path = f"{self.sink}/delta/batch_id={batch_id}"
+        batch_deltas(batch, self.spec, self.item_col).write.mode("overwrite").partitionBy("kind").parquet(path)
+        if self.t is not None:
+            n = spark.read.parquet(f"{path}/kind=len").agg(F.sum("v")).first()[0] or 0
+            self.known = (batch_id, before + int(n))
+            if self.known[1] >= self.t:
+                self.reached.set()
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            compact(spark, self.sink, upto=batch_id - 1)  # batches before this one are committed
 
 
 def run_sketches(stream: DataFrame, spec: SketchSpec, sink: str | None = None, t: int | None = None,
                  item_col: str = "item", checkpoint: str | None = None,
                  processing_time: str | None = None, query_name: str | None = None,
-                 timeout: float | None = None) -> str:
+                 timeout: float | None = None, compact_every: int | None = None) -> str:
     """Run the stream until it is exhausted (``availableNow``) or ``t`` items were taken.
 
     ``processing_time`` (e.g. ``"1 second"``) runs a continuous micro-batch query instead; it
-    then needs ``t`` to stop.  Returns the sink folder for the ``snapshot_*`` readers.
+    then needs ``t`` to stop.  ``compact_every`` folds the committed batches into a base
+    snapshot every that many batches (long-running streams).  Returns the sink folder for the
+    ``snapshot_*`` readers.
     """
     spark = stream.sparkSession
     sink = sink or scratch_path(spark, "sketch-sink")
     checkpoint = checkpoint or f"{sink}/_checkpoint"
-    writer = _BatchWriter(spec, sink, t, item_col)
+    writer = _BatchWriter(spec, sink, t, item_col, compact_every)
     w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -182,11 +267,11 @@ def run_sketches(stream: DataFrame, spec: SketchSpec, sink: str | None = None, t
 
 
 def snapshot_histogram(spark: SparkSession, sink: str) -> DataFrame:
-    """``[item, freq]`` summed over all written batches."""
-    d = _deltas(spark, sink)
-    if d is None:
+    """``[item, freq]`` over all written batches (base snapshot plus later deltas)."""
+    cur = _current(spark, sink)
+    if cur is None:
         return spark.createDataFrame([], "item bigint, freq bigint")
-    return (d.where(F.col("kind") == "hist")
+    return (cur.where(F.col("kind") == "hist")
             .groupBy(F.col("a").alias("item")).agg(F.sum("v").cast("bigint").alias("freq")))
 
 
@@ -194,22 +279,22 @@ def snapshot_cells(spark: SparkSession, sink: str, kind: str = "cm") -> DataFram
     """``[r, c, v]`` of the count-min (``cm``) or count sketch (``cs``) of all written batches."""
     if kind not in ("cm", "cs"):
         raise ValueError("kind is 'cm' or 'cs'")
-    d = _deltas(spark, sink)
-    if d is None:
+    cur = _current(spark, sink)
+    if cur is None:
         return spark.createDataFrame([], "r int, c int, v bigint")
-    return (d.where(F.col("kind") == kind)
+    return (cur.where(F.col("kind") == kind)
             .groupBy(F.col("a").cast("int").alias("r"), F.col("b").cast("int").alias("c"))
             .agg(F.sum("v").cast("bigint").alias("v")))
 
 
 def snapshot_length(spark: SparkSession, sink: str) -> DataFrame:
     """``[n_items, n_batches]``."""
-    d = _deltas(spark, sink)
-    if d is None:
+    cur = _current(spark, sink)
+    if cur is None:
         return spark.createDataFrame([(0, 0)], "n_items bigint, n_batches bigint")
-    return (d.where(F.col("kind") == "len")
-            .agg(F.coalesce(F.sum("v"), F.lit(0)).cast("bigint").alias("n_items"),
-                 F.count(F.lit(1)).alias("n_batches")))
+    return cur.agg(F.coalesce(F.sum(F.when(F.col("kind") == "len", F.col("v"))), F.lit(0)).cast("bigint").alias("n_items"),
+                   F.coalesce(F.sum(F.when(F.col("kind") == "batches", F.col("v"))), F.lit(0)).cast("bigint")
+                   .alias("n_batches"))
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",

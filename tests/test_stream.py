@@ -116,3 +116,31 @@ def test_processing_time_stream_stops_at_t(spark, staged):
     assert lengths["n_batches"] < 5
     with pytest.raises(ValueError):
         stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, processing_time="1 second")
+
+
+def test_compaction_keeps_the_state(spark, staged):
+    path, schema = staged
+    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, compact_every=2)
+    assert stream._latest_base(spark, sink) is not None
+    want = {r["item"]: r["freq"] for r in sketch.histogram(_batch_items(spark)).collect()}
+    assert {r["item"]: r["freq"] for r in stream.snapshot_histogram(spark, sink).collect()} == want
+    cells = sketch.count_min(_batch_items(spark), SPEC.cm_h, SPEC.w)
+    assert sorted(map(tuple, stream.snapshot_cells(spark, sink, "cm").collect())) == sorted(map(tuple, cells.collect()))
+    n = stream.snapshot_length(spark, sink).first()
+    assert n["n_items"] == sum(want.values()) and n["n_batches"] == 5
+    # folding everything, then replaying the last batch, still counts it once
+    last = stream.compact(spark, sink)
+    assert last == 4
+    assert stream.snapshot_length(spark, sink).first()["n_items"] == sum(want.values())
+
+
+def test_replay_after_compaction(spark):
+    sink = scratch_path(spark, "test-replay-compact")
+    writer = _BatchWriter(SPEC, sink, 1000, "item", compact_every=2)
+    batch = spark.range(100).select((F.col("id") % 7).alias("item"))
+    for b in (0, 1, 2, 3):
+        writer(batch, b)
+    writer(batch, 3)  # replay of the last (uncommitted) batch
+    assert stream._latest_base(spark, sink) == 1
+    assert stream.snapshot_length(spark, sink).first()["n_items"] == 400
+    assert stream.length_before(spark, sink, 3) == 300
