@@ -19,8 +19,8 @@ from pyspark.sql import Column, functions as F
 
 # K*D terms up to which the nearest-centre kernel is unrolled into column arithmetic.
 UNROLL_LIMIT = 2048
-# Centre literals larger than this (K*D doubles) are refused: they would bloat every task.
-MAX_CENTER_TERMS = 4_000_000
+# Centre literals larger than this (K*D doubles, 8 MB) are refused: they travel with every task.
+MAX_CENTER_TERMS = 1_000_000
 
 Centers = Sequence[Sequence[float]]
 

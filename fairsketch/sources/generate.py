@@ -28,6 +28,9 @@ A_RATIO_MIN, A_RATIO_MAX = 0.4, 0.7
 A_FRACTION = 0.4
 
 MAX_K = 1_000_000
+# Cluster specifications up to this many rows are broadcast to the point generator; larger
+# ones are joined by shuffle.
+BROADCAST_K = 100_000
 
 
 def spec(k: int, seed: int | None = None) -> list[dict]:
@@ -65,9 +68,11 @@ def fair_gap_points(spark: SparkSession, n: int, k: int, seed: int | None = None
     radius = RADIUS_SCALE / k
     q, r = divmod(n, k)
     max_a = math.floor(q * A_FRACTION)
-    clusters = F.broadcast(spark.createDataFrame(  # K rows (bounded by MAX_K)
+    clusters = spark.createDataFrame(  # K rows
         [(x["cid"], x["cx"], x["cy"], x["ax"], x["ay"], 1 + math.floor(x["u"] * max_a)) for x in rows],
-        "cid int, cx double, cy double, ax double, ay double, n_a bigint"))
+        "cid int, cx double, cy double, ax double, ay double, n_a bigint")
+    if k <= BROADCAST_K:
+        clusters = F.broadcast(clusters)
     ids = spark.range(0, n, 1, partitions) if partitions else spark.range(n)
     big = r * (q + 1)
     # clusters 0..r-1 hold q+1 points, the others q: exact integer arithmetic on the id
@@ -90,9 +95,11 @@ def check_counts(points: DataFrame, k: int, seed: int | None) -> DataFrame:
     """``[cid, grp, n, in_disc, in_cluster]`` for the invariants of generated points."""
     rows = spec(k, seed)
     radius = RADIUS_SCALE / k
-    centres = F.broadcast(points.sparkSession.createDataFrame(
+    centres = points.sparkSession.createDataFrame(
         [(x["cid"], x["cx"], x["cy"], x["ax"], x["ay"]) for x in rows],
-        "cid int, cx double, cy double, ax double, ay double"))
+        "cid int, cx double, cy double, ax double, ay double")
+    if k <= BROADCAST_K:
+        centres = F.broadcast(centres)
     x, y = F.col("p")[0], F.col("p")[1]
     is_a = F.col("grp") == "A"
     own = F.sqrt((x - F.when(is_a, F.col("ax")).otherwise(F.col("cx"))) ** 2
