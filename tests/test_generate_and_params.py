@@ -69,3 +69,25 @@ def test_top_k_requires_positive_k(spark):
     hist = spark.createDataFrame([(1, 2)], "item bigint, freq bigint")
     with pytest.raises(ValueError):
         heavy.top_k_with_ties(hist, 0)
+
+
+def test_item_parsing_strict_and_lenient(spark):
+    from fairsketch.sources.items import items
+
+    df = spark.createDataFrame([("12",), (" 7",), ("x1",)], "s string")
+    assert sorted(r["item"] for r in items(df, F.trim("s"), strict=False).collect()) == [7, 12]
+    with pytest.raises(Exception):
+        items(df, F.trim("s")).collect()
+
+
+def test_read_points_rejects_malformed_coordinates(spark):
+    path = scratch_path(spark, "test-bad-points")
+    spark.createDataFrame([("1.0,2.0,A",), ("oops,3.0,B",)], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        read_points(spark, path, dims=2).collect()
+    with pytest.raises(Exception):
+        read_points(spark, path).collect()
+    ok = scratch_path(spark, "test-good-points")
+    spark.createDataFrame([("1.0,2.0,A",), ("3.5,-1.0, B",), ("0,0,C",)], "value string").coalesce(1).write.text(ok)
+    rows = sorted((tuple(r["p"]), r["grp"]) for r in read_points(spark, ok).collect())
+    assert rows == [((1.0, 2.0), "A"), ((3.5, -1.0), "B")]  # labels trimmed, other labels dropped
