@@ -54,6 +54,17 @@ class HashFamily:
         rows = [(r, a, b, self.p) for r, (a, b) in enumerate(zip(self.a, self.b))]
         return spark.createDataFrame(rows, "r int, a bigint, b bigint, p bigint")
 
+    def raw_sql(self, x: str, r: int) -> str:
+        """SQL text of ``(a_r * x + b_r) mod p`` for the column named ``x``."""
+        p = f"{self.p}L"
+        return f"pmod({self.a[r]}L * pmod(CAST(`{x}` AS BIGINT), {p}) + {self.b[r]}L, {p})"
+
+    def bucket_sql(self, x: str, r: int, w: int) -> str:
+        return f"CAST(pmod({self.raw_sql(x, r)}, {w}L) AS INT)"
+
+    def sign_sql(self, x: str, r: int) -> str:
+        return f"CAST(2 * pmod({self.raw_sql(x, r)}, 2L) - 1 AS INT)"
+
     def raw(self, x: Column, r: int) -> Column:
         p = F.lit(self.p).cast("bigint")
         return F.pmod(F.lit(self.a[r]).cast("bigint") * F.pmod(x.cast("bigint"), p)

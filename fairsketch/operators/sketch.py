@@ -12,7 +12,7 @@ Sketches over the same hash functions are linear: the sketch of a union is the c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.hashing import HashFamily, SketchSpec
 
@@ -33,18 +33,22 @@ def stream_totals(hist: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("n_distinct"))
 
 
-def _weight(df: DataFrame, weight: str | None) -> Column:
-    return F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+def _weight_sql(weight: str | None) -> str:
+    return f"CAST(`{weight}` AS BIGINT)" if weight else "1L"
+
+
+def _inline(fields_per_row: list[str]) -> F.Column:
+    """``inline(array(named_struct(...), ...))`` as one SQL-text expression (one JVM parse)."""
+    return F.expr("inline(array(" + ", ".join(f"named_struct({f})" for f in fields_per_row) + "))")
 
 
 def hash_rows(items: DataFrame, family: HashFamily, w: int | None = None, item_col: str = "item") -> DataFrame:
     """``[item, r, c]`` (bucket, when ``w`` is given) or ``[item, r, g]`` (sign in {-1, +1})."""
-    x = F.col(item_col)
     if w is not None:
-        rows = [F.struct(F.lit(r).alias("r"), family.bucket(x, r, w).alias("c")) for r in range(family.d)]
+        rows = [f"'r', {r}, 'c', {family.bucket_sql(item_col, r, w)}" for r in range(family.d)]
     else:
-        rows = [F.struct(F.lit(r).alias("r"), family.sign(x, r).alias("g")) for r in range(family.d)]
-    return items.select(x.alias("item"), F.inline(F.array(*rows)))
+        rows = [f"'r', {r}, 'g', {family.sign_sql(item_col, r)}" for r in range(family.d)]
+    return items.select(F.col(item_col).alias("item"), _inline(rows))
 
 
 def count_min(items: DataFrame, family: HashFamily, w: int, item_col: str = "item",
@@ -53,11 +57,9 @@ def count_min(items: DataFrame, family: HashFamily, w: int, item_col: str = "ite
 
     ``weight`` names a frequency column (e.g. build from a histogram); default 1 per row.
     """
-    x = F.col(item_col)
-    f = _weight(items, weight)
-    rows = [F.struct(F.lit(r).alias("r"), family.bucket(x, r, w).alias("c"), f.alias("f"))
-            for r in range(family.d)]
-    return (items.where(x.isNotNull()).select(F.inline(F.array(*rows)))
+    f = _weight_sql(weight)
+    rows = [f"'r', {r}, 'c', {family.bucket_sql(item_col, r, w)}, 'f', {f}" for r in range(family.d)]
+    return (items.where(F.col(item_col).isNotNull()).select(_inline(rows))
             .groupBy("r", "c").agg(F.sum("f").alias("v")))
 
 
@@ -66,11 +68,10 @@ def count_sketch(items: DataFrame, h: HashFamily, g: HashFamily, w: int, item_co
     """``[r, c, v]``: count-sketch cells, ``CS[r][h_r(x)] += f * g_r(x)``."""
     if h.d != g.d:
         raise ValueError("h and g need the same number of rows")
-    x = F.col(item_col)
-    f = _weight(items, weight)
-    rows = [F.struct(F.lit(r).alias("r"), h.bucket(x, r, w).alias("c"), (f * g.sign(x, r)).alias("f"))
+    f = _weight_sql(weight)
+    rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'f', {f} * {g.sign_sql(item_col, r)}"
             for r in range(h.d)]
-    return (items.where(x.isNotNull()).select(F.inline(F.array(*rows)))
+    return (items.where(F.col(item_col).isNotNull()).select(_inline(rows))
             .groupBy("r", "c").agg(F.sum("f").alias("v")))
 
 
@@ -106,10 +107,8 @@ def estimate_cm(queries: DataFrame, cells: DataFrame, family: HashFamily, w: int
 def estimate_cs(queries: DataFrame, cells: DataFrame, h: HashFamily, g: HashFamily, w: int,
                 item_col: str = "item") -> DataFrame:
     """``[item, cs_est]``: ``sorted(CS[r][h_r(x)] * g_r(x))[d // 2]`` (upper median for even d)."""
-    x = F.col(item_col)
-    rows = [F.struct(F.lit(r).alias("r"), h.bucket(x, r, w).alias("c"), g.sign(x, r).alias("g"))
-            for r in range(h.d)]
-    probes = queries.select(item_col).distinct().select(x.alias("item"), F.inline(F.array(*rows)))
+    rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'g', {g.sign_sql(item_col, r)}" for r in range(h.d)]
+    probes = queries.select(item_col).distinct().select(F.col(item_col).alias("item"), _inline(rows))
     joined = probes.join(_probe(cells, h.d, w), ["r", "c"], "left")
     est = F.coalesce("v", F.lit(0)) * F.col("g")
     return joined.groupBy("item").agg(
@@ -125,12 +124,11 @@ def estimate_both(queries: DataFrame, cm_cells: DataFrame, cs_cells: DataFrame,
     aggregate by item takes the count-min minimum and the count-sketch upper median.
     ``keep`` columns must be functions of the item (e.g. its true frequency).
     """
-    x = F.col(item_col)
     w, d = spec.w, spec.d
-    rows = [F.struct(F.lit(r).alias("r"), spec.cm_h.bucket(x, r, w).alias("cm_c"),
-                     spec.cs_h.bucket(x, r, w).alias("cs_c"), spec.cs_g.sign(x, r).alias("g"))
+    rows = [f"'r', {r}, 'cm_c', {spec.cm_h.bucket_sql(item_col, r, w)}, "
+            f"'cs_c', {spec.cs_h.bucket_sql(item_col, r, w)}, 'g', {spec.cs_g.sign_sql(item_col, r)}"
             for r in range(d)]
-    probes = queries.select(x.alias("item"), *keep, F.inline(F.array(*rows)))
+    probes = queries.select(F.col(item_col).alias("item"), *keep, _inline(rows))
     cm = _probe(cm_cells.select("r", F.col("c").alias("cm_c"), F.col("v").alias("cm_v")), d, w)
     cs = _probe(cs_cells.select("r", F.col("c").alias("cs_c"), F.col("v").alias("cs_v")), d, w)
     joined = probes.join(cm, ["r", "cm_c"], "left").join(cs, ["r", "cs_c"], "left")
