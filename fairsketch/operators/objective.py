@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .assign import as_center_list, nearest_center
-from ..functions import vectors as V
+from .assign import as_center_list, min_sq_distance, nearest_center
 
 
 def _guard_nonempty(n: F.Column, name: str, value: F.Column) -> F.Column:
@@ -43,7 +42,7 @@ def standard_objective(points: DataFrame, centers, dedupe: bool = False) -> Data
     cs = as_center_list(centers)
     if not dedupe:
         return nearest_center(points, cs).agg(F.avg("d2").alias("delta"))
-    distinct = distinct_points(points).withColumn("d2", V.nearest("p", cs).getField("d2"))
+    distinct = min_sq_distance(distinct_points(points), cs)
     return distinct.agg((F.sum("d2") / F.sum("n")).alias("delta"))
 
 
