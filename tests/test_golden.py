@@ -143,3 +143,21 @@ def test_signed_zero_centres(spark):
     cs = [(0.0, 0.0), (0.0, -0.0)]
     assert objective.standard_objective(pts, cs).first()["delta"] == (0.0 + 2500.0 + 1.0) / 3
     assert objective.fair_objective(pts, cs).first()["phi_b"] == 1.0
+
+
+def test_cluster_counts_with_empty_clusters(spark):
+    pts = spark.createDataFrame([([0.0], "A"), ([0.1], "B"), ([9.0], "A")], "p array<double>, grp string")
+    rows = [tuple(r) for r in objective.cluster_group_counts(pts, [(0.0,), (5.0,), (9.0,)], with_empty=True).collect()]
+    assert rows == [(0, 1, 1), (1, 0, 0), (2, 1, 0)]
+
+
+def test_hash_parameter_table(spark):
+    fam = HashFamily((3, 5), (7, 11), 8191)
+    assert [tuple(r) for r in fam.table(spark).orderBy("r").collect()] == [(0, 3, 7, 8191), (1, 5, 11, 8191)]
+    from fairsketch.functions.hashing import bucket, sign
+    t = fam.table(spark).withColumn("x", F.lit(123456789).cast("bigint"))
+    got = {r["r"]: (r["c"], r["g"]) for r in t.select("r", bucket(F.col("x"), F.col("a"), F.col("b"), F.col("p"), F.lit(97)).alias("c"),
+                                                      sign(F.col("x"), F.col("a"), F.col("b"), F.col("p")).alias("g")).collect()}
+    for r, (a, b) in enumerate(zip(fam.a, fam.b)):
+        raw = (a * 123456789 + b) % 8191
+        assert got[r] == (raw % 97, 2 * (raw % 2) - 1)
