@@ -3,11 +3,15 @@
 Two kernels compute squared distances to a small, known set of centres:
 
 * unrolled: plain column arithmetic ``(p[0]-c0)*(p[0]-c0) + ...``; stays inside whole-stage
-  codegen and is the fastest form (used while ``K * D`` is moderate);
-* higher-order: ``aggregate(zip_with(p, c, ...))`` over an array literal of centres, for large
-  ``K * D`` where an unrolled expression tree would be too big to compile.
-
-Both are row-local: assigning points to centres never shuffles.
+  codegen, no Python round trip (used while ``K * D`` is small, ``UNROLL_LIMIT``);
+* higher-order: ``aggregate(zip_with(p, c, ...))`` over an array literal of centres (the
+  ``nearest`` column function for large ``K * D``; interpreted, so slow per row);
+* vectorised (``nearest_arrow``): for large ``K * D`` the operators use an Arrow-batched pandas
+  UDF around a small NumPy loop (measured ~100x faster than the interpreted form and than an
+  unrolled tree too large to compile).  It sums the coordinates in the same order as the
+  other kernels, so distances are bit-identical, and keeps the lowest index on ties.
+
+All are row-local: assigning points to centres never shuffles.
 """
 
 from __future__ import annotations
@@ -15,10 +19,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
-# K*D terms up to which the nearest-centre kernel is unrolled into column arithmetic.
-UNROLL_LIMIT = 2048
+# K*D terms up to which the nearest-centre kernel is unrolled into column arithmetic; larger
+# sets use the vectorised kernel.  Measured on 600k points (local[8]): level at K*D = 24,
+# vectorised 4-5x faster at 150 and ~10x at 640, even with the unrolled code compiled once.
+UNROLL_LIMIT = 64
 # Centre literals larger than this (K*D doubles, 8 MB) are refused: they travel with every task.
 MAX_CENTER_TERMS = 1_000_000
 
@@ -104,6 +112,43 @@ def nearest(p: Column | str, centers: Centers) -> Column:
     return cands[0] if k == 1 else F.least(*cands)
 
 
+# Rows x centres evaluated at once inside the vectorised kernel (bounds its memory per batch).
+ARROW_BLOCK_CELLS = 2_000_000
+
+
+def nearest_arrow(p: str, centers: Centers) -> Column:
+    """``struct(d2, cid)`` of the nearest centre, computed batch-wise with NumPy in a pandas UDF.
+
+    The K x D centre array (at most ``MAX_CENTER_TERMS`` values) travels with the function;
+    each Arrow batch of points is compared with blocks of centres, squared differences summed
+    in coordinate order, and the first minimum kept (lowest index on ties).
+    """
+    k, d = check_centers(centers)
+    cmat = np.asarray([[float(v) + 0.0 for v in c] for c in centers], dtype=np.float64)
+
+    @F.pandas_udf("struct<d2: double, cid: int>")
+    def _nearest(points: pd.Series) -> pd.DataFrame:
+        n = len(points)
+        x = np.stack(points.to_numpy()).astype(np.float64) if n else np.empty((0, d))
+        best = np.full(n, np.inf)
+        arg = np.zeros(n, dtype=np.int32)
+        block = max(1, ARROW_BLOCK_CELLS // max(1, n))
+        for k0 in range(0, k, block):
+            cb = cmat[k0:k0 + block]
+            acc = np.zeros((n, len(cb)))
+            for j in range(d):
+                diff = x[:, j:j + 1] - cb[None, :, j]
+                acc += diff * diff
+            m = acc.min(axis=1)
+            a = acc.argmin(axis=1).astype(np.int32) + k0
+            better = m < best  # strict: an earlier block keeps its ties
+            best = np.where(better, m, best)
+            arg = np.where(better, a, arg)
+        return pd.DataFrame({"d2": best, "cid": arg})
+
+    return _nearest(F.col(p))
+
+
 def distances(p: str, centers: Centers, squared: bool = True) -> list[Column]:
     """One distance column per centre (``dist_i``)."""
     out = []

@@ -58,16 +58,16 @@ def nearest_center(points: DataFrame, centers, p: str = "p", shared_code: bool =
     """Add ``cid`` (nearest centre, lowest index on ties) and ``d2`` (its squared distance).
 
     While the kernel is unrolled, the K distances are plain double columns, ``d2`` is their
-    ``least`` and ``cid`` the first index reaching it: no per-row struct is built.
+    ``least`` and ``cid`` the first index reaching it: no per-row struct is built.  Beyond
+    ``UNROLL_LIMIT`` terms the vectorised kernel (``functions.vectors.nearest_arrow``) is used.
     ``shared_code`` reads the centres from a scalar subquery (see the module note).
     """
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
     if k * d > V.UNROLL_LIMIT:
-        return (points.withColumn("_nc", V.nearest(p, cs))
-                .withColumn("cid", F.col("_nc.cid"))
-                .withColumn("d2", F.col("_nc.d2"))
-                .drop("_nc"))
+        # too large to unroll: the vectorised kernel (one Arrow round trip per batch)
+        return (points.withColumn("_nc", V.nearest_arrow(p, cs))
+                .select(*points.columns, F.col("_nc.cid").alias("cid"), F.col("_nc.d2").alias("d2")))
     tmp = [f"_d{i}" for i in range(k)]
     cols = [f"`{c}`" for c in points.columns]
     if shared_code:
@@ -88,7 +88,7 @@ def min_sq_distance(points: DataFrame, centers, p: str = "p") -> DataFrame:
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
     if k * d > V.UNROLL_LIMIT:
-        return points.withColumn("d2", V.nearest(p, cs).getField("d2"))
+        return points.withColumn("d2", V.nearest_arrow(p, cs).getField("d2"))
     terms = [F.expr(V.sq_dist_sql(p, c)) for c in cs]
     return points.withColumn("d2", F.least(*terms) if k > 1 else terms[0])
 
