@@ -17,7 +17,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fairsketch.operators import cluster, fair, objective  # noqa: E402
-from fairsketch.plans import params as P  # noqa: E402
 from fairsketch.plans import queries as Q  # noqa: E402
 from fairsketch.session import local_session  # noqa: E402
 from fairsketch.sources import tables  # noqa: E402

@@ -1,6 +1,5 @@
 """Streaming: stream = batch, stop-at-T rule, replayed batches count once."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F
