@@ -10,7 +10,9 @@ Two ways are offered:
   sink is at-least-once) replaces itself instead of counting twice; the snapshot functions
   sum the deltas (sketches are linear).  With a target length ``t``, a batch is taken only if
   the items of the earlier batches number fewer than ``t`` (whole batches only, so the total
-  may exceed ``t``), and the query is stopped once ``t`` is reached.
+  may exceed ``t``), and the query is stopped once ``t`` is reached.  ``compact`` folds
+  committed batches into a base snapshot ``<sink>/base/upto=<B>``; snapshots read the latest
+  complete base plus the later deltas.
 
 ``prefix`` is the same stop rule on a static table that carries a batch key.
 """
