@@ -91,3 +91,13 @@ def test_read_points_rejects_malformed_coordinates(spark):
     spark.createDataFrame([("1.0,2.0,A",), ("3.5,-1.0, B",), ("0,0,C",)], "value string").coalesce(1).write.text(ok)
     rows = sorted((tuple(r["p"]), r["grp"]) for r in read_points(spark, ok).collect())
     assert rows == [((1.0, 2.0), "A"), ((3.5, -1.0), "B")]  # labels trimmed, other labels dropped
+
+
+def test_fair_centres_lower_phi_on_generated_points(spark):
+    """The generator's purpose: on its mixtures, fair k-means beats standard k-means on Φ."""
+    from fairsketch.operators import fair
+
+    pts = generate.fair_gap_points(spark, 2000, 4, seed=5)
+    rows = {r["method"]: r for r in fair.compare(pts, 4, 5, seed=1).collect()}
+    assert set(rows) == {"standard", "fair"}
+    assert rows["fair"]["phi"] < rows["standard"]["phi"]
