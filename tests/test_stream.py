@@ -143,3 +143,17 @@ def test_replay_after_compaction(spark):
     assert stream._latest_base(spark, sink) == 1
     assert stream.snapshot_length(spark, sink).first()["n_items"] == 400
     assert stream.length_before(spark, sink, 3) == 300
+
+
+def test_streaming_histogram_state(spark, staged):
+    path, schema = staged
+    src = _items(stream.file_stream(spark, path, schema))
+    q = (stream.histogram_state(src).writeStream.outputMode("update").format("memory")
+         .queryName("test_hist_state").trigger(availableNow=True)
+         .option("checkpointLocation", scratch_path(spark, "test-hist-ck")).start())
+    q.awaitTermination()
+    # update mode emits an item again whenever its count changes; the last emission is final
+    got = {r["item"]: r["freq"] for r in spark.sql(
+        "SELECT item, max(freq) AS freq FROM test_hist_state GROUP BY item").collect()}
+    want = {r["item"]: r["freq"] for r in sketch.histogram(_batch_items(spark)).collect()}
+    assert got == want
