@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairsketch.llm import licenses, repetition
+from fairsketch.llm import licenses, packing, repetition, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The packing vocabulary's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
+
+
+def op7_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -20,6 +35,6 @@ def op9_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_license_rules, op9_suffix_repetition)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op7_bin_slack, op8_license_rules, op9_suffix_repetition)}
 
 ORACLE_SQL: dict[str, str] = {}
