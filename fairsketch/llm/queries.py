@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairsketch.llm import licenses, packing, repetition, sharding
+from fairsketch.llm import licenses, packing, repetition, sharding, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), vocabulary()))
 
@@ -35,6 +39,6 @@ def op9_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op7_bin_slack, op8_license_rules, op9_suffix_repetition)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_recompression, op7_bin_slack, op8_license_rules, op9_suffix_repetition)}
 
 ORACLE_SQL: dict[str, str] = {}
