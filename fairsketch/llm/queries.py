@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairsketch.llm import licenses, packing, repetition, sharding, substrings
+from fairsketch.llm import jaccard, licenses, packing, repetition, sharding, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op9_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_recompression, op7_bin_slack, op8_license_rules, op9_suffix_repetition)}
+def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_recompression, op7_bin_slack, op8_license_rules, op9_suffix_repetition,
+                                    op10_count_vector_join)}
 
 ORACLE_SQL: dict[str, str] = {}
