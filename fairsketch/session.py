@@ -13,13 +13,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment (a distributed file system path) and is read,
-    never replaced.  Only when it is unset (local tests) a private temporary folder is chosen
-    and registered, so that later calls in the same session agree on it.
+    never replaced.  Only a local session without the setting gets a private temporary folder,
+    registered so that later calls agree on it; on any other master this raises, because executors
+    do not share the driver's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="fairsketch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -32,6 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/fairsketch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a path made by :func:`scratch_path` once its last reader is done."""
+    if not path.startswith(f"{checkpoint_root(spark)}/fairsketch/"):
+        raise ValueError(f"not a scratch path: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "fairsketch") -> SparkSession:
     """A local session with the settings used by the tests and the bench."""
