@@ -1,12 +1,77 @@
-"""Corpus pipeline: the stages are added with their operators."""
+"""From raw documents to packed training sequences, in five stages.
+
+1. language: documents whose language cannot be told go (no letter, or no clear language); a missing
+   ``lang`` is filled with the prediction.
+2. near copies: of each component of five-word shingle sets with similarity 0.8 or more, the document
+   with the smallest id stays.
+3. repeated passages: windows of 13 words that an earlier document holds are cut out; a document with no
+   word left goes; ``n_chars`` follows the text.
+4. benchmark: documents that leak a test item go.
+5. packing: what is left is tokenised and packed into sequences of 4096 ids.
+
+A stage takes (spark, docs, sf_dir) and returns a frame; :func:`run` writes each one as Parquet in the
+shared scratch folder and rereads it as the next stage's ``docs``, so a lost executor costs one stage at
+most.  All stages but the last return the columns of ``documents``; other columns are left behind.
+Documents without an id are never judged copies and stay.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fairsketch.llm import decontam, jaccard, langid, packing, substrings
+from fairsketch.llm.queries import table, vocabulary
+from fairsketch.session import remove_path, scratch_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MIN_LANGUAGE_SCORE = 0.3
+WORDS, PERCENT = 5, 80
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    scored = langid.identify(docs, langid.train(docs), others=("lang", "source", "n_chars"))
+    return scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)) \
+        .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    copies = jaccard.jaccard_components(docs, WORDS, PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = substrings.substring_dedup(docs.select(*COLUMNS), others=("lang", "source"))
+    return cut.where("n_removed < n_words or n_words = 0").withColumnRenamed("kept_text", "text") \
+        .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.without_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(docs, vocabulary()))
+
+
+STAGES = [("language", language), ("near copies", near_copies), ("repeated passages", repeated_passages),
+          ("benchmark", benchmark), ("packing", packed)]
 
-STAGES: list = []
+#: Trained networks, components and packing cannot be stated in SQL; tests use a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces of ``documents``; every stage's files are removed once the next stage is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
+    out = STAGES[-1][1](spark, docs, sf_dir)  # its pieces are checkpointed, so the files are read by now
+    remove_path(spark, before)
+    return out
