@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCKS_A_PARTITION = 4
+BLOCKS_A_PARTITION = 2
 
 
 def partitions(spark: SparkSession) -> int:
