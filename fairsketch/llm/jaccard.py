@@ -369,23 +369,54 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
                     out[name].append(v)
         return B.table(out, _MEMBER)
 
-    def search(cell: pa.Table) -> pa.Table:
-        col = {c: cell.column(c).to_numpy() for c in ("node", "component", "n", "block", "side")}
-        ids = cell.column("doc_id").combine_chunks()
-        points = np.frombuffer(b"".join(cell.column("point").to_pylist()), np.int32).reshape(-1, GROUPS).astype(np.int64)
-        queries = np.flatnonzero(col["side"] != 0)
-        stored = np.flatnonzero(col["side"] != 1)
+    def search(cells: pa.Table) -> pa.Table:
+        col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "block", "side")}
+        ids = cells.column("doc_id").combine_chunks()
+        points = np.frombuffer(b"".join(cells.column("point").to_pylist()), np.int32).reshape(-1, GROUPS)
+        order = np.lexsort((col["y"], col["x"], col["key"]))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([col[c][order[1:]] != col[c][order[:-1]] for c in ("key", "x", "y")], axis=0)
+        first = np.flatnonzero(new)
+        sizes = np.diff(np.append(first, len(order)))
+        # cells of up to a leaf: all their pairs at once
+        small = sizes <= LEAF
+        s, base = sizes[small], first[small]
+        total = np.concatenate([[0], np.cumsum(s * s)])
+        cell = np.repeat(np.arange(len(s)), s * s)
+        local = np.arange(total[-1]) - total[cell]
+        i, j = local // s[cell], local % s[cell]
+        a, b = order[base[cell[i < j]] + i[i < j]], order[base[cell[i < j]] + j[i < j]]
+        side = col["side"]
+        use = (col["component"][a] != col["component"][b]) & (((side[a] != 0) & (side[b] != 1)) | ((side[b] != 0) & (side[a] != 1)))
+        a, b = a[use], b[use]
+        nodes, place = np.unique(col["node"], return_inverse=True)
+        once = np.unique(np.minimum(place[a], place[b]) * len(nodes) + np.maximum(place[a], place[b]), return_index=True)[1]
+        a, b = a[once], b[once]
+        na, nb = col["n"][a], col["n"][b]
+        near = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+        a, b = a[near], b[near]
         left, right = [], []
-        if len(stored) and len(queries):
-            tree = RTree(points[stored], col["n"][stored])
-            for q in queries.tolist():
-                found = stored[tree.search(points[q], int(col["n"][q]), percent)]
-                found = found[col["component"][found] != col["component"][q]]
-                left += [q] * len(found)
-                right += found.tolist()
-        a, b = np.array(left, np.int64), np.array(right, np.int64)
+        for lo in range(0, len(a), 1 << 16):
+            x, y = a[lo:lo + (1 << 16)], b[lo:lo + (1 << 16)]
+            ok = np.minimum(points[x], points[y]).sum(1) >= needed(col["n"][x] + col["n"][y], percent)
+            left.append(x[ok])
+            right.append(y[ok])
+        # larger ones: a tree each
+        for lo, size in zip(first[~small].tolist(), sizes[~small].tolist()):
+            rows = order[lo:lo + size]
+            stored, queries = rows[side[rows] != 1], rows[side[rows] != 0]
+            if len(stored) and len(queries):
+                tree = RTree(points[stored], col["n"][stored])
+                for q in queries.tolist():
+                    found = stored[tree.search(points[q], int(col["n"][q]), percent)]
+                    found = found[col["component"][found] != col["component"][q]]
+                    left.append(np.full(len(found), q))
+                    right.append(found)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         swap = col["node"][a] > col["node"][b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
+        once = np.unique(place[a] * len(nodes) + place[b], return_index=True)[1]
+        a, b = a[once], b[once]
         return pa.table({"a": pa.array(col["node"][a]), "a_id": ids.take(pa.array(a)), "a_block": pa.array(col["block"][a], pa.int32()),
                          "b": pa.array(col["node"][b]), "b_id": ids.take(pa.array(b)), "b_block": pa.array(col["block"][b], pa.int32())})
 
@@ -411,7 +442,8 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         transform(sequence(0, n_open - 1), y -> struct(chunk as x, y as y, 0 as side)))""")
     placed = dealt.withColumn("cell", F.explode(cells)).select(
         "key", "cell.x", "cell.y", "cell.side", "node", "component", "n", "doc_id", "block", "point")
-    return placed.groupBy("key", "x", "y").applyInArrow(
+    # many cells a task; a cell's chunks are bounded, so a bucket is a few of them
+    return placed.withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))).groupBy("bucket").applyInArrow(
         search, "a long, a_id long, a_block int, b long, b_id long, b_block int").distinct()
 
 
