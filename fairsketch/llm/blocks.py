@@ -10,6 +10,7 @@ size of the input, so a group is a partition's share or less.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
@@ -68,6 +69,25 @@ def answered(keys: np.ndarray, buckets: int, answers: dict[int, bytes]) -> np.nd
     return out
 
 
+def coded(ids: np.ndarray) -> bytes:
+    """64-bit ids as the distinct ones and each one's short place among them."""
+    every, place = np.unique(ids, return_inverse=True)
+    width = np.uint16 if len(every) <= 1 << 16 else np.uint32
+    return np.int64(len(every)).tobytes() + every.astype(np.int64).tobytes() + place.astype(width).tobytes()
+
+
+def decoded(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    every = np.frombuffer(raw, np.int64, n, 8)
+    return every[np.frombuffer(raw, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished steps: it acts when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(columns: dict, schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray))
                      else columns[f.name].cast(f.type) for f in schema], schema=schema)

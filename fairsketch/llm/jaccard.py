@@ -102,6 +102,20 @@ def point(items: np.ndarray) -> np.ndarray:
     return np.bincount((mix(items ^ _SALT[2]) >> U64(58)).astype(np.int64), minlength=GROUPS)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A point in a byte a count, or in four if a count needs them."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32).tobytes()
+
+
+def unpacked(raw: list[bytes]) -> np.ndarray:
+    out = np.empty((len(raw), GROUPS), np.int32)
+    for width, kind in ((GROUPS, np.uint8), (4 * GROUPS, np.int32)):
+        at = [i for i, x in enumerate(raw) if len(x) == width]
+        if at:
+            out[at] = np.frombuffer(b"".join(raw[i] for i in at), kind).reshape(-1, GROUPS)
+    return out
+
+
 def bands(percent: int, largest: int) -> np.ndarray:
     """Lower size limits of the bands, up to one beyond ``largest``."""
     out = [1]
@@ -329,12 +343,12 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         block = block_rows.column("block")[0].as_py()
         cut = B.parts(k, buckets)
         return B.table({"bucket": [b for b, _, _ in cut], "block": [block] * len(cut),
-                        "keys": [k[x:y].tobytes() for _, x, y in cut], "owners": [o[x:y].tobytes() for _, x, y in cut]}, _SENT)
+                        "keys": [k[x:y].tobytes() for _, x, y in cut], "owners": [B.coded(o[x:y]) for _, x, y in cut]}, _SENT)
 
     def judge(sent: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, U64) for x in sent.column("keys").to_pylist()]
         every = np.concatenate(keys)
-        owner = np.concatenate([np.frombuffer(x, np.int64) for x in sent.column("owners").to_pylist()])
+        owner = np.concatenate([B.decoded(x) for x in sent.column("owners").to_pylist()])
         order = np.argsort(every, kind="stable")
         k, o = every[order], owner[order]
         new = np.ones(len(k), bool)
@@ -360,19 +374,19 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
             owner = np.array([m[1] for m in members], np.int64)
             k, _, went = _distinct_owned(keys, owner[places])
             hit = np.flatnonzero(B.answered(k, buckets, answers)[went])
-            packed = {}
+            sent = {}
             for key, p in zip(_long(keys[hit]).tolist(), places[hit].tolist()):
                 node, component, n, doc_id, items = members[p]
-                if p not in packed:
-                    packed[p] = point(items).astype(np.int32).tobytes()
-                for name, v in zip(out, (key, node, component, n, doc_id, block, packed[p])):
+                if p not in sent:
+                    sent[p] = packed(point(items))
+                for name, v in zip(out, (key, node, component, n, doc_id, block, sent[p])):
                     out[name].append(v)
         return B.table(out, _MEMBER)
 
     def search(cells: pa.Table) -> pa.Table:
         col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "block", "side")}
         ids = cells.column("doc_id").combine_chunks()
-        points = np.frombuffer(b"".join(cells.column("point").to_pylist()), np.int32).reshape(-1, GROUPS)
+        points = unpacked(cells.column("point").to_pylist())
         order = np.lexsort((col["y"], col["x"], col["key"]))
         new = np.ones(len(order), bool)
         new[1:] = np.any([col[c][order[1:]] != col[c][order[:-1]] for c in ("key", "x", "y")], axis=0)
@@ -425,7 +439,8 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
     mixed = B.on_blocks(rows, side, send, "bucket int, block int, keys binary, owners binary") \
         .groupBy("bucket").applyInArrow(judge, _SIDE)
     members = B.on_blocks(rows, side.unionByName(mixed), open_members,
-                          "key long, node long, component long, n long, doc_id long, block int, point binary")
+                          "key long, node long, component long, n long, doc_id long, block int, point binary") \
+        .repartition(buckets, "key")  # one exchange for the sizes and for the cells
     # a cell's largest component is only searched; the others search it and each other
     share = members.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max_by("component", "c").alias("main"), F.max("c").alias("stored"), F.sum("c").alias("c"))
@@ -462,10 +477,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         "node", "n", "r.doc_id", "r.block", *(f"k{i}" for i in range(KEYS))).checkpoint()
 
     first = _verified(rows, _first_pairs(nodes, percent), words, percent).checkpoint()
+    B.release(docs.sparkSession)
     joined = components(first, "a", "b")
     labels = nodes.select("node", "n", "doc_id", "block").join(joined, "node", "left") \
         .withColumn("component", F.coalesce("component", "node")).checkpoint()
     more = _verified(rows, _residual_pairs(rows, labels, words, percent), words, percent).checkpoint()
+    B.release(docs.sparkSession)
 
     links = first.union(more)
     whole = components(labels.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "a", "b")

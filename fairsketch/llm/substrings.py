@@ -199,19 +199,6 @@ def _send(block: int, keys: np.ndarray, more, buckets: int) -> pa.Table:
                     "keys": [keys[x:y].tobytes() for _, x, y in cut], "more": [more(x, y) for _, x, y in cut]}, _SENT)
 
 
-def _by_id(keys: np.ndarray, docs: np.ndarray) -> bytes:
-    """The ids of sorted keys: distinct ids and each key's place among them."""
-    ids, place = np.unique(docs, return_inverse=True)
-    width = np.uint16 if len(ids) <= 1 << 16 else np.uint32
-    return np.int64(len(ids)).tobytes() + ids.astype(np.int64).tobytes() + place.astype(width).tobytes()
-
-
-def _ids(raw: bytes) -> np.ndarray:
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    ids = np.frombuffer(raw, np.int64, n, 8)
-    return ids[np.frombuffer(raw, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
-
-
 def _answers(side: pa.Table, number: int) -> dict[int, bytes]:
     return {b: x for r, b, x in zip(side.column("round").to_pylist(), side.column("bucket").to_pylist(),
                                     side.column("bits").to_pylist()) if r == number}
@@ -240,11 +227,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         block = block_rows.column("block")[0].as_py()
         shared = _shared(block_rows, window, rounds, buckets, _answers(side, 1))
         k, d = _block_windows(block_rows, shared, window, rounds)
-        return _send(block, k, lambda x, y: _by_id(k[x:y], d[x:y]), buckets)
+        return _send(block, k, lambda x, y: B.coded(d[x:y]), buckets)
 
     def find_earlier(sent: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, U64) for x in sent.column("keys").to_pylist()]
-        ids = np.concatenate([_ids(x) for x in sent.column("more").to_pylist()])
+        ids = np.concatenate([B.decoded(x) for x in sent.column("more").to_pylist()])
         return _judge(sent, keys, 2, lambda k, size, order, cut: np.minimum.reduceat(ids[order], cut), ids)
 
     def cut_words(block_rows: pa.Table, side: pa.Table) -> pa.Table:
