@@ -30,8 +30,8 @@ CAPACITY = 4096
 CLOSING_ID = 1
 RUNS = 65536
 RUN_ROWS = 256
-SLICE = 4 << 20
-CACHE_WORDS = 2_000_000
+SLICE = 2 << 20
+CACHE_WORDS = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
