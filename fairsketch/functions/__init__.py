@@ -1,6 +1,6 @@
 """Column-expression building blocks."""
 
 from .hashing import HashFamily, SketchSpec
-from .vectors import nearest, sq_dist
+from .vectors import sq_dist
 
-__all__ = ["HashFamily", "SketchSpec", "nearest", "sq_dist"]
+__all__ = ["HashFamily", "SketchSpec", "sq_dist"]

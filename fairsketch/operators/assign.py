@@ -1,8 +1,12 @@
 """Nearest-centre assignment (an argmin theta join of points against K centres).
 
-The K centres are a bounded, small input: they are taken to the driver (at most ``max_k`` rows)
-and inlined as literals, so every point is assigned inside its own task with no shuffle and no
-join.  Catalyst folds the literal arithmetic into the generated code.
+The K centres are a bounded, small input: they are taken to the driver (at most ``max_k`` rows and
+``vectors.MAX_CENTER_TERMS`` coordinates, checked before anything is collected) and inlined as
+literals, so every point is assigned inside its own task with no shuffle and no join.
+
+Centre ids are the caller's: a frame's ``cid`` values are kept (gaps and all), a plain sequence is
+numbered from 0.  Ties go to the lowest id.  A malformed point (null, wrong length, or a null or NaN
+coordinate) fails the query, whichever kernel runs.
 
 Loops that assign the same points to a new set of centres every iteration pass
 ``shared_code=True``: the centres then reach the tasks as one ``array<double>`` scalar
@@ -12,8 +16,6 @@ compiled once (new literals would cost a fresh compilation per iteration).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import vectors as V
@@ -22,26 +24,44 @@ from ..functions import vectors as V
 MAX_K = 100_000
 
 
-def as_center_list(centers, max_k: int = MAX_K) -> list[tuple[float, ...]]:
-    """Centres as a list of tuples, ordered by id.
+class Centers(list):
+    """Centres as tuples in id order, with their ids in ``ids``."""
+
+    def __init__(self, points, ids=None):
+        super().__init__(tuple(float(v) for v in c) for c in points)
+        self.ids = list(range(len(self))) if ids is None else list(ids)
+
 
-    Accepts a sequence of points or a DataFrame ``[cid, c: array<double>]`` (or with
-    ``x0..x{d-1}`` columns).  A DataFrame is collected only after checking it holds at most
-    ``max_k`` rows.
+def as_center_list(centers, max_k: int = MAX_K) -> Centers:
+    """Centres in id order.
+
+    Accepts a sequence of points (ids 0, 1, ...) or a DataFrame ``[cid, c: array<double>]`` (or with
+    ``x0..x{d-1}`` columns).  A DataFrame is collected only after one aggregate has checked its row
+    count, width and ids.
     """
-    if isinstance(centers, DataFrame):
+    if isinstance(centers, Centers):
+        out = centers
+    elif isinstance(centers, DataFrame):
         cols = centers.columns
         if "c" in cols:
             sel = centers.select("cid", F.col("c").cast("array<double>").alias("c"))
         else:
             xs = sorted((c for c in cols if c.startswith("x") and c[1:].isdigit()), key=lambda c: int(c[1:]))
             sel = centers.select("cid", F.array(*[F.col(x).cast("double") for x in xs]).alias("c"))
-        rows = sel.orderBy("cid").limit(max_k + 1).collect()
-        if len(rows) > max_k:
+        n, known, width = sel.agg(F.count(F.lit(1)), F.count("cid"), F.max(F.size("c"))).first()
+        if n > max_k:
             raise ValueError(f"more than {max_k} centres")
-        out = [tuple(float(v) for v in r["c"]) for r in rows]
+        if known < n:
+            raise ValueError("a centre has no id")
+        V.check_budget(n, width or 0)
+        rows = sel.orderBy("cid").collect()  # at most max_k rows and MAX_CENTER_TERMS coordinates
+        if any(r["c"] is None or any(v is None for v in r["c"]) for r in rows):
+            raise ValueError("a centre has no coordinates")
+        out = Centers((r["c"] for r in rows), (r["cid"] for r in rows))
+        if len(set(out.ids)) < len(out):
+            raise ValueError("centre ids repeat")
     else:
-        out = [tuple(float(v) for v in c) for c in centers]
+        out = Centers(centers)
     if len(out) > max_k:
         raise ValueError(f"more than {max_k} centres")
     V.check_centers(out)
@@ -54,52 +74,66 @@ def _centers_param(spark, cs) -> F.Column:
     return spark.range(1).select(F.expr(f"array({flat})").alias("c")).scalar()
 
 
+def _kept(points: DataFrame, *new: str) -> list[str]:
+    """The input's columns that stay; output columns replace those of the same name."""
+    return [f"`{c}`" for c in points.columns if c.lower() not in new]
+
+
+def _free(points: DataFrame, stem: str) -> str:
+    """A column name prefix that no input column starts with."""
+    while any(c.lower().startswith(stem) for c in points.columns):
+        stem = "_" + stem
+    return stem
+
+
 def nearest_center(points: DataFrame, centers, p: str = "p", shared_code: bool = False) -> DataFrame:
-    """Add ``cid`` (nearest centre, lowest index on ties) and ``d2`` (its squared distance).
+    """Add ``cid`` (nearest centre, lowest id on ties) and ``d2`` (its squared distance).
 
-    While the kernel is unrolled, the K distances are plain double columns, ``d2`` is their
-    ``least`` and ``cid`` the first index reaching it: no per-row struct is built.  Beyond
-    ``UNROLL_LIMIT`` terms the vectorised kernel (``functions.vectors.nearest_arrow``) is used.
-    ``shared_code`` reads the centres from a scalar subquery (see the module note).
+    Columns of these names in ``points`` are replaced.  While the kernel is unrolled, the K distances
+    are plain double columns, ``d2`` is their ``least`` and ``cid`` the first id reaching it: no
+    per-row struct is built.  Beyond ``UNROLL_LIMIT`` terms the vectorised kernel
+    (``functions.vectors.nearest_arrow``) gives the same result.  ``shared_code`` reads the centres
+    from a scalar subquery (see the module note).
     """
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
+    cols, tmp_stem = _kept(points, "cid", "d2"), _free(points, "_near")
     if k * d > V.UNROLL_LIMIT:
         # too large to unroll: the vectorised kernel (one Arrow round trip per batch)
-        return (points.withColumn("_nc", V.nearest_arrow(p, cs))
-                .select(*points.columns, F.col("_nc.cid").alias("cid"), F.col("_nc.d2").alias("d2")))
-    tmp = [f"_d{i}" for i in range(k)]
-    cols = [f"`{c}`" for c in points.columns]
+        return (points.withColumn(tmp_stem, V.nearest_arrow(p, cs, cs.ids))
+                .selectExpr(*cols, f"{tmp_stem}.cid AS cid", f"{tmp_stem}.d2 AS d2"))
+    tmp = [f"{tmp_stem}{i}" for i in range(k)]
     if shared_code:
-        base = points.select("*", _centers_param(points.sparkSession, cs).alias("_c"))
-        dist = [" + ".join(f"(`{p}`[{j}] - _c[{i * d + j}]) * (`{p}`[{j}] - _c[{i * d + j}])" for j in range(d))
+        base = points.select("*", _centers_param(points.sparkSession, cs).alias(f"{tmp_stem}c"))
+        dist = [" + ".join(f"(`{p}`[{j}] - {tmp_stem}c[{i * d + j}]) * (`{p}`[{j}] - {tmp_stem}c[{i * d + j}])" for j in range(d))
                 for i in range(k)]
     else:
         base = points
         dist = [V.sq_dist_sql(p, c) for c in cs]
-    with_d = base.selectExpr(*cols, *[f"{e} AS {t}" for t, e in zip(tmp, dist)],
-                             (f"least({', '.join(tmp)})" if k > 1 else tmp[0]) + " AS d2")
-    first = "CASE " + " ".join(f"WHEN {t} = d2 THEN {i}" for i, t in enumerate(tmp)) + " END"
-    return with_d.selectExpr(*cols, f"{first} AS cid", "d2")
+    least = f"least({', '.join(tmp)})" if k > 1 else tmp[0]
+    with_d = base.selectExpr(*cols, *([] if f"`{p}`" in cols else [f"`{p}`"]), *[f"{e} AS {t}" for t, e in zip(tmp, dist)]) \
+        .selectExpr("*", f"{V.checked_sql(p, d, tmp[0], least)} AS {tmp_stem}d2")
+    first = "CASE " + " ".join(f"WHEN {t} = {tmp_stem}d2 THEN {i}" for i, t in zip(cs.ids, tmp)) + " END"
+    return with_d.selectExpr(*cols, f"{first} AS cid", f"{tmp_stem}d2 AS d2")
 
 
 def min_sq_distance(points: DataFrame, centers, p: str = "p") -> DataFrame:
-    """Add ``d2``: the squared distance to the nearest centre."""
+    """Add ``d2``: the squared distance to the nearest centre (replacing a column of that name)."""
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
     if k * d > V.UNROLL_LIMIT:
-        return points.withColumn("d2", V.nearest_arrow(p, cs).getField("d2"))
-    terms = [F.expr(V.sq_dist_sql(p, c)) for c in cs]
-    return points.withColumn("d2", F.least(*terms) if k > 1 else terms[0])
+        return points.withColumn("d2", V.nearest_arrow(p, cs, cs.ids).getField("d2"))
+    terms = [V.sq_dist_sql(p, c) for c in cs]
+    return points.withColumn("d2", F.expr(V.checked_sql(p, d, terms[0], f"least({', '.join(terms)})" if k > 1 else terms[0])))
 
 
 def point_distances(points: DataFrame, centers, p: str = "p", squared: bool = False) -> DataFrame:
-    """Add ``dist_0 .. dist_{K-1}``: Euclidean (or squared) distance to each centre."""
-    cs = as_center_list(centers)
-    return points.select("*", *V.distances(p, cs, squared=squared))
-
+    """Add ``dist_0 .. dist_{K-1}``: Euclidean (or squared) distance to each centre, in id order.
 
-def centers_frame(spark, centers: Sequence[Sequence[float]]) -> DataFrame:
-    """A small ``[cid, c]`` DataFrame of centres (K rows)."""
+    One output column a centre, so K * D is limited to ``V.MAX_COLUMN_TERMS``.
+    """
     cs = as_center_list(centers)
-    return spark.createDataFrame([(i, list(c)) for i, c in enumerate(cs)], "cid int, c array<double>")
+    k, d = V.check_centers(cs)
+    if k * d > V.MAX_COLUMN_TERMS:
+        raise ValueError(f"{k} distance columns of dimension {d}: use nearest_center, or fewer centres")
+    return points.select("*", *V.distances(p, cs, squared=squared))

@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.points import prepare
-from .assign import as_center_list, nearest_center
+from .assign import Centers, as_center_list, nearest_center
 
 
 def kmeans(points: DataFrame, k: int, max_iter: int, seed: int | None = None,
@@ -49,11 +49,11 @@ def lloyd(points: DataFrame, init, m: int, persist: bool | None = None) -> list[
     ``persist`` None caches the prepared points only when ``m >= 3`` (caching costs one extra
     pass, so it pays off from about three scans).
     """
-    cs = list(as_center_list(init))
+    cs = as_center_list(init)
     if persist is None:
         persist = m >= 3
     with prepare(points, len(cs[0]), persist=persist) as prep:
         for _ in range(m):
-            for r in lloyd_step(prep.points, cs, shared_code=True).collect():  # at most K rows
-                cs[r["cid"]] = tuple(float(v) for v in r["c"])
+            moved = {r["cid"]: r["c"] for r in lloyd_step(prep.points, cs, shared_code=True).collect()}  # at most K rows
+            cs = Centers((moved.get(i, c) for i, c in zip(cs.ids, cs)), cs.ids)
     return cs

@@ -15,23 +15,23 @@ One fair Lloyd step, given centres C:
 5. the new centre c_i = ((ℓ_i − x_i)μA_i + x_i μB_i)/ℓ_i, or μA_i when ℓ_i = 0.
 
 A cluster with only one group takes the other group's mean for the missing one (so ℓ = 0 and
-the missing group's scatter is 0).  Steps 3-5 run on K rows as Spark column expressions
-(higher-order functions over the array of clusters); only the K new centres reach the driver,
-once per iteration, to become the literals of the next assignment.
+the missing group's scatter is 0).  As a DataFrame operator, steps 3-5 run on K rows as column
+expressions, linear in K; the loop collects the at most 2K moment rows once per iteration and
+finishes them on the driver, where the new centres are needed anyway.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.points import prepare
-from .assign import as_center_list, nearest_center
+from .assign import Centers, as_center_list, nearest_center
 from .objective import fair_objective
 from . import cluster as _cluster
 
-# Bisection rounds of the balance search and its starting point.
+# Fixed value: bisection rounds of the balance search (the first evaluates γ = 1/2).
 GAMMA_ROUNDS = 10
-GAMMA_START = 0.5
 
 
 def group_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
@@ -56,8 +56,12 @@ def group_moments(points: DataFrame, centers, shared_code: bool = False) -> Data
 
 def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
     """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]`` (the group rows folded)."""
-    g = group_moments(points, centers, shared_code)
-    folded = g.groupBy("cid").agg(
+    return fold_groups(group_moments(points, centers, shared_code))
+
+
+def fold_groups(groups: DataFrame) -> DataFrame:
+    """One row a cluster from its one or two group rows (see ``cluster_moments``)."""
+    folded = groups.groupBy("cid").agg(
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("n_a"),
         F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("n_b"),
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN scatter END), 0D)").alias("d_a"),
@@ -98,31 +102,22 @@ def run_stats(groups: DataFrame) -> DataFrame:
     """One row: ``[na, nb, fixed_a, fixed_b, clusters]`` from the per-(cluster, group) moments.
 
     ``clusters`` holds the K cluster statistics ordered by cid (``alpha``, ``beta``, ``ell``,
-    ``mu_a``, ``mu_b``).  A single global aggregate over the at most 2K group rows: group
-    totals, fixed terms and the regrouping by cluster need no further shuffle.  A one-sided
-    cluster takes the other group's mean for the missing group (so ℓ = 0).
+    ``mu_a``, ``mu_b``).  The at most 2K group rows are folded by cluster in one aggregate and
+    gathered in a second, so the work is linear in K.  A one-sided cluster takes the other
+    group's mean for the missing group (so ℓ = 0).
     """
-    agg = groups.agg(
-        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("na"),
-        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("nb"),
-        F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN scatter END), 0D)").alias("sum_d_a"),
-        F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN scatter END), 0D)").alias("sum_d_b"),
-        F.expr("collect_list(named_struct('cid', cid, 'grp', grp, 'n', n, 'm', m))").alias("_g"))
-    pairs = agg.selectExpr(
-        "na", "nb", "sum_d_a", "sum_d_b",
-        "transform(array_sort(array_distinct(transform(_g, r -> r.cid))), i -> named_struct("
-        "'cid', i, 'a', get(filter(_g, r -> r.cid = i AND r.grp = 'A'), 0), "
-        "'b', get(filter(_g, r -> r.cid = i AND r.grp = 'B'), 0))) AS _cl")
-    ell = _ELL_SQL.format(a="c.a.m", b="c.b.m")
-    clusters = ("transform(_cl, c -> named_struct('cid', c.cid, "
-                "'alpha', coalesce(c.a.n, 0) / na, 'beta', coalesce(c.b.n, 0) / nb, "
-                f"'ell', {ell}, 'mu_a', coalesce(c.a.m, c.b.m), 'mu_b', coalesce(c.b.m, c.a.m)))")
+    agg = fold_groups(groups).agg(
+        F.expr("coalesce(sum(n_a), 0)").alias("na"), F.expr("coalesce(sum(n_b), 0)").alias("nb"),
+        F.expr("coalesce(sum(d_a), 0D)").alias("sum_d_a"), F.expr("coalesce(sum(d_b), 0D)").alias("sum_d_b"),
+        F.expr("array_sort(collect_list(named_struct('cid', cid, 'n_a', n_a, 'n_b', n_b, 'ell', ell, "
+               "'mu_a', mu_a, 'mu_b', mu_b)))").alias("_cl"))
     na, nb = F.col("na"), F.col("nb")
-    return pairs.select(
+    return agg.select(
         "na", "nb",
         _guard(na, "A", F.col("sum_d_a") / na).alias("fixed_a"),
         _guard(nb, "B", F.col("sum_d_b") / nb).alias("fixed_b"),
-        F.expr(clusters).alias("clusters"))
+        F.expr("transform(_cl, c -> named_struct('cid', c.cid, 'alpha', c.n_a / na, 'beta', c.n_b / nb, "
+               "'ell', c.ell, 'mu_a', c.mu_a, 'mu_b', c.mu_b))").alias("clusters"))
 
 
 def _x_sql(c: str, g: str) -> str:
@@ -130,29 +125,24 @@ def _x_sql(c: str, g: str) -> str:
     return f"(((1D - {g}) * {c}.beta * {c}.ell) / ({g} * {c}.alpha + (1D - {g}) * {c}.beta))"
 
 
-def _f_sql(clusters: str, fixed: str, g: str, side: str) -> str:
-    x = _x_sql("c", g)
-    term = f"c.alpha * {x} * {x}" if side == "a" else f"c.beta * (c.ell - {x}) * (c.ell - {x})"
-    return f"aggregate({clusters}, {fixed}, (acc, c) -> acc + {term})"
-
-
 def gamma_search_sql(clusters: str = "clusters", fixed_a: str = "fixed_a", fixed_b: str = "fixed_b",
                      rounds: int = GAMMA_ROUNDS) -> str:
     """SQL text of the γ of the last evaluated round of the bisection.
 
-    The state is ``(gamma, power, used, done)``; each round halves ``power``, evaluates fA and
-    fB at ``gamma`` (summing the clusters in cid order), stops on fA = fB, and otherwise moves
-    ``gamma`` up when fA > fB, down when fA < fB.
+    γ lies on the grid of 1/2^rounds.  The state is the bracket's lower end ``lo`` and its ``width``
+    in grid steps, and the γ last used.  Each round takes the bracket's middle, evaluates fA and fB
+    there in one pass over the clusters in cid order, and keeps the upper half when fA > fB, the lower
+    when fA < fB; equal costs end the search (width 0).  One-element arrays bind a round's values once.
     """
-    fa = _f_sql(clusters, fixed_a, "s.gamma", "a")
-    fb = _f_sql(clusters, fixed_b, "s.gamma", "b")
-    start = f"{GAMMA_START!r}D"
-    moved = (f"named_struct('gamma', CASE WHEN {fa} = {fb} THEN s.gamma WHEN {fa} > {fb} "
-             f"THEN s.gamma + s.power / 2D ELSE s.gamma - s.power / 2D END, "
-             f"'power', s.power / 2D, 'used', s.gamma, 'done', {fa} = {fb})")
-    init = f"named_struct('gamma', {start}, 'power', {start}, 'used', {start}, 'done', false)"
-    return (f"aggregate(sequence(1, {int(rounds)}), {init}, "
-            f"(s, t) -> CASE WHEN s.done THEN s ELSE {moved} END).used")
+    grid = 1 << rounds
+    x = _x_sql("c", "g")
+    costs = (f"aggregate({clusters}, named_struct('a', {fixed_a}, 'b', {fixed_b}), (acc, c) -> named_struct("
+             f"'a', acc.a + c.alpha * {x} * {x}, 'b', acc.b + c.beta * (c.ell - {x}) * (c.ell - {x})))")
+    moved = ("named_struct('lo', CASE WHEN f.a > f.b THEN v.lo + v.width / 2D ELSE v.lo END, "
+             "'width', CASE WHEN f.a = f.b THEN 0D ELSE v.width / 2D END, 'used', g)")
+    return (f"aggregate(sequence(1, {int(rounds)}), named_struct('lo', 0D, 'width', {grid}D, 'used', 0D), (s, t) -> "
+            f"CASE WHEN s.width = 0D THEN s ELSE aggregate(array((s.lo + s.width / 2D) / {grid}D), s, (u, g) -> "
+            f"aggregate(array({costs}), u, (v, f) -> {moved})) END).used")
 
 
 def gamma_search(clusters: str = "clusters", fixed_a: str = "fixed_a", fixed_b: str = "fixed_b",
@@ -184,6 +174,43 @@ def fair_step(points: DataFrame, centers, shared_code: bool = False) -> DataFram
     return update_centers(balance(run_stats(group_moments(points, centers, shared_code))))
 
 
+def finish_step(rows: list, rounds: int = GAMMA_ROUNDS) -> tuple[dict[int, tuple[float, ...]], float]:
+    """(moved centre of every non-empty cluster, γ) from the collected ``group_moments`` rows.
+
+    The same arithmetic as ``balance`` and ``update_centers`` on at most 2K rows, for loops: no second
+    job and no expression to plan.
+    """
+    by: dict[int, dict] = {}
+    for r in rows:
+        by.setdefault(r["cid"], {})[r["grp"]] = r
+    total = {g: sum(r["n"] for r in rows if r["grp"] == g) for g in "AB"}
+    for g, n in total.items():
+        if not n:
+            raise ValueError(f"group {g} is empty")
+    ids = sorted(by)
+    mean = {g: np.array([(by[i].get(g) or next(iter(by[i].values())))["m"] for i in ids]) for g in "AB"}
+    share = {g: np.array([by[i][g]["n"] if g in by[i] else 0 for i in ids]) / total[g] for g in "AB"}
+    fixed = {g: sum(by[i][g]["scatter"] for i in ids if g in by[i]) / total[g] for g in "AB"}
+    ell = np.sqrt(((mean["A"] - mean["B"]) ** 2).cumsum(axis=1)[:, -1])
+
+    def x_at(g: float) -> np.ndarray:
+        return ((1 - g) * share["B"] * ell) / (g * share["A"] + (1 - g) * share["B"])
+
+    lo, width, gamma = 0, 1 << rounds, 0.5
+    while width > 1:
+        gamma = (lo + width // 2) / (1 << rounds)
+        x = x_at(gamma)
+        a = np.cumsum(np.append(fixed["A"], share["A"] * x * x))[-1]
+        b = np.cumsum(np.append(fixed["B"], share["B"] * (ell - x) * (ell - x)))[-1]
+        if a == b:
+            break
+        width //= 2
+        lo += width if a > b else 0
+    x, safe = x_at(gamma)[:, None], np.where(ell == 0, 1, ell)[:, None]
+    moved = np.where(ell[:, None] == 0, mean["A"], ((safe - x) * mean["A"] + x * mean["B"]) / safe)
+    return {i: tuple(c.tolist()) for i, c in zip(ids, moved)}, gamma
+
+
 def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None,
                 init=None, persist: bool | None = None, history: list | None = None) -> list[tuple[float, ...]]:
     """Fair Lloyd: seed with k-means|| (or ``init``), then ``m`` fair steps.
@@ -192,6 +219,7 @@ def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int
     every step.  Returns the K centres.  The points are parsed once into a cached, spread-out
     form (``sources.points.prepare``) when the job scans them at least three times (``persist``
     None: k-means|| seeding, or ``m >= 3``); ``persist=False`` when the caller prepared them.
+    A step is one job; its at most 2K moment rows are finished on the driver.
     """
     if init is None and k is None:
         raise ValueError("give k or init")
@@ -202,22 +230,27 @@ def fair_kmeans(points: DataFrame, k: int | None = None, m: int = 10, seed: int
         pts = prep.points
         if init is None:
             init = _cluster.init_centers(pts, k, seed)
-        cs = list(as_center_list(init))
+        cs = as_center_list(init)
         for _ in range(m):
-            rows = fair_step(pts, cs, shared_code=True).collect()  # at most K rows
-            for r in rows:
-                cs[r["cid"]] = tuple(float(v) for v in r["c"])
-            if history is not None and rows:
-                history.append(rows[0]["gamma"])
+            moved, gamma = finish_step(group_moments(pts, cs, shared_code=True).collect())
+            cs = Centers((moved.get(i, c) for i, c in zip(cs.ids, cs)), cs.ids)
+            if history is not None:
+                history.append(gamma)
         return cs
 
 
-def compare(points: DataFrame, k: int, m: int, seed: int | None = None) -> DataFrame:
-    """``[method, phi_a, phi_b, phi]`` of standard (k-means||, m iterations) and fair centres."""
-    with prepare(points) as prep:
+def compare(points: DataFrame, k: int | None = None, m: int = 10, seed: int | None = None, init=None) -> DataFrame:
+    """``[method, phi_a, phi_b, phi]`` of standard and fair centres after ``m`` iterations.
+
+    With ``init`` both methods start there (Lloyd and fair Lloyd); without, both are seeded by k-means||.
+    """
+    with prepare(points, None if init is None else len(as_center_list(init)[0])) as prep:
         pts = prep.points
-        stand = _cluster.kmeans(pts, k, m, seed)
-        fair = fair_kmeans(pts, k, m, seed, persist=False)
+        if init is not None:
+            stand = _cluster.lloyd(pts, init, m, persist=False)
+        else:
+            stand = _cluster.kmeans(pts, k, m, seed)
+        fair = fair_kmeans(pts, k, m, seed, init=init, persist=False)
         rows = []
         for name, cs in (("standard", stand), ("fair", fair)):
             r = fair_objective(pts, cs).first()

@@ -67,7 +67,7 @@ def fair_objective(points: DataFrame, centers) -> DataFrame:
 
 
 def cluster_group_counts(points: DataFrame, centers, with_empty: bool = False) -> DataFrame:
-    """``[cid, n_a, n_b]`` for each non-empty cluster, ordered by ``cid``.
+    """``[cid, c, n_a, n_b]`` for each non-empty cluster, ordered by ``cid``; ``c`` is the centre.
 
     ``with_empty`` also lists empty clusters with zero counts (K rows).
     """
@@ -75,11 +75,9 @@ def cluster_group_counts(points: DataFrame, centers, with_empty: bool = False) -
     out = (nearest_center(points, cs).groupBy("cid")
            .agg(F.count_if(F.col("grp") == "A").alias("n_a"),
                 F.count_if(F.col("grp") == "B").alias("n_b")))
-    if with_empty:
-        ids = points.sparkSession.range(len(cs)).select(F.col("id").cast("int").alias("cid"))
-        out = (ids.join(out, "cid", "left")
-               .select("cid", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b")))
-    return out.orderBy("cid")
+    table = points.sparkSession.createDataFrame([(i, list(c)) for i, c in zip(cs.ids, cs)], "cid int, c array<double>")
+    out = table.join(out, "cid", "left" if with_empty else "inner")
+    return out.select("cid", "c", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b")).orderBy("cid")
 
 
 def cluster_summary(points: DataFrame, centers) -> DataFrame:

@@ -98,8 +98,8 @@ def _probe(cells: DataFrame, d: int, w: int) -> DataFrame:
 
 def estimate_cm(queries: DataFrame, cells: DataFrame, family: HashFamily, w: int,
                 item_col: str = "item") -> DataFrame:
-    """``[item, cm_est]``: min over rows of ``CM[r][h_r(x)]`` for every distinct query item."""
-    probes = hash_rows(queries.select(item_col).distinct(), family, w, item_col)
+    """``[item, cm_est]``: min over rows of ``CM[r][h_r(x)]`` for every distinct query item (null items have none)."""
+    probes = hash_rows(queries.where(F.col(item_col).isNotNull()).select(item_col).distinct(), family, w, item_col)
     joined = probes.join(_probe(cells, family.d, w), ["r", "c"], "left")
     return joined.groupBy("item").agg(F.min(F.coalesce("v", F.lit(0))).cast("bigint").alias("cm_est"))
 
@@ -108,7 +108,8 @@ def estimate_cs(queries: DataFrame, cells: DataFrame, h: HashFamily, g: HashFami
                 item_col: str = "item") -> DataFrame:
     """``[item, cs_est]``: ``sorted(CS[r][h_r(x)] * g_r(x))[d // 2]`` (upper median for even d)."""
     rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'g', {g.sign_sql(item_col, r)}" for r in range(h.d)]
-    probes = queries.select(item_col).distinct().select(F.col(item_col).alias("item"), _inline(rows))
+    known = queries.where(F.col(item_col).isNotNull()).select(item_col).distinct()
+    probes = known.select(F.col(item_col).alias("item"), _inline(rows))
     joined = probes.join(_probe(cells, h.d, w), ["r", "c"], "left")
     est = F.coalesce("v", F.lit(0)) * F.col("g")
     return joined.groupBy("item").agg(

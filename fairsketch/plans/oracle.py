@@ -10,7 +10,6 @@ are ``BIGINT``.
 from __future__ import annotations
 
 from ..functions.hashing import HashFamily, SketchSpec
-from ..sources import generate
 from ..sources.tables import BATCH_SIZE
 from . import params as P
 
@@ -107,25 +106,21 @@ def fair_step_ctes(pts: str, cen: str, d: int, o: str) -> list[str]:
     ctes.append(
         f"{o}_f AS (SELECT sum(d_a) / CAST(max(na) AS DOUBLE) AS fa0, sum(d_b) / CAST(max(nb) AS DOUBLE) AS fb0, "
         f"list({{'alpha': alpha, 'beta': beta, 'ell': ell}} ORDER BY cid) AS cl FROM {o}_st)")
-    xg = _x("g.gamma", "c")
+    # fA falls and fB grows with γ, so the search over the grid of 1/1024 ends at j/512 where both are
+    # equal, else right after the last j/512 at which fA is larger: count those points
+    xg = _x("(j.range / 512.0)", "c")
     fa = (f"list_reduce(list_prepend(f.fa0, list_transform(f.cl, lambda c: c.alpha * {xg} * {xg})), "
           f"lambda u, v: u + v)")
     fb = (f"list_reduce(list_prepend(f.fb0, list_transform(f.cl, lambda c: c.beta * (c.ell - {xg}) * (c.ell - {xg}))), "
           f"lambda u, v: u + v)")
     ctes.append(
-        f"{o}_g(t, gamma, power, used, done) AS ("
-        f"SELECT 0, CAST(0.5 AS DOUBLE), CAST(0.5 AS DOUBLE), CAST(0.5 AS DOUBLE), false "
-        f"UNION ALL SELECT t + 1, "
-        f"CASE WHEN done OR fa = fb THEN gamma WHEN fa > fb THEN gamma + power / 2 ELSE gamma - power / 2 END, "
-        f"CASE WHEN done THEN power ELSE power / 2 END, "
-        f"CASE WHEN done THEN used ELSE gamma END, done OR fa = fb "
-        f"FROM (SELECT g.t, g.gamma, g.power, g.used, g.done, {fa} AS fa, {fb} AS fb "
-        f"FROM {o}_g g CROSS JOIN {o}_f f WHERE g.t < 10) z)")
+        f"{o}_g AS (SELECT coalesce(min(k) FILTER (WHERE fa = fb) / 512.0, (2 * count(*) FILTER (WHERE fa > fb) + 1) / 1024.0) AS used "
+        f"FROM (SELECT j.range AS k, {fa} AS fa, {fb} AS fb FROM range(1, 512) j CROSS JOIN {o}_f f) z)")
     xu = _x("gu.used", "st")
     newc = ", ".join(f"CASE WHEN st.ell = 0.0 THEN st.mua{j} "
                      f"ELSE ((st.ell - {xu}) * st.mua{j} + {xu} * st.mub{j}) / st.ell END AS c{j}" for j in range(d))
     ctes.append(f"{o}_new AS (SELECT st.cid, {newc}, gu.used AS gamma FROM {o}_st st "
-                f"CROSS JOIN (SELECT used FROM {o}_g WHERE t = 10) gu)")
+                f"CROSS JOIN {o}_g gu)")
     ctes.append(f"{o}_all AS (SELECT cid, {_cols('c', d)} FROM {o}_new UNION ALL "
                 f"SELECT cid, {_cols('c', d)} FROM {cen} WHERE cid NOT IN (SELECT cid FROM {o}_new))")
     return ctes
@@ -245,8 +240,9 @@ def _sql() -> dict[str, str]:
                                     fo.format(src="dd"))
     q["cluster_group_counts"] = with_ctes(
         [PTS3, CEN3] + assign_ctes("pts", "cen", 3, "asg"),
-        "SELECT CAST(cid AS BIGINT) AS cid, CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "
-        "CAST(count(*) FILTER (WHERE grp = 'B') AS BIGINT) AS n_b FROM asg GROUP BY cid")
+        "SELECT CAST(a.cid AS BIGINT) AS cid, any_value(c.c0) AS x0, any_value(c.c1) AS x1, any_value(c.c2) AS x2, "
+        "CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "
+        "CAST(count(*) FILTER (WHERE grp = 'B') AS BIGINT) AS n_b FROM asg a JOIN cen c ON a.cid = c.cid GROUP BY a.cid")
     q["nearest_center_emb"] = with_ctes(
         [EMB, EMB_CENTERS] + assign_ctes("pts", "cen", 64, "asg"),
         f"SELECT CAST(cid AS BIGINT) AS cid, CAST(count(*) AS BIGINT) AS n, "
@@ -270,31 +266,39 @@ def _sql() -> dict[str, str]:
     q["fair_balance"] = with_ctes(
         [PTS3, CEN3] + fs,
         f"SELECT {rnd('gu.used')} AS gamma, CAST(st.cid AS BIGINT) AS cid, {rnd(_x('gu.used', 'st'))} AS x "
-        f"FROM s1_st st CROSS JOIN (SELECT used FROM s1_g WHERE t = 10) gu")
+        f"FROM s1_st st CROSS JOIN s1_g gu")
     q["fair_step"] = with_ctes([PTS3, CEN3] + fs, centers_out("s1_new", 3, f", {rnd('gamma')} AS gamma"))
     q["fair_step_emb"] = with_ctes([EMB, EMB_CENTERS] + fair_step_ctes("pts", "cen", 64, "s1"),
                                    centers_out("s1_new", 64, f", {rnd('gamma')} AS gamma"))
-    steps, prev = [], "cen"
-    for m in range(1, P.LOOP_STEPS + 1):
-        steps += fair_step_ctes("pts", prev, 3, f"f{m}")
-        prev = f"f{m}_all"
-    q["fair_kmeans_fixed_start"] = with_ctes([PTS3, CEN3] + steps, centers_out(prev, 3))
-    steps, prev = [], "cen"
-    for m in range(1, P.LOOP_STEPS + 1):
-        steps += lloyd_step_ctes("pts", prev, 3, f"l{m}")
-        prev = f"l{m}_all"
-    q["lloyd_fixed_start"] = with_ctes([PTS3, CEN3] + steps, centers_out(prev, 3))
-
-    # generator: per-cluster sizes from N = rows of lineitem, disc flags must all hold
-    spec = generate.spec(P.GEN_K, P.GEN_SEED)
-    uvals = ", ".join(f"({s['cid']}, {dbl(s['u'])})" for s in spec)
-    q["generate_counts"] = with_ctes(
-        [f"sp AS (SELECT * FROM (VALUES {uvals}) AS v(cid, u))",
-         f"nk AS (SELECT count(*) // {P.GEN_K} AS q, count(*) % {P.GEN_K} AS r FROM lineitem)",
-         f"sz AS (SELECT sp.cid, CASE WHEN sp.cid < nk.r THEN nk.q + 1 ELSE nk.q END AS size, "
-         f"1 + CAST(floor(sp.u * floor(nk.q * {dbl(generate.A_FRACTION)})) AS BIGINT) AS n_a FROM sp CROSS JOIN nk)"],
-        "SELECT CAST(cid AS BIGINT) AS cid, 'A' AS grp, CAST(n_a AS BIGINT) AS n, true AS in_disc, true AS in_cluster FROM sz "
-        "UNION ALL SELECT CAST(cid AS BIGINT), 'B', CAST(size - n_a AS BIGINT), true, true FROM sz")
+    def loop(step, n, tag):
+        steps, prev = [], "cen"
+        for m in range(1, n + 1):
+            steps += step("pts", prev, 3, f"{tag}{m}")
+            prev = f"{tag}{m}_all"
+        return steps, prev
+
+    for n, fair_name, lloyd_name in ((P.LOOP_STEPS, "fair_kmeans_fixed_start", "lloyd_fixed_start"),
+                                     (P.CACHED_LOOP_STEPS, "fair_kmeans_cached_loop", "lloyd_cached_loop")):
+        for name, step in ((fair_name, fair_step_ctes), (lloyd_name, lloyd_step_ctes)):
+            steps, last = loop(step, n, "s")
+            q[name] = with_ctes([PTS3, CEN3] + steps, centers_out(last, 3))
+    lloyd, l_last = loop(lloyd_step_ctes, P.LOOP_STEPS, "l")
+    fairs, f_last = loop(fair_step_ctes, P.LOOP_STEPS, "f")
+    phis = " UNION ALL ".join(
+        f"SELECT '{name}' AS method, {rnd('pa')} AS phi_a, {rnd('pb')} AS phi_b, {rnd('greatest(pa, pb)')} AS phi FROM "
+        f"(SELECT avg(d2) FILTER (WHERE grp = 'A') AS pa, avg(d2) FILTER (WHERE grp = 'B') AS pb FROM {src}) z"
+        for name, src in (("standard", "za"), ("fair", "zb")))
+    q["fair_vs_standard"] = with_ctes([PTS3, CEN3] + lloyd + fairs + assign_ctes("pts", l_last, 3, "za")
+                                      + assign_ctes("pts", f_last, 3, "zb"), phis)
+    mean = " + ".join(f"var_pop(x{j})" for j in range(3))
+    q["kmeans_standard"] = with_ctes(
+        [PTS3], f"SELECT CAST(count(*) AS BIGINT) AS n_points, CAST({P.KMEANS_K} AS BIGINT) AS n_centers, "
+                f"{rnd(mean)} AS delta_of_mean, true AS below_mean, true AS not_above_seeding FROM pts")
+    gapped = ", ".join(f"({i}, {', '.join(dbl(v) for v in c)})" for i, c in P.GAPPED_CENTERS)
+    q["nearest_center_gapped_ids"] = with_ctes(
+        [PTS3, f"cen AS (SELECT * FROM (VALUES {gapped}) AS v(cid, c0, c1, c2))"] + assign_ctes("pts", "cen", 3, "asg"),
+        f"SELECT {xs3}, p.grp, CAST(p.cid AS BIGINT) AS cid, {rnd('p.d2')} AS d2 FROM asg p")
+    q["points_csv_fixed"] = q["points_scan"]
 
     # sketches and heavy hitters
     q["item_frequencies"] = with_ctes([ITEMS_SKEW], "SELECT item, CAST(count(*) AS BIGINT) AS freq FROM it GROUP BY item")
@@ -327,6 +331,9 @@ def _sql() -> dict[str, str]:
     acc_out = (f"SELECT CAST(count(*) AS BIGINT) AS n_hh, {rnd('avg(cm_err)')} AS cm_avg_err, "
                f"{rnd('avg(cs_err)')} AS cs_avg_err FROM rep")
     q["sketch_accuracy"] = with_ctes([ITEMS_ORDER] + report_ctes(w, P.TOP_K_ORDERS), acc_out)
+    q["order_frequencies"] = with_ctes([ITEMS_ORDER], "SELECT item, CAST(count(*) AS BIGINT) AS freq FROM it GROUP BY item")
+    q["heavy_hitters_orders"] = with_ctes([ITEMS_ORDER, HIST, hh_cte(P.TOP_K_ORDERS)],
+                                          "SELECT item, CAST(freq AS BIGINT) AS freq FROM hh")
     q["cm_merge"] = with_ctes([ITEMS_ORDER] + cm_ctes(w), cells_out.format("cm"))
 
     # streams (the stream is the whole events table; the oracle is the batch computation)

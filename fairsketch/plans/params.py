@@ -12,8 +12,12 @@ CENTERS_PTS3 = [
     (0.7, 0.7, 0.1),
 ]
 
-# Iterations of the oracle-checked loops, k-means parameters of the rows-only queries.
+# Three of them under ids with gaps, out of order.
+GAPPED_CENTERS = [(17, CENTERS_PTS3[0]), (3, CENTERS_PTS3[1]), (40, CENTERS_PTS3[2])]
+
+# Iterations of the loops without and with cached points, k-means parameters.
 LOOP_STEPS = 2
+CACHED_LOOP_STEPS = 3
 KMEANS_K = 4
 KMEANS_ITER = 5
 KMEANS_SEED = 16
@@ -29,9 +33,5 @@ TOP_K_USERS = 5
 TOP_K_ORDERS = 20
 STREAM_T = 4321
 
-# The generator query (K clusters, seed; N = rows of lineitem).
-GEN_K = 8
-GEN_SEED = 7
-
 # Digits kept of every double in query results (both sides of the oracle check).
 DIGITS = 6

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import cluster, fair, heavy, objective, sketch
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
-from ..sources import generate, tables
+from ..sources import tables
 from ..sources.points import flat, read_points, write_points
 from ..streaming import stream
 from ..session import scratch_path
@@ -34,9 +34,9 @@ def out(df: DataFrame) -> DataFrame:
     return df.selectExpr(*cols)
 
 
-def _centers_df(spark: SparkSession, cs, with_gamma=None) -> DataFrame:
+def _centers_df(spark: SparkSession, cs) -> DataFrame:
     d = len(cs[0])
-    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(cs)]
+    rows = [(i, *[float(v) for v in c]) for i, c in zip(cs.ids, cs)]
     schema = "cid bigint, " + ", ".join(f"x{j} double" for j in range(d))
     return spark.createDataFrame(rows, schema)
 
@@ -58,6 +58,13 @@ def q_points_roundtrip(spark, sf):
     return out(flat(read_points(spark, path), 3))
 
 
+def q_points_csv_fixed(spark, sf):
+    """The same, read back with the known dimension (CSV reader, fixed schema)."""
+    path = scratch_path(spark, "points-csv")
+    write_points(tables.pts3(spark, sf), path, 3)
+    return out(flat(read_points(spark, path, dims=3), 3))
+
+
 def q_group_filter(spark, sf):
     return out(flat(objective.group_filter(tables.pts3(spark, sf), "A"), 3))
 
@@ -82,6 +89,13 @@ def q_nearest_center(spark, sf):
     return out(pts.select(*[F.col("p")[j].alias(f"x{j}") for j in range(3)], "grp", "cid", "d2"))
 
 
+def q_nearest_center_gapped_ids(spark, sf):
+    """Centres given as a frame whose ids have gaps: the ids come back as given."""
+    cs = spark.createDataFrame([(i, list(c)) for i, c in P.GAPPED_CENTERS], "cid int, c array<double>")
+    pts = nearest_center(tables.pts3(spark, sf), cs)
+    return out(pts.select(*[F.col("p")[j].alias(f"x{j}") for j in range(3)], "grp", "cid", "d2"))
+
+
 def q_standard_objective(spark, sf):
     return out(objective.standard_objective(tables.pts3(spark, sf), P.CENTERS_PTS3))
 
@@ -104,7 +118,8 @@ def q_fair_objective(spark, sf):
 
 
 def q_cluster_group_counts(spark, sf):
-    return out(objective.cluster_group_counts(tables.pts3(spark, sf), P.CENTERS_PTS3))
+    counts = objective.cluster_group_counts(tables.pts3(spark, sf), P.CENTERS_PTS3)
+    return out(counts.select("cid", *[F.col("c")[j].alias(f"x{j}") for j in range(3)], "n_a", "n_b"))
 
 
 def emb_centers(spark, sf) -> list[tuple[float, ...]]:
@@ -163,29 +178,31 @@ def q_lloyd_fixed_start(spark, sf):
     return out(_centers_df(spark, cs))
 
 
-def q_kmeans_standard(spark, sf):
-    cs = cluster.kmeans(tables.pts3(spark, sf), P.KMEANS_K, P.KMEANS_ITER, P.KMEANS_SEED)
-    return out(_centers_df(spark, cs))
-
-
-def q_fair_vs_standard(spark, sf):
-    return out(fair.compare(tables.pts3(spark, sf), P.KMEANS_K, P.KMEANS_ITER, P.KMEANS_SEED))
-
+def q_fair_kmeans_cached_loop(spark, sf):
+    """Enough steps for the points to be cached and spread out."""
+    return out(_centers_df(spark, fair.fair_kmeans(tables.pts3(spark, sf), init=P.CENTERS_PTS3, m=P.CACHED_LOOP_STEPS)))
 
-# ---------------------------------------------------------------- generator
 
-def _gen_points(spark, sf):
-    n = tables.table(spark, sf, "lineitem").count()
-    return generate.fair_gap_points(spark, n, P.GEN_K, P.GEN_SEED)
+def q_lloyd_cached_loop(spark, sf):
+    return out(_centers_df(spark, cluster.lloyd(tables.pts3(spark, sf), P.CENTERS_PTS3, P.CACHED_LOOP_STEPS)))
 
 
-def q_generate_points(spark, sf):
-    pts = _gen_points(spark, sf)
-    return out(pts.select(F.col("p")[0].alias("x0"), F.col("p")[1].alias("x1"), "grp", "cid"))
+def q_kmeans_standard(spark, sf):
+    """k-means|| k-means: checkable facts of its random result (Δ against the mean's and the seeding's)."""
+    pts = tables.pts3(spark, sf)
+    seeding = cluster.init_centers(pts, P.KMEANS_K, P.KMEANS_SEED)
+    cs = cluster.kmeans(pts, P.KMEANS_K, P.KMEANS_ITER, P.KMEANS_SEED)
+    mean = cluster.lloyd(pts, [P.CENTERS_PTS3[0]], 1)
+    n = objective.group_counts(pts).select("n").first()["n"]
+    d_seed, d, d_mean = (objective.standard_objective(pts, c).first()["delta"] for c in (seeding, cs, mean))
+    row = [(n, len(cs), d_mean, d < d_mean, d <= d_seed * (1 + 1e-9))]
+    return out(spark.createDataFrame(row, "n_points bigint, n_centers bigint, delta_of_mean double, below_mean boolean, "
+                                          "not_above_seeding boolean"))
 
 
-def q_generate_counts(spark, sf):
-    return out(generate.check_counts(_gen_points(spark, sf), P.GEN_K, P.GEN_SEED))
+def q_fair_vs_standard(spark, sf):
+    """Φ of Lloyd's and the fair centres after the same number of steps from the same start."""
+    return out(fair.compare(tables.pts3(spark, sf), m=P.LOOP_STEPS, init=P.CENTERS_PTS3))
 
 
 # ---------------------------------------------------------------- sketches and heavy hitters
@@ -220,14 +237,16 @@ def q_cs_cells(spark, sf):
 
 def q_cm_estimate(spark, sf):
     s = P.SPEC_WIDE
-    it = tables.items_part(spark, sf)
-    return out(sketch.estimate_cm(it, sketch.count_min(it, s.cm_h, s.w), s.cm_h, s.w))
+    # one scan: both branches need the counts, so both read the same exchange
+    hist = sketch.histogram(tables.items_part(spark, sf)).where("freq > 0")
+    return out(sketch.estimate_cm(hist, sketch.count_min(hist, s.cm_h, s.w, weight="freq"), s.cm_h, s.w))
 
 
 def q_cs_estimate(spark, sf):
     s = P.SPEC_WIDE
-    it = tables.items_part(spark, sf)
-    return out(sketch.estimate_cs(it, sketch.count_sketch(it, s.cs_h, s.cs_g, s.w), s.cs_h, s.cs_g, s.w))
+    hist = sketch.histogram(tables.items_part(spark, sf)).where("freq > 0")
+    cells = sketch.count_sketch(hist, s.cs_h, s.cs_g, s.w, weight="freq")
+    return out(sketch.estimate_cs(hist, cells, s.cs_h, s.cs_g, s.w))
 
 
 def q_heavy_hitters(spark, sf):
@@ -239,22 +258,32 @@ def q_heavy_hitters_users(spark, sf):
 
 
 def q_heavy_hitter_detail(spark, sf):
-    it = tables.items_skew(spark, sf)
-    cm, cs = sketch.sketches(it, P.SPEC_NARROW)
-    return out(heavy.report(sketch.histogram(it), P.TOP_K, cm, cs, P.SPEC_NARROW))
+    hist = sketch.histogram(tables.items_skew(spark, sf))
+    cm, cs = sketch.sketches(hist, P.SPEC_NARROW, weight="freq")
+    return out(heavy.report(hist, P.TOP_K, cm, cs, P.SPEC_NARROW))
 
 
 def q_sketch_accuracy(spark, sf):
-    it = tables.items_order(spark, sf)
-    cm, cs = sketch.sketches(it, P.SPEC_WIDE)
-    return out(heavy.accuracy(heavy.report(sketch.histogram(it), P.TOP_K_ORDERS, cm, cs, P.SPEC_WIDE)))
+    hist = sketch.histogram(tables.items_order(spark, sf))
+    cm, cs = sketch.sketches(hist, P.SPEC_WIDE, weight="freq")
+    return out(heavy.accuracy(heavy.report(hist, P.TOP_K_ORDERS, cm, cs, P.SPEC_WIDE)))
+
+
+def q_order_frequencies(spark, sf):
+    """A histogram whose domain grows with the table (order keys)."""
+    return out(sketch.histogram(tables.items_order(spark, sf)))
+
+
+def q_heavy_hitters_orders(spark, sf):
+    return out(heavy.top_k_with_ties(sketch.histogram(tables.items_order(spark, sf)), P.TOP_K_ORDERS))
 
 
 def q_cm_merge(spark, sf):
     s = P.SPEC_WIDE
     li = tables.table(spark, sf, "lineitem")
-    open_lines = li.where(F.col("l_linestatus") == "O").select(F.col("l_orderkey").alias("item"))
-    closed_lines = li.where(F.col("l_linestatus") != "O").select(F.col("l_orderkey").alias("item"))
+    is_open = F.col("l_linestatus").eqNullSafe("O")  # a null status is in the second half
+    open_lines = li.where(is_open).select(F.col("l_orderkey").alias("item"))
+    closed_lines = li.where(~is_open).select(F.col("l_orderkey").alias("item"))
     return out(sketch.merge(sketch.count_min(open_lines, s.cm_h, s.w), sketch.count_min(closed_lines, s.cm_h, s.w)))
 
 
@@ -308,11 +337,13 @@ def q_stream_report(spark, sf):
 QUERIES: dict[str, Query] = {
     "points_scan": q_points_scan,
     "points_roundtrip": q_points_roundtrip,
+    "points_csv_fixed": q_points_csv_fixed,
     "group_filter": q_group_filter,
     "group_counts": q_group_counts,
     "point_distance": q_point_distance,
     "min_sq_distance": q_min_sq_distance,
     "nearest_center": q_nearest_center,
+    "nearest_center_gapped_ids": q_nearest_center_gapped_ids,
     "standard_objective": q_standard_objective,
     "standard_objective_distinct": q_standard_objective_distinct,
     "distinct_points": q_distinct_points,
@@ -328,10 +359,10 @@ QUERIES: dict[str, Query] = {
     "fair_step_emb": q_fair_step_emb,
     "fair_kmeans_fixed_start": q_fair_kmeans_fixed_start,
     "lloyd_fixed_start": q_lloyd_fixed_start,
+    "fair_kmeans_cached_loop": q_fair_kmeans_cached_loop,
+    "lloyd_cached_loop": q_lloyd_cached_loop,
     "kmeans_standard": q_kmeans_standard,
     "fair_vs_standard": q_fair_vs_standard,
-    "generate_points": q_generate_points,
-    "generate_counts": q_generate_counts,
     "item_frequencies": q_item_frequencies,
     "stream_totals": q_stream_totals,
     "hash_buckets": q_hash_buckets,
@@ -344,6 +375,8 @@ QUERIES: dict[str, Query] = {
     "heavy_hitters_users": q_heavy_hitters_users,
     "heavy_hitter_detail": q_heavy_hitter_detail,
     "sketch_accuracy": q_sketch_accuracy,
+    "order_frequencies": q_order_frequencies,
+    "heavy_hitters_orders": q_heavy_hitters_orders,
     "cm_merge": q_cm_merge,
     "stream_prefix": q_stream_prefix,
     "stream_histogram": q_stream_histogram,

@@ -1,9 +1,9 @@
 """Labelled point sets as DataFrames ``[p: array<double>, grp: string]``.
 
 A point file has one point per line, ``c1,...,cD,label`` with no header.  It is parsed once at
-ingestion; every operator after that works on the typed columns.  Labels are trimmed and only
-``A`` and ``B`` are kept (both groups are needed by the fair objective); a malformed
-coordinate fails the read (ANSI cast), as the float parse of a text line would.
+ingestion; every operator after that works on the typed columns.  Labels are trimmed.  Ingestion
+fails on what it cannot use: a blank line, a coordinate that is missing, not a number or NaN, and a
+label other than ``A`` or ``B``.  Dropping such labels, or keeping them, is an explicit argument.
 """
 
 from __future__ import annotations
@@ -13,39 +13,65 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.vectors import MALFORMED
+
 GROUPS = ("A", "B")
 
 
-def _finish(df: DataFrame, partitions: int | None, keep_other: bool) -> DataFrame:
-    if not keep_other:
-        df = df.where(F.col("grp").isin(*GROUPS))
+def _fail(what: str, kind: str) -> Column:
+    return F.expr(f"CAST(raise_error('{what}') AS {kind})")
+
+
+def _number(c: Column) -> Column:
+    """A coordinate that fails if it is null or NaN; stays plain column arithmetic."""
+    return F.when(c.isNotNull() & ~F.isnan(c), c).otherwise(_fail(MALFORMED, "DOUBLE"))
+
+
+def checked(points: DataFrame, dims: int | None = None) -> DataFrame:
+    """``points`` whose ``p`` fails on a null, a null or NaN coordinate or (with ``dims``) another length."""
+    ok = F.col("p").isNotNull() & ~F.exists("p", lambda v: v.isNull() | F.isnan(v)) & (F.size("p") > 0)
+    if dims is not None:
+        ok &= F.size("p") == dims
+    return points.withColumn("p", F.when(F.coalesce(ok, F.lit(False)), F.col("p")).otherwise(
+        _fail(MALFORMED, "ARRAY<DOUBLE>")))
+
+
+def _finish(df: DataFrame, partitions: int | None, other_labels: str) -> DataFrame:
+    if other_labels not in ("fail", "drop", "keep"):
+        raise ValueError("other_labels is 'fail', 'drop' or 'keep'")
+    known = F.coalesce(F.col("grp").isin(*GROUPS), F.lit(False))
+    if other_labels == "drop":
+        df = df.where(known)
+    df = checked(df)
+    if other_labels == "fail":
+        df = df.withColumn("grp", F.when(known, F.col("grp")).otherwise(_fail("a label is neither A nor B", "STRING")))
     if partitions:
         df = df.repartition(partitions)
     return df
 
 
 def read_points(spark: SparkSession, path: str, dims: int | None = None,
-                partitions: int | None = None, keep_other: bool = False) -> DataFrame:
+                partitions: int | None = None, other_labels: str = "fail") -> DataFrame:
     """Read a text/CSV point file.
 
     With ``dims`` known, the CSV reader parses a fixed schema (``FAILFAST``).  Without it, the
     lines are split and every field but the last becomes a coordinate, so each line may carry
-    any dimension.  ``partitions`` repartitions the parsed points (round robin).
+    any dimension.  ``partitions`` repartitions the parsed points (round robin).  ``other_labels``:
+    ``fail`` on labels other than A and B, ``drop`` their rows, or ``keep`` them.
     """
     if dims is not None:
-        schema = T.StructType([T.StructField(f"c{j}", T.DoubleType(), False) for j in range(dims)]
-                              + [T.StructField("grp", T.StringType(), False)])
+        schema = T.StructType([T.StructField(f"c{j}", T.DoubleType()) for j in range(dims)]
+                              + [T.StructField("grp", T.StringType())])
         raw = spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
         df = raw.select(F.array(*[F.col(f"c{j}") for j in range(dims)]).alias("p"),
                         F.trim("grp").alias("grp"))
     else:
         fields = F.split(F.col("value"), ",")
         n = F.size(fields)
-        df = (spark.read.text(path)
-              .where(F.length(F.trim("value")) > 0)
-              .select(F.transform(F.slice(fields, 1, n - 1), lambda s: F.trim(s).cast("double")).alias("p"),
-                      F.trim(F.element_at(fields, -1)).alias("grp")))
-    return _finish(df, partitions, keep_other)
+        df = spark.read.text(path).select(
+            F.transform(F.slice(fields, 1, n - 1), lambda s: F.trim(s).cast("double")).alias("p"),
+            F.trim(F.element_at(fields, -1)).alias("grp"))
+    return _finish(df, partitions, other_labels)
 
 
 def as_points(df: DataFrame, coords: Sequence[Column | str], group: Column,
@@ -54,7 +80,7 @@ def as_points(df: DataFrame, coords: Sequence[Column | str], group: Column,
 
     ``group`` must evaluate to ``'A'`` or ``'B'`` (e.g. ``when(cond, 'A').otherwise('B')``).
     """
-    cols = [(F.col(c) if isinstance(c, str) else c).cast("double") for c in coords]
+    cols = [_number((F.col(c) if isinstance(c, str) else c).cast("double")) for c in coords]
     return df.select(*extra, F.array(*cols).alias("p"), group.alias("grp"))
 
 
@@ -98,9 +124,11 @@ def prepare(points: DataFrame, dims: int | None = None, partitions: int | None =
         if first is None:
             raise ValueError("no points")
         dims = int(first["d"])
-    flat_df = points.select(*[F.col("p")[j].cast("double").alias(f"x{j}") for j in range(dims)], "grp")
     if not persist:
         return Prepared(points.select("p", "grp"), None, dims)
+    # dims may come from one row: every other row must agree (uncached points are checked by the kernels)
+    alike = points.withColumn("p", F.when(F.size("p") == dims, F.col("p")).otherwise(_fail(MALFORMED, "ARRAY<DOUBLE>")))
+    flat_df = alike.select(*[_number(F.col("p")[j].cast("double")).alias(f"x{j}") for j in range(dims)], "grp")
     want = partitions or points.sparkSession.sparkContext.defaultParallelism
     if flat_df.rdd.getNumPartitions() < want:
         flat_df = flat_df.repartition(want)

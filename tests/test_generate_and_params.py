@@ -89,8 +89,11 @@ def test_read_points_rejects_malformed_coordinates(spark):
         read_points(spark, path).collect()
     ok = scratch_path(spark, "test-good-points")
     spark.createDataFrame([("1.0,2.0,A",), ("3.5,-1.0, B",), ("0,0,C",)], "value string").coalesce(1).write.text(ok)
-    rows = sorted((tuple(r["p"]), r["grp"]) for r in read_points(spark, ok).collect())
-    assert rows == [((1.0, 2.0), "A"), ((3.5, -1.0), "B")]  # labels trimmed, other labels dropped
+    with pytest.raises(Exception):
+        read_points(spark, ok).collect()  # other labels fail unless dropping them is asked for
+    rows = sorted((tuple(r["p"]), r["grp"]) for r in read_points(spark, ok, other_labels="drop").collect())
+    assert rows == [((1.0, 2.0), "A"), ((3.5, -1.0), "B")]  # labels trimmed
+    assert read_points(spark, ok, other_labels="keep").count() == 3
 
 
 def test_fair_centres_lower_phi_on_generated_points(spark):

@@ -1,26 +1,19 @@
-"""Goldens: the labelled-point CSV fixture (F1), the top-K example (F4) and literal cases (F5)."""
+"""Labelled points against brute force, the top-K example and literal cases."""
 
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+import brute
+from conftest import labelled_points
 from fairsketch.functions.hashing import HashFamily
 from fairsketch.operators import fair, heavy, objective, cluster
 from fairsketch.operators.assign import nearest_center
 
-# Fixture centres and expected values for the CSV (computed independently).
-F1_CENTERS = [(40.75, -73.98), (40.65, -73.79), (40.82, -73.93), (40.70, -74.02)]
-F1_DELTA = 0.002728707361660104
-F1_DELTA_DISTINCT = 0.002572727806324132
-F1_MEAN_A, F1_MEAN_B = 0.002311588491048624, 0.00414691152173916
-F1_COUNTS = [(0, 604, 112), (1, 11, 7), (2, 60, 17), (3, 107, 94)]
-F1_STEP1_GAMMA = 0.0009765625
-F1_STEP1_PHI = 0.003137814183502428
-F1_STEP1_CENTERS = [(40.73874308641735, -73.99562005380322), (40.6731879951064, -73.73853471656595),
-                    (40.771827567098164, -73.87011810020039), (40.71409731258509, -74.03158100109523)]
-F1_PHI_STEPS_2_5 = [0.0027204041826743935, 0.0020268208948730237, 0.0018298097236900993, 0.001810688769271839]
-F1_GAMMAS = [0.0009765625, 0.0068359375, 0.3701171875, 0.5439453125, 0.5302734375]
+# Starting centres of the labelled points.
+CENTERS = [(40.75, -73.98), (40.65, -73.79), (40.82, -73.93), (40.70, -74.02)]
+POINTS = labelled_points()
 
 REL = 1e-9
 
@@ -31,44 +24,62 @@ def close(a, b, rel=REL):
 
 def test_csv_counts(csv_points):
     r = objective.group_counts(csv_points).first()
-    assert (r["n"], r["n_a"], r["n_b"]) == (1012, 782, 230)
-    assert objective.distinct_points(csv_points).count() == 961
+    n_a = sum(g == "A" for _, g in POINTS)
+    assert (r["n"], r["n_a"], r["n_b"]) == (420, n_a, 420 - n_a)
+    assert objective.distinct_points(csv_points).count() == len({p for p, _ in POINTS})
 
 
 def test_csv_objectives(csv_points):
-    assert close(objective.standard_objective(csv_points, F1_CENTERS).first()["delta"], F1_DELTA)
-    assert close(objective.standard_objective(csv_points, F1_CENTERS, dedupe=True).first()["delta"], F1_DELTA_DISTINCT)
-    g = {r["grp"]: r["mean_d2"] for r in objective.group_objectives(csv_points, F1_CENTERS).collect()}
-    assert close(g["A"], F1_MEAN_A) and close(g["B"], F1_MEAN_B)
-    phi = objective.fair_objective(csv_points, F1_CENTERS).first()
-    assert close(phi["phi"], F1_MEAN_B) and phi["phi"] == max(phi["phi_a"], phi["phi_b"])
+    assert close(objective.standard_objective(csv_points, CENTERS).first()["delta"], brute.standard_objective(POINTS, CENTERS))
+    assert close(objective.standard_objective(csv_points, CENTERS, dedupe=True).first()["delta"],
+                 brute.standard_objective(POINTS, CENTERS, dedupe=True))
+    phi = objective.fair_objective(csv_points, CENTERS).first()
+    assert close(phi["phi"], brute.fair_objective(POINTS, CENTERS)) and phi["phi"] == max(phi["phi_a"], phi["phi_b"])
 
 
 def test_csv_cluster_counts(csv_points):
-    rows = [tuple(r) for r in objective.cluster_group_counts(csv_points, F1_CENTERS).collect()]
-    assert rows == F1_COUNTS
+    rows = [(r["cid"], tuple(r["c"]), r["n_a"], r["n_b"]) for r in objective.cluster_group_counts(csv_points, CENTERS).collect()]
+    want = [(i, c, *(sum(g == x and brute.nearest(p, CENTERS)[0] == i for p, g in POINTS) for x in "AB")) for i, c in enumerate(CENTERS)]
+    assert rows == want
 
 
 def test_csv_fair_steps(csv_points):
-    step = fair.fair_step(csv_points, F1_CENTERS).collect()
-    assert step[0]["gamma"] == F1_STEP1_GAMMA
-    got = {r["cid"]: r["c"] for r in step}
-    for i, c in enumerate(F1_STEP1_CENTERS):
-        assert all(close(a, b) for a, b in zip(got[i], c))
-    gammas = []
-    cs = fair.fair_kmeans(csv_points, init=F1_CENTERS, m=1)
-    assert close(objective.fair_objective(csv_points, cs).first()["phi"], F1_STEP1_PHI)
-    phis = []
-    cs = list(F1_CENTERS)
+    """Five fair iterations against brute force; the loop and the DataFrame step agree."""
+    cs, gammas, mine = list(CENTERS), [], list(CENTERS)
     for _ in range(5):
+        step = fair.fair_step(csv_points, cs).collect()
         cs = fair.fair_kmeans(csv_points, init=cs, m=1, history=gammas)
-        phis.append(objective.fair_objective(csv_points, cs).first()["phi"])
-    assert gammas == F1_GAMMAS
-    assert all(close(a, b) for a, b in zip(phis[1:], F1_PHI_STEPS_2_5))
+        mine, gamma = brute.fair_step(POINTS, mine)
+        assert gammas[-1] == gamma == step[0]["gamma"]
+        for r in step:
+            assert all(close(a, b) for a, b in zip(r["c"], cs[r["cid"]]))
+        assert all(close(a, b) for c, d in zip(cs, mine) for a, b in zip(c, d))
+        assert close(objective.fair_objective(csv_points, cs).first()["phi"], brute.fair_objective(POINTS, mine))
+    assert len(set(gammas)) > 1
+
+
+def test_fair_step_is_linear_in_k(spark):
+    """Gathering and balancing K clusters: four times K costs at most about four times the time."""
+    import time
+
+    def seconds(k):
+        rows = [(i, g, 2, [float(i), float(i % 7) + (g == "B")], 1.0) for i in range(k) for g in "AB"]
+        groups = spark.createDataFrame(rows, "cid int, grp string, n bigint, m array<double>, scatter double").cache()
+        groups.count()
+        best = float("inf")
+        for _ in range(2):
+            t = time.perf_counter()
+            assert len(fair.update_centers(fair.balance(fair.run_stats(groups))).collect()) == k
+            best = min(best, time.perf_counter() - t)
+        groups.unpersist()
+        return best
+
+    small = seconds(1000)
+    assert seconds(4000) <= 8 * small + 2
 
 
 def test_top_k_example(spark):
-    freqs = [11, 10, 10, 9, 9, 9, 8, 8, 6, 6]
+    freqs = [11, 10, 10, 9, 9, 9, 8, 8, 6, 6]  # fixed values of the example
     hist = spark.createDataFrame(list(enumerate(freqs)), "item bigint, freq bigint")
     hh = heavy.top_k_with_ties(hist, 5)
     assert sorted(r["freq"] for r in hh.collect()) == [9, 9, 9, 10, 10, 11]
@@ -147,7 +158,7 @@ def test_signed_zero_centres(spark):
 
 def test_cluster_counts_with_empty_clusters(spark):
     pts = spark.createDataFrame([([0.0], "A"), ([0.1], "B"), ([9.0], "A")], "p array<double>, grp string")
-    rows = [tuple(r) for r in objective.cluster_group_counts(pts, [(0.0,), (5.0,), (9.0,)], with_empty=True).collect()]
+    rows = [tuple(r) for r in objective.cluster_group_counts(pts, [(0.0,), (5.0,), (9.0,)], with_empty=True).drop("c").collect()]
     assert rows == [(0, 1, 1), (1, 0, 0), (2, 1, 0)]
 
 
