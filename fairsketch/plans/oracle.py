@@ -350,6 +350,8 @@ def _sql() -> dict[str, str]:
         f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM it) AS n_items, "
         f"(SELECT CAST(count(*) AS BIGINT) FROM hist) AS n_distinct, "
         f"CAST(count(*) AS BIGINT) AS n_hh, {rnd('avg(cm_err)')} AS cm_avg_err, {rnd('avg(cs_err)')} AS cs_avg_err FROM rep")
+    # the events table is one file, hence one batch, and a batch is taken whole
+    q["stream_report_t"] = q["stream_report"]
     return q
 
 

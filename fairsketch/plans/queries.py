@@ -15,7 +15,7 @@ from ..operators.assign import as_center_list, min_sq_distance, nearest_center,
 from ..sources import tables
 from ..sources.points import flat, read_points, write_points
 from ..streaming import stream
-from ..session import scratch_path
+from ..session import checkpoint_root, remove_path, scratch_path
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,14 +55,14 @@ def q_points_roundtrip(spark, sf):
     """Points written in the text form c1,...,cD,label and parsed back (any-D text reader)."""
     path = scratch_path(spark, "points-text")
     write_points(tables.pts3(spark, sf), path, 3)
-    return out(flat(read_points(spark, path), 3))
+    return _kept(spark, out(flat(read_points(spark, path), 3)), path)
 
 
 def q_points_csv_fixed(spark, sf):
     """The same, read back with the known dimension (CSV reader, fixed schema)."""
     path = scratch_path(spark, "points-csv")
     write_points(tables.pts3(spark, sf), path, 3)
-    return out(flat(read_points(spark, path, dims=3), 3))
+    return _kept(spark, out(flat(read_points(spark, path, dims=3), 3)), path)
 
 
 def q_group_filter(spark, sf):
@@ -295,45 +295,57 @@ def q_stream_prefix(spark, sf):
                          F.max("batch").alias("last_batch")))
 
 
-_STREAM_RUNS: dict = {}
+def _event_items(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table itself as a stream of items."""
+    src = stream.file_stream(spark, f"{sf.rstrip('/')}/events.parquet", tables.table(spark, sf, "events").schema)
+    return src.select(tables.skew_item_expr().cast("bigint").alias("item"))
 
 
-def stream_sink(spark: SparkSession, sf: str, files: int = 8) -> str:
-    """Stage the events table as ``files`` parquet files and sketch it as a file stream
-    (one file per micro-batch).  One run per session and scale factor."""
-    key = (id(spark), sf)
-    if key in _STREAM_RUNS:
-        return _STREAM_RUNS[key]
-    staged = scratch_path(spark, "events-stream")
-    ev = tables.table(spark, sf, "events").select("event_id")
-    ev.repartitionByRange(files, "event_id").write.parquet(staged)
-    src = stream.file_stream(spark, staged, ev.schema)
-    items = src.select(tables.skew_item_expr().cast("bigint").alias("item"))
-    sink = stream.run_sketches(items, P.SPEC_NARROW, sink=f"{staged}-sink", compact_every=4)
-    _STREAM_RUNS[key] = sink
-    return sink
+def _kept(spark: SparkSession, rows: DataFrame, *paths: str) -> DataFrame:
+    """``rows`` made durable, so that the scratch paths it was read from can go."""
+    checkpoint_root(spark)
+    rows = rows.checkpoint()
+    for path in paths:
+        remove_path(spark, path)
+    return rows
+
+
+def _state(spark: SparkSession, state: DataFrame, keys: list[str], value: str) -> DataFrame:
+    sink = stream.run_state(state)
+    return _kept(spark, stream.latest(spark, sink, keys, value), sink, f"{sink}-checkpoint")
+
+
+def _stream_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return _state(spark, stream.histogram_state(_event_items(spark, sf)), ["item"], "freq")
 
 
 def q_stream_histogram(spark, sf):
-    return out(stream.snapshot_histogram(spark, stream_sink(spark, sf)))
+    return out(_stream_histogram(spark, sf))
 
 
 def q_stream_cm_cells(spark, sf):
-    return out(stream.snapshot_cells(spark, stream_sink(spark, sf), "cm"))
+    return out(_state(spark, stream.sketch_state(_event_items(spark, sf), P.SPEC_NARROW, "cm"), ["r", "c"], "v"))
 
 
 def q_stream_cs_cells(spark, sf):
-    return out(stream.snapshot_cells(spark, stream_sink(spark, sf), "cs"))
+    return out(_state(spark, stream.sketch_state(_event_items(spark, sf), P.SPEC_NARROW, "cs"), ["r", "c"], "v"))
 
 
-def q_stream_report(spark, sf):
-    sink = stream_sink(spark, sf)
-    hist = stream.snapshot_histogram(spark, sink)
-    cm = stream.snapshot_cells(spark, sink, "cm")
-    cs = stream.snapshot_cells(spark, sink, "cs")
+def _report(hist: DataFrame) -> DataFrame:
+    cm, cs = sketch.sketches(hist, P.SPEC_NARROW, weight="freq")
     return out(heavy.summary(hist, P.TOP_K, cm, cs, P.SPEC_NARROW))
 
 
+def q_stream_report(spark, sf):
+    return _report(_stream_histogram(spark, sf))
+
+
+def q_stream_report_t(spark, sf):
+    """Stop at T, then report: whole files are taken while fewer than T items were taken before."""
+    sink = stream.run_until(_event_items(spark, sf), P.STREAM_T)
+    return _report(_kept(spark, stream.taken(spark, sink), sink, f"{sink}-checkpoint"))
+
+
 QUERIES: dict[str, Query] = {
     "points_scan": q_points_scan,
     "points_roundtrip": q_points_roundtrip,
@@ -383,4 +395,5 @@ QUERIES: dict[str, Query] = {
     "stream_cm_cells": q_stream_cm_cells,
     "stream_cs_cells": q_stream_cs_cells,
     "stream_report": q_stream_report,
+    "stream_report_t": q_stream_report_t,
 }

@@ -35,6 +35,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/fairsketch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a path made by :func:`scratch_path` once its last reader is done."""
     if not path.startswith(f"{checkpoint_root(spark)}/fairsketch/"):

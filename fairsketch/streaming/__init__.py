@@ -1,7 +1,5 @@
 """Structured Streaming drivers for histograms and sketches."""
 
-from .stream import (file_stream, histogram_state, prefix, run_sketches, sketch_state,
-                     snapshot_cells, snapshot_histogram, snapshot_length)
+from .stream import file_stream, histogram_state, latest, prefix, run_state, run_until, sketch_state, taken
 
-__all__ = ["file_stream", "histogram_state", "prefix", "run_sketches", "sketch_state",
-           "snapshot_cells", "snapshot_histogram", "snapshot_length"]
+__all__ = ["file_stream", "histogram_state", "latest", "prefix", "run_state", "run_until", "sketch_state", "taken"]

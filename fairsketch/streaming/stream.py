@@ -1,18 +1,14 @@
-"""Sketching an unbounded item stream with Structured Streaming.
-
-Two ways are offered:
-
-* ``histogram_state`` / ``sketch_state`` return *streaming* aggregates for the caller to write
-  (state store holds one row per distinct item, resp. at most d*w cells);
-* ``run_sketches`` drives a stream through ``foreachBatch``: every micro-batch writes its own
-  deltas - histogram, count-min cells, count-sketch cells and its length - in one atomic job
-  under ``<sink>/delta/batch_id=<id>``.  Writes overwrite by batch id, so a replayed batch (the
-  sink is at-least-once) replaces itself instead of counting twice; the snapshot functions
-  sum the deltas (sketches are linear).  With a target length ``t``, a batch is taken only if
-  the items of the earlier batches number fewer than ``t`` (whole batches only, so the total
-  may exceed ``t``), and the query is stopped once ``t`` is reached.  ``compact`` folds
-  committed batches into a base snapshot ``<sink>/base/upto=<B>``; snapshots read the latest
-  complete base plus the later deltas.
+"""Counting and sketching an unbounded item stream with Structured Streaming.
+
+* ``histogram_state`` / ``sketch_state`` are streaming aggregates; Spark's state store holds one row per
+  distinct item, resp. at most d*w cells.  ``run_state`` drives one of them in update mode: every
+  micro-batch writes the rows that changed under ``<sink>/batch_id=<id>``, and ``latest`` reads
+  each key's value of its last batch.  A replayed batch overwrites its own folder, so the result is
+  as if every batch ran once.
+* ``run_until`` applies the stop rule: a batch is taken only if the earlier batches hold fewer than ``t``
+  items (whole batches, so the total may exceed ``t``), and the query is stopped once ``t`` is reached.
+  Every taken batch writes its histogram under its id; ``taken`` sums them.  The sketches of what was
+  taken follow from the histogram, because sketches are linear.
 
 ``prefix`` is the same stop rule on a static table that carries a batch key.
 """
@@ -21,36 +17,27 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.hashing import SketchSpec
 from ..operators.sketch import count_min, count_sketch, histogram
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
-# Kinds of rows in the per-batch delta table ``<sink>/delta/batch_id=<id>/kind=<kind>``:
-# hist (a=item, v=freq), cm and cs (a=r, b=c, v=cell value), len (v=items in the batch).
-KINDS = ("hist", "cm", "cs", "len")
-
-
-# Number of range buckets of batch ids for the two-level running total in ``prefix``.
-PREFIX_BUCKETS = 1024
+# Ranges of batch ids, of about equal numbers of batches, for the two-level running total in ``prefix``.
+PREFIX_BUCKETS = 256
 
 
 def items_before(sizes: DataFrame, batch_col: str, buckets: int = PREFIX_BUCKETS) -> DataFrame:
     """``sizes`` ``[batch, n]`` plus ``before``: the total ``n`` of all smaller batch ids.
 
-    A two-level prefix sum, so no task ever holds all batches: batch ids are cut into at most
-    ``buckets`` ranges, running totals are taken inside each range (one window partition per
-    range), and each range is offset by the totals of the ranges before it (a window over at
-    most ``buckets`` rows, broadcast back).
+    A two-level prefix sum, so no task ever holds all batches: approximate quantiles of the batch ids
+    (a scalar subquery) cut them into ranges of about equal counts however the ids are spread,
+    running totals are taken inside each range, and each range is offset by the totals of the
+    ranges before it (a window over at most ``buckets`` rows).
     """
-    b = F.col(batch_col)
-    lo, hi = sizes.agg(F.min(batch_col), F.max(batch_col)).first()
-    if lo is None:
-        return sizes.withColumn("before", F.lit(0).cast("bigint"))
-    width = max(1, -(-(int(hi) - int(lo) + 1) // buckets))
-    keyed = sizes.withColumn("_bucket", F.floor((b - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    cuts = sizes.agg(F.percentile_approx(batch_col, [i / buckets for i in range(1, buckets)] or [0.5], 10 * buckets)).scalar()
+    keyed = sizes.select("*", cuts.alias("_cuts")) \
+        .withColumn("_bucket", F.size(F.filter(F.array_distinct("_cuts"), lambda c: c < F.col(batch_col)))).drop("_cuts")
     local = keyed.withColumn("_local", F.coalesce(F.sum("n").over(
         Window.partitionBy("_bucket").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     totals = keyed.groupBy("_bucket").agg(F.sum("n").alias("_tot"))  # at most `buckets` rows
@@ -67,7 +54,8 @@ def prefix(df: DataFrame, batch_col: str, t: int) -> DataFrame:
     The running total runs over one row per batch (see ``items_before``), never over the
     items; the items themselves are only filtered by the last batch taken.
     """
-    sizes = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"))
+    # the filter makes every use of the sizes need the counts, so all read one exchange
+    sizes = df.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     last = items_before(sizes, batch_col).where(F.col("before") < F.lit(t)).agg(F.max(batch_col)).scalar()
     return df.where(F.col(batch_col) <= last)
 
@@ -86,221 +74,89 @@ def sketch_state(stream: DataFrame, spec: SketchSpec, kind: str = "cm", item_col
     raise ValueError("kind is 'cm' or 'cs'")
 
 
-def _deltas(spark: SparkSession, sink: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{sink}/delta")
-    except AnalysisException:
-        return None
+def write_batch(rows: DataFrame, batch_id: int, sink: str) -> None:
+    """One batch's rows under its own id; a replay replaces them."""
+    rows.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
 
-def batch_deltas(batch: DataFrame, spec: SketchSpec, item_col: str = "item") -> DataFrame:
-    """``[kind, a, b, v]``: every delta of one batch, derived from its histogram.
-
-    The batch is aggregated once (one row per distinct item); the sketches and the length are
-    computed from that histogram, and Spark reuses its shuffle for all four branches.
-    """
-    hist = histogram(batch, item_col)
-    cm = count_min(hist, spec.cm_h, spec.w, weight="freq")
-    cs = count_sketch(hist, spec.cs_h, spec.cs_g, spec.w, weight="freq")
-    null = F.lit(None).cast("bigint")
-    return (hist.select(F.lit("hist").alias("kind"), F.col("item").alias("a"), null.alias("b"),
-                        F.col("freq").cast("bigint").alias("v"))
-            .unionByName(cm.select(F.lit("cm").alias("kind"), F.col("r").cast("bigint").alias("a"),
-                                   F.col("c").cast("bigint").alias("b"), F.col("v").cast("bigint").alias("v")))
-            .unionByName(cs.select(F.lit("cs").alias("kind"), F.col("r").cast("bigint").alias("a"),
-                                   F.col("c").cast("bigint").alias("b"), F.col("v").cast("bigint").alias("v")))
-            .unionByName(hist.agg(F.lit("len").alias("kind"), null.alias("a"), null.alias("b"),
-                                  F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("v"))))
-
-
-def _latest_base(spark: SparkSession, sink: str) -> int | None:
-    """The highest ``upto`` of a completely written base snapshot (its ``_SUCCESS`` marker)."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{sink}/base")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return None
-    best = None
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            upto = int(name[len("upto="):])
-            best = upto if best is None or upto > best else best
-    return best
-
-
-def _current(spark: SparkSession, sink: str, below: int | None = None, upto: int | None = None
-             ) -> DataFrame | None:
-    """``[kind, a, b, v]`` rows that together make the sink's state: the latest base snapshot
-    plus the deltas of later batches (optionally only batch ids ``< below`` / ``<= upto``).
-    Every delta ``len`` row also yields a ``batches`` row counting one batch."""
-    base_upto = _latest_base(spark, sink)
-    parts = []
-    if base_upto is not None:
-        parts.append(spark.read.parquet(f"{sink}/base/upto={base_upto}").select("kind", "a", "b", "v"))
-    d = _deltas(spark, sink)
-    if d is not None:
-        if base_upto is not None:
-            d = d.where(F.col("batch_id") > base_upto)
-        if below is not None:
-            d = d.where(F.col("batch_id") < below)
-        if upto is not None:
-            d = d.where(F.col("batch_id") <= upto)
-        d = d.select("kind", "a", "b", "v")
-        parts.append(d)
-        parts.append(d.where(F.col("kind") == "len").select(
-            F.lit("batches").alias("kind"), "a", "b", F.lit(1).cast("bigint").alias("v")))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def run_state(state: DataFrame, sink: str | None = None, checkpoint: str | None = None) -> str:
+    """Runs a streaming aggregate over everything available; returns the sink for ``latest``."""
+    sink = sink or scratch_path(state.sparkSession, "stream-state")
+    query = (state.writeStream.outputMode("update").foreachBatch(lambda rows, batch_id: write_batch(rows, batch_id, sink))
+             .option("checkpointLocation", checkpoint or f"{sink}-checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return sink
 
 
-def length_before(spark: SparkSession, sink: str, batch_id: int) -> int:
-    """Items of all written batches with a smaller id (base snapshot included)."""
-    cur = _current(spark, sink, below=batch_id)
-    if cur is None:
-        return 0
-    v = cur.where(F.col("kind") == "len").agg(F.sum("v")).first()[0]
-    return int(v or 0)
+def latest(spark: SparkSession, sink: str, keys: list[str], value: str) -> DataFrame | None:
+    """``[*keys, value]`` as of the last batch; None if no batch was written."""
+    if not path_exists(spark, sink):
+        return None
+    return spark.read.parquet(sink).groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
 
 
-def compact(spark: SparkSession, sink: str, upto: int | None = None) -> int | None:
-    """Fold the base snapshot and the deltas of batches ``<= upto`` into ``<sink>/base/upto=<upto>``.
+class _Until:
+    """Takes batches while fewer than ``t`` items were taken before."""
 
-    Snapshots then read one base plus the later deltas, so their cost does not grow with the
-    number of batches.  Only batches the stream has committed may be folded (a replayed batch
-    rewrites its delta, which must still be read on its own); ``run_sketches`` folds up to the
-    batch before the current one.  The write is one job; readers ignore a base without its
-    ``_SUCCESS`` marker.  Returns the ``upto`` now in effect.
-    """
-    base_upto = _latest_base(spark, sink)
-    if upto is None:
-        d = _deltas(spark, sink)
-        if d is None:
-            return base_upto
-        upto = d.agg(F.max("batch_id")).first()[0]
-    if upto is None or (base_upto is not None and upto <= base_upto):
-        return base_upto
-    cur = _current(spark, sink, upto=upto)
-    merged = cur.groupBy("kind", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
-    merged.write.mode("overwrite").parquet(f"{sink}/base/upto={upto}")
-    return upto
-
-
-class _BatchWriter:
-    def __init__(self, spec: SketchSpec, sink: str, t: int | None, item_col: str,
-                 compact_every: int | None = None):
-        self.spec, self.sink, self.t, self.item_col = spec, sink, t, item_col
-        self.compact_every = compact_every
+    def __init__(self, t: int, sink: str, item_col: str):
+        self.t, self.sink, self.item_col = t, sink, item_col
         self.reached = threading.Event()
-        self.known: tuple[int, int] | None = None  # (last batch id written, items up to it)
+        self.known: tuple[int, int] | None = None  # (last batch taken, items up to it)
 
-    def _before(self, spark: SparkSession, batch_id: int) -> int:
+    def before(self, spark: SparkSession, batch_id: int) -> int:
         if self.known is not None and batch_id == self.known[0] + 1:
             return self.known[1]
-        return length_before(spark, self.sink, batch_id)  # first batch of this run, or a replay
+        if not path_exists(spark, self.sink):  # first batch of the stream
+            return 0
+        # a restart or a replay: count what earlier batches wrote
+        return spark.read.parquet(self.sink).where(F.col("batch_id") < batch_id).agg(F.coalesce(F.sum("freq"), F.lit(0))).first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = 0
-        if self.t is not None:
-            before = self._before(spark, batch_id)
-            if before >= self.t:
-                self.reached.set()
-                return
-        # one job, committed atomically: a replayed batch id overwrites its own folder
-        path = f"{self.sink}/delta/batch_id={batch_id}"
-        batch_deltas(batch, self.spec, self.item_col).write.mode("overwrite").partitionBy("kind").parquet(path)
-        if self.t is not None:
-            n = spark.read.parquet(f"{path}/kind=len").agg(F.sum("v")).first()[0] or 0
-            self.known = (batch_id, before + int(n))
-            if self.known[1] >= self.t:
-                self.reached.set()
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            compact(spark, self.sink, upto=batch_id - 1)  # batches before this one are committed
-
-
-def run_sketches(stream: DataFrame, spec: SketchSpec, sink: str | None = None, t: int | None = None,
-                 item_col: str = "item", checkpoint: str | None = None,
-                 processing_time: str | None = None, query_name: str | None = None,
-                 timeout: float | None = None, compact_every: int | None = None) -> str:
-    """Run the stream until it is exhausted (``availableNow``) or ``t`` items were taken.
-
-    ``processing_time`` (e.g. ``"1 second"``) runs a continuous micro-batch query instead; it
-    then needs ``t`` to stop.  ``compact_every`` folds the committed batches into a base
-    snapshot every that many batches (long-running streams).  Returns the sink folder for the
-    ``snapshot_*`` readers.
+        total = self.before(spark, batch_id)
+        if total < self.t:
+            write_batch(histogram(batch, self.item_col), batch_id, self.sink)
+            n = spark.read.parquet(f"{self.sink}/batch_id={batch_id}").agg(F.coalesce(F.sum("freq"), F.lit(0))).first()[0]
+            total += n
+            self.known = (batch_id, total)
+        if total >= self.t:
+            self.reached.set()
+
+
+def run_until(stream: DataFrame, t: int, sink: str | None = None, item_col: str = "item", checkpoint: str | None = None,
+              processing_time: str | None = None, timeout: float | None = None) -> str:
+    """Runs the stream until ``t`` items were taken or it is exhausted; returns the sink for ``taken``.
+
+    ``processing_time`` (e.g. ``"1 second"``) runs a continuous micro-batch query instead of
+    ``availableNow``.
     """
-    spark = stream.sparkSession
-    sink = sink or scratch_path(spark, "sketch-sink")
-    checkpoint = checkpoint or f"{sink}/_checkpoint"
-    writer = _BatchWriter(spec, sink, t, item_col, compact_every)
-    w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
-    if query_name:
-        w = w.queryName(query_name)
-    if processing_time:
-        if t is None:
-            raise ValueError("a processing-time stream needs t to stop")
-        w = w.trigger(processingTime=processing_time)
-    else:
-        w = w.trigger(availableNow=True)
-    q = w.start()
+    sink = sink or scratch_path(stream.sparkSession, "stream-until")
+    rule = _Until(t, sink, item_col)
+    writer = stream.writeStream.foreachBatch(rule).option("checkpointLocation", checkpoint or f"{sink}-checkpoint")
+    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    query = writer.trigger(**trigger).start()
     waited = 0.0
     try:
-        while q.isActive:
-            if writer.reached.is_set():
-                q.stop()
-                break
-            q.awaitTermination(0.2)
-            waited += 0.2
+        while query.isActive and not rule.reached.is_set():
+            query.awaitTermination(0.1)
+            waited += 0.1
             if timeout is not None and waited > timeout:
-                q.stop()
                 raise TimeoutError("stream did not finish in time")
     finally:
-        if q.isActive:
-            q.stop()
-    err = q.exception()
-    if err is not None:
-        raise err
+        if query.isActive:
+            query.stop()
+    if query.exception() is not None:
+        raise query.exception()
     return sink
 
 
-def snapshot_histogram(spark: SparkSession, sink: str) -> DataFrame:
-    """``[item, freq]`` over all written batches (base snapshot plus later deltas)."""
-    cur = _current(spark, sink)
-    if cur is None:
-        return spark.createDataFrame([], "item bigint, freq bigint")
-    return (cur.where(F.col("kind") == "hist")
-            .groupBy(F.col("a").alias("item")).agg(F.sum("v").cast("bigint").alias("freq")))
-
-
-def snapshot_cells(spark: SparkSession, sink: str, kind: str = "cm") -> DataFrame:
-    """``[r, c, v]`` of the count-min (``cm``) or count sketch (``cs``) of all written batches."""
-    if kind not in ("cm", "cs"):
-        raise ValueError("kind is 'cm' or 'cs'")
-    cur = _current(spark, sink)
-    if cur is None:
-        return spark.createDataFrame([], "r int, c int, v bigint")
-    return (cur.where(F.col("kind") == kind)
-            .groupBy(F.col("a").cast("int").alias("r"), F.col("b").cast("int").alias("c"))
-            .agg(F.sum("v").cast("bigint").alias("v")))
-
-
-def snapshot_length(spark: SparkSession, sink: str) -> DataFrame:
-    """``[n_items, n_batches]``."""
-    cur = _current(spark, sink)
-    if cur is None:
-        return spark.createDataFrame([(0, 0)], "n_items bigint, n_batches bigint")
-    return cur.agg(F.coalesce(F.sum(F.when(F.col("kind") == "len", F.col("v"))), F.lit(0)).cast("bigint").alias("n_items"),
-                   F.coalesce(F.sum(F.when(F.col("kind") == "batches", F.col("v"))), F.lit(0)).cast("bigint")
-                   .alias("n_batches"))
-
-
-def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
-                files_per_trigger: int = 1) -> DataFrame:
-    """A parquet file stream over ``folder/pattern`` (one or more files per micro-batch)."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .option("basePath", folder).parquet(f"{folder.rstrip('/')}/{pattern}"))
+def taken(spark: SparkSession, sink: str) -> DataFrame | None:
+    """``[item, freq]`` over all taken batches; None if none was."""
+    if not path_exists(spark, sink):
+        return None
+    return spark.read.parquet(sink).groupBy("item").agg(F.sum("freq").cast("bigint").alias("freq"))
+
+
+def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
+    """A parquet file or folder as a stream (one or more files per micro-batch, oldest first)."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)

@@ -1,16 +1,16 @@
 """Streaming: stream = batch, stop-at-T rule, replayed batches count once."""
 
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF0001
 from fairsketch.functions.hashing import SketchSpec
 from fairsketch.operators import sketch
 from fairsketch.session import scratch_path
 from fairsketch.sources import tables
 from fairsketch.streaming import stream
-from fairsketch.streaming.stream import _BatchWriter
-from conftest import SF0001
 
 SPEC = SketchSpec.draw(d=4, w=16, seed=11)
 
@@ -32,40 +32,66 @@ def _batch_items(spark):
     return tables.items_skew(spark, SF0001)
 
 
-def test_stream_equals_batch(spark, staged):
-    path, schema = staged
-    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC)
-    hist = {r["item"]: r["freq"] for r in stream.snapshot_histogram(spark, sink).collect()}
-    want = {r["item"]: r["freq"] for r in sketch.histogram(_batch_items(spark)).collect()}
-    assert hist == want
+def _histogram(df):
+    return {r["item"]: r["freq"] for r in df.collect()}
+
+
+def test_state_over_many_batches_equals_batch(spark, staged):
+    src = _items(stream.file_stream(spark, *staged))
+    sink = stream.run_state(stream.histogram_state(src))
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 5
+    assert _histogram(stream.latest(spark, sink, ["item"], "freq")) == _histogram(sketch.histogram(_batch_items(spark)))
     for kind, cells in zip(("cm", "cs"), sketch.sketches(_batch_items(spark), SPEC)):
-        got = sorted(map(tuple, stream.snapshot_cells(spark, sink, kind).collect()))
+        sink = stream.run_state(stream.sketch_state(src, SPEC, kind))
+        got = sorted(map(tuple, stream.latest(spark, sink, ["r", "c"], "v").collect()))
         assert got == sorted(map(tuple, cells.collect()))
-    n = stream.snapshot_length(spark, sink).first()
-    assert n["n_items"] == sum(want.values()) and n["n_batches"] == 5
 
 
-def test_stop_at_t(spark, staged):
+def test_a_restarted_state_query_goes_on_where_it_was(spark, staged):
     path, schema = staged
+    folder, sink = scratch_path(spark, "test-growing"), scratch_path(spark, "test-growing-sink")
+    ev = spark.read.parquet(path)
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(folder)
+    run = lambda: stream.run_state(stream.histogram_state(_items(stream.file_stream(spark, folder, schema))), sink)
+    run()
+    ev.where("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(folder)
+    run()
+    run()  # nothing new
+    assert _histogram(stream.latest(spark, sink, ["item"], "freq")) == _histogram(sketch.histogram(_batch_items(spark)))
+
+
+@pytest.mark.parametrize("processing_time", [None, "200 milliseconds"])
+def test_stop_at_t(spark, staged, processing_time):
     t = 450  # batches hold about 200 items each
-    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, t=t)
-    lengths = stream.snapshot_length(spark, sink).first()
-    per_batch = [r["v"] for r in spark.read.parquet(f"{sink}/delta").where("kind = 'len'").orderBy("batch_id").collect()]
-    assert lengths["n_items"] >= t
-    assert lengths["n_items"] - per_batch[-1] < t  # the last batch was taken because the total before it was < t
-    assert lengths["n_batches"] < 5
+    sink = stream.run_until(_items(stream.file_stream(spark, *staged)), t, processing_time=processing_time, timeout=120)
+    per_batch = [r["n"] for r in spark.read.parquet(sink).groupBy("batch_id").agg(F.sum("freq").alias("n")).orderBy("batch_id").collect()]
+    assert sum(per_batch) >= t > sum(per_batch[:-1]) and len(per_batch) < 5
+    assert sum(_histogram(stream.taken(spark, sink)).values()) == sum(per_batch)
+
+
+def test_an_exhausted_stream_is_taken_whole(spark, staged):
+    sink = stream.run_until(_items(stream.file_stream(spark, *staged)), 10**9)
+    assert _histogram(stream.taken(spark, sink)) == _histogram(sketch.histogram(_batch_items(spark)))
 
 
 def test_replayed_batch_counts_once(spark):
     sink = scratch_path(spark, "test-replay")
-    writer = _BatchWriter(SPEC, sink, None, "item")
     batch = spark.range(100).select((F.col("id") % 7).alias("item"))
-    writer(batch, 0)
-    writer(batch, 1)
-    writer(batch, 1)  # replay of batch 1 after a failure
-    hist = {r["item"]: r["freq"] for r in stream.snapshot_histogram(spark, sink).collect()}
-    assert sum(hist.values()) == 200
-    assert stream.snapshot_length(spark, sink).first()["n_batches"] == 2
+    rule = stream._Until(1000, sink, "item")
+    for b in (0, 1, 1):  # batch 1 again after a failure
+        rule(batch, b)
+    assert sum(_histogram(stream.taken(spark, sink)).values()) == 200
+    again = stream._Until(200, sink, "item")  # a new driver reads the total from the sink
+    again(batch, 2)
+    assert again.reached.is_set() and sum(_histogram(stream.taken(spark, sink)).values()) == 200
+
+
+def test_nothing_written_is_none_and_other_errors_are_raised(spark):
+    sink = scratch_path(spark, "test-nothing")
+    assert stream.taken(spark, sink) is None and stream.latest(spark, sink, ["item"], "freq") is None
+    spark.range(3).write.json(f"{sink}/batch_id=0")
+    with pytest.raises(Exception):
+        stream._Until(5, sink, "item").before(spark, 1)
 
 
 def test_prefix_rule(spark):
@@ -76,27 +102,26 @@ def test_prefix_rule(spark):
     assert stream.prefix(df, "batch", 100).count() == 14
     assert stream.prefix(df, "batch", 1).count() == 3
     assert stream.prefix(df, "batch", 0).count() == 0
+    assert stream.prefix(df.limit(0), "batch", 5).count() == 0
 
 
-def test_streaming_state_aggregates(spark, staged):
-    path, schema = staged
-    src = _items(stream.file_stream(spark, path, schema))
-    q = (stream.sketch_state(src, SPEC, "cm").writeStream.outputMode("complete").format("memory")
-         .queryName("test_cm_state").trigger(availableNow=True)
-         .option("checkpointLocation", scratch_path(spark, "test-state-ck")).start())
-    q.awaitTermination()
-    got = sorted(map(tuple, spark.sql("SELECT r, c, v FROM test_cm_state").collect()))
-    want = sorted(map(tuple, sketch.count_min(_batch_items(spark), SPEC.cm_h, SPEC.w).collect()))
-    assert got == want
+def test_prefix_scans_its_table_twice_at_most(spark):
+    import re
+
+    from tools.plan_audit import final_only
 
+    df = stream.prefix(_batch_items(spark), "batch", 700)
+    df.collect()
+    assert len(re.findall("FileScan parquet", final_only(df._jdf.queryExecution().executedPlan().toString()))) <= 2
 
-def test_items_before_across_buckets(spark):
-    import random
 
+@pytest.mark.parametrize("ids", ["dense", "sparse", "outlier"])
+def test_items_before_across_ranges(spark, ids):
     rng = random.Random(3)
-    sizes = [(b, rng.randint(1, 9)) for b in sorted(rng.sample(range(-40, 400), 60))]
+    batches = {"dense": range(60), "sparse": sorted(rng.sample(range(-10**12, 10**12), 60)), "outlier": [*range(59), 10**15]}[ids]
+    sizes = [(b, rng.randint(1, 9)) for b in batches]
     df = spark.createDataFrame(sizes, "batch bigint, n bigint")
-    for buckets in (1, 3, 7, 1024):
+    for buckets in (1, 3, 7, 256):
         got = {r["batch"]: r["before"] for r in stream.items_before(df, "batch", buckets).collect()}
         run = 0
         for b, n in sizes:
@@ -104,56 +129,13 @@ def test_items_before_across_buckets(spark):
             run += n
 
 
-def test_processing_time_stream_stops_at_t(spark, staged):
-    path, schema = staged
-    t = 300
-    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, t=t,
-                               processing_time="200 milliseconds", timeout=120)
-    lengths = stream.snapshot_length(spark, sink).first()
-    per_batch = [r["v"] for r in spark.read.parquet(f"{sink}/delta").where("kind = 'len'").orderBy("batch_id").collect()]
-    assert lengths["n_items"] >= t and lengths["n_items"] - per_batch[-1] < t
-    assert lengths["n_batches"] < 5
-    with pytest.raises(ValueError):
-        stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, processing_time="1 second")
-
-
-def test_compaction_keeps_the_state(spark, staged):
-    path, schema = staged
-    sink = stream.run_sketches(_items(stream.file_stream(spark, path, schema)), SPEC, compact_every=2)
-    assert stream._latest_base(spark, sink) is not None
-    want = {r["item"]: r["freq"] for r in sketch.histogram(_batch_items(spark)).collect()}
-    assert {r["item"]: r["freq"] for r in stream.snapshot_histogram(spark, sink).collect()} == want
-    cells = sketch.count_min(_batch_items(spark), SPEC.cm_h, SPEC.w)
-    assert sorted(map(tuple, stream.snapshot_cells(spark, sink, "cm").collect())) == sorted(map(tuple, cells.collect()))
-    n = stream.snapshot_length(spark, sink).first()
-    assert n["n_items"] == sum(want.values()) and n["n_batches"] == 5
-    # folding everything, then replaying the last batch, still counts it once
-    last = stream.compact(spark, sink)
-    assert last == 4
-    assert stream.snapshot_length(spark, sink).first()["n_items"] == sum(want.values())
-
-
-def test_replay_after_compaction(spark):
-    sink = scratch_path(spark, "test-replay-compact")
-    writer = _BatchWriter(SPEC, sink, 1000, "item", compact_every=2)
-    batch = spark.range(100).select((F.col("id") % 7).alias("item"))
-    for b in (0, 1, 2, 3):
-        writer(batch, b)
-    writer(batch, 3)  # replay of the last (uncommitted) batch
-    assert stream._latest_base(spark, sink) == 1
-    assert stream.snapshot_length(spark, sink).first()["n_items"] == 400
-    assert stream.length_before(spark, sink, 3) == 300
-
-
-def test_streaming_histogram_state(spark, staged):
-    path, schema = staged
-    src = _items(stream.file_stream(spark, path, schema))
-    q = (stream.histogram_state(src).writeStream.outputMode("update").format("memory")
-         .queryName("test_hist_state").trigger(availableNow=True)
-         .option("checkpointLocation", scratch_path(spark, "test-hist-ck")).start())
-    q.awaitTermination()
-    # update mode emits an item again whenever its count changes; the last emission is final
-    got = {r["item"]: r["freq"] for r in spark.sql(
-        "SELECT item, max(freq) AS freq FROM test_hist_state GROUP BY item").collect()}
-    want = {r["item"]: r["freq"] for r in sketch.histogram(_batch_items(spark)).collect()}
-    assert got == want
+def test_ranges_hold_about_equal_numbers_of_batches(spark):
+    """One far id does not pull the others into one window partition."""
+    sizes = spark.range(5000).select(F.col("id").alias("batch"), F.lit(1).cast("bigint").alias("n")) \
+        .union(spark.createDataFrame([(10**17, 1)], "batch bigint, n bigint"))
+    cuts = sizes.agg(F.percentile_approx("batch", [i / 256 for i in range(1, 256)], 2560)).first()[0]
+    counts = {}
+    for b in range(5000):
+        k = sum(c < b for c in cuts)
+        counts[k] = counts.get(k, 0) + 1
+    assert max(counts.values()) < 100
