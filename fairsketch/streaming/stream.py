@@ -159,4 +159,7 @@ def taken(spark: SparkSession, sink: str) -> DataFrame | None:
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     """A parquet file or folder as a stream (one or more files per micro-batch, oldest first)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    path = path.rstrip("/")
+    # as a pattern that matches this path only: a plain path is taken as the base folder, which a single file is not
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+            .option("basePath", path.rpartition("/")[0]).parquet(f"{path[:-1]}[{path[-1]}]"))
