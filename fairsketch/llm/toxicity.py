@@ -36,10 +36,10 @@ PREFIXES = (4, 6, 8)
 FACTORS = 8
 PER_CLASS = 4000
 MIN_ROWS = 4
-MIN_Z = 2.5
+MIN_Z = 4.0
 MAX_TERMS = 30_000
 EPOCHS = 25
-L2 = 2e-4
+L2 = 1e-3
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
