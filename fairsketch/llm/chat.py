@@ -154,7 +154,7 @@ def repair(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "t
                                 F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     # rows without an id are alone; their chunk number only spreads them
     chunk = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text")) \
-        .otherwise(F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit((1 << 63) - 1)))
+        .otherwise(F.coalesce(F.expr(f"turn div {CHUNK}"), F.lit((1 << 63) - 1)))
     rows = rows.withColumn("chunk", chunk.cast("long")) \
         .withColumn("block", F.pmod(F.xxhash64("conv_id", "chunk"), F.lit(n * B.BLOCKS_A_PARTITION)).cast("int")).repartition(n, "block")
 
