@@ -10,8 +10,8 @@ size of the input, so a group is a partition's share or less.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -82,10 +82,20 @@ def decoded(raw: bytes) -> np.ndarray:
     return every[np.frombuffer(raw, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished steps: it acts when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Frames built and run inside drop their shuffle files when their action ends.
+
+    For steps whose results are checkpointed: nothing reads those files again, and without this they
+    stay until the driver happens to collect its garbage.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def table(columns: dict, schema: pa.Schema) -> pa.Table:

@@ -466,26 +466,26 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                        text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, and n_links (verified links of the set's node) for every row of ``docs``."""
     checkpoint_root(docs.sparkSession)
-    rows = B.in_blocks(docs, id_col, text_col)
-    # the same block number, without moving the text
-    sketch = _sketch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(B.partitions(docs.sparkSession) * B.BLOCKS_A_PARTITION)).cast("int")),
-        words).checkpoint()
-    nodes = sketch.where("n > 0").groupBy("node", "second", "n").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "block")).alias("r"),
-        *(F.min(f"k{i}").alias(f"k{i}") for i in range(KEYS))).select(
-        "node", "n", "r.doc_id", "r.block", *(f"k{i}" for i in range(KEYS))).checkpoint()
-
-    first = _verified(rows, _first_pairs(nodes, percent), words, percent).checkpoint()
-    B.release(docs.sparkSession)
-    joined = components(first, "a", "b")
-    labels = nodes.select("node", "n", "doc_id", "block").join(joined, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node")).checkpoint()
-    more = _verified(rows, _residual_pairs(rows, labels, words, percent), words, percent).checkpoint()
-    B.release(docs.sparkSession)
+    with B.dropping_shuffles(docs.sparkSession):  # every step ends in a checkpoint
+        rows = B.in_blocks(docs, id_col, text_col)
+        # the same block number, without moving the text
+        sketch = _sketch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn(
+            "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(B.partitions(docs.sparkSession) * B.BLOCKS_A_PARTITION)).cast("int")),
+            words).checkpoint()
+        nodes = sketch.where("n > 0").groupBy("node", "second", "n").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "block")).alias("r"),
+            *(F.min(f"k{i}").alias(f"k{i}") for i in range(KEYS))).select(
+            "node", "n", "r.doc_id", "r.block", *(f"k{i}" for i in range(KEYS))).checkpoint()
+
+        first = _verified(rows, _first_pairs(nodes, percent), words, percent).checkpoint()
+        joined = components(first, "a", "b")
+        labels = nodes.select("node", "n", "doc_id", "block").join(joined, "node", "left") \
+            .withColumn("component", F.coalesce("component", "node")).checkpoint()
+        more = _verified(rows, _residual_pairs(rows, labels, words, percent), words, percent).checkpoint()
+        known = labels.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        whole = components(known.union(more), "a", "b")
 
     links = first.union(more)
-    whole = components(labels.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "a", "b")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     labels = labels.select("node", "doc_id").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
