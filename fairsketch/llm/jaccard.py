@@ -44,7 +44,7 @@ from fairsketch.session import checkpoint_root
 WORDS = 4
 PERCENT = 85
 KEYS = 4
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
 CHUNK = 4096
 
@@ -99,7 +99,7 @@ class Sets:
 
 def point(items: np.ndarray) -> np.ndarray:
     """A set's count in each of the fixed groups."""
-    return np.bincount((mix(items ^ _SALT[2]) >> U64(58)).astype(np.int64), minlength=GROUPS)
+    return np.bincount((mix(items ^ _SALT[2]) >> U64(56)).astype(np.int64), minlength=GROUPS)
 
 
 def packed(counts: np.ndarray) -> bytes:
