@@ -229,43 +229,48 @@ def _sketch(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, block int, n long, node long, second long, " + ", ".join(f"k{i} long" for i in range(KEYS)))
 
 
-_SET = pa.schema([("block", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("b_id", pa.int64()), ("items", pa.binary())])
+_ASKED = pa.schema([("block", pa.int32()), ("a", pa.int64()), ("a_id", pa.int64()), ("to", pa.list_(pa.int32())),
+                    ("b", pa.int64()), ("b_id", pa.int64()), ("partners", pa.list_(pa.int64()))])
+_SET = _ASKED.append(pa.field("items", pa.binary()))
+ASKED = "block int, a long, a_id long, to array<int>, b long, b_id long, partners array<long>"
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b and their rows' ids and blocks) that link, as (a, b).
+def _verified(rows: DataFrame, asked: DataFrame, words: int, percent: int) -> DataFrame:
+    """The asked pairs that link, as (a, b).
 
-    The set of ``a`` travels once to each block that holds partners, not once a partner.
+    Pairs come as lists, not as rows: a row of ``a`` (in its block) with the blocks ``to`` that hold
+    partners, and a row of ``b`` (in its block) with its ``partners``.  The set of ``a`` travels once to
+    each such block, not once a partner.
     """
 
     def carry(block_rows: pa.Table, side: pa.Table) -> pa.Table:
-        asked: dict[int, list] = {}
+        wanted: dict[int, set] = {}
         for a, to in zip(side.column("a").to_pylist(), side.column("to").to_pylist()):
-            asked.setdefault(a, []).append(to)
+            if a is not None:
+                wanted.setdefault(a, set()).update(to)
         out: dict[str, list] = {f.name: [] for f in _SET}
-        for _, _, s in _sets(_wanted(block_rows, side.column("a_id")), words):
+        for _, _, s in _sets(_wanted(block_rows, side.filter(pc.is_valid(side.column("a"))).column("a_id")), words):
             for i, node in enumerate(_long(s.node()).tolist()):
-                for to in asked.pop(node, ()):
-                    for name, x in zip(_SET.names, (to, node, None, None, s.of(i).tobytes())):
+                for to in sorted(wanted.pop(node, ())):
+                    for name, x in zip(_SET.names, (to, node, None, None, None, None, None, s.of(i).tobytes())):
                         out[name].append(x)
         return B.table(out, _SET)
 
     def compare(block_rows: pa.Table, side: pa.Table) -> pa.Table:
-        sets, asked = {}, {}
-        for a, b, items in zip(*(side.column(c).to_pylist() for c in ("a", "b", "items"))):
+        sets, wanted = {}, {}
+        for a, b, partners, items in zip(*(side.column(c).to_pylist() for c in ("a", "b", "partners", "items"))):
             if items is not None:
                 other = np.frombuffer(items, U64)
                 sets[a] = (other, point(other))
-            else:
-                asked.setdefault(b, []).append(a)
+            elif b is not None:
+                wanted.setdefault(b, set()).update(partners)
         left, right = [], []
-        wanted = side.filter(pc.is_null(side.column("items"))).column("b_id")
-        for _, _, s in _sets(_wanted(block_rows, wanted), words):
+        for _, _, s in _sets(_wanted(block_rows, side.filter(pc.is_valid(side.column("b"))).column("b_id")), words):
             for i, node in enumerate(_long(s.node()).tolist()):
-                if node in asked:
+                if node in wanted:
                     mine = s.of(i)
                     counts = point(mine)
-                    for a in asked.pop(node):
+                    for a in sorted(wanted.pop(node)):
                         other, theirs = sets[a]
                         if np.minimum(counts, theirs).sum() < needed(np.int64(len(mine) + len(other)), percent):
                             continue
@@ -276,21 +281,34 @@ def _verified(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
                             right.append(node)
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    asks = pairs.select(F.col("a_block").alias("block"), "a", "a_id", F.col("b_block").alias("to")).distinct()
-    sent = B.on_blocks(rows, asks, carry, "block int, a long, b long, b_id long, items binary")
-    want = pairs.select(F.col("b_block").alias("block"), "a", "b", "b_id", F.lit(None).cast("binary").alias("items"))
-    return B.on_blocks(rows, sent.unionByName(want), compare, "a long, b long")
+    asked = asked.repartition(B.partitions(rows.sparkSession), "block")  # one exchange for both passes
+    sent = B.on_blocks(rows, asked, carry, ASKED + ", items binary")
+    return B.on_blocks(rows, sent.unionByName(asked.withColumn("items", F.lit(None).cast("binary"))), compare, "a long, b long")
 
 
 def _first_pairs(nodes: DataFrame, percent: int) -> DataFrame:
-    """Each node with the smallest node of each of its minhash keys."""
+    """Each node with the smallest node of each of its minhash keys, as asked for."""
     keyed = nodes.select("node", "n", "doc_id", "block", F.explode(F.array(*(f"k{i}" for i in range(KEYS)))).alias("key"))
     pivot = keyed.groupBy("key").agg(F.min(F.struct("node", "n", "doc_id", "block")).alias("p"), F.count("*").alias("c")) \
         .where("c > 1").select("key", "p")
-    return keyed.join(pivot, "key").where(
-        f"node <> p.node and 100 * least(n, p.n) >= {percent} * greatest(n, p.n)").select(
+    pairs = keyed.join(pivot, "key").where(f"node <> p.node and 100 * least(n, p.n) >= {percent} * greatest(n, p.n)").select(
         F.col("p.node").alias("a"), F.col("p.doc_id").alias("a_id"), F.col("p.block").alias("a_block"),
-        F.col("node").alias("b"), F.col("doc_id").alias("b_id"), F.col("block").alias("b_block")).distinct()
+        F.col("node").alias("b"), F.col("doc_id").alias("b_id"), F.col("block").alias("b_block"))
+    # at most all block numbers, and at most KEYS partners, in a list
+    asks = pairs.groupBy(F.col("a_block").alias("block"), "a", "a_id").agg(F.collect_set("b_block").alias("to"))
+    wants = pairs.groupBy(F.col("b_block").alias("block"), "b", "b_id").agg(F.collect_set("a").alias("partners"))
+    return asks.unionByName(wants, allowMissingColumns=True).select("block", "a", "a_id", "to", "b", "b_id", "partners")
+
+
+def _lists(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owners, offsets, values): each owner's distinct values."""
+    order = np.lexsort((value, owner))
+    o, v = owner[order], value[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
+    o, v = o[new], v[new]
+    first = np.flatnonzero(np.append(True, o[1:] != o[:-1])) if len(o) else np.zeros(0, np.int64)
+    return o[first], np.append(first, len(o)), v
 
 
 _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())])
@@ -333,7 +351,7 @@ def _distinct_owned(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of different components whose points, in a common cell, allow a link."""
+    """Pairs of different components whose points, in a common cell, allow a link, as asked for."""
     buckets = B.partitions(rows.sparkSession)
 
     def send(block_rows: pa.Table, side: pa.Table) -> pa.Table:
@@ -429,10 +447,27 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         swap = col["node"][a] > col["node"][b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        once = np.unique(place[a] * len(nodes) + place[b], return_index=True)[1]
-        a, b = a[once], b[once]
-        return pa.table({"a": pa.array(col["node"][a]), "a_id": ids.take(pa.array(a)), "a_block": pa.array(col["block"][a], pa.int32()),
-                         "b": pa.array(col["node"][b]), "b_id": ids.take(pa.array(b)), "b_block": pa.array(col["block"][b], pa.int32())})
+        # a node stands in many cells; its first row speaks for it
+        speaks = np.unique(place, return_index=True)[1]
+        owner, cut, to = _lists(place[a], col["block"][b])
+        asks = speaks[owner]
+        owner, cut_b, partners = _lists(place[b], col["node"][a])
+        wants = speaks[owner]
+        n_a, n_b = len(asks), len(wants)
+        at = pa.array(np.concatenate([asks, wants]))
+        is_ask = np.arange(n_a + n_b) < n_a
+        node = np.concatenate([col["node"][asks], col["node"][wants]])
+        of = lambda x, keep: pa.array(x, pa.int64(), mask=~keep)
+        named = ids.take(at)
+        none = pa.nulls(n_a + n_b, pa.int64())
+        return pa.table({
+            "block": pa.array(col["block"][np.concatenate([asks, wants])], pa.int32()),
+            "a": of(node, is_ask), "a_id": pc.if_else(pa.array(is_ask), named, none),
+            "to": pa.concat_arrays([pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(to, pa.int32())),
+                                    pa.nulls(n_b, pa.list_(pa.int32()))]),
+            "b": of(node, ~is_ask), "b_id": pc.if_else(pa.array(is_ask), none, named),
+            "partners": pa.concat_arrays([pa.nulls(n_a, pa.list_(pa.int64())),
+                                          pa.ListArray.from_arrays(pa.array(cut_b, pa.int32()), pa.array(partners, pa.int64()))])})
 
     none = {"bucket": F.lit(None).cast("int"), "bits": F.lit(None).cast("binary")}
     side = labels.select("block", "doc_id", "node", "component").withColumns(none)
@@ -459,7 +494,7 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         "key", "cell.x", "cell.y", "cell.side", "node", "component", "n", "doc_id", "block", "point")
     # many cells a task; a cell's chunks are bounded, so a bucket is a few of them
     return placed.withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))).groupBy("bucket").applyInArrow(
-        search, "a long, a_id long, a_block int, b long, b_id long, b_block int").distinct()
+        search, ASKED)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
