@@ -48,13 +48,17 @@ def as_center_list(centers, max_k: int = MAX_K) -> Centers:
         else:
             xs = sorted((c for c in cols if c.startswith("x") and c[1:].isdigit()), key=lambda c: int(c[1:]))
             sel = centers.select("cid", F.array(*[F.col(x).cast("double") for x in xs]).alias("c"))
-        n, known, width = sel.agg(F.count(F.lit(1)), F.count("cid"), F.max(F.size("c"))).first()
-        if n > max_k:
-            raise ValueError(f"more than {max_k} centres")
-        if known < n:
-            raise ValueError("a centre has no id")
-        V.check_budget(n, width or 0)
-        rows = sel.orderBy("cid").collect()  # at most max_k rows and MAX_CENTER_TERMS coordinates
+        sel = sel.persist()  # computed once for the check and the rows
+        try:
+            n, known, width = sel.agg(F.count(F.lit(1)), F.count("cid"), F.max(F.size("c"))).first()
+            if n > max_k:
+                raise ValueError(f"more than {max_k} centres")
+            if known < n:
+                raise ValueError("a centre has no id")
+            V.check_budget(n, width or 0)
+            rows = sel.orderBy("cid").collect()  # at most max_k rows and MAX_CENTER_TERMS coordinates
+        finally:
+            sel.unpersist()
         if any(r["c"] is None or any(v is None for v in r["c"]) for r in rows):
             raise ValueError("a centre has no coordinates")
         out = Centers((r["c"] for r in rows), (r["cid"] for r in rows))
@@ -74,6 +78,12 @@ def _centers_param(spark, cs) -> F.Column:
     return spark.range(1).select(F.expr(f"array({flat})").alias("c")).scalar()
 
 
+def center_frame(spark, cs: Centers) -> DataFrame:
+    """``[cid, c]`` of the centres, made in the JVM (K rows)."""
+    rows = ", ".join(f"named_struct('cid', {i}, 'c', array({', '.join(V.num(v) for v in c)}))" for i, c in zip(cs.ids, cs))
+    return spark.range(1).select(F.expr(f"inline(array({rows}))"))
+
+
 def _kept(points: DataFrame, *new: str) -> list[str]:
     """The input's columns that stay; output columns replace those of the same name."""
     return [f"`{c}`" for c in points.columns if c.lower() not in new]

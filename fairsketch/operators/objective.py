@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .assign import as_center_list, min_sq_distance, nearest_center
+from .assign import as_center_list, center_frame, min_sq_distance, nearest_center
 
 
 def _guard_nonempty(n: F.Column, name: str, value: F.Column) -> F.Column:
@@ -75,8 +75,7 @@ def cluster_group_counts(points: DataFrame, centers, with_empty: bool = False) -
     out = (nearest_center(points, cs).groupBy("cid")
            .agg(F.count_if(F.col("grp") == "A").alias("n_a"),
                 F.count_if(F.col("grp") == "B").alias("n_b")))
-    table = points.sparkSession.createDataFrame([(i, list(c)) for i, c in zip(cs.ids, cs)], "cid int, c array<double>")
-    out = table.join(out, "cid", "left" if with_empty else "inner")
+    out = center_frame(points.sparkSession, cs).join(out, "cid", "left" if with_empty else "inner")
     return out.select("cid", "c", F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b")).orderBy("cid")
 
 
