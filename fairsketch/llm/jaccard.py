@@ -521,7 +521,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         whole = components(known.union(more), "a", "b")
 
     links = first.union(more)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    ends = [links.groupBy(F.col(c).alias("node")).agg(F.count("*").alias("n")) for c in ("a", "b")]
+    degree = ends[0].union(ends[1]).groupBy("node").agg(F.sum("n").alias("n_links"))
     labels = labels.select("node", "doc_id").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = labels.join(least, "component").select("node", "component_id").join(degree, "node", "left")
