@@ -19,8 +19,12 @@ coordinate, so points bound it without the sets.
    with the maxima reach the needed overlap, then compares points.  Pairs of one component are not
    queried.  Large cells are cut into chunks; queries meet each chunk.
 5. Surviving pairs are verified on the sets; components follow from all verified links.
+6. Linked texts are of one component, so links are counted there: each component's sets meet in one
+   group, or in one for each pair of its parts if it is large, and every pair of sets is compared once.
+   Counts leave the group, pairs do not.
 
-No link is lost: step 3 covers every linking pair, and step 4 leaves out only settled pairs.
+No link is lost: step 3 covers every linking pair, step 4 leaves out only pairs of one component, and
+step 6 counts those.
 
 Defined results.  Null or empty text: no set, linked with nothing, its own component.  Rows with a
 null id take their set's component (null if no row of it has an id).  Repeated ids are rows of their
@@ -47,6 +51,7 @@ KEYS = 4
 GROUPS = 256
 LEAF = 32
 CHUNK = 4096
+PART, PART_ITEMS = 2048, 1 << 20
 
 _SALT = [mix(U64(0xD1B54A32D192ED03) * np.arange(i + 1, i + 2, dtype=U64))[0] for i in range(2 * KEYS + 4)]
 
@@ -179,6 +184,45 @@ def needed(total: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * total // (100 + percent))
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left set with each right one."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    own_a, own_b = (np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right))
+    codes, a = np.unique(np.concatenate(left), return_inverse=True)
+    b = np.concatenate(right)
+    place = np.minimum(np.searchsorted(codes, b), len(codes) - 1)
+    hit = codes[place] == b
+    b, own_b = place[hit], own_b[hit]
+    held = np.bincount(b, minlength=len(codes))
+    order = np.argsort(b, kind="stable")
+    first = np.concatenate([[0], np.cumsum(held)])
+    # items of many sets: a product of 0-1 matrices, some columns at a time
+    many = held * 16 > len(right)
+    column = np.cumsum(many) - 1
+    x, y = many[a], many[b]
+    ca, ra, cb, rb = column[a[x]], own_a[x], column[b[y]], own_b[y]
+    oa, ob = np.argsort(ca, kind="stable"), np.argsort(cb, kind="stable")
+    ca, ra, cb, rb = ca[oa], ra[oa], cb[ob], rb[ob]
+    for lo in range(0, int(many.sum()), 1024):
+        m = np.zeros((len(left), 1024), np.float32), np.zeros((len(right), 1024), np.float32)
+        for at, c, r in zip(m, (ca, cb), (ra, rb)):
+            i, j = np.searchsorted(c, [lo, lo + 1024])
+            at[r[i:j], c[i:j] - lo] = 1
+        out += (m[0] @ m[1].T).astype(np.int64)
+    # items of few: the sets that hold them, one left set after another
+    few = ~many[a] & (held[a] > 0)
+    a, own_a = a[few], own_a[few]
+    o = np.argsort(own_a, kind="stable")
+    a = a[o]
+    ends = np.searchsorted(own_a[o], np.arange(len(left) + 1)).tolist()
+    for i, (lo, hi) in enumerate(zip(ends, ends[1:])):
+        if hi > lo:
+            n = held[a[lo:hi]]
+            at = np.repeat(first[a[lo:hi]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out[i] += np.bincount(own_b[order[at]], minlength=len(right))
+    return out
+
+
 class RTree:
     """A packed R-tree of count points: points in size order, leaves of ``LEAF`` with maxima and size range."""
 
@@ -216,17 +260,17 @@ def _long(x: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, block, n, node, second, k0.. for every row."""
-    names = ["doc_id", "block", "n", "node", "second", *(f"k{i}" for i in range(KEYS))]
+    """doc_id, block, same, n, node, second, k0.. for every row; ``same`` is equal for equal texts."""
+    names = ["doc_id", "block", "same", "n", "node", "second", *(f"k{i}" for i in range(KEYS))]
 
     def run(batches):
         for b in batches:
             for lo, hi, s in _sets(pa.Table.from_batches([b]), words):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[lo:hi], b.column(2)[lo:hi], pa.array(s.sizes, pa.int64()),
+                    [b.column(0)[lo:hi], b.column(2)[lo:hi], b.column(3)[lo:hi], pa.array(s.sizes, pa.int64()),
                      *(pa.array(_long(x)) for x in (s.node(), s.second(), *s.minhash_keys()))], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, block int, n long, node long, second long, " + ", ".join(f"k{i} long" for i in range(KEYS)))
+    return docs.mapInArrow(run, "doc_id long, block int, same long, n long, node long, second long, " + ", ".join(f"k{i} long" for i in range(KEYS)))
 
 
 _ASKED = pa.schema([("block", pa.int32()), ("a", pa.int64()), ("a_id", pa.int64()), ("to", pa.list_(pa.int32())),
@@ -497,36 +541,96 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         search, ASKED)
 
 
+_HELD = pa.schema([("component", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("part", pa.int32()),
+                   ("node", pa.int64()), ("texts", pa.int64()), ("items", pa.binary())])
+
+
+def _link_counts(rows: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, n): how many texts of other nodes a node's texts link with; nodes without one are left out.
+
+    ``labels`` has node, n, doc_id, block, texts (how many different ones) and the final component.
+    """
+    buckets = B.partitions(rows.sparkSession)
+
+    def carry(block_rows: pa.Table, side: pa.Table) -> pa.Table:
+        wanted = {node: x for node, *x in zip(*(side.column(c).to_pylist() for c in ("node", "component", "texts", "part", "parts")))}
+        out: dict[str, list] = {f.name: [] for f in _HELD}
+        for _, _, s in _sets(_wanted(block_rows, side.column("doc_id")), words):
+            for i, node in enumerate(_long(s.node()).tolist()):
+                if node in wanted:  # once, whatever copies the block holds
+                    component, texts, part, parts = wanted.pop(node)
+                    for other in range(parts):
+                        for name, x in zip(out, (component, min(part, other), max(part, other), part, node, texts, s.of(i).tobytes())):
+                            out[name].append(x)
+        return B.table(out, _HELD)
+
+    def count(held: pa.Table) -> pa.Table:
+        col = {c: held.column(c).to_numpy() for c in ("component", "x", "y", "part", "node", "texts")}
+        items = held.column("items").to_pylist()
+        order = np.lexsort((col["node"], col["part"], col["y"], col["x"], col["component"]))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([col[c][order[1:]] != col[c][order[:-1]] for c in ("component", "x", "y")], axis=0)
+        cut = np.append(np.flatnonzero(new), len(order)).tolist()
+        nodes, links = [], []
+        for lo, hi in zip(cut, cut[1:]):
+            at = order[lo:hi]
+            part = col["part"][at]
+            whole = col["x"][at[0]] == col["y"][at[0]]  # one part with itself
+            a, b = (at, at) if whole else (at[part == part[0]], at[part != part[0]])
+            if not len(b):
+                continue
+            left = [np.frombuffer(items[i], U64) for i in a]
+            right = left if whole else [np.frombuffer(items[i], U64) for i in b]
+            both = overlaps(left, right)
+            total = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])
+            link = 100 * both >= percent * (total - both)
+            if whole:
+                np.fill_diagonal(link, False)
+            for own, other, grid in ((a, b, link), (b, a, link.T))[:1 if whole else 2]:
+                nodes.append(col["node"][own])
+                links.append(grid @ col["texts"][other])
+        node, n = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (nodes, links))
+        return pa.table({"node": pa.array(node[n > 0], pa.int64()), "n": pa.array(n[n > 0], pa.int64())})
+
+    # a component's parts are bounded in sets and in items
+    size = labels.groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("t")).where("c > 1").select(
+        "component", F.greatest(F.ceil(F.col("c") / PART), F.ceil(F.col("t") / PART_ITEMS)).cast("int").alias("parts"))
+    side = labels.join(size, "component").select(
+        "block", "doc_id", "node", "component", "texts", F.expr("cast(pmod(xxhash64(node), parts) as int)").alias("part"), "parts")
+    held = B.on_blocks(rows, side, carry, "component long, x int, y int, part int, node long, texts long, items binary")
+    return held.withColumn("bucket", F.pmod(F.xxhash64("component", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))) \
+        .groupBy("bucket").applyInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, and n_links (verified links of the set's node) for every row of ``docs``."""
+    """doc_id, n_shingles, component_id, and n_links (how many other, different texts the text links with) for every row of ``docs``."""
     checkpoint_root(docs.sparkSession)
     with B.dropping_shuffles(docs.sparkSession):  # every step ends in a checkpoint
         rows = B.in_blocks(docs, id_col, text_col)
         # the same block number, without moving the text
         sketch = _sketch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn(
-            "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(B.partitions(docs.sparkSession) * B.BLOCKS_A_PARTITION)).cast("int")),
-            words).checkpoint()
-        nodes = sketch.where("n > 0").groupBy("node", "second", "n").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "block")).alias("r"),
-            *(F.min(f"k{i}").alias(f"k{i}") for i in range(KEYS))).select(
-            "node", "n", "r.doc_id", "r.block", *(f"k{i}" for i in range(KEYS))).checkpoint()
+            "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(B.partitions(docs.sparkSession) * B.BLOCKS_A_PARTITION)).cast("int"))
+            .withColumn("same", F.xxhash64("text")), words).checkpoint()
+        keys = [F.min(f"k{i}").alias(f"k{i}") for i in range(KEYS)]
+        nodes = sketch.where("n > 0").groupBy("node", "second", "n", "same").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "block")).alias("r"), *keys).groupBy("node", "second", "n").agg(
+            F.min("r").alias("r"), F.count("*").alias("texts"), *keys).select(
+            "node", "n", "texts", "r.doc_id", "r.block", *(f"k{i}" for i in range(KEYS))).checkpoint()
 
         first = _verified(rows, _first_pairs(nodes, percent), words, percent).checkpoint()
         joined = components(first, "a", "b")
-        labels = nodes.select("node", "n", "doc_id", "block").join(joined, "node", "left") \
+        labels = nodes.select("node", "n", "texts", "doc_id", "block").join(joined, "node", "left") \
             .withColumn("component", F.coalesce("component", "node")).checkpoint()
         more = _verified(rows, _residual_pairs(rows, labels, words, percent), words, percent).checkpoint()
         known = labels.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
         whole = components(known.union(more), "a", "b")
 
-    links = first.union(more)
-    ends = [links.groupBy(F.col(c).alias("node")).agg(F.count("*").alias("n")) for c in ("a", "b")]
-    degree = ends[0].union(ends[1]).groupBy("node").agg(F.sum("n").alias("n_links"))
-    labels = labels.select("node", "doc_id").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = labels.drop("component").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    degree = _link_counts(rows, labels, words, percent)
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    found = labels.join(least, "component").select("node", "component_id").join(degree, "node", "left")
+    found = labels.join(least, "component").select("node", "texts", "component_id").join(degree.withColumnRenamed("n", "linked"), "node", "left")
     own = sketch.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
                                        F.lit(0).cast("long").alias("n_links"))
     return sketch.where("n > 0").join(found, "node").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")).union(own)
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", (F.coalesce("linked", F.lit(0)) + F.col("texts") - 1).cast("long").alias("n_links")).union(own)

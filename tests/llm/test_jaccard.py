@@ -124,6 +124,41 @@ def test_large_group_of_near_copies(spark):
     assert all(c == i for i, _, c in rows if i >= 600)
 
 
+def links(texts, k, percent):
+    """How many other, different texts each text links with."""
+    every = {t: shingles(t, k) for t in texts if shingles(t, k)}
+    link = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+    n = {t: sum(u != t and link(every[t], every[u]) for u in every) for t in every}
+    return [n.get(t, 0) for t in texts]
+
+
+def n_links(df):
+    return [r.n_links for r in sorted(df.collect(), key=lambda r: r.doc_id)]
+
+
+def near_copies(n):
+    """All link with each other; the first few stand there in capitals too, and as repeated rows."""
+    out = [" ".join("x" + str(i) if p == i % 150 else f"w{p}" for p in range(150)) for i in range(n)]
+    return out + [t.upper() for t in out[:5]] + out[:3]
+
+
+@pytest.mark.parametrize("part", [2048, 7])
+def test_links_equal_brute_force(spark, monkeypatch, part):
+    """Every pair of different texts once, within a first component and across parts too."""
+    monkeypatch.setattr(J, "PART", part)
+    for ts, k, percent in ((corpus(11) + near_copies(60), 4, 85), (corpus(12, 25), 1, 60)):
+        want = links(ts, k, percent)
+        assert n_links(J.jaccard_components(frame(spark, ts), k, percent)) == want and max(want) > 2
+
+
+def test_overlaps():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 200)).astype(np.uint64)) for _ in range(90)]
+    sets += [np.unique(np.append(np.arange(120, dtype=np.uint64), U)) for U in rng.integers(0, 3000, 60).astype(np.uint64)]
+    for left, right in ((sets, sets), (sets[:20], sets[20:]), (sets[:1], sets[1:3])):
+        assert J.overlaps(left, right).tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+
+
 def test_edges(spark):
     df = frame(spark, ["a b c d e", "a b c d e", None, "", "q r"], ids=[None, 4, 4, None, None]).selectExpr("*", "1 as block", "1 as n")
     assert got(J.jaccard_components(df)) == sorted([(None, 2, 4), (4, 2, 4), (4, 0, 4), (None, 0, None), (None, 1, None)], key=str)
