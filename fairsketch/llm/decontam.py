@@ -4,8 +4,9 @@ The index holds the test items: for each term its items with their BM25 impacts,
 score for its own words, so a passage that holds all of an item scores 1 whatever the item.  Items stand
 in blocks of ``BLOCK``; the index keeps each term's largest impact in each block.
 
-Every text is cut into overlapping passages wide enough that any item lies whole inside one, and each
-passage is a query.  For a batch of passages at once:
+Item count, document frequencies and mean length are those of the whole table of items.  Items fall into
+classes of similar length, and for each class every text is cut into overlapping passages wide enough that
+any of its items lies whole inside one; each passage is a query.  For a batch of passages at once:
 
 1. Terms are ordered by their largest impact; the longest prefix whose impacts add up to less than the
    threshold can reach it alone for no item.  A passage without any other term is skipped.
@@ -17,7 +18,9 @@ passage is a query.  For a batch of passages at once:
    in the passage.
 
 The index is sent to the tasks in shards of at most ``SHARD`` items (a bounded table), one pass over the
-texts a shard; the texts are never shuffled, and a hot item or source costs its own rows only.
+texts a shard; the texts are never shuffled, and a hot item or source costs its own rows only.  Which items
+share a shard changes no result: statistics and passage widths come from one aggregate over all items, of
+which the driver reads a shard's own words.
 
 An item's answer is what follows its last question mark; without one, its last sentence; if that is all,
 its last quarter of words.
@@ -40,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairsketch.llm.words import LETTERS_DIGITS, U64, Text, sequence, string_column, texts, word_sums
+from fairsketch.session import checkpoint_root
 
 K1, B_LENGTH = 1.2, 0.75
 THRESHOLD = 0.5
@@ -48,6 +52,7 @@ GRAM = 3
 BLOCK = 8
 SHARD = 1024
 MIN_STRIDE = 32
+FIRST_CLASS = 64
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long, last_word long"
 
@@ -98,8 +103,25 @@ class Index:
     threshold: float
 
 
-def build(items: list[tuple], threshold: float = THRESHOLD) -> Index | None:
-    """The index of (id, text) items; items without a word are left out."""
+@dataclass
+class Statistics:
+    n: int                   # items with a word
+    mean: float              # their mean length
+    longest: dict[int, int]  # by length class
+    terms: np.ndarray        # in order; at least those of the items to be indexed
+    df: np.ndarray
+
+
+def length_class(n: int) -> int:
+    """0 up to ``FIRST_CLASS`` words; each further class is twice as wide."""
+    return max(0, (-(-n // FIRST_CLASS) - 1).bit_length())
+
+
+def build(items: list[tuple], threshold: float = THRESHOLD, whole: Statistics | None = None) -> Index | None:
+    """The index of (id, text) items; items without a word are left out.
+
+    Without ``whole``, the items are the whole table.  With it, they are of one length class.
+    """
     kept = [(i, t, w) for i, t in items if t for w in [_words(t)] if len(w)]
     if not kept:
         return None
@@ -110,9 +132,14 @@ def build(items: list[tuple], threshold: float = THRESHOLD) -> Index | None:
     vocabulary, term = np.unique(np.concatenate([w for _, _, w in kept]), return_inverse=True)
     key, tf = np.unique(term.astype(np.int64) * len(kept) + owner, return_counts=True)
     term, item = key // len(kept), key % len(kept)
-    df = np.bincount(term, minlength=len(vocabulary))
-    idf = np.log(1 + (len(kept) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B_LENGTH + B_LENGTH * lengths[item] / lengths.mean()))
+    if whole:
+        n, mean, df = whole.n, whole.mean, whole.df[np.searchsorted(whole.terms, vocabulary)]
+        longest = whole.longest[length_class(int(lengths.max()))]
+    else:
+        n, mean, df = len(kept), lengths.mean(), np.bincount(term, minlength=len(vocabulary))
+        longest = int(lengths.max())
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B_LENGTH + B_LENGTH * lengths[item] / mean))
     impact /= np.bincount(item, weights=impact, minlength=len(kept))[item]
     blocks = -(-len(kept) // BLOCK)
     top = np.zeros((len(vocabulary), blocks), np.float32)
@@ -124,7 +151,7 @@ def build(items: list[tuple], threshold: float = THRESHOLD) -> Index | None:
     parts = [question_and_answer(t) for _, t, _ in kept]
     return Index([i for i, _, _ in kept], vocabulary, np.searchsorted(term, np.arange(len(vocabulary) + 1)), item, impact,
                  top, essential, [_grams(_words(q)) for q, _ in parts], [_grams(_words(a)) for _, a in parts],
-                 max(MIN_STRIDE, int(lengths.max())), threshold)
+                 max(MIN_STRIDE, longest), threshold)
 
 
 def _overlap(have: np.ndarray, grams: np.ndarray) -> float:
@@ -191,18 +218,63 @@ def leaks_of(t: Text, index: Index, question: float, answer: float) -> dict[tupl
     return out
 
 
-def shards(items: DataFrame, id_col: str, text_col: str, threshold: float) -> Iterator[Index]:
-    """Indexes of at most ``SHARD`` items each, read one after another."""
+def _statistics(items: DataFrame) -> DataFrame:
+    """(kind, key, n, most) over all items: 0 a term's document frequency, 1 a length class's items and longest length, 2 all words."""
+    names = ["kind", "key", "n", "most"]
+
+    def run(batches):
+        for b in batches:
+            for _, _, t in lower_texts(b.column(0)):
+                h = t.hashes()
+                order = np.lexsort((h, t.doc))
+                d, w = t.doc[order], h[order]
+                new = np.ones(len(w), bool)
+                new[1:] = (d[1:] != d[:-1]) | (w[1:] != w[:-1])
+                terms, df = np.unique(w[new], return_counts=True)
+                out = [(0, x, n, 0) for x, n in zip(terms.view(np.int64).tolist(), df.tolist())]
+                out += [(1, length_class(n), 1, n) for n in t.counts.tolist() if n] + [(2, 0, len(h), 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
+
+    return items.mapInArrow(run, "kind long, key long, n long, most long").groupBy("kind", "key").agg(
+        F.sum("n").alias("n"), F.max("most").alias("most"))
+
+
+def shards(items: DataFrame, id_col: str, text_col: str, threshold: float) -> Iterator[list[Index]]:
+    """Indexes of at most ``SHARD`` items together, one a length class, read one after another."""
+    spark = items.sparkSession
+    checkpoint_root(spark)
+    counted = _statistics(items.select(F.col(text_col).cast("string").alias("text"))).checkpoint()
+    sizes = counted.where("kind > 0").collect()  # a row a length class, and one
+    n = sum(r.n for r in sizes if r.kind == 1)
+    if not n:
+        return
+    mean = sum(r.n for r in sizes if r.kind == 2) / n
+    longest = {r.key: r.most for r in sizes if r.kind == 1}
+
+    def indexes(held):
+        held = [(i, t, w) for i, t in held if t for w in [_words(t)] if len(w)]
+        if not held:
+            return []
+        terms = np.unique(np.concatenate([w for _, _, w in held]))
+        asked = spark.createDataFrame([(x,) for x in terms.view(np.int64).tolist()], "key long")
+        found = counted.where("kind = 0").join(F.broadcast(asked), "key").select("key", "n").toArrow()
+        key = found.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        whole = Statistics(n, mean, longest, key[order], found.column("n").to_numpy()[order])
+        by: dict[int, list] = {}
+        for i, t, w in held:
+            by.setdefault(length_class(len(w)), []).append((i, t))
+        return [build(by[c], threshold, whole) for c in sorted(by)]
+
     held = []
-    for r in items.select(id_col, text_col).toLocalIterator():
+    for r in items.select(id_col, F.col(text_col).cast("string")).toLocalIterator():
         held.append((r[0], r[1]))
         if len(held) == SHARD:
-            index, held = build(held, threshold), []
-            if index:
-                yield index
-    index = build(held, threshold)
-    if index:
-        yield index
+            if out := indexes(held):
+                yield out
+            held = []
+    if out := indexes(held):
+        yield out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION, answer: float = ANSWER,
@@ -210,18 +282,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     """One row for each text and test item that it leaks."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
-    for index in shards(items, item_id_col, item_text_col, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in shards(items, item_id_col, item_text_col, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches, shared=shared):
             for b in batches:
                 for lo, hi, t in lower_texts(b.column(1)):
-                    hits = sorted(leaks_of(t, shared.value, question, answer).items())
+                    hits = [(d, index.ids[k], v) for index in shared.value
+                            for (d, k), v in sorted(leaks_of(t, index, question, answer).items())]
                     if hits:
                         yield pa.RecordBatch.from_arrays(
-                            [b.column(0).take(pa.array([lo + d for (d, _), _ in hits])),
-                             pa.array([shared.value.ids[k] for (_, k), _ in hits], pa.int64()),
-                             *(pa.array([v[i] for _, v in hits], pa.float64() if i < 3 else pa.int64()) for i in range(5))],
+                            [b.column(0).take(pa.array([lo + d for d, _, _ in hits])),
+                             pa.array([i for _, i, _ in hits], pa.int64()),
+                             *(pa.array([v[i] for _, _, v in hits], pa.float64() if i < 3 else pa.int64()) for i in range(5))],
                             names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word", "last_word"])
 
         part = rows.mapInArrow(run, SCHEMA)
@@ -234,15 +307,16 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     """``docs`` without the rows that leak an item; columns unchanged, one pass a shard, no shuffle."""
     out = docs
     place = docs.columns.index(text_col)
-    for index in shards(items, item_id_col, item_text_col, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for indexes in shards(items, item_id_col, item_text_col, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches, shared=shared):
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
                 for lo, hi, t in lower_texts(b.column(place)):
-                    for d, _ in leaks_of(t, shared.value, question, answer):
-                        clean[lo + d] = False
+                    for index in shared.value:
+                        for d, _ in leaks_of(t, index, question, answer):
+                            clean[lo + d] = False
                 yield b.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema)

@@ -100,6 +100,27 @@ def test_shards_give_the_same_result(spark, monkeypatch):
     assert whole == cut and whole
 
 
+def test_shards_give_the_same_rows_and_scores(spark, monkeypatch):
+    """Edited and partial copies near the threshold, a lone item in the last shard, lengths of three classes, any order."""
+    rng = random.Random(15)
+    items = [sentence(rng, rng.randint(10, 30)) for _ in range(33)] + [sentence(rng, 100), sentence(rng, 300), sentence(rng, 20)]
+    docs = [sentence(rng, 40) + " " + " ".join(x for x in w.split() if rng.random() > p) + " " + sentence(rng, rng.randint(0, 90))
+            for w in items for p in (0, .2, .4)]
+    bench = list(enumerate(items))
+    found = lambda rows: sorted((r.doc_id, r.item_id, round(r.score, 9), round(r.question_overlap, 9), round(r.answer_overlap, 9), r.first_word, r.last_word)
+                                for r in D.find_leaks(frame(spark, docs), spark.createDataFrame(rows, "item_id long, text string"), .5, .3, .3).collect())
+    whole = found(bench)
+    assert any(r[2] < .9 for r in whole) and len(whole) > len(items)
+    monkeypatch.setattr(D, "SHARD", 7)
+    assert found(bench) == whole
+    rng.shuffle(bench)
+    assert found(bench) == whole
+    impacts = bm25(items, .5)
+    for d, k, score, _, _, a, b in whole:
+        have = set(words(docs[d])[a:b + 1])
+        assert abs(score - sum(v for x, v in impacts[k].items() if x in have)) < 1e-6
+
+
 def test_question_and_answer():
     assert D.question_and_answer("What is it? A cat.") == ("What is it?", " A cat.")
     assert D.question_and_answer("One two. Three four. Five") == ("One two. Three four.", " Five")
