@@ -15,7 +15,7 @@ any of its items lies whole inside one; each passage is a query.  For a batch of
 3. The items of the remaining blocks are scored exactly from their postings; all at or above the
    threshold are retrieved.
 4. A retrieved item is a leak if enough of the word n-grams of its question and of its answer stand
-   in the passage.
+   in the passage; a part without words asks for none.
 
 The index is sent to the tasks in shards of at most ``SHARD`` items (a bounded table), one pass over the
 texts a shard; the texts are never shuffled, and a hot item or source costs its own rows only.  Which items
@@ -212,8 +212,8 @@ def leaks_of(t: Text, index: Index, question: float, answer: float) -> dict[tupl
         have = np.concatenate([sequence(total, at, at + g) for g in range(1, GRAM + 1) if b - a >= g
                                for at in [np.arange(a, b - g + 1)]])
         q, w = _overlap(have, index.question[k]), _overlap(have, index.answer[k])
-        # one-word items have no question
-        if (q >= question or not len(index.question[k])) and w >= answer and ((d, k) not in out or score > out[d, k][0] + 1e-12):
+        # one-word items have no question, and an answer may be signs only
+        if (q >= question or not len(index.question[k])) and (w >= answer or not len(index.answer[k])) and ((d, k) not in out or score > out[d, k][0] + 1e-12):
             out[d, k] = (score, q, w, a - int(t.first[d]), b - 1 - int(t.first[d]))
     return out
 

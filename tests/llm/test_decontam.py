@@ -129,6 +129,16 @@ def test_question_and_answer():
     assert D.question_and_answer("word") == ("", "word") and D.question_and_answer("") == ("", "")
 
 
+def test_an_answer_without_words_asks_for_none(spark):
+    rng = random.Random(21)
+    items = [sentence(rng, 15) + "? +", "Which sign stands for a sum of many numbers here. !!"] + [sentence(rng, 15) + "? " + sentence(rng, 4) for _ in range(10)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [sentence(rng, 30) + " " + x + " " + sentence(rng, 30) for x in items[:2]] + [sentence(rng, 60)]
+    rows = {(r.doc_id, r.item_id): (r.question_overlap, r.answer_overlap) for r in D.find_leaks(frame(spark, docs), bench).collect()}
+    assert rows == {(0, 0): (1, 0), (1, 1): (1, 0)}
+    assert [r.doc_id for r in D.without_leaks(frame(spark, docs), bench).collect()] == [2]
+
+
 def test_edges(spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (None, "alpha beta gamma delta"), (4, "alpha beta gamma delta")], "item_id long, text string")
     df = frame(spark, [None, "", "x alpha beta gamma delta y alpha beta gamma delta"], ids=[None, 1, None]).selectExpr("*", "1 as score")
