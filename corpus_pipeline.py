@@ -7,7 +7,8 @@
 3. repeated passages: windows of 13 words that an earlier document holds are cut out; a document with no
    word left goes; ``n_chars`` follows the text.
 4. benchmark: documents that leak a test item go.
-5. packing: what is left is tokenised and packed into sequences of 4096 ids.
+5. packing: what is left is tokenised and packed into sequences of 4096 ids; a piece's row holds its ids (four bytes
+   each, lowest first), so a sequence is its pieces' ids by ``offset``.
 
 A stage takes (spark, docs, sf_dir) and returns a frame; :func:`run` writes each one as Parquet in the
 shared scratch folder and rereads it as the next stage's ``docs``, so a lost executor costs one stage at
@@ -53,7 +54,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(docs, vocabulary()))
+    return packing.pack(packing.pieces(docs, vocabulary(), payload=True))
 
 
 STAGES = [("language", language), ("near copies", near_copies), ("repeated passages", repeated_passages),
@@ -64,7 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents``; every stage's files are removed once the next stage is written."""
+    """The packed pieces of ``documents`` with their ids; every stage's files are removed once the next stage is written."""
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name.replace(" ", "-"))

@@ -87,6 +87,24 @@ def test_run_packs_what_is_left_and_removes_its_files(spark, corpus):
     assert not [d for d in os.listdir(scratch) if d.startswith(("language", "near", "repeated", "benchmark"))]
 
 
+def test_sequences_can_be_built_from_the_result(spark, corpus):
+    """The pieces' ids fill each sequence from its start, and a document's pieces give its text again."""
+    from tokenizers import Tokenizer
+
+    root, texts, items = corpus
+    want = expected(texts, items)
+    rows = P.run(spark, root).collect()
+    sequences, documents = defaultdict(list), defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        ids = [int.from_bytes(r.ids[i:i + 4], "little") for i in range(0, len(r.ids), 4)]
+        assert len(ids) == r.length and len(sequences[r.sequence_id]) == r.offset
+        sequences[r.sequence_id] += ids
+        documents[r.doc_id].append((r.start, ids))
+    encode = Tokenizer.from_file(PATH).encode
+    assert {d: [i for _, ids in sorted(x) for i in ids] for d, x in documents.items()} == \
+        {d: encode(" ".join(w), add_special_tokens=False).ids + [1] for d, w in want.items()}
+
+
 def test_empty_table(spark, corpus, tmp_path):
     root, _, _ = corpus
     empty = spark.read.parquet(f"{root}/documents.parquet").limit(0)
