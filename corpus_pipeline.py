@@ -2,8 +2,8 @@
 
 1. language: documents whose language cannot be told go (no letter, or no clear language); a missing
    ``lang`` is filled with the prediction.
-2. near copies: of each component of five-word shingle sets with similarity 0.8 or more, the document
-   with the smallest id stays.
+2. near copies: of each component of five-word shingle sets with similarity 0.8 or more, one row stays: of
+   the smallest id (a null id only if there is no other), then of the smallest text hash.
 3. repeated passages: windows of 13 words that an earlier document holds are cut out; a document with no
    word left goes; ``n_chars`` follows the text.
 4. benchmark: documents that leak a test item go.
@@ -13,7 +13,8 @@
 A stage takes (spark, docs, sf_dir) and returns a frame; :func:`run` writes each one as Parquet in the
 shared scratch folder and rereads it as the next stage's ``docs``, so a lost executor costs one stage at
 most.  All stages but the last return the columns of ``documents``; other columns are left behind.
-Documents without an id are never judged copies and stay.
+An id may repeat and be null: rows are judged by id and text.  Of rows equal in both, the one with the
+smallest ``lang``, ``source`` and ``n_chars`` (nulls first) stands for all.  Texts without a word stay.
 """
 
 from __future__ import annotations
@@ -39,8 +40,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    copies = jaccard.jaccard_components(docs, WORDS, PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    found = jaccard.jaccard_components(docs, WORDS, PERCENT, keyed=True).where("component is not null") \
+        .groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n")).checkpoint()
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    least = found.groupBy("component").agg(F.min(key).alias("least"))
+    # null-safe: a null id is a key like others
+    found = found.join(least, "component").withColumn("stays", key.eqNullSafe(F.col("least")))
+    others = found.where("not stays or n > 1").select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_text"))
+    repeated = found.where("stays and n > 1").select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_text"))
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text"))
+    once = hashed.join(repeated, same, "left_semi").groupBy("doc_id", "text").agg(
+        F.min(F.struct("lang", "source", "n_chars")).alias("rest")).select("doc_id", "text", "rest.*")
+    return hashed.join(others, same, "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -603,8 +603,12 @@ def _link_counts(rows: DataFrame, labels: DataFrame, words: int, percent: int) -
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, and n_links (how many other, different texts the text links with) for every row of ``docs``."""
+                       text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, and n_links (how many other, different texts the text links with) for every row of ``docs``.
+
+    With ``keyed``, instead doc_id, text_hash (``xxhash64`` of the text) and component (a number that its rows
+    share, null without a shingle) for every row; no links are counted.
+    """
     checkpoint_root(docs.sparkSession)
     with B.dropping_shuffles(docs.sparkSession):  # every step ends in a checkpoint
         rows = B.in_blocks(docs, id_col, text_col)
@@ -627,6 +631,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         whole = components(known.union(more), "a", "b")
 
     labels = labels.drop("component").join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if keyed:
+        return sketch.where("n > 0").join(labels.select("node", "component"), "node") \
+            .select("doc_id", F.col("same").alias("text_hash"), "component") \
+            .union(sketch.where("n = 0").select("doc_id", "same", F.lit(None).cast("long")))
     degree = _link_counts(rows, labels, words, percent)
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = labels.join(least, "component").select("node", "texts", "component_id").join(degree.withColumnRenamed("n", "linked"), "node", "left")

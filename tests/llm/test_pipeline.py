@@ -68,6 +68,20 @@ def test_stages_equal_brute_force(spark, corpus):
     assert all(r.lang == "en" and r.n_chars == len(r.text) for r in rows)
 
 
+def test_near_copies_keep_one_row_of_each_component(spark):
+    """Ids repeat with other texts and with the same, and are null; clean texts of a repeated id stay."""
+    rng = random.Random(31)
+    a, b, c, d, e, f = (passages(rng, 60) for _ in range(6))
+    rows = [(1, a), (2, a + " more"), (2, b), (2, c + " more"), (5, c), (6, d), (6, d), (6, d + " more"), (None, e), (None, e),
+            (None, f), (9, f + " more"), (None, b + " more"), (3, ""), (3, ""), (None, None)]
+    df = frame(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    kept = sorted(((r.doc_id, r.text) for r in P.near_copies(spark, df, "").collect()), key=str)
+    (d_kept,) = {t for i, t in kept if i == 6}
+    assert d_kept in (d, d + " more")  # by text hash
+    want = [(1, a), (2, b), (2, c + " more"), (6, d_kept), (None, e), (9, f + " more"), (3, ""), (3, ""), (None, None)]
+    assert kept == sorted(want, key=str)
+
+
 def test_run_packs_what_is_left_and_removes_its_files(spark, corpus):
     import os
 
