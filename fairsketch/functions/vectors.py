@@ -109,7 +109,7 @@ def nearest_arrow(p: str, centers: Centers, ids: Sequence[int]) -> Column:
     cmat = np.asarray([[float(v) + 0.0 for v in c] for c in centers], dtype=np.float64)
     names = np.asarray(ids, np.int64)
 
-    @F.arrow_udf("struct<d2: double, cid: int>")
+    @F.arrow_udf("struct<d2: double, cid: bigint>")
     def _nearest(points: pa.Array) -> pa.Array:
         n = len(points)
         flat = points.flatten()
@@ -131,7 +131,7 @@ def nearest_arrow(p: str, centers: Centers, ids: Sequence[int]) -> Column:
             better = m < best  # strict: an earlier block keeps its ties
             arg = np.where(better, acc.argmin(axis=1) + k0, arg)
             best = np.where(better, m, best)
-        return pa.StructArray.from_arrays([pa.array(best), pa.array(names[arg], pa.int32())], ["d2", "cid"])
+        return pa.StructArray.from_arrays([pa.array(best), pa.array(names[arg])], ["d2", "cid"])
 
     return _nearest(F.col(p))
 

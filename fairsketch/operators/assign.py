@@ -101,17 +101,21 @@ def nearest_center(points: DataFrame, centers, p: str = "p", shared_code: bool =
 
     Columns of these names in ``points`` are replaced.  While the kernel is unrolled, the K distances
     are plain double columns, ``d2`` is their ``least`` and ``cid`` the first id reaching it: no
-    per-row struct is built.  Beyond ``UNROLL_LIMIT`` terms the vectorised kernel
+    tree of structs is compared.  Beyond ``UNROLL_LIMIT`` terms the vectorised kernel
     (``functions.vectors.nearest_arrow``) gives the same result.  ``shared_code`` reads the centres
     from a scalar subquery (see the module note).
+
+    Both columns (bigint, double) leave through ``inline`` of one struct.  The optimizer does not copy
+    expressions through a generator, so a filter or join on ``cid`` or ``d2`` tests the finished value
+    instead of a copy of all K distances; filters on the input's own columns still reach the scan.
     """
     cs = as_center_list(centers)
     k, d = V.check_centers(cs)
     cols, tmp_stem = _kept(points, "cid", "d2"), _free(points, "_near")
     if k * d > V.UNROLL_LIMIT:
         # too large to unroll: the vectorised kernel (one Arrow round trip per batch)
-        return (points.withColumn(tmp_stem, V.nearest_arrow(p, cs, cs.ids))
-                .selectExpr(*cols, f"{tmp_stem}.cid AS cid", f"{tmp_stem}.d2 AS d2"))
+        found = points.select("*", V.nearest_arrow(p, cs, cs.ids).alias(tmp_stem))
+        return found.selectExpr(*cols, f"inline(array(named_struct('cid', {tmp_stem}.cid, 'd2', {tmp_stem}.d2)))")
     tmp = [f"{tmp_stem}{i}" for i in range(k)]
     if shared_code:
         base = points.select("*", _centers_param(points.sparkSession, cs).alias(f"{tmp_stem}c"))
@@ -123,8 +127,8 @@ def nearest_center(points: DataFrame, centers, p: str = "p", shared_code: bool =
     least = f"least({', '.join(tmp)})" if k > 1 else tmp[0]
     with_d = base.selectExpr(*cols, *([] if f"`{p}`" in cols else [f"`{p}`"]), *[f"{e} AS {t}" for t, e in zip(tmp, dist)]) \
         .selectExpr("*", f"{V.checked_sql(p, d, tmp[0], least)} AS {tmp_stem}d2")
-    first = "CASE " + " ".join(f"WHEN {t} = {tmp_stem}d2 THEN {i}" for i, t in zip(cs.ids, tmp)) + " END"
-    return with_d.selectExpr(*cols, f"{first} AS cid", f"{tmp_stem}d2 AS d2")
+    first = "CASE " + " ".join(f"WHEN {t} = {tmp_stem}d2 THEN {i}L" for i, t in zip(cs.ids, tmp)) + " END"
+    return with_d.selectExpr(*cols, f"inline(array(named_struct('cid', {first}, 'd2', {tmp_stem}d2)))")
 
 
 def min_sq_distance(points: DataFrame, centers, p: str = "p") -> DataFrame:

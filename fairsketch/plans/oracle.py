@@ -225,6 +225,7 @@ def _sql() -> dict[str, str]:
     q["min_sq_distance"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp, {rnd(min_d2_expr(P.CENTERS_PTS3))} AS d2 FROM pts p")
     q["nearest_center"] = with_ctes([PTS3, CEN3] + assign_ctes("pts", "cen", 3, "asg"),
                                     f"SELECT {xs3}, p.grp, CAST(p.cid AS BIGINT) AS cid, {rnd('p.d2')} AS d2 FROM asg p")
+    q["cluster_members"] = q["nearest_center"] + f" WHERE p.cid = {P.MEMBERS_OF}"
     q["standard_objective"] = with_ctes([PTS3], f"SELECT {rnd('avg(' + min_d2_expr(P.CENTERS_PTS3) + ')')} AS delta FROM pts p")
     q["standard_objective_distinct"] = with_ctes(
         [PTS3], f"SELECT {rnd('sum(' + min_d2_expr(P.CENTERS_PTS3) + ') / (SELECT count(*) FROM pts)')} AS delta "

@@ -15,6 +15,9 @@ CENTERS_PTS3 = [
 # Three of them under ids with gaps, out of order.
 GAPPED_CENTERS = [(17, CENTERS_PTS3[0]), (3, CENTERS_PTS3[1]), (40, CENTERS_PTS3[2])]
 
+# Fixed value: the cluster whose members are listed.
+MEMBERS_OF = 1
+
 # Iterations of the loops without and with cached points, k-means parameters.
 LOOP_STEPS = 2
 CACHED_LOOP_STEPS = 3

@@ -122,6 +122,12 @@ def q_cluster_group_counts(spark, sf):
     return out(counts.select("cid", *[F.col("c")[j].alias(f"x{j}") for j in range(3)], "n_a", "n_b"))
 
 
+def q_cluster_members(spark, sf):
+    """The points of one cluster: a filter on the assigned id."""
+    pts = nearest_center(tables.pts3(spark, sf), P.CENTERS_PTS3).where(F.col("cid") == P.MEMBERS_OF)
+    return out(pts.select(*[F.col("p")[j].alias(f"x{j}") for j in range(3)], "grp", "cid", "d2"))
+
+
 def emb_centers(spark, sf) -> list[tuple[float, ...]]:
     """Centres for the 64-D embeddings: the mean vector of each label (at most 10 rows)."""
     e = tables.emb(spark, sf, keep_label=True)
@@ -362,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "group_objectives": q_group_objectives,
     "fair_objective": q_fair_objective,
     "cluster_group_counts": q_cluster_group_counts,
+    "cluster_members": q_cluster_members,
     "nearest_center_emb": q_nearest_center_emb,
     "fair_objective_emb": q_fair_objective_emb,
     "fair_cluster_stats": q_fair_cluster_stats,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import labelled_points
+from samples import labelled_points
 from fairsketch.functions.hashing import HashFamily
 from fairsketch.operators import fair, heavy, objective, cluster
 from fairsketch.operators.assign import nearest_center

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from samples import SF001
 from fairsketch.plans.oracle import ORACLE_SQL
 from fairsketch.plans.queries import QUERIES
 

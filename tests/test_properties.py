@@ -206,10 +206,30 @@ def test_ragged_points_fail_when_cached_and_when_not(spark):
 def test_reports_scan_their_table_once(spark, name):
     import re
 
-    from conftest import SF0001
+    from samples import SF0001
     from fairsketch.plans.queries import QUERIES
     from tools.plan_audit import final_only
 
     df = QUERIES[name](spark, SF0001)
     df.collect()
     assert len(re.findall("FileScan parquet", final_only(df._jdf.queryExecution().executedPlan().toString()))) == 1
+
+
+@pytest.mark.parametrize("dims", [2, 40])
+def test_filters_on_the_assignment_test_finished_values(spark, dims):
+    import re
+
+    from fairsketch.operators.assign import nearest_center
+
+    rows = [([i % 5 + j % 2 / 10 for j in range(dims)], "A" if i % 3 else "B") for i in range(60)]
+    pts = spark.createDataFrame(rows, "p array<double>, grp string")
+    centers = spark.createDataFrame([(2**40 + 3, [0.0] * dims), (5, [2.0] * dims), (9, [4.0] * dims)], "cid bigint, c array<double>")
+    near = nearest_center(pts, centers)
+    assert dict(near.dtypes)["cid"] == "bigint"
+    every = near.collect()
+    assert 2**40 + 3 in {r["cid"] for r in every}
+    some = near.where("cid = 5 AND d2 < 1 AND grp = 'A'").join(centers, "cid")
+    assert sorted(map(tuple, some.select("p", "grp", "cid", "d2").collect())) == sorted(
+        (r["p"], r["grp"], r["cid"], r["d2"]) for r in every if r["cid"] == 5 and r["d2"] < 1 and r["grp"] == "A")
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert all(len(line) < 200 for line in re.findall(r"Filter [^\n]*", plan))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from samples import SF0001
 from fairsketch.functions.hashing import SketchSpec
 from fairsketch.operators import sketch
 from fairsketch.session import scratch_path
