@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fairsketch.llm import chat, decontam, jaccard, langid, licenses, packing, repetition, sharding, substrings, toxicity
+from fairsketch.llm import chat, decontam, jaccard, langid, licenses, negatives, packing, repetition, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +62,36 @@ def op10_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hilbert_shards, op2_bm25_decontamination, op3_factorization_machine, op4_recompression, op5_role_repair, op6_byte_network,
-    op7_bin_slack, op8_license_rules, op9_suffix_repetition, op10_count_vector_join)}
-
-#: None of the ten can be stated in SQL; tests hold them against brute force, round trips or held-out labels.
-ORACLE_SQL: dict[str, str] = {}
+    op7_bin_slack, op8_license_rules, op9_suffix_repetition, op10_count_vector_join, op11_residue_negatives)}
+
+_OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM p JOIN s ON p.anchor_id = s.anchor_id
+  WHERE NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10
+"""
+
+#: The others cannot be stated in SQL; tests hold them against brute force, round trips or held-out labels.
+ORACLE_SQL: dict[str, str] = {"op11_residue_negatives": _OP11}
