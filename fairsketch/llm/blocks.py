@@ -33,6 +33,25 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, others: tuple[str, ..
         .repartition(n, "block")
 
 
+def collapsed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: rows alike in all columns that are more than a tenth of a partition's share become one.
+
+    A first scan counts rows by hash.  At most ten hashes a partition can hold so many rows, so they are sent to
+    all tasks; the rows of these few groups are summed before they are shuffled, all others stay where they are.
+    """
+    n = partitions(rows.sparkSession)
+    hashed = rows.withColumn("_row", F.xxhash64(*rows.columns))
+    counts = hashed.groupBy("_row").agg(F.count("*").alias("n"))
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    least = max(1.0, (total or 0) / (10 * n))
+    if (most or 0) <= least:
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    hot = [r["_row"] for r in counts.where(F.col("n") > least).select("_row").collect()]  # fewer than 10 n
+    some = F.col("_row").isin(hot)
+    return hashed.where(~some).drop("_row").withColumn("copies", F.lit(1).cast("long")).unionByName(
+        hashed.where(some).groupBy(*rows.columns).agg(F.count("*").alias("copies")))
+
+
 def on_blocks(rows: DataFrame, side: DataFrame | None, run: Callable, schema: str) -> DataFrame:
     """``run(block's rows, block's rows of side)`` on Arrow tables; without ``side``, ``run(block's rows)``."""
     if side is None:

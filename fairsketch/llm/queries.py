@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairsketch.llm import chat, decontam, jaccard, langid, licenses, negatives, packing, repetition, sharding, substrings, toxicity
+from fairsketch.llm import bytespans, chat, decontam, jaccard, langid, licenses, negatives, packing, repetition, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +68,15 @@ def op11_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytespans.byte_dedup(table(spark, sf_dir, "documents"), texts=False) \
+        .withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hilbert_shards, op2_bm25_decontamination, op3_factorization_machine, op4_recompression, op5_role_repair, op6_byte_network,
-    op7_bin_slack, op8_license_rules, op9_suffix_repetition, op10_count_vector_join, op11_residue_negatives)}
+    op7_bin_slack, op8_license_rules, op9_suffix_repetition, op10_count_vector_join, op11_residue_negatives,
+    op13_suffix_dedup)}
 
 _OP11 = """
 WITH v AS (

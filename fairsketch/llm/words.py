@@ -134,6 +134,16 @@ def sequence(total: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix((total[b] - total[a]) * _powers(len(total))[1][a])
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Prefix sums over bytes, for :func:`sequence` and :func:`windows`."""
+    return word_sums(_CODES[data])
+
+
+def windows(total: np.ndarray, k: int) -> np.ndarray:
+    """Fingerprints of all k long spans, in order."""
+    return mix((total[k:] - total[:len(total) - k]) * _powers(len(total))[1][:len(total) - k])
+
+
 def covered(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """True for the places of 0..n-1 inside one of the spans [a, b)."""
     step = np.bincount(a, minlength=n + 1)[:n + 1] - np.bincount(b, minlength=n + 1)[:n + 1]
