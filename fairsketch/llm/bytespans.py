@@ -36,15 +36,15 @@ from pyspark.sql import functions as F
 from fairsketch.llm import blocks as B
 from fairsketch.llm.suffixes import permuted_prefixes, suffix_array
 from fairsketch.llm.words import U64, buffers, byte_sums, covered, sequence, windows
-from fairsketch.session import checkpoint_root
+from fairsketch.session import remove_path, scratch_path
 
 WINDOW, GRAM = 50, 16
 #: Windows of a segment: one bit each in a shard's answer.
 MOST = 63
-#: A key with more windows than this in all texts is split by window.
-HOT_WINDOWS = 50_000
-SLICE_BYTES = 1 << 22
-SHARD_BYTES = 1 << 22
+#: A key with more different segments than this is split by window.
+HOT_SEGMENTS = 20_000
+SLICE_BYTES = 1 << 18
+SHARD_BYTES = 1 << 20
 
 
 class Runs:
@@ -80,19 +80,28 @@ def runs(total: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Runs
         least, wide = np.minimum(least[:-wide], least[wide:]), wide * 2
     at = n - window + 1
     key = np.minimum(least[:at], least[grams - wide:grams - wide + at])
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:at]
-    ok = np.arange(at) + window <= offsets[doc + 1]
-    new = ok.copy()
-    new[1:] &= (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    start = np.flatnonzero(new)
-    end = np.searchsorted(np.flatnonzero(ok), np.append(start[1:], at))  # windows before, counted
-    size = np.diff(np.append(0, end)) if len(start) else np.zeros(0, np.int64)
+    # windows that pass a text's end, and the first ones of texts
+    some = offsets[1:] > offsets[:-1]
+    begin, end = offsets[:-1][some], offsets[1:][some]
+    over = np.maximum(end[:, None] - np.arange(1, window), begin[:, None]).ravel()
+    ok = np.ones(at, bool)
+    ok[over[over < at]] = False
+    new = np.empty(at, bool)
+    new[0] = True
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    new[begin[begin < at]] = True
+    start = np.flatnonzero(new & ok)
+    # a run ends where the next one begins or at its text's last window
+    doc = np.searchsorted(end, start, "right")
+    size = np.minimum(np.append(start[1:], at), end[doc] - window + 1) - start
+    doc = np.flatnonzero(some)[doc]
     if size.max(initial=0) > MOST:
         pieces = -(-size // MOST)
         of = np.repeat(np.arange(len(start)), pieces)
         k = np.arange(len(of)) - (np.cumsum(pieces) - pieces)[of]
         start, size = start[of] + k * MOST, np.minimum(size[of] - k * MOST, MOST)
-    return Runs(start, size, doc[start], key[start])
+        doc = doc[of]
+    return Runs(start, size, doc, key[start])
 
 
 def _unlisted(x: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -168,46 +177,54 @@ class Segments:
 
 SIDE = "block int, kind int, key long, value long"
 SIDE_ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("value", pa.int64())])
-KEYS = "key long, block int, windows int"
-KEYS_ARROW = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("windows", pa.int32())])
+KEYS = "key long, block int, mark int"
+KEYS_ARROW = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("mark", pa.int32())])
+SHARED = "block int, key long, hot boolean"
+SHARED_ARROW = pa.schema([("block", pa.int32()), ("key", pa.int64()), ("hot", pa.bool_())])
 SENT = "route long, text binary, block int, mark long, doc long"
 SENT_ARROW = pa.schema([("route", pa.int64()), ("text", pa.binary()), ("block", pa.int32()), ("mark", pa.int64()), ("doc", pa.int64())])
 
 
 def keys_of(batch: pa.RecordBatch, window: int, gram: int) -> pa.RecordBatch:
-    """Each document's distinct keys, with its block and the number of windows under the key."""
+    """Each document's distinct keys, with its block and a short mark of each different segment under the key."""
     _, known = _ids(batch)
     block = _unlisted(batch.column("block"))
-    key, to, size = [], [], []
+    out = []
     for lo, hi, data, offsets in slices(batch.column("text")):
-        found = runs(byte_sums(data), offsets, window, gram)
+        total = byte_sums(data)
+        found = runs(total, offsets, window, gram)
         found = found.where(known[lo:hi][found.doc])
-        order = np.lexsort((found.key, found.doc))
-        k, d = found.key[order], found.doc[order]
-        first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]))) if len(k) else np.zeros(0, np.int64)
-        key.append(k[first])
-        to.append(block[lo:hi][d[first]])
-        size.append(np.add.reduceat(found.count[order], first) if len(first) else first)
-    join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-    return pa.record_batch([pa.array(join(key, U64).view(np.int64)), pa.array(join(to, np.int32)), pa.array(join(size, np.int32))],
-                           schema=KEYS_ARROW)
-
-
-def shared_keys(rows: pa.Table, hot_windows: int) -> pa.Table:
-    """The keys that several documents sent, once for each block that holds them; value 1: to be split by window."""
-    key, block, size = (_unlisted(rows.column(c)) for c in ("key", "block", "windows"))
-    order = np.lexsort((block, key))
-    key, block, size = key[order], block[order], size[order].astype(np.int64)
+        mark = sequence(total, found.first, found.first + found.count + window - 1).astype(np.uint32)
+        order = np.lexsort((mark, found.key, found.doc))
+        k, d, m = found.key[order], found.doc[order], mark[order]
+        new = np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (m[1:] != m[:-1]))[:len(k)]
+        out.append((k[new], block[lo:hi][d[new]], m[new]))
+    k, b, m = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, U64), np.zeros(0, np.int32), np.zeros(0, np.uint32))
+    return pa.record_batch([pa.array(k.view(np.int64)), pa.array(b.astype(np.int32)), pa.array(m.view(np.int32))], schema=KEYS_ARROW)
+
+
+def shared_keys(rows: pa.Table, hot_segments: int) -> pa.Table:
+    """The keys that were sent more than once, for each block that holds them, and whether to split them by window.
+
+    A key of one document alone that has several different segments under it counts as shared, too; its shard will
+    find nothing.
+    """
+    key, block, mark = (_unlisted(rows.column(c)) for c in ("key", "block", "mark"))
+    order = np.lexsort((mark, key))
+    key, block, mark = key[order], block[order], mark[order]
     if not len(key):
-        return SIDE_ARROW.empty_table()
+        return SHARED_ARROW.empty_table()
     new = np.append(True, key[1:] != key[:-1])
     start = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
     many = np.diff(np.append(start, len(key))) > 1
-    hot = np.add.reduceat(size, start) > hot_windows
-    once = many[group] & (new | np.append(True, block[1:] != block[:-1]))
-    return pa.table([pa.array(block[once]), pa.array(np.zeros(once.sum(), np.int32)), pa.array(key[once]),
-                     pa.array(hot[group[once]].astype(np.int64))], schema=SIDE_ARROW)
+    hot = np.add.reduceat(new | np.append(True, mark[1:] != mark[:-1]), start, dtype=np.int64) > hot_segments
+    group = np.cumsum(new) - 1
+    some = many[group]
+    key, block, hot = key[some], block[some], hot[group[some]]
+    order = np.lexsort((block, key))
+    key, block, hot = key[order], block[order], hot[order]
+    once = np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]))[:len(key)]
+    return pa.table([pa.array(block[once]), pa.array(key[once]), pa.array(hot[once])], schema=SHARED_ARROW)
 
 
 def least_ids(texts: pa.Array, doc: np.ndarray, window: int) -> np.ndarray:
@@ -327,13 +344,12 @@ def cut(segments: Segments, side: pa.Table, texts: bool) -> dict:
 
 
 def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-               others: tuple[str, ...] = (), texts: bool = True, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+               others: tuple[str, ...] = (), texts: bool = True, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (begin and end byte of each removed run), kept_sha256, kept (binary; only with
     ``texts``) and ``others`` for every row of ``docs``."""
     if not 0 < gram <= window <= gram + MOST - 1:
         raise ValueError(f"a window holds 1 to {MOST} grams")
     spark = docs.sparkSession
-    checkpoint_root(spark)
     n = B.partitions(spark)
     rows = B.collapsed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *others))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", *others), F.lit(n * B.BLOCKS_A_PARTITION)).cast("int"))
@@ -343,7 +359,7 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
             yield keys_of(batch, window, gram)
 
     def find_shared(batches):
-        yield from shared_keys(pa.Table.from_batches(batches, KEYS_ARROW), hot_windows).to_batches(1 << 16)
+        yield from shared_keys(pa.Table.from_batches(batches, KEYS_ARROW), hot_segments).to_batches(1 << 16)
 
     def send_segments(block_rows: pa.Table, side: pa.Table) -> pa.Table:
         s = Segments(block_rows, side, window, gram)
@@ -364,9 +380,12 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
         out |= {c: block_rows.column(c) for c in ("doc_id", "copies", *others)}
         return B.table(out, pa.schema([*types, *((c, block_rows.schema.field(c).type) for c in others)]))
 
+    path = scratch_path(spark, "shared-keys")  # as Parquet, a third of a checkpoint's size
     with B.dropping_shuffles(spark):
-        shared = rows.select("doc_id", "text", "block").mapInArrow(send_keys, KEYS).repartition(n, "key") \
-            .mapInArrow(find_shared, SIDE).checkpoint()
+        rows.select("doc_id", "text", "block").mapInArrow(send_keys, KEYS).repartition(n, "key") \
+            .mapInArrow(find_shared, SHARED).write.parquet(path)
+    shared = spark.read.schema(SHARED).parquet(path).select(
+        "block", F.lit(0).alias("kind"), "key", F.col("hot").cast("long").alias("value"))
     dealt = rows.repartition(n, "block")
     found = B.on_blocks(dealt, shared, send_segments, SENT).repartition(n, "route").mapInArrow(find_earlier, SIDE)
     extra = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in others)

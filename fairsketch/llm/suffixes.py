@@ -19,11 +19,14 @@ import numpy as np
 
 def rising(s: np.ndarray, last: bool) -> np.ndarray:
     """True where a suffix is smaller than the next one; ``last`` is the last position's type."""
-    step = np.sign(np.diff(s.astype(np.int64)))
-    step[(s[:-1] == 0) & (s[1:] == 0)] = 1  # separators rise with their places
-    place = np.where(step != 0, np.arange(len(step)), len(step))
-    place = np.minimum.accumulate(place[::-1])[::-1]  # the next position that differs from its successor
-    return np.append(np.append(step, 1 if last else -1)[place] > 0, last)
+    up = np.append(s[:-1] < s[1:], last)
+    level = np.flatnonzero((s[:-1] == s[1:]) & (s[:-1] > 0))
+    up[:-1] |= (s[:-1] == 0) & (s[1:] == 0)  # separators rise with their places
+    if len(level):  # as the next position that differs from its successor
+        end = np.append(np.diff(level) > 1, True)
+        after = np.flatnonzero(end)[np.cumsum(np.append(0, end[:-1]))]
+        up[level] = up[level[after] + 1]
+    return up
 
 
 def leftmost(up: np.ndarray) -> np.ndarray:

@@ -140,8 +140,13 @@ def byte_sums(data: np.ndarray) -> np.ndarray:
 
 
 def windows(total: np.ndarray, k: int) -> np.ndarray:
-    """Fingerprints of all k long spans, in order."""
-    return mix((total[k:] - total[:len(total) - k]) * _powers(len(total))[1][:len(total) - k])
+    """Fingerprints of all k long spans, in order (scrambled less than :func:`sequence`, for use as keys)."""
+    out = total[k:] - total[:len(total) - k]
+    out *= _powers(len(total))[1][:len(out)]
+    out ^= out >> U64(32)
+    out *= U64(0x94D049BB133111EB)
+    out ^= out >> U64(29)
+    return out
 
 
 def covered(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, window, gram):
 
 def test_hot_keys_split_by_window(spark):
     rows = corpus(4)
-    assert run(spark, rows, hot_windows=0) == brute(rows, 50)
+    assert run(spark, rows, hot_segments=0) == brute(rows, 50)
 
 
 def test_odd_rows(spark):
