@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from fairsketch.llm import blocks as B
 from fairsketch.llm.suffixes import permuted_prefixes, suffix_array
 from fairsketch.llm.words import U64, buffers, byte_sums, covered, sequence, windows
-from fairsketch.session import remove_path, scratch_path
+from fairsketch.session import scratch_path
 
 WINDOW, GRAM = 50, 16
 #: Windows of a segment: one bit each in a shard's answer.
@@ -120,12 +120,13 @@ def _distinct(order: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 class Segments:
-    """A block's segments with shared keys; ``mine`` is the smallest id of the block that holds the same text."""
+    """A block's segments; ``mine`` is the smallest id of the block that holds the same text.
 
-    def __init__(self, rows: pa.Table, side: pa.Table, window: int, gram: int):
-        sent = _unlisted(side.column("kind")) == 0
-        keys = _unlisted(side.column("key"))[sent].view(U64)
-        hot = _unlisted(side.column("value"))[sent]
+    ``keys`` and ``hot`` are the block's shared keys and whether each is split by window.  Without ``every`` only
+    segments with these keys are taken; with it all are, and the keys need to hold the hot ones only.
+    """
+
+    def __init__(self, rows: pa.Table, keys: np.ndarray, hot: np.ndarray, window: int, gram: int, every: bool = False):
         order = np.argsort(keys)
         keys, hot = keys[order], hot[order]
         self.rows, self.window = rows, window
@@ -134,14 +135,18 @@ class Segments:
         self.parts = []
         for lo, hi, data, offsets in slices(rows.column("text")):
             self.parts.append((lo, hi, data, offsets))
-            if not len(keys):
+            if not every and not len(keys):
                 continue
             total = byte_sums(data)
             found = runs(total, offsets, window, gram)
             found = found.where(known[lo:hi][found.doc])
-            place = np.minimum(np.searchsorted(keys, found.key), len(keys) - 1)
-            shared = keys[place] == found.key
-            found, split = found.where(shared), hot[place[shared]] > 0
+            split = np.zeros(len(found.key), bool)
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, found.key), len(keys) - 1)
+                shared = keys[place] == found.key
+                split = shared & hot[place]
+                if not every:
+                    found, split = found.where(shared), split[shared]
             # windows of hot keys one by one
             times = np.where(split, found.count, 1)
             of = np.repeat(np.arange(len(times)), times)
@@ -175,8 +180,8 @@ class Segments:
         return heads, pa.concat_arrays(out) if out else pa.array([], pa.large_binary())
 
 
-SIDE = "block int, kind int, key long, value long"
-SIDE_ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("value", pa.int64())])
+ANSWER = "block int, key long, bits long"
+ANSWER_ARROW = pa.schema([("block", pa.int32()), ("key", pa.int64()), ("bits", pa.int64())])
 KEYS = "key long, block int, mark int"
 KEYS_ARROW = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("mark", pa.int32())])
 SHARED = "block int, key long, hot boolean"
@@ -293,15 +298,12 @@ def earlier_windows(rows: pa.Table, window: int) -> pa.Table:
             out.append((block[a:b][got], mark[a:b][got], bits[got]))
         lo = hi
     cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
-    return pa.table([pa.array(cols[0].astype(np.int32)), pa.array(np.ones(len(cols[0]), np.int32)), pa.array(cols[1]), pa.array(cols[2])],
-                    schema=SIDE_ARROW)
+    return pa.table([pa.array(cols[0].astype(np.int32)), pa.array(cols[1]), pa.array(cols[2])], schema=ANSWER_ARROW)
 
 
-def cut(segments: Segments, side: pa.Table, texts: bool) -> dict:
-    """n_bytes, n_removed, spans, kept_sha256 and (with ``texts``) kept of each row of the block."""
+def cut(segments: Segments, mark: np.ndarray, bits: np.ndarray, texts: bool) -> dict:
+    """n_bytes, n_removed, spans, kept_sha256 and (with ``texts``) kept of each row of the block, from the shards' answers."""
     window = segments.window
-    answer = _unlisted(side.column("kind")) == 1
-    mark, bits = _unlisted(side.column("key"))[answer].view(U64), _unlisted(side.column("value"))[answer]
     order = np.argsort(mark)
     mark, bits = mark[order], bits[order]
     mask = np.zeros(len(segments.mark), np.int64)
@@ -352,7 +354,7 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
     spark = docs.sparkSession
     n = B.partitions(spark)
     rows = B.collapsed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *others))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", *others), F.lit(n * B.BLOCKS_A_PARTITION)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", *others), F.lit(n)).cast("int"))
 
     def send_keys(batches):
         for batch in batches:
@@ -362,7 +364,7 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
         yield from shared_keys(pa.Table.from_batches(batches, KEYS_ARROW), hot_segments).to_batches(1 << 16)
 
     def send_segments(block_rows: pa.Table, side: pa.Table) -> pa.Table:
-        s = Segments(block_rows, side, window, gram)
+        s = Segments(block_rows, _unlisted(side.column("key")).view(U64), _unlisted(side.column("hot")), window, gram)
         heads, body = s.texts()
         block = block_rows.column("block")[0].as_py() if len(block_rows) else 0
         return pa.table([pa.array(s.route[heads].view(np.int64)), body.cast(pa.binary()), pa.array(np.full(len(heads), block, np.int32)),
@@ -376,7 +378,10 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
              *([("kept", pa.binary())] if texts else [])]
 
     def cut_bytes(block_rows: pa.Table, side: pa.Table) -> pa.Table:
-        out = cut(Segments(block_rows, side, window, gram), side, texts)
+        key, bits = _unlisted(side.column("key")).view(U64), _unlisted(side.column("bits"))
+        hot = bits == 0  # an answer has a bit at least
+        segments = Segments(block_rows, key[hot], hot[hot], window, gram, every=True)
+        out = cut(segments, key[~hot], bits[~hot], texts)
         out |= {c: block_rows.column(c) for c in ("doc_id", "copies", *others)}
         return B.table(out, pa.schema([*types, *((c, block_rows.schema.field(c).type) for c in others)]))
 
@@ -384,12 +389,12 @@ def byte_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
     with B.dropping_shuffles(spark):
         rows.select("doc_id", "text", "block").mapInArrow(send_keys, KEYS).repartition(n, "key") \
             .mapInArrow(find_shared, SHARED).write.parquet(path)
-    shared = spark.read.schema(SHARED).parquet(path).select(
-        "block", F.lit(0).alias("kind"), "key", F.col("hot").cast("long").alias("value"))
+    shared = spark.read.schema(SHARED).parquet(path)
     dealt = rows.repartition(n, "block")
-    found = B.on_blocks(dealt, shared, send_segments, SENT).repartition(n, "route").mapInArrow(find_earlier, SIDE)
+    found = B.on_blocks(dealt, shared, send_segments, SENT).repartition(n, "route").mapInArrow(find_earlier, ANSWER)
     extra = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    out = B.on_blocks(dealt, shared.unionByName(found), cut_bytes,
+    hot = shared.where("hot").select("block", "key", F.lit(0).cast("long").alias("bits"))
+    out = B.on_blocks(dealt, hot.unionByName(found), cut_bytes,
                       "doc_id long, copies long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, "
                       f"kept_sha256 string{', kept binary' if texts else ''}{extra}")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("_copy", "copies")
