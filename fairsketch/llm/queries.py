@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairsketch.llm import bytespans, chat, decontam, jaccard, langid, licenses, negatives, packing, repetition, sharding, substrings, toxicity
+from fairsketch.llm import bytespans, chat, decontam, jaccard, langid, licenses, negatives, packing, prefixes, repetition, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,27 @@ def op11_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+def _rebuilt(turns: DataFrame, ids: DataFrame) -> DataFrame:
+    """Each conversation begins with the first turns of the one whose id is the multiple of five below it."""
+    c, source = F.col("conv_id"), F.col("conv_id") - F.col("conv_id") % 5
+    taken = F.crc32(c.cast("string")) % 9
+    first = turns.where((c % 5 == 0) & (F.col("place") <= 8)).withColumnRenamed("conv_id", "source")
+    given = first.withColumn("conv_id", F.explode(F.sequence(F.col("source") - 4, F.col("source") + 4))) \
+        .where((source == F.col("source")) & (c != F.col("source")) & (F.col("place") <= taken)).drop("source") \
+        .join(ids, "conv_id", "left_semi")
+    own = turns.where((c % 5 == 0) | (F.col("place") > taken)).withColumn("source", source) \
+        .join(first.groupBy("source").agg(F.count("*").alias("n")), "source", "left")
+    moved = F.least(taken, F.coalesce("n", F.lit(0))) + F.col("place") - taken
+    own = own.withColumn("place", F.when(c % 5 == 0, F.col("place")).otherwise(moved)).drop("source", "n")
+    return own.unionByName(given)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.turns_of(table(spark, sf_dir, "conversations"))
+    ids = turns.select("conv_id").distinct()
+    return prefixes.trie(_rebuilt(turns, ids), ids).drop("node", "parent").withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytespans.byte_dedup(table(spark, sf_dir, "documents"), texts=False) \
         .withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
@@ -76,7 +97,7 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_hilbert_shards, op2_bm25_decontamination, op3_factorization_machine, op4_recompression, op5_role_repair, op6_byte_network,
     op7_bin_slack, op8_license_rules, op9_suffix_repetition, op10_count_vector_join, op11_residue_negatives,
-    op13_suffix_dedup)}
+    op12_prefix_trie, op13_suffix_dedup)}
 
 _OP11 = """
 WITH v AS (
@@ -99,5 +120,40 @@ n AS (
 SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10
 """
 
+_OP12 = """
+WITH t AS (
+  SELECT conv_id, strlen(coalesce(text, '')) AS n_bytes,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place FROM t),
+i AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS source, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, strlen(name) + 1), lambda k: CAST(ascii(substr(name, k, 1)) AS BIGINT))),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS taken
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM o)),
+r AS (
+  SELECT i.conv_id, 0 AS part, o.place, o.digest, o.n_bytes FROM i JOIN o ON o.conv_id = i.source WHERE o.place <= i.taken
+  UNION ALL SELECT i.conv_id, 1, o.place, o.digest, o.n_bytes FROM i JOIN o ON o.conv_id = i.conv_id WHERE o.place > i.taken),
+q AS (
+  SELECT i.conv_id, coalesce(list(r.digest ORDER BY part, place) FILTER (WHERE r.digest IS NOT NULL), []) AS path,
+    coalesce(list(r.n_bytes ORDER BY part, place) FILTER (WHERE r.digest IS NOT NULL), []) AS sizes
+  FROM i LEFT JOIN r ON i.conv_id = r.conv_id GROUP BY i.conv_id),
+e AS (SELECT conv_id, path, sizes, unnest(range(0, len(path) + 1)) AS depth FROM q),
+n AS (
+  SELECT depth, array_to_string(list_slice(path, 1, depth), '') AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN depth = 0 THEN 0 ELSE sizes[depth] END) AS n_bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth), '')) AS ends_sha256
+  FROM e GROUP BY ALL),
+k AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+    (SELECT count(*) FROM n c WHERE c.depth = n.depth + 1 AND starts_with(c.node, n.node)) AS n_children
+  FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND starts_with(n.node, p.node))
+SELECT u.conv_id, u.depth, u.parent_conv_id, u.n_convs, u.n_children, u.ends_sha256,
+  CAST(sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+  CAST(sum((v.n_convs - 1) * v.n_bytes) AS BIGINT) AS saved_tokens
+FROM k u JOIN k v ON starts_with(v.node, u.node) GROUP BY ALL
+"""
+
 #: The others cannot be stated in SQL; tests hold them against brute force, round trips or held-out labels.
-ORACLE_SQL: dict[str, str] = {"op11_residue_negatives": _OP11}
+ORACLE_SQL: dict[str, str] = {"op11_residue_negatives": _OP11, "op12_prefix_trie": _OP12}
