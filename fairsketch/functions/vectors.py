@@ -98,6 +98,43 @@ def check_centers(centers: Centers) -> tuple[int, int]:
 ARROW_BLOCK_CELLS = 2_000_000
 
 
+def point_matrix(points: pa.Array, d: int) -> np.ndarray:
+    """The points of an Arrow batch as an n x d matrix; a malformed one fails."""
+    flat = points.flatten()
+    if points.null_count or flat.null_count or any(np.diff(points.offsets.to_numpy()) != d):
+        raise ValueError(MALFORMED)
+    x = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(points), d)
+    if np.isnan(x).any():
+        raise ValueError(MALFORMED)
+    return x
+
+
+def nearest_rows(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squared distance, place) of each point's nearest centre, the first one on ties.
+
+    Squared differences are summed in coordinate order, as the unrolled form does.
+    """
+    n, d = x.shape
+    best = np.full(n, np.inf)
+    arg = np.zeros(n, dtype=np.int64)
+    block = max(1, ARROW_BLOCK_CELLS // max(1, n))
+    for k0 in range(0, len(centers), block):
+        cb = centers[k0:k0 + block]
+        acc = np.zeros((n, len(cb)))
+        for j in range(d):
+            diff = x[:, j:j + 1] - cb[None, :, j]
+            acc += diff * diff
+        m = acc.min(axis=1)
+        better = m < best  # strict: an earlier block keeps its ties
+        arg = np.where(better, acc.argmin(axis=1) + k0, arg)
+        best = np.where(better, m, best)
+    return best, arg
+
+
+def center_matrix(centers: Centers) -> np.ndarray:
+    return np.asarray([[float(v) + 0.0 for v in c] for c in centers], dtype=np.float64)
+
+
 def nearest_arrow(p: str, centers: Centers, ids: Sequence[int]) -> Column:
     """``struct(d2, cid)`` of the nearest centre, computed batch-wise with NumPy in an Arrow UDF.
 
@@ -106,36 +143,38 @@ def nearest_arrow(p: str, centers: Centers, ids: Sequence[int]) -> Column:
     centres, squared differences summed in coordinate order, and the first minimum kept.
     """
     k, d = check_centers(centers)
-    cmat = np.asarray([[float(v) + 0.0 for v in c] for c in centers], dtype=np.float64)
+    cmat = center_matrix(centers)
     names = np.asarray(ids, np.int64)
 
     @F.arrow_udf("struct<d2: double, cid: bigint>")
     def _nearest(points: pa.Array) -> pa.Array:
-        n = len(points)
-        flat = points.flatten()
-        if points.null_count or flat.null_count or any(np.diff(points.offsets.to_numpy()) != d):
-            raise ValueError(MALFORMED)
-        x = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(n, d)
-        if np.isnan(x).any():
-            raise ValueError(MALFORMED)
-        best = np.full(n, np.inf)
-        arg = np.zeros(n, dtype=np.int64)
-        block = max(1, ARROW_BLOCK_CELLS // max(1, n))
-        for k0 in range(0, k, block):
-            cb = cmat[k0:k0 + block]
-            acc = np.zeros((n, len(cb)))
-            for j in range(d):
-                diff = x[:, j:j + 1] - cb[None, :, j]
-                acc += diff * diff
-            m = acc.min(axis=1)
-            better = m < best  # strict: an earlier block keeps its ties
-            arg = np.where(better, acc.argmin(axis=1) + k0, arg)
-            best = np.where(better, m, best)
+        best, arg = nearest_rows(point_matrix(points, d), cmat)
         return pa.StructArray.from_arrays([pa.array(best), pa.array(names[arg])], ["d2", "cid"])
 
     return _nearest(F.col(p))
 
 
+def nearest_runs_arrow(p: str, runs: Sequence[tuple[int, Centers, Sequence[int]]]) -> Column:
+    """``array(struct(run_id, cid, d2))``: the nearest centre of each of several centre sets, in one Arrow UDF."""
+    d = check_centers(runs[0][1])[1]
+    sets = [(center_matrix(cs), np.asarray(ids, np.int64)) for _, cs, ids in runs]
+    names = np.asarray([r for r, _, _ in runs], np.int64)
+
+    @F.arrow_udf("array<struct<run_id: bigint, cid: bigint, d2: double>>")
+    def _nearest_runs(points: pa.Array) -> pa.Array:
+        x = point_matrix(points, d)
+        n, r = len(x), len(sets)
+        d2, cid = np.empty((n, r)), np.empty((n, r), np.int64)
+        for k, (cmat, ids) in enumerate(sets):
+            d2[:, k], arg = nearest_rows(x, cmat)
+            cid[:, k] = ids[arg]
+        rows = pa.StructArray.from_arrays([pa.array(np.tile(names, n)), pa.array(cid.ravel()), pa.array(d2.ravel())],
+                                          ["run_id", "cid", "d2"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, n * r + 1, r), pa.int32()), rows)
+
+    return _nearest_runs(F.col(p))
+
+
 def distances(p: str, centers: Centers, squared: bool = True) -> list[Column]:
     """One distance column per centre (``dist_i``)."""
     out = []

@@ -151,3 +151,67 @@ def point_distances(points: DataFrame, centers, p: str = "p", squared: bool = Fa
     if k * d > V.MAX_COLUMN_TERMS:
         raise ValueError(f"{k} distance columns of dimension {d}: use nearest_center, or fewer centres")
     return points.select("*", *V.distances(p, cs, squared=squared))
+
+
+# R * K * D terms up to which the assignment to several centre sets is unrolled.
+RUNS_UNROLL_LIMIT = 256
+
+
+def as_runs(runs, max_rows: int = MAX_K) -> list[tuple[int, Centers]]:
+    """Centre sets by run id, in id order: from a mapping ``{run_id: centres}`` or a frame ``[run_id, cid, c]``.
+
+    All sets together are held to the limits of one (``max_rows`` rows and ``vectors.MAX_CENTER_TERMS`` values),
+    checked before anything is collected.
+    """
+    if isinstance(runs, DataFrame):
+        sel = runs.select("run_id", "cid", F.col("c").cast("array<double>").alias("c")).persist()
+        try:
+            n, known, width = sel.agg(F.count(F.lit(1)), F.count_if(F.expr("run_id IS NOT NULL AND cid IS NOT NULL")), F.max(F.size("c"))).first()
+            if n > max_rows:
+                raise ValueError(f"more than {max_rows} centres")
+            if known < n:
+                raise ValueError("a centre has no run or no id")
+            V.check_budget(n, width or 0)
+            sets: dict[int, list] = {}
+            for r in sel.orderBy("run_id", "cid").collect():  # at most max_rows rows
+                sets.setdefault(r["run_id"], []).append((r["cid"], r["c"]))
+        finally:
+            sel.unpersist()
+        if any(c is None or any(v is None for v in c) for cs in sets.values() for _, c in cs):
+            raise ValueError("a centre has no coordinates")
+        out = [(run, Centers((c for _, c in cs), (i for i, _ in cs))) for run, cs in sets.items()]
+        if any(len(set(cs.ids)) < len(cs) for _, cs in out):
+            raise ValueError("centre ids repeat")
+    else:
+        out = [(run, as_center_list(cs)) for run, cs in sorted(runs.items())]
+    if not out:
+        raise ValueError("at least one run is required")
+    shapes = [V.check_centers(cs) for _, cs in out]
+    if len({d for _, d in shapes}) > 1:
+        raise ValueError("all runs must have the same dimension")
+    V.check_budget(sum(k for k, _ in shapes), shapes[0][1])
+    return out
+
+
+def nearest_center_runs(points: DataFrame, runs, p: str = "p") -> DataFrame:
+    """Each point once for every run, with ``run_id``, ``cid`` and ``d2`` (its nearest centre in that run's set).
+
+    The points are scanned once whatever the number of runs; the rows are multiplied inside their task, where a
+    following aggregate by run folds them again.  Ties and malformed points are treated as in ``nearest_center``.
+    """
+    sets = as_runs(runs)
+    d = len(sets[0][1][0])
+    cols, stem = _kept(points, "run_id", "cid", "d2"), _free(points, "_run")
+    if sum(len(cs) for _, cs in sets) * d > RUNS_UNROLL_LIMIT:
+        found = points.select("*", V.nearest_runs_arrow(p, [(run, cs, cs.ids) for run, cs in sets]).alias(stem))
+        return found.selectExpr(*cols, f"inline({stem})")
+    every, least, rows = [], [], []
+    for r, (run, cs) in enumerate(sets):
+        names = [f"{stem}{r}_{i}" for i in range(len(cs))]
+        every += [f"{V.sq_dist_sql(p, c)} AS {name}" for c, name in zip(cs, names)]
+        best = f"least({', '.join(names)})" if len(names) > 1 else names[0]
+        least.append(f"{V.checked_sql(p, d, names[0], best)} AS {stem}{r}")
+        first = "CASE " + " ".join(f"WHEN {t} = {stem}{r} THEN {i}L" for i, t in zip(cs.ids, names)) + " END"
+        rows.append(f"named_struct('run_id', {run}L, 'cid', {first}, 'd2', {stem}{r})")
+    own = cols if f"`{p}`" in cols else [*cols, f"`{p}`"]
+    return points.selectExpr(*own, *every).selectExpr("*", *least).selectExpr(*cols, f"inline(array({', '.join(rows)}))")

@@ -23,6 +23,8 @@ finishes them on the driver, where the new centres are needed anyway.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.points import prepare
@@ -34,34 +36,47 @@ from . import cluster as _cluster
 GAMMA_ROUNDS = 10
 
 
-def group_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
-    """Per (non-empty cluster, group): ``[cid, grp, n, m, scatter]``.
+# Dimensions from which group moments are one vector aggregate instead of two expressions a dimension.
+VECTOR_DIMS = 100
+
 
-    ``m`` is the group mean vector and ``scatter`` = n · Σ_j var_pop(x_j), the sum of squared
-    distances of the group's points to that mean.  One hash aggregate with plain
-    ``count``/``avg``/``var_pop`` (partial aggregation before the shuffle); at most 2K rows.
+def moments(assigned: DataFrame, keys: list[str], d: int) -> DataFrame:
+    """Per distinct ``keys``: ``[*keys, n, m, scatter]`` of the points ``p`` of dimension ``d``.
+
+    ``m`` is the mean vector and ``scatter`` = n · Σ_j var_pop(x_j), the sum of squared distances of the
+    points to it.  One aggregate with partial aggregation before the shuffle.  Up to ``VECTOR_DIMS``
+    dimensions it is plain ``avg``/``var_pop`` in generated code; beyond, one mergeable vector summary a
+    group, so the plan does not grow with the dimension.
     """
-    cs = as_center_list(centers)
-    d = len(cs[0])
+    if d > VECTOR_DIMS:
+        summary = Summarizer.metrics("mean", "variance").summary(array_to_vector("p"))
+        per = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), summary.alias("s"))
+        # the summary's variance is the sample one
+        return per.select(*keys, "n", vector_to_array("s.mean").alias("m"),
+                          (F.aggregate(vector_to_array("s.variance"), F.lit(0.0), lambda acc, v: acc + v) * (F.col("n") - 1)).alias("scatter"))
     # per-dimension aggregates as SQL text: one JVM parse each instead of many client calls
     aggs = [F.count(F.lit(1)).alias("n")]
     for j in range(d):
         aggs += [F.expr(f"avg(p[{j}])").alias(f"m{j}"), F.expr(f"var_pop(p[{j}])").alias(f"v{j}")]
-    per_group = (nearest_center(points.select("p", "grp"), cs, shared_code=shared_code)
-                 .groupBy("cid", "grp").agg(*aggs))
-    return per_group.selectExpr(
-        "cid", "grp", "n", "array(" + ", ".join(f"m{j}" for j in range(d)) + ") AS m",
+    return assigned.groupBy(*keys).agg(*aggs).selectExpr(
+        *keys, "n", "array(" + ", ".join(f"m{j}" for j in range(d)) + ") AS m",
         "n * (" + " + ".join(f"v{j}" for j in range(d)) + ") AS scatter")
 
 
+def group_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
+    """Per (non-empty cluster, group): ``[cid, grp, n, m, scatter]`` (see ``moments``); at most 2K rows."""
+    cs = as_center_list(centers)
+    return moments(nearest_center(points.select("p", "grp"), cs, shared_code=shared_code), ["cid", "grp"], len(cs[0]))
+
+
 def cluster_moments(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:
     """Per non-empty cluster: ``[cid, n_a, n_b, ell, d_a, d_b, mu_a, mu_b]`` (the group rows folded)."""
     return fold_groups(group_moments(points, centers, shared_code))
 
 
-def fold_groups(groups: DataFrame) -> DataFrame:
-    """One row a cluster from its one or two group rows (see ``cluster_moments``)."""
-    folded = groups.groupBy("cid").agg(
+def fold_groups(groups: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a cluster (of each ``by``) from its one or two group rows (see ``cluster_moments``)."""
+    folded = groups.groupBy(*by, "cid").agg(
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN n END), 0)").alias("n_a"),
         F.expr("coalesce(sum(CASE WHEN grp = 'B' THEN n END), 0)").alias("n_b"),
         F.expr("coalesce(sum(CASE WHEN grp = 'A' THEN scatter END), 0D)").alias("d_a"),
@@ -69,7 +84,7 @@ def fold_groups(groups: DataFrame) -> DataFrame:
         F.expr("max(CASE WHEN grp = 'A' THEN m END)").alias("ma"),
         F.expr("max(CASE WHEN grp = 'B' THEN m END)").alias("mb"))
     return folded.selectExpr(
-        "cid", "n_a", "n_b", f"{_ELL_SQL.format(a='ma', b='mb')} AS ell", "d_a", "d_b",
+        *by, "cid", "n_a", "n_b", f"{_ELL_SQL.format(a='ma', b='mb')} AS ell", "d_a", "d_b",
         "coalesce(ma, mb) AS mu_a", "coalesce(mb, ma) AS mu_b")
 
 
@@ -98,22 +113,22 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
         "ell", "d_a", "d_b", "mu_a", "mu_b")
 
 
-def run_stats(groups: DataFrame) -> DataFrame:
-    """One row: ``[na, nb, fixed_a, fixed_b, clusters]`` from the per-(cluster, group) moments.
+def run_stats(groups: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (of each ``by``): ``[*by, na, nb, fixed_a, fixed_b, clusters]`` from the per-(cluster, group) moments.
 
     ``clusters`` holds the K cluster statistics ordered by cid (``alpha``, ``beta``, ``ell``,
     ``mu_a``, ``mu_b``).  The at most 2K group rows are folded by cluster in one aggregate and
     gathered in a second, so the work is linear in K.  A one-sided cluster takes the other
     group's mean for the missing group (so ℓ = 0).
     """
-    agg = fold_groups(groups).agg(
+    agg = fold_groups(groups, by).groupBy(*by).agg(
         F.expr("coalesce(sum(n_a), 0)").alias("na"), F.expr("coalesce(sum(n_b), 0)").alias("nb"),
         F.expr("coalesce(sum(d_a), 0D)").alias("sum_d_a"), F.expr("coalesce(sum(d_b), 0D)").alias("sum_d_b"),
         F.expr("array_sort(collect_list(named_struct('cid', cid, 'n_a', n_a, 'n_b', n_b, 'ell', ell, "
                "'mu_a', mu_a, 'mu_b', mu_b)))").alias("_cl"))
     na, nb = F.col("na"), F.col("nb")
     return agg.select(
-        "na", "nb",
+        *by, "na", "nb",
         _guard(na, "A", F.col("sum_d_a") / na).alias("fixed_a"),
         _guard(nb, "B", F.col("sum_d_b") / nb).alias("fixed_b"),
         F.expr("transform(_cl, c -> named_struct('cid', c.cid, 'alpha', c.n_a / na, 'beta', c.n_b / nb, "
@@ -158,12 +173,12 @@ def balance(run: DataFrame) -> DataFrame:
         "*", f"transform(clusters, c -> named_struct('cid', c.cid, 'x', {_x_sql('c', 'gamma')})) AS x")
 
 
-def update_centers(balanced: DataFrame) -> DataFrame:
-    """``[cid, c, gamma]``: the moved centre of every non-empty cluster."""
+def update_centers(balanced: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``[*by, cid, c, gamma]``: the moved centre of every non-empty cluster."""
     x = _x_sql("c", "gamma")
     moved = (f"transform(clusters, c -> named_struct('cid', c.cid, 'c', CASE WHEN c.ell = 0D THEN c.mu_a "
              f"ELSE zip_with(c.mu_a, c.mu_b, (a, b) -> ((c.ell - {x}) * a + {x} * b) / c.ell) END))")
-    return balanced.select(F.inline(F.expr(moved)), "gamma")
+    return balanced.select(*by, F.inline(F.expr(moved)), "gamma")
 
 
 def fair_step(points: DataFrame, centers, shared_code: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ are ``BIGINT``.
 from __future__ import annotations
 
 from ..functions.hashing import HashFamily, SketchSpec
+from ..operators import seeding
 from ..sources.tables import BATCH_SIZE
 from . import params as P
 
@@ -135,6 +136,23 @@ def lloyd_step_ctes(pts: str, cen: str, d: int, o: str) -> list[str]:
     return ctes
 
 
+def seeding_ctes(k: int, seed: int, name: str = "seeds") -> list[str]:
+    """``name``: k centres (cid, c0..c2) drawn by the exponential race over the distinct points."""
+    ctes = ["dp AS (SELECT x0, x1, x2, count(*) AS n FROM pts GROUP BY ALL)"]
+    m = seeding.PRIME
+    for r, (a, b) in enumerate(seeding.round_parameters(k, seed)):
+        acc = f"{b}"
+        for j in range(3):
+            grid = f"CAST(floor(x{j} * {dbl(seeding.GRID)}) AS BIGINT)"
+            acc = f"(({a} * CAST({acc} AS BIGINT) + (({grid} % {m}) + {m}) % {m}) % {m})"
+        u = f"((({a} * {acc} + {b}) % {m} + CAST(0.5 AS DOUBLE)) / CAST({m} AS DOUBLE))"
+        weight = "CAST(n AS DOUBLE)" if not r else f"n * (SELECT min({_d2(3, 'dp', 'c')}) FROM {name}{r - 1} c)"
+        before = f"SELECT * FROM {name}{r - 1} UNION ALL " if r else ""
+        ctes.append(f"{name}{r} AS ({before}SELECT {r} AS cid, x0 AS c0, x1 AS c1, x2 AS c2 FROM (SELECT * FROM (SELECT x0, x1, x2, {u} AS u, "
+                    f"{weight} AS w FROM dp) WHERE w > 0 ORDER BY -ln(u) / w, x0, x1, x2 LIMIT 1))")
+    return ctes
+
+
 def centers_out(name: str, d: int, extra: str = "") -> str:
     cols = ", ".join(f"{rnd(f'c{j}')} AS x{j}" for j in range(d))
     return f"SELECT CAST(cid AS BIGINT) AS cid, {cols}{extra} FROM {name}"
@@ -291,6 +309,39 @@ def _sql() -> dict[str, str]:
         for name, src in (("standard", "za"), ("fair", "zb")))
     q["fair_vs_standard"] = with_ctes([PTS3, CEN3] + lloyd + fairs + assign_ctes("pts", l_last, 3, "za")
                                       + assign_ctes("pts", f_last, 3, "zb"), phis)
+    steps = []
+    for r, cs in P.SWEEP_STARTS.items():
+        steps += [centers_values(cs, f"cen{r}"), *fair_step_ctes("pts", f"cen{r}", 3, f"r{r}")]
+    q["fair_sweep"] = with_ctes([PTS3] + steps, " UNION ALL ".join(
+        centers_out(f"r{r}_new", 3, f", {rnd('gamma')} AS gamma, CAST({r} AS BIGINT) AS run_id") for r in P.SWEEP_STARTS))
+    steps, phis = [], []
+    for r, cs in P.SWEEP_STARTS.items():
+        steps.append(centers_values(cs, f"cen{r}"))
+        last = f"cen{r}"
+        for m in range(P.LOOP_STEPS):
+            steps += fair_step_ctes("pts", last, 3, f"r{r}_{m}")
+            last = f"r{r}_{m}_all"
+        steps += assign_ctes("pts", last, 3, f"z{r}")
+        phis.append(f"SELECT {r} AS run_id, avg(d2) FILTER (WHERE grp = 'A') AS pa, avg(d2) FILTER (WHERE grp = 'B') AS pb FROM z{r}")
+    q["fair_sweep_best"] = with_ctes(
+        [PTS3] + steps + [f"phis AS ({' UNION ALL '.join(phis)})"],
+        f"SELECT CAST(run_id AS BIGINT) AS run_id, {rnd('pa')} AS phi_a, {rnd('pb')} AS phi_b, {rnd('greatest(pa, pb)')} AS phi, "
+        "run_id = (SELECT run_id FROM phis ORDER BY greatest(pa, pb), run_id LIMIT 1) AS best FROM phis")
+    # repeating the coordinates times 1, 2, ... multiplies every squared distance by the sum of squares
+    scale = sum(k * k for k in range(1, P.WIDE_REPEATS + 1))
+    q["fair_cluster_stats_wide"] = with_ctes(
+        [EMB, EMB_CENTERS] + fair_step_ctes("pts", "cen", 64, "s1"),
+        f"SELECT CAST(cid AS BIGINT) AS cid, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, {rnd('alpha')} AS alpha, "
+        f"{rnd('beta')} AS beta, {rnd(f'sqrt({dbl(scale)}) * ell')} AS ell, {rnd(f'{dbl(scale)} * d_a')} AS d_a, "
+        f"{rnd(f'{dbl(scale)} * d_b')} AS d_b FROM s1_st")
+    seeds = seeding_ctes(P.KMEANS_K, P.SEEDING_SEED)
+    start = f"seeds{P.KMEANS_K - 1}"
+    q["seeding"] = with_ctes([PTS3] + seeds, centers_out(start, 3))
+    steps, last = [], start
+    for m in range(P.LOOP_STEPS):
+        steps += lloyd_step_ctes("pts", last, 3, f"k{m}")
+        last = f"k{m}_all"
+    q["kmeans_seeded"] = with_ctes([PTS3] + seeds + steps, centers_out(last, 3))
     mean = " + ".join(f"var_pop(x{j})" for j in range(3))
     q["kmeans_standard"] = with_ctes(
         [PTS3], f"SELECT CAST(count(*) AS BIGINT) AS n_points, CAST({P.KMEANS_K} AS BIGINT) AS n_centers, "

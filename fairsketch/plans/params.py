@@ -15,6 +15,13 @@ CENTERS_PTS3 = [
 # Three of them under ids with gaps, out of order.
 GAPPED_CENTERS = [(17, CENTERS_PTS3[0]), (3, CENTERS_PTS3[1]), (40, CENTERS_PTS3[2])]
 
+# Eight starts of a sweep, the centres above moved along the unit cube, and the seed of the seeding.
+SWEEP_STARTS = {r: [tuple(round((v + r * step) % 1, 2) for v, step in zip(c, (0.11, 0.07, 0.05))) for c in CENTERS_PTS3]
+                for r in range(8)}
+SEEDING_SEED = 5
+# How often the 64 embedding dimensions are repeated in wide points; repetition k is scaled by k.
+WIDE_REPEATS = 12
+
 # Fixed value: the cluster whose members are listed.
 MEMBERS_OF = 1
 

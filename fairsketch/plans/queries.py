@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import cluster, fair, heavy, objective, sketch
+from ..operators import cluster, fair, heavy, objective, seeding, sketch, sweep
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
 from ..sources import tables
 from ..sources.points import flat, read_points, write_points
@@ -174,6 +174,37 @@ def q_fair_step_emb(spark, sf):
     return out(_flat_centers(st, 64, ["gamma"]))
 
 
+def q_fair_sweep(spark, sf):
+    """One fair iteration from each of several starts, in one scan."""
+    st = sweep.sweep_step(tables.pts3(spark, sf), P.SWEEP_STARTS)
+    return out(_flat_centers(st, 3, ["run_id", "gamma"]))
+
+
+def q_fair_sweep_best(spark, sf):
+    """Φ of every run after some fair iterations, and the best run."""
+    return out(sweep.best_run(tables.pts3(spark, sf), P.SWEEP_STARTS, P.LOOP_STEPS))
+
+
+def q_fair_cluster_stats_wide(spark, sf):
+    """Cluster statistics of 768-dimensional points: the embedding's coordinates times 1, 2, ..., one after the other."""
+    e = tables.emb(spark, sf, keep_label=True)
+    wide = e.withColumn("p", F.expr(f"flatten(transform(sequence(1, {P.WIDE_REPEATS}), k -> transform(p, x -> x * k)))"))
+    cs = as_center_list([tuple(v * k for k in range(1, P.WIDE_REPEATS + 1) for v in c) for c in emb_centers(spark, sf)])
+    st = fair.cluster_stats(wide, cs)
+    return out(st.select("cid", "n_a", "n_b", "alpha", "beta", "ell", "d_a", "d_b"))
+
+
+def q_seeding(spark, sf):
+    """D²-weighted seeding from a hash of the points."""
+    return out(_centers_df(spark, seeding.seed_centers(tables.pts3(spark, sf), P.KMEANS_K, P.SEEDING_SEED)))
+
+
+def q_kmeans_seeded(spark, sf):
+    """Lloyd's iterations from the hashed seeding: a k-means result that is the same everywhere."""
+    pts = tables.pts3(spark, sf)
+    return out(_centers_df(spark, cluster.lloyd(pts, seeding.seed_centers(pts, P.KMEANS_K, P.SEEDING_SEED), P.LOOP_STEPS)))
+
+
 def q_fair_kmeans_fixed_start(spark, sf):
     cs = fair.fair_kmeans(tables.pts3(spark, sf), init=P.CENTERS_PTS3, m=P.LOOP_STEPS)
     return out(_centers_df(spark, cs))
@@ -376,6 +407,11 @@ QUERIES: dict[str, Query] = {
     "fair_balance": q_fair_balance,
     "fair_step": q_fair_step,
     "fair_step_emb": q_fair_step_emb,
+    "fair_sweep": q_fair_sweep,
+    "fair_sweep_best": q_fair_sweep_best,
+    "fair_cluster_stats_wide": q_fair_cluster_stats_wide,
+    "seeding": q_seeding,
+    "kmeans_seeded": q_kmeans_seeded,
     "fair_kmeans_fixed_start": q_fair_kmeans_fixed_start,
     "lloyd_fixed_start": q_lloyd_fixed_start,
     "fair_kmeans_cached_loop": q_fair_kmeans_cached_loop,
