@@ -10,6 +10,7 @@ non-negative modulo of unbounded integer arithmetic.  On 64-bit columns this is
 
 from __future__ import annotations
 
+import hashlib
 import random
 from dataclasses import dataclass
 
@@ -86,6 +87,12 @@ def sign(x: Column, a: Column, b: Column, p: Column) -> Column:
     return F.lit(2) * F.pmod(F.pmod(a * F.pmod(x, p) + b, p), F.lit(2)) - F.lit(1)
 
 
+def sketch_name(kind: str, w: int, *families: HashFamily) -> str:
+    """Kind, width, depth and a digest of the hash parameters."""
+    text = repr([(f.a, f.b, f.p) for f in families])
+    return f"{kind}-{families[0].d}x{w}-{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+
+
 @dataclass(frozen=True)
 class SketchSpec:
     """Shape and hash functions of a pair of sketches over the same stream.
@@ -109,6 +116,14 @@ class SketchSpec:
     def d(self) -> int:
         return self.cm_h.d
 
+    def fingerprint(self, kind: str) -> str:
+        """Names everything that cells of one kind depend on: two sketches can be added only if these are equal."""
+        if kind == "cm":
+            return sketch_name("cm", self.w, self.cm_h)
+        if kind == "cs":
+            return sketch_name("cs", self.w, self.cs_h, self.cs_g)
+        raise ValueError("kind is 'cm' or 'cs'")
+
     @staticmethod
     def draw(d: int, w: int, p: int = DEFAULT_PRIME, seed: int | None = None) -> "SketchSpec":
         rng = random.Random(seed)

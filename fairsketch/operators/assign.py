@@ -153,10 +153,6 @@ def point_distances(points: DataFrame, centers, p: str = "p", squared: bool = Fa
     return points.select("*", *V.distances(p, cs, squared=squared))
 
 
-# R * K * D terms up to which the assignment to several centre sets is unrolled.
-RUNS_UNROLL_LIMIT = 256
-
-
 def as_runs(runs, max_rows: int = MAX_K) -> list[tuple[int, Centers]]:
     """Centre sets by run id, in id order: from a mapping ``{run_id: centres}`` or a frame ``[run_id, cid, c]``.
 
@@ -200,18 +196,24 @@ def nearest_center_runs(points: DataFrame, runs, p: str = "p") -> DataFrame:
     following aggregate by run folds them again.  Ties and malformed points are treated as in ``nearest_center``.
     """
     sets = as_runs(runs)
-    d = len(sets[0][1][0])
+    d, k = len(sets[0][1][0]), max(len(cs) for _, cs in sets)
     cols, stem = _kept(points, "run_id", "cid", "d2"), _free(points, "_run")
-    if sum(len(cs) for _, cs in sets) * d > RUNS_UNROLL_LIMIT:
+    if k * d > V.UNROLL_LIMIT:
         found = points.select("*", V.nearest_runs_arrow(p, [(run, cs, cs.ids) for run, cs in sets]).alias(stem))
         return found.selectExpr(*cols, f"inline({stem})")
-    every, least, rows = [], [], []
-    for r, (run, cs) in enumerate(sets):
-        names = [f"{stem}{r}_{i}" for i in range(len(cs))]
-        every += [f"{V.sq_dist_sql(p, c)} AS {name}" for c, name in zip(cs, names)]
-        best = f"least({', '.join(names)})" if len(names) > 1 else names[0]
-        least.append(f"{V.checked_sql(p, d, names[0], best)} AS {stem}{r}")
-        first = "CASE " + " ".join(f"WHEN {t} = {stem}{r} THEN {i}L" for i, t in zip(cs.ids, names)) + " END"
-        rows.append(f"named_struct('run_id', {run}L, 'cid', {first}, 'd2', {stem}{r})")
+    # a point meets the sets one after the other, as rows: the code holds K * D terms whatever the number of runs
+    # (smaller sets end with centres at infinity)
+    rows = []
+    for run, cs in sets:
+        flat = [V.num(v) for c in cs for v in c] + ["CAST('Infinity' AS DOUBLE)"] * ((k - len(cs)) * d)
+        ids = [f"{i}L" for i in cs.ids] + [f"{cs.ids[0]}L"] * (k - len(cs))
+        rows.append(f"named_struct('r', {run}L, 'c', array({', '.join(flat)}), 'i', array({', '.join(ids)}))")
     own = cols if f"`{p}`" in cols else [*cols, f"`{p}`"]
-    return points.selectExpr(*own, *every).selectExpr("*", *least).selectExpr(*cols, f"inline(array({', '.join(rows)}))")
+    every = points.selectExpr(*own, f"inline(array({', '.join(rows)})) AS (run_id, {stem}c, {stem}i)")
+    names = [f"{stem}{i}" for i in range(k)]
+    terms = [" + ".join(f"(`{p}`[{j}] - {stem}c[{i * d + j}]) * (`{p}`[{j}] - {stem}c[{i * d + j}])" for j in range(d)) for i in range(k)]
+    best = f"least({', '.join(names)})" if k > 1 else names[0]
+    first = "CASE " + " ".join(f"WHEN {t} = {stem}d2 THEN {stem}i[{i}]" for i, t in enumerate(names)) + " END"
+    return every.selectExpr("*", *[f"{t} AS {n}" for t, n in zip(terms, names)]) \
+        .selectExpr("*", f"{V.checked_sql(p, d, names[0], best)} AS {stem}d2") \
+        .selectExpr(*cols, "run_id", f"inline(array(named_struct('cid', {first}, 'd2', {stem}d2)))")

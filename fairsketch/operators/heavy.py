@@ -8,7 +8,7 @@ hold many more than K items when frequencies tie - is never funnelled through on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import SketchSpec
 from .sketch import estimate_both
@@ -26,6 +26,18 @@ def top_k_with_ties(hist: DataFrame, k: int) -> DataFrame:
     return hist.where(F.col("freq") >= phi_k(hist, k).scalar())
 
 
+def top_k_by(hist: DataFrame, k: int, by: str) -> DataFrame:
+    """``[by, item, freq]``: the heavy hitters with ties of every group of a histogram ``[by, item, freq]``.
+
+    Spark limits each task's rows of a group to the first ranks before it shuffles them, so a group sends at most k
+    items (and those that tie with the last) a task, however many it has.
+    """
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    order = Window.partitionBy(by).orderBy(F.desc("freq"))
+    return hist.withColumn("_rank", F.rank().over(order)).where(F.col("_rank") <= k).select(by, "item", "freq")
+
+
 def report(hist: DataFrame, k: int, cm_cells: DataFrame, cs_cells: DataFrame, spec: SketchSpec) -> DataFrame:
     """``[item, freq, cm_est, cs_est, cm_err, cs_err]`` for the top-K heavy hitters.
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.hashing import HashFamily, SketchSpec
+from ..functions.hashing import HashFamily, SketchSpec, sketch_name
 
 # Sketches with at most this many cells are broadcast to the probing side of an estimate;
 # larger ones are joined by shuffle.
@@ -27,6 +27,12 @@ def histogram(items: DataFrame, item_col: str = "item") -> DataFrame:
             .groupBy(F.col(item_col).alias("item")).agg(F.count(F.lit(1)).alias("freq")))
 
 
+def histogram_by(items: DataFrame, by: str, item_col: str = "item") -> DataFrame:
+    """``[by, item, freq]``: the exact frequency of every item in every group."""
+    return (items.where(F.col(item_col).isNotNull())
+            .groupBy(by, F.col(item_col).alias("item")).agg(F.count(F.lit(1)).alias("freq")))
+
+
 def stream_totals(hist: DataFrame) -> DataFrame:
     """``[n_items, n_distinct]`` of a histogram."""
     return hist.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("n_items"),
@@ -51,16 +57,34 @@ def hash_rows(items: DataFrame, family: HashFamily, w: int | None = None, item_c
     return items.select(F.col(item_col).alias("item"), _inline(rows))
 
 
+def _cell_rows(items: DataFrame, w: int, h: HashFamily, g: HashFamily | None, item_col: str, weight: str | None,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """``[*keep, r, c, f]``: what each item adds to its cell of every row."""
+    f = _weight_sql(weight)
+    rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'f', {f}{f' * {g.sign_sql(item_col, r)}' if g else ''}" for r in range(h.d)]
+    return items.where(F.col(item_col).isNotNull()).select(*keep, _inline(rows))
+
+
+def cell_rows(items: DataFrame, spec: SketchSpec, kind: str, item_col: str = "item", weight: str | None = None,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """``[*keep, r, c, f]`` for a sketch of the kind ``cm`` or ``cs``."""
+    spec.fingerprint(kind)  # refuses other kinds
+    h, g = (spec.cm_h, None) if kind == "cm" else (spec.cs_h, spec.cs_g)
+    return _cell_rows(items, spec.w, h, g, item_col, weight, keep)
+
+
+def _cells(rows: DataFrame, name: str) -> DataFrame:
+    # the sketch's name travels with the column, so that merge and the estimates can refuse other ones
+    return rows.groupBy("r", "c").agg(F.sum("f").alias("v", metadata={"sketch": name}))
+
+
 def count_min(items: DataFrame, family: HashFamily, w: int, item_col: str = "item",
               weight: str | None = None) -> DataFrame:
     """``[r, c, v]``: count-min sketch cells, ``CM[r][h_r(x)] += f``.
 
     ``weight`` names a frequency column (e.g. build from a histogram); default 1 per row.
     """
-    f = _weight_sql(weight)
-    rows = [f"'r', {r}, 'c', {family.bucket_sql(item_col, r, w)}, 'f', {f}" for r in range(family.d)]
-    return (items.where(F.col(item_col).isNotNull()).select(_inline(rows))
-            .groupBy("r", "c").agg(F.sum("f").alias("v")))
+    return _cells(_cell_rows(items, w, family, None, item_col, weight), sketch_name("cm", w, family))
 
 
 def count_sketch(items: DataFrame, h: HashFamily, g: HashFamily, w: int, item_col: str = "item",
@@ -68,11 +92,7 @@ def count_sketch(items: DataFrame, h: HashFamily, g: HashFamily, w: int, item_co
     """``[r, c, v]``: count-sketch cells, ``CS[r][h_r(x)] += f * g_r(x)``."""
     if h.d != g.d:
         raise ValueError("h and g need the same number of rows")
-    f = _weight_sql(weight)
-    rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'f', {f} * {g.sign_sql(item_col, r)}"
-            for r in range(h.d)]
-    return (items.where(F.col(item_col).isNotNull()).select(_inline(rows))
-            .groupBy("r", "c").agg(F.sum("f").alias("v")))
+    return _cells(_cell_rows(items, w, h, g, item_col, weight), sketch_name("cs", w, h, g))
 
 
 def sketches(items: DataFrame, spec: SketchSpec, item_col: str = "item",
@@ -82,23 +102,38 @@ def sketches(items: DataFrame, spec: SketchSpec, item_col: str = "item",
             count_sketch(items, spec.cs_h, spec.cs_g, spec.w, item_col, weight))
 
 
+def name_of(cells: DataFrame) -> str | None:
+    """The sketch that the cells say they belong to (None for cells made elsewhere)."""
+    return cells.schema["v"].metadata.get("sketch")
+
+
+def _check(cells: DataFrame, name: str) -> None:
+    if name_of(cells) not in (None, name):
+        raise ValueError(f"cells of {name_of(cells)} do not belong to {name}")
+
+
 def merge(*cells: DataFrame) -> DataFrame:
-    """Cell-wise sum of sketches built with the same hash functions and width."""
+    """Cell-wise sum of sketches built with the same hash functions and width; others are refused."""
     if not cells:
         raise ValueError("nothing to merge")
+    names = {n for n in map(name_of, cells) if n}
+    if len(names) > 1:
+        raise ValueError(f"sketches with different parameters cannot be merged: {', '.join(sorted(names))}")
     u = cells[0].select("r", "c", "v")
     for c in cells[1:]:
         u = u.unionByName(c.select("r", "c", "v"))
-    return u.groupBy("r", "c").agg(F.sum("v").cast("bigint").alias("v"))
+    return u.groupBy("r", "c").agg(F.sum("v").cast("bigint").alias("v", metadata={"sketch": n for n in names}))
 
 
-def _probe(cells: DataFrame, d: int, w: int) -> DataFrame:
-    return F.broadcast(cells) if d * w <= BROADCAST_CELLS else cells
+def _probe(cells: DataFrame, d: int, w: int, broadcast_cells: int | None = None) -> DataFrame:
+    """Broadcast while the sketch's cells are few; beyond that both sides are shuffled by (r, c) and merged."""
+    return F.broadcast(cells) if d * w <= (BROADCAST_CELLS if broadcast_cells is None else broadcast_cells) else cells.hint("merge")
 
 
 def estimate_cm(queries: DataFrame, cells: DataFrame, family: HashFamily, w: int,
                 item_col: str = "item") -> DataFrame:
     """``[item, cm_est]``: min over rows of ``CM[r][h_r(x)]`` for every distinct query item (null items have none)."""
+    _check(cells, sketch_name("cm", w, family))
     probes = hash_rows(queries.where(F.col(item_col).isNotNull()).select(item_col).distinct(), family, w, item_col)
     joined = probes.join(_probe(cells, family.d, w), ["r", "c"], "left")
     return joined.groupBy("item").agg(F.min(F.coalesce("v", F.lit(0))).cast("bigint").alias("cm_est"))
@@ -107,6 +142,7 @@ def estimate_cm(queries: DataFrame, cells: DataFrame, family: HashFamily, w: int
 def estimate_cs(queries: DataFrame, cells: DataFrame, h: HashFamily, g: HashFamily, w: int,
                 item_col: str = "item") -> DataFrame:
     """``[item, cs_est]``: ``sorted(CS[r][h_r(x)] * g_r(x))[d // 2]`` (upper median for even d)."""
+    _check(cells, sketch_name("cs", w, h, g))
     rows = [f"'r', {r}, 'c', {h.bucket_sql(item_col, r, w)}, 'g', {g.sign_sql(item_col, r)}" for r in range(h.d)]
     known = queries.where(F.col(item_col).isNotNull()).select(item_col).distinct()
     probes = known.select(F.col(item_col).alias("item"), _inline(rows))
@@ -126,6 +162,8 @@ def estimate_both(queries: DataFrame, cm_cells: DataFrame, cs_cells: DataFrame,
     ``keep`` columns must be functions of the item (e.g. its true frequency).
     """
     w, d = spec.w, spec.d
+    _check(cm_cells, spec.fingerprint("cm"))
+    _check(cs_cells, spec.fingerprint("cs"))
     rows = [f"'r', {r}, 'cm_c', {spec.cm_h.bucket_sql(item_col, r, w)}, "
             f"'cs_c', {spec.cs_h.bucket_sql(item_col, r, w)}, 'g', {spec.cs_g.sign_sql(item_col, r)}"
             for r in range(d)]

@@ -262,6 +262,14 @@ def _sql() -> dict[str, str]:
         "SELECT CAST(a.cid AS BIGINT) AS cid, any_value(c.c0) AS x0, any_value(c.c1) AS x1, any_value(c.c2) AS x2, "
         "CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "
         "CAST(count(*) FILTER (WHERE grp = 'B') AS BIGINT) AS n_b FROM asg a JOIN cen c ON a.cid = c.cid GROUP BY a.cid")
+    cells3 = ("cen AS (SELECT p_partkey AS cid, p_size / CAST(50 AS DOUBLE) AS c0, p_partkey * 37 % 101 / CAST(100 AS DOUBLE) AS c1, "
+              "p_partkey * 53 % 81 / CAST(100 AS DOUBLE) AS c2 FROM part)")
+    each = "one AS (SELECT x0, x1, x2, count(*) AS n, row_number() OVER () AS pid FROM pts GROUP BY ALL)"
+    q["nearest_part"] = with_ctes(
+        [PTS3, cells3, each] + assign_ctes("one", "cen", 3, "asg"),
+        f"SELECT CAST(cid AS BIGINT) AS cid, CAST(sum(n) AS BIGINT) AS n, {rnd('sum(n * d2)')} AS sum_d2 FROM asg GROUP BY cid")
+    q["nearest_part_skipped"] = ("SELECT CAST((SELECT count(*) FROM lineitem) AS BIGINT) AS n_points, "
+                                 "CAST(count(*) AS BIGINT) AS n_centers, true AS nine_tenths_skipped FROM part")
     q["nearest_center_emb"] = with_ctes(
         [EMB, EMB_CENTERS] + assign_ctes("pts", "cen", 64, "asg"),
         f"SELECT CAST(cid AS BIGINT) AS cid, CAST(count(*) AS BIGINT) AS n, "
@@ -388,6 +396,17 @@ def _sql() -> dict[str, str]:
                                           "SELECT item, CAST(freq AS BIGINT) AS freq FROM hh")
     q["cm_merge"] = with_ctes([ITEMS_ORDER] + cm_ctes(w), cells_out.format("cm"))
 
+    big = P.SPEC_LARGE
+    q["cm_estimate_shuffled"] = with_ctes([ITEMS_ORDER] + cm_ctes(big) + cm_est_ctes(big, "it"),
+                                          "SELECT item, CAST(cm_est AS BIGINT) AS cm_est FROM cme")
+    q["heavy_hitters_by_batch"] = with_ctes(
+        [ITEMS_SKEW], "SELECT CAST(batch AS BIGINT) AS batch, item, CAST(count(*) AS BIGINT) AS freq FROM it GROUP BY batch, item "
+                      f"QUALIFY rank() OVER (PARTITION BY batch ORDER BY count(*) DESC) <= {P.TOP_K_BATCH}")
+    q["sketch_store"] = q["cm_cells"]
+    q["sketch_store_years"] = with_ctes(
+        [f"it AS (SELECT l_orderkey AS item FROM (SELECT *, year(l_shipdate) AS batch FROM lineitem) WHERE {P.STORE_YEARS})"] + cm_ctes(w),
+        cells_out.format("cm"))
+
     # streams (the stream is the whole events table; the oracle is the batch computation)
     q["stream_prefix"] = with_ctes(
         [ITEMS_SKEW, "sizes AS (SELECT batch, count(*) AS n FROM it GROUP BY batch)",
@@ -402,6 +421,14 @@ def _sql() -> dict[str, str]:
         f"SELECT (SELECT CAST(count(*) AS BIGINT) FROM it) AS n_items, "
         f"(SELECT CAST(count(*) AS BIGINT) FROM hist) AS n_distinct, "
         f"CAST(count(*) AS BIGINT) AS n_hh, {rnd('avg(cm_err)')} AS cm_avg_err, {rnd('avg(cs_err)')} AS cs_avg_err FROM rep")
+    arrivals = ("it AS (SELECT user_id AS item, 0 AS batch FROM events UNION ALL SELECT o_custkey, 1 FROM orders "
+                "UNION ALL SELECT l_partkey, 2 FROM lineitem)")
+    counts = "SELECT item, CAST(count(*) AS BIGINT) AS freq FROM it {}GROUP BY item"
+    q["stream_tables_histogram"] = with_ctes([arrivals], counts.format(""))
+    q["stream_tables_cm_cells"] = with_ctes([arrivals] + cm_ctes(n), cells_out.format("cm"))
+    q["stream_tables_cs_cells"] = with_ctes([arrivals] + cs_ctes(n), cells_out.format("cs"))
+    q["stream_tables_until"] = with_ctes(
+        [arrivals], counts.format(f"i WHERE (SELECT count(*) FROM it e WHERE e.batch < i.batch) < {P.STREAM_T_TABLES} "))
     # the events table is one file, hence one batch, and a batch is taken whole
     q["stream_report_t"] = q["stream_report"]
     return q

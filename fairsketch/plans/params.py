@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.hashing import SketchSpec
+from ..functions.hashing import LARGE_PRIME, SketchSpec
 
 # Four starting centres for the 3-D lineitem points.
 CENTERS_PTS3 = [
@@ -37,11 +37,20 @@ KMEANS_SEED = 16
 SPEC_WIDE = SketchSpec.draw(d=5, w=256, seed=20240501)
 SPEC_NARROW = SketchSpec.draw(d=4, w=32, seed=20240502)
 
+# Large: more cells than are broadcast, hashes modulo a prime beyond the key domains.
+SPEC_LARGE = SketchSpec.draw(d=5, w=500_000, p=LARGE_PRIME, seed=20240503)
+
+# Fixed value: condition on the batches (years) of a stored sketch that are read.
+STORE_YEARS = "batch >= 1995"
+
 # K of the heavy-hitter queries and the stream target length.
 TOP_K = 10
 TOP_K_USERS = 5
 TOP_K_ORDERS = 20
+TOP_K_BATCH = 3
 STREAM_T = 4321
+# Fixed value: the target length of the stream of three tables (at sf0.01 it is reached by the second one).
+STREAM_T_TABLES = 12_000
 
 # Digits kept of every double in query results (both sides of the oracle check).
 DIGITS = 6

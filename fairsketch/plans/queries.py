@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import cluster, fair, heavy, objective, seeding, sketch, sweep
+from ..operators import cluster, fair, heavy, objective, seeding, sketch, sketch_store, sweep
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
+from ..operators.nearest_tree import nearest_center_tree
 from ..sources import tables
 from ..sources.points import flat, read_points, write_points
 from ..streaming import stream
@@ -128,6 +129,24 @@ def q_cluster_members(spark, sf):
     return out(pts.select(*[F.col("p")[j].alias(f"x{j}") for j in range(3)], "grp", "cid", "d2"))
 
 
+def _nearest_part(spark, sf):
+    """Every lineitem point with the nearest of as many centres as there are parts."""
+    parts = tables.table(spark, sf, "part").selectExpr(
+        "p_partkey AS cid", "array(p_size / 50D, p_partkey * 37 % 101 / 100D, p_partkey * 53 % 81 / 100D) AS c")
+    return nearest_center_tree(tables.pts3(spark, sf), parts)
+
+
+def q_nearest_part(spark, sf):
+    return out(_nearest_part(spark, sf).groupBy("cid").agg(F.count(F.lit(1)).alias("n"), F.sum("d2").alias("sum_d2")))
+
+
+def q_nearest_part_skipped(spark, sf):
+    """How much of the full comparison the tree spares: here more than nine tenths."""
+    met = _nearest_part(spark, sf).agg(F.count(F.lit(1)).alias("n_points"), F.sum("n_met").alias("met"))
+    every = tables.table(spark, sf, "part").agg(F.count(F.lit(1)).alias("n_centers"))
+    return out(met.crossJoin(every).selectExpr("n_points", "n_centers", "met < 0.1 * n_points * n_centers AS nine_tenths_skipped"))
+
+
 def emb_centers(spark, sf) -> list[tuple[float, ...]]:
     """Centres for the 64-D embeddings: the mean vector of each label (at most 10 rows)."""
     e = tables.emb(spark, sf, keep_label=True)
@@ -324,6 +343,34 @@ def q_cm_merge(spark, sf):
     return out(sketch.merge(sketch.count_min(open_lines, s.cm_h, s.w), sketch.count_min(closed_lines, s.cm_h, s.w)))
 
 
+def q_cm_estimate_shuffled(spark, sf):
+    """Estimates from a sketch too large to broadcast: cells and probes meet by shuffle."""
+    s = P.SPEC_LARGE
+    hist = sketch.histogram(tables.items_order(spark, sf)).where("freq > 0")
+    return out(sketch.estimate_cm(hist, sketch.count_min(hist, s.cm_h, s.w, weight="freq"), s.cm_h, s.w))
+
+
+def q_heavy_hitters_by_batch(spark, sf):
+    return out(heavy.top_k_by(sketch.histogram_by(tables.items_skew(spark, sf), "batch"), P.TOP_K_BATCH, "batch"))
+
+
+def _stored(spark, sf, batches=None):
+    """Count-min cells of the order keys by shipping year, kept as a table; one year is written again."""
+    path, spec = scratch_path(spark, "sketch-store"), P.SPEC_WIDE
+    lines = tables.table(spark, sf, "lineitem").selectExpr("l_orderkey AS item", "year(l_shipdate) AS batch")
+    sketch_store.write_batches(lines, path, "batch", spec)
+    sketch_store.write_batches(lines.where(P.STORE_YEARS), path, "batch", spec)  # corrected years replace theirs
+    return _kept(spark, out(sketch_store.read_sketch(spark, path, spec, batches=batches)), path)
+
+
+def q_sketch_store(spark, sf):
+    return _stored(spark, sf)
+
+
+def q_sketch_store_years(spark, sf):
+    return _stored(spark, sf, P.STORE_YEARS)
+
+
 # ---------------------------------------------------------------- streams
 
 def q_stream_prefix(spark, sf):
@@ -348,10 +395,59 @@ def _kept(spark: SparkSession, rows: DataFrame, *paths: str) -> DataFrame:
 
 
 def _state(spark: SparkSession, state: DataFrame, keys: list[str], value: str) -> DataFrame:
-    sink = stream.run_state(state)
+    sink = stream.run_state(state, keys=keys, value=value)
     return _kept(spark, stream.latest(spark, sink, keys, value), sink, f"{sink}-checkpoint")
 
 
+# The tables of the several-batch streams in the order they arrive, each with its item.
+_ARRIVALS = (("events", "user_id"), ("orders", "o_custkey"), ("lineitem", "l_partkey"))
+_ITEM_SCHEMA = T.StructType([T.StructField("item", T.LongType())])
+
+
+def _arrivals(spark: SparkSession, sf: str, run, again=None) -> list[str]:
+    """Whole tables arrive one after the other in a folder; after each the stream is started again and goes on.
+
+    ``run(stream)`` takes up its own sink and checkpoint.  ``again()`` is called between the last run and one more.
+    Returns the folders to remove.
+    """
+    inbox = scratch_path(spark, "stream-inbox")
+    for name, item in _ARRIVALS:
+        tables.table(spark, sf, name).select(F.col(item).cast("bigint").alias("item")).write.mode("append").parquet(inbox)
+        run(stream.file_stream(spark, inbox, _ITEM_SCHEMA, files_per_trigger=100_000))
+    if again:
+        again()
+        run(stream.file_stream(spark, inbox, _ITEM_SCHEMA, files_per_trigger=100_000))
+    return [inbox]
+
+
+def _state_of_tables(spark: SparkSession, sf: str, state, keys: list[str], value: str) -> DataFrame:
+    """A state over three batches, two restarts and a replay of the last batch."""
+    sink = scratch_path(spark, "stream-state")
+    paths = _arrivals(spark, sf, lambda src: stream.run_state(state(src), sink, keys=keys, value=value, compact_every=2),
+                      lambda: stream.forget_commit(spark, f"{sink}-checkpoint"))
+    return _kept(spark, stream.latest(spark, sink, keys, value), sink, f"{sink}-checkpoint", *paths)
+
+
+def q_stream_tables_histogram(spark, sf):
+    return out(_state_of_tables(spark, sf, stream.histogram_state, ["item"], "freq"))
+
+
+def q_stream_tables_cm_cells(spark, sf):
+    return out(_state_of_tables(spark, sf, lambda src: stream.sketch_state(src, P.SPEC_NARROW, "cm"), ["r", "c"], "v"))
+
+
+def q_stream_tables_cs_cells(spark, sf):
+    return out(_state_of_tables(spark, sf, lambda src: stream.sketch_state(src, P.SPEC_NARROW, "cs"), ["r", "c"], "v"))
+
+
+def q_stream_tables_until(spark, sf):
+    """The stop rule in the stream's state: batches are taken while fewer than T items were, across restarts and a replay."""
+    sink = scratch_path(spark, "stream-until")
+    paths = _arrivals(spark, sf, lambda src: stream.run_until(src, P.STREAM_T_TABLES, sink),
+                      lambda: stream.forget_commit(spark, f"{sink}-checkpoint"))
+    return out(_kept(spark, stream.taken(spark, sink), sink, f"{sink}-checkpoint", *paths))
+
+
 def _stream_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return _state(spark, stream.histogram_state(_event_items(spark, sf)), ["item"], "freq")
 
@@ -400,6 +496,8 @@ QUERIES: dict[str, Query] = {
     "fair_objective": q_fair_objective,
     "cluster_group_counts": q_cluster_group_counts,
     "cluster_members": q_cluster_members,
+    "nearest_part": q_nearest_part,
+    "nearest_part_skipped": q_nearest_part_skipped,
     "nearest_center_emb": q_nearest_center_emb,
     "fair_objective_emb": q_fair_objective_emb,
     "fair_cluster_stats": q_fair_cluster_stats,
@@ -433,10 +531,18 @@ QUERIES: dict[str, Query] = {
     "order_frequencies": q_order_frequencies,
     "heavy_hitters_orders": q_heavy_hitters_orders,
     "cm_merge": q_cm_merge,
+    "cm_estimate_shuffled": q_cm_estimate_shuffled,
+    "heavy_hitters_by_batch": q_heavy_hitters_by_batch,
+    "sketch_store": q_sketch_store,
+    "sketch_store_years": q_sketch_store_years,
     "stream_prefix": q_stream_prefix,
     "stream_histogram": q_stream_histogram,
     "stream_cm_cells": q_stream_cm_cells,
     "stream_cs_cells": q_stream_cs_cells,
     "stream_report": q_stream_report,
     "stream_report_t": q_stream_report_t,
+    "stream_tables_histogram": q_stream_tables_histogram,
+    "stream_tables_cm_cells": q_stream_tables_cm_cells,
+    "stream_tables_cs_cells": q_stream_tables_cs_cells,
+    "stream_tables_until": q_stream_tables_until,
 }

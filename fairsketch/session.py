@@ -40,6 +40,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a path made by :func:`scratch_path` once its last reader is done."""
     if not path.startswith(f"{checkpoint_root(spark)}/fairsketch/"):

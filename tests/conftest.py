@@ -24,7 +24,7 @@ def spark():
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("lineitem", "events", "embeddings"):
+    for t in ("lineitem", "events", "embeddings", "orders", "part"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return con
 

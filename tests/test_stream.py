@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from samples import SF0001
 from fairsketch.functions.hashing import SketchSpec
 from fairsketch.operators import sketch
-from fairsketch.session import scratch_path
+from fairsketch.session import children, scratch_path
 from fairsketch.sources import tables
 from fairsketch.streaming import stream
 
@@ -74,24 +74,50 @@ def test_an_exhausted_stream_is_taken_whole(spark, staged):
     assert _histogram(stream.taken(spark, sink)) == _histogram(sketch.histogram(_batch_items(spark)))
 
 
-def test_replayed_batch_counts_once(spark):
-    sink = scratch_path(spark, "test-replay")
-    batch = spark.range(100).select((F.col("id") % 7).alias("item"))
-    rule = stream._Until(1000, sink, "item")
-    for b in (0, 1, 1):  # batch 1 again after a failure
-        rule(batch, b)
-    assert sum(_histogram(stream.taken(spark, sink)).values()) == 200
-    again = stream._Until(200, sink, "item")  # a new driver reads the total from the sink
-    again(batch, 2)
-    assert again.reached.is_set() and sum(_histogram(stream.taken(spark, sink)).values()) == 200
+def _rows(spark, folder, *values):
+    spark.createDataFrame([(v,) for v in values], "item bigint").coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_nothing_written_is_none_and_other_errors_are_raised(spark):
+def test_the_rule_goes_on_after_a_restart_and_a_replay(spark):
+    folder, sink = scratch_path(spark, "test-arrivals"), scratch_path(spark, "test-until")
+    schema = spark.createDataFrame([], "item bigint").schema
+    run = lambda: stream.run_until(stream.file_stream(spark, folder, schema, 100), 7, sink)
+    _rows(spark, folder, 1, 1, 2, None)
+    run()
+    _rows(spark, folder, 2, 2, 3, 4, 5)
+    assert stream.forget_commit(spark, f"{sink}-checkpoint") == 0
+    run()  # batch 0 again, then batch 1
+    assert _histogram(stream.taken(spark, sink)) == {1: 2, 2: 3, 3: 1, 4: 1, 5: 1}
+    _rows(spark, folder, 6, 6)
+    run()  # eight items were taken before it
+    run()
+    assert _histogram(stream.taken(spark, sink)) == {1: 2, 2: 3, 3: 1, 4: 1, 5: 1}
+
+
+def test_state_sinks_are_compacted_and_replays_change_nothing(spark):
+    folder, sink = scratch_path(spark, "test-arrivals"), scratch_path(spark, "test-compact")
+    schema = spark.createDataFrame([], "item bigint").schema
+    run = lambda: stream.run_state(stream.histogram_state(stream.file_stream(spark, folder, schema, 100)), sink,
+                                   keys=["item"], value="freq", compact_every=2)
+    want = {}
+    for n in range(5):
+        _rows(spark, folder, n, n, 7)
+        for v in (n, n, 7):
+            want[v] = want.get(v, 0) + 1
+        run()
+        if n in (1, 2):
+            assert stream.forget_commit(spark, f"{sink}-checkpoint") == n
+            run()
+        assert _histogram(stream.latest(spark, sink, ["item"], "freq")) == want
+    assert children(spark, f"{sink}/snapshots") == ["upto=3"] and children(spark, sink)[0] == "batch_id=4"
+
+
+def test_nothing_written_is_an_empty_frame_and_other_errors_are_raised(spark):
     sink = scratch_path(spark, "test-nothing")
-    assert stream.taken(spark, sink) is None and stream.latest(spark, sink, ["item"], "freq") is None
+    assert stream.taken(spark, sink).count() == 0 and stream.latest(spark, sink, ["item"], "freq").columns == ["item", "freq"]
     spark.range(3).write.json(f"{sink}/batch_id=0")
     with pytest.raises(Exception):
-        stream._Until(5, sink, "item").before(spark, 1)
+        stream.taken(spark, sink).collect()
 
 
 def test_prefix_rule(spark):
