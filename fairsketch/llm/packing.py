@@ -15,6 +15,7 @@ like any others.  Null ids pass through.  An empty table gives no rows.  Only id
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +33,10 @@ RUNS = 65536
 RUN_ROWS = 256
 SLICE = 2 << 20
 CACHE_WORDS = 500_000
+ENCODED = 4096  # words encoded at once
+#: The normalisation and the cut into units that :func:`chunks` agrees with.
+NORMAL = ["NFC", "Replace", "Lowercase"]
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -48,32 +53,55 @@ class Vocabulary:
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(model)
+        rules = json.loads(model)
+        normal = [x["type"] for x in (rules.get("normalizer") or {}).get("normalizers", [])]
+        cuts = [x["pattern"].get("Regex") for x in (rules.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
+        if normal != NORMAL or cuts != [UNITS]:
+            raise ValueError("the vocabulary normalises or cuts texts in another way; its ids would be wrong")
+        tokenizer = Tokenizer.from_str(model)
+        self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)  # without offsets where it can
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[int, int] = {}
-        self.n_ids = 0
+        self.n = self.n_ids = 0
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.start, self.size, self.uses = (np.zeros(1 << 14, np.int64) for _ in range(3))
 
     def _add(self, encoded: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        n, k = len(self.place), int(sizes.sum())
+        n, k = self.n, int(sizes.sum())
         while self.n_ids + k > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(encoded) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+            self.start, self.size, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.uses))
         self.ids[self.n_ids:self.n_ids + k] = np.fromiter((i for x in encoded for i in x), np.uint32, k)
         self.size[n:n + len(encoded)] = sizes
         self.start[n:n + len(encoded)] = self.n_ids + np.cumsum(sizes) - sizes
-        self.n_ids += k
+        self.uses[n:n + len(encoded)] = 0
+        self.n, self.n_ids = n + len(encoded), self.n_ids + k
+
+    def _forget(self) -> None:
+        """Keeps the words met in most slices, at most half a cache; a word met once goes."""
+        uses = self.uses[:self.n]
+        least = max(2, int(np.partition(uses, -(CACHE_WORDS // 2))[-(CACHE_WORDS // 2)]) + 1)
+        stay = np.flatnonzero(uses >= least)
+        number = np.full(self.n, -1)
+        number[stay] = np.arange(len(stay))
+        numbers = number.tolist()
+        place = {key: numbers[at] for key, at in self.place.items() if numbers[at] >= 0}
+        start, size = self.start[stay], self.size[stay]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(start - total[:-1], size) + np.arange(total[-1])]
+        self.clear()
+        self.place, self.n, self.n_ids = place, len(stay), len(ids)
+        self.ids = np.concatenate([ids, self.ids])
+        self.start, self.size, self.uses = (np.concatenate([x, np.zeros(1 << 14, np.int64)]) for x in (total[:-1], size, uses[stay] // 2))
 
     def places(self, t: Text, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Each span's place in the cache."""
-        if len(self.place) > CACHE_WORDS:
-            self.clear()
+        if self.n > CACHE_WORDS:
+            self._forget()
         keys, at, inverse = np.unique(t.spans(starts, ends), return_index=True, return_inverse=True)
         known = self.place
         out = np.fromiter((known.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
@@ -81,10 +109,12 @@ class Vocabulary:
         if len(new):
             raw = t.data.tobytes()
             words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
-            first = len(known)
-            self._add([e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)])
+            first = self.n
+            for lo in range(0, len(words), ENCODED):  # an encoding object is far larger than its ids
+                self._add([e.ids for e in self.encode(words[lo:lo + ENCODED], add_special_tokens=False)])
             out[new] = np.arange(first, first + len(new))
             known.update(zip(keys[new].tolist(), out[new].tolist()))
+        self.uses[out] += 1
         return out[inverse]
 
 

@@ -120,3 +120,39 @@ def test_edges(spark):
     rows = packing.pack(packing.pieces(df, PATH)).collect()
     assert sorted(r.length for r in rows) == [1, 1, 2] and check(rows, 4096) == 1
     assert packing.pack(packing.pieces(df.limit(0), PATH)).count() == 0
+
+
+def test_a_small_cache_forgets_and_encodes_alike(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from fairsketch.llm import packing
+    from fairsketch.llm.queries import vocabulary
+
+    rng = random.Random(1)
+    common = ["alpha", "beta's", "42", "gamma"]
+    texts = [" ".join(rng.choice(common) if rng.random() < .6 else f"w{rng.randrange(10**6)}x{rng.randrange(99)}" for _ in range(300)) for _ in range(20)]
+    model = packing.tokenizer_model(vocabulary())
+    encode = lambda: [ids[a:b].tolist() for _, _, ids, limits in packing.token_ids(pa.array(texts), model)
+                      for a, b in zip(limits, limits[1:])]
+    want = encode()
+    for size in (1 << 9, 1 << 12):
+        monkeypatch.setattr(packing, "CACHE_WORDS", 400)
+        monkeypatch.setattr(packing, "SLICE", size)
+        monkeypatch.setattr(packing, "ENCODED", 50)
+        packing._vocabularies.clear()
+        assert encode() == want
+        kept = next(iter(packing._vocabularies.values()))
+        assert kept.n == len(kept.place) < 2000
+    packing._vocabularies.clear()
+
+
+def test_a_vocabulary_that_cuts_otherwise_is_refused():
+    import public_tokenizers
+    import pytest
+
+    from fairsketch.llm import packing
+
+    with pytest.raises(ValueError, match="another way"):
+        packing.Vocabulary(packing.tokenizer_model(str(public_tokenizers.path("byte_bpe_50k.json"))))
