@@ -233,6 +233,12 @@ def _sql() -> dict[str, str]:
     xs3 = ", ".join(f"{rnd(f'p.x{j}')} AS x{j}" for j in range(3))
     q["points_scan"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp FROM pts p")
     q["points_roundtrip"] = q["points_scan"]
+    q["points_quarantine"] = (
+        "SELECT grp, CAST(count(*) AS BIGINT) AS n, " + rnd("sum(CASE WHEN length(grp) = 1 THEN l_quantity * l_linenumber ELSE 0 END)")
+        + " AS total FROM (SELECT l_quantity, l_linenumber, CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN 'blank line' "
+          "WHEN l_linenumber = 2 AND l_returnflag = 'R' THEN 'wrong number of fields' "
+          "WHEN l_linenumber IN (3, 4) AND l_returnflag = 'A' THEN 'a coordinate is not a number' WHEN l_linestatus = 'O' THEN 'A' "
+          "WHEN l_linenumber = 1 THEN 'a label is neither A nor B' ELSE 'B' END AS grp FROM lineitem) GROUP BY grp")
     q["group_filter"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp FROM pts p WHERE p.grp = 'A'")
     q["group_counts"] = with_ctes([PTS3], "SELECT CAST(count(*) AS BIGINT) AS n, "
                                           "CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "

@@ -14,7 +14,7 @@ from ..operators import cluster, fair, heavy, objective, seeding, sketch, sketch
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
 from ..operators.nearest_tree import nearest_center_tree
 from ..sources import tables
-from ..sources.points import flat, read_points, write_points
+from ..sources.points import flat, read_points, read_points_checked, write_points, write_sorted_out
 from ..streaming import stream
 from ..session import checkpoint_root, remove_path, scratch_path
 from . import params as P
@@ -66,6 +66,21 @@ def q_points_csv_fixed(spark, sf):
     return _kept(spark, out(flat(read_points(spark, path, dims=3), 3)), path)
 
 
+def q_points_quarantine(spark, sf):
+    """A point file with spoilt lines, read and sorted out in one scan: points by group, lines set aside by reason."""
+    path, sorted_out = scratch_path(spark, "points-spoilt"), scratch_path(spark, "points-sorted-out")
+    lines = tables.table(spark, sf, "lineitem").selectExpr(
+        "CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN '  ' WHEN l_linenumber = 2 AND l_returnflag = 'R' "
+        "THEN concat(l_quantity, ',', l_linestatus) ELSE concat(l_quantity, ', ', CASE WHEN l_linenumber = 3 AND l_returnflag = 'A' "
+        "THEN 'n/a' WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 'NaN' ELSE CAST(l_linenumber AS STRING) END, ',', "
+        "CASE WHEN l_linestatus = 'O' THEN ' A' WHEN l_linenumber = 1 THEN 'C' ELSE 'B ' END) END AS value")
+    lines.write.text(path)
+    good, bad = write_sorted_out(read_points_checked(spark, path, dims=2), sorted_out)
+    points = spark.read.parquet(good).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.expr("sum(p[0] * p[1])").alias("total"))
+    aside = spark.read.parquet(bad).groupBy(F.col("reason").alias("grp")).agg(F.count("line").alias("n"), F.lit(0.0).alias("total"))
+    return _kept(spark, out(points.unionByName(aside)), path, sorted_out)
+
+
 def q_group_filter(spark, sf):
     return out(flat(objective.group_filter(tables.pts3(spark, sf), "A"), 3))
 
@@ -483,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "points_scan": q_points_scan,
     "points_roundtrip": q_points_roundtrip,
     "points_csv_fixed": q_points_csv_fixed,
+    "points_quarantine": q_points_quarantine,
     "group_filter": q_group_filter,
     "group_counts": q_group_counts,
     "point_distance": q_point_distance,

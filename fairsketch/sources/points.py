@@ -74,6 +74,39 @@ def read_points(spark: SparkSession, path: str, dims: int | None = None,
     return _finish(df, partitions, other_labels)
 
 
+# Why a line is set aside, in the order of the tests.
+REASONS = ("blank line", "wrong number of fields", "a coordinate is not a number", "a label is neither A nor B")
+
+
+def read_points_checked(spark: SparkSession, path: str, dims: int | None = None) -> DataFrame:
+    """``[p, grp, line, reason]`` of every line of a point file, in one scan and without failing.
+
+    A good line has its point and group, null ``line`` and null ``reason``.  A line that ``read_points`` would fail on has
+    null ``p`` and ``grp``, its text, and the first of ``REASONS`` that holds.  NaN is not a number here; without
+    ``dims`` each line may carry any dimension of at least one.
+    """
+    fields = F.split("value", ",")
+    n = F.size("_fields")
+    rows = spark.read.text(path).withColumn("_fields", fields).withColumn(
+        "_p", F.transform(F.slice("_fields", 1, F.greatest(n - 1, F.lit(0))), lambda v: F.trim(v).try_cast("double"))) \
+        .withColumn("_grp", F.trim(F.element_at("_fields", -1)))
+    sizes = n != dims + 1 if dims is not None else n < 2
+    tests = (F.trim("value") == "", sizes, F.exists("_p", lambda v: v.isNull() | F.isnan(v)), ~F.col("_grp").isin(*GROUPS))
+    reason = F.lit(None).cast("string")
+    for test, name in reversed(list(zip(tests, REASONS))):
+        reason = F.when(test, F.lit(name)).otherwise(reason)
+    rows = rows.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    return rows.select(F.when(good, F.col("_p")).alias("p"), F.when(good, F.col("_grp")).alias("grp"),
+                       F.when(~good, F.col("value")).alias("line"), "reason")
+
+
+def write_sorted_out(checked_lines: DataFrame, path: str, mode: str = "error") -> tuple[str, str]:
+    """Writes good and bad lines apart in one job; returns the folders of the points and of the lines set aside."""
+    checked_lines.withColumn("bad", F.col("reason").isNotNull()).write.mode(mode).partitionBy("bad").parquet(path)
+    return f"{path}/bad=false", f"{path}/bad=true"
+
+
 def as_points(df: DataFrame, coords: Sequence[Column | str], group: Column,
               extra: Sequence[str] = ()) -> DataFrame:
     """Points from any table: coordinate expressions plus a two-valued group expression.
