@@ -146,7 +146,10 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], shares: dict[int, float]
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           per_class: int = PER_CLASS) -> Machine | None:
-    """Fits the machine on a bounded sample of the labelled rows that are not held out."""
+    """Fits the machine on a sample of the labelled rows that are not held out, about ``per_class`` rows a label.
+
+    Ids are drawn first; where ids repeat, their rows are drawn again, and rows alike in id and text count once.
+    """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")) \
         .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("id")).distinct()
     counts = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -165,8 +168,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                      pa.array([value[x:y].astype("<f4").tobytes() for x, y in zip(first, first[1:])], pa.binary())],
                     names=["label", "terms", "values"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null") \
-        .join(F.broadcast(chosen), "id").select("text", "label").mapInArrow(run, "label int, terms binary, values binary").collect()
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null") \
+        .join(F.broadcast(chosen), "id")
+    found = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if max(found.values(), default=0) > 2 * per_class:  # an id of very many rows was drawn
+        part = {k: min(1.0, per_class / found.get(k, 1)) for k in (0, 1)}
+        again = F.when(F.col("label") == 1, part[1]).otherwise(part[0])
+        shares = {k: shares[k] * part[k] for k in shares}
+        sample = sample.withColumn("_row", F.xxhash64("id", "text", F.lit("toxicity rows"))) \
+            .where(F.pmod("_row", F.lit(1 << 30)) < again * (1 << 30)).dropDuplicates(["_row", "label"])
+    rows = sample.select("text", "label").mapInArrow(run, "label int, terms binary, values binary").collect()
     return fit([(a, np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(c, "<f4").astype(np.float64))
                 for a, b, c in sorted((r["label"], bytes(r["terms"]), bytes(r["values"])) for r in rows)], shares)
 

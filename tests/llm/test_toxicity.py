@@ -71,3 +71,17 @@ def test_edges(spark):
     assert X.toxicity(odd.limit(0), machine).count() == 0
     assert X.train(docs, marks.where("toxic = 1")) is None
     assert [r.score for r in X.toxicity(frame(spark, ["a"]), None).collect()] == [0.0]
+
+
+def test_an_id_of_very_many_rows_does_not_swell_the_sample(spark, monkeypatch):
+    texts, labels = corpus(n=200)
+    hot = next(i for i in range(200) if zlib.crc32(str(i).encode()) % 5 and labels[i] == 0)
+    more = [f"{CALM[k % 7]} {k} {texts[hot]}" for k in range(3000)] + [texts[hot]] * 3000
+    docs = frame(spark, texts + more, [*range(200), *[hot] * 6000])
+    marks = spark.createDataFrame([(i, 1, y) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(X, "fit", lambda rows, shares: seen.append((len(rows), shares)))
+    X.train(docs, marks, per_class=300)
+    assert 100 < seen[0][0] <= 2 * 300 * 1.3 and 0 < seen[0][1][0] < 0.2
+    X.train(frame(spark, texts), marks, per_class=300)
+    assert seen[1][1] == {0: 1.0, 1: 1.0}
