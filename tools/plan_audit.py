@@ -64,6 +64,7 @@ def audit(plan: str) -> dict:
         "smj": len(re.findall(r"SortMergeJoin", plan)),
         "bhj": len(re.findall(r"BroadcastHashJoin", plan)),
         "python": len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|MapInArrow", plan)),
+        "filter": max((len(m) for m in re.findall(r"\bFilter ([^\n]*)", plan)), default=0),
         "codegen": len(set(re.findall(r"\*\((\d+)\)", plan))),
     }
 
@@ -78,18 +79,16 @@ def main():
              "(one Lloyd iteration)": lambda s, d: cluster.lloyd_step(tables.pts3(s, d), P.CENTERS_PTS3, shared_code=True)}
     for name, q in {**QUERIES, **loops}.items():
         df = q(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        # the noop write ran its own execution; run collect to get a finished plan on this object
-        df.collect()
+        df.collect()  # the finished plan of this object
         plan = df._jdf.queryExecution().executedPlan().toString()
         a = audit(plan)
         scans = "; ".join(f"{n} x {t} {s}" + (f" pushed [{p}]" if p else "") for (t, s, p), n in sorted(Counter(a["scans"]).items()))
         rows.append(f"| {name} | {a['shuffles']} | {a['single']} | {a['broadcast']} | {a['reused']} | "
-                    f"{a['smj']} | {a['python']} | {a['codegen']} | {scans or 'derived / staged'} |")
+                    f"{a['smj']} | {a['python']} | {a['filter']} | {a['codegen']} | {scans or 'derived / staged'} |")
         print(rows[-1], flush=True)
     header = ("| query | hash/range shuffles | single-partition exchanges | broadcasts | reused exchanges | "
-              "sort-merge joins | Python nodes | codegen spans | scans (table, read schema, pushed filters) |\n"
-              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+              "sort-merge joins | Python nodes | longest filter | codegen spans | scans (table, read schema, pushed filters) |\n"
+              "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     if out:
         with open(out, "w") as f:
             f.write("# Executed plans of the registered queries\n\n")
@@ -102,7 +101,8 @@ def main():
                     "single-partition aggregate over K rows; sketches shuffle at most d*w partial rows per task; "
                     "broadcasts are the bounded sketch cells; reused exchanges "
                     "show one scan and histogram feeding several branches; Python nodes appear only where "
-                    "the vectorised kernel assigns 64-D points.\n\n")
+                    "the vectorised kernel assigns 64-D points or the ball tree runs; the longest filter left in the plan, in characters, "
+                    "shows expressions that the optimizer copied into a condition.\n\n")
             f.write(header + "\n" + "\n".join(rows) + "\n")
 
 
