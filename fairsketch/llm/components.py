@@ -8,12 +8,34 @@ joined to splittable rows, never a list.  Lineage is cut by checkpoint() each ro
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairsketch.session import checkpoint_root
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(root, node): the links (a, b) of one task as one star a component, around its smallest node.
+
+    They connect what the links connect, in fewer rows than there are nodes.  Tasks that see parts of one
+    dense group mostly name the same roots, so what is left of it after a ``distinct`` is a few rows a node.
+    """
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        least = root.copy()
+        np.minimum.at(least, x, root[y])
+        np.minimum.at(least, y, root[x])
+        least = least[least]
+        if np.array_equal(least, root):
+            break
+        root = least
+    leaf = root != np.arange(len(nodes))
+    return nodes[root[leaf]], nodes[leaf]
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """links: distinct (u, v) with u > v.  One star round; the result has the same form."""
     if large:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairsketch.llm import blocks as B
-from fairsketch.llm.components import components
+from fairsketch.llm.components import components, stars
 from fairsketch.llm.words import SPACED, U64, Text, mix, sequence, texts, word_sums
 from fairsketch.session import checkpoint_root
 
@@ -280,7 +280,10 @@ ASKED = "block int, a long, a_id long, to array<int>, b long, b_id long, partner
 
 
 def _verified(rows: DataFrame, asked: DataFrame, words: int, percent: int) -> DataFrame:
-    """The asked pairs that link, as (a, b).
+    """The asked pairs that link, as stars (a, b) around the smallest node of what a block's pairs connect.
+
+    A group of near copies has links in the square of its size; its stars are as many as the nodes a block
+    meets, and equal ones of different blocks become one, so the components read rows in its size.
 
     Pairs come as lists, not as rows: a row of ``a`` (in its block) with the blocks ``to`` that hold
     partners, and a row of ``b`` (in its block) with its ``partners``.  The set of ``a`` travels once to
@@ -323,11 +326,12 @@ def _verified(rows: DataFrame, asked: DataFrame, words: int, percent: int) -> Da
                         if linked(len(mine), len(other), both, percent):
                             left.append(a)
                             right.append(node)
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        root, node = stars(np.array(left, np.int64), np.array(right, np.int64))
+        return pa.table({"a": pa.array(root, pa.int64()), "b": pa.array(node, pa.int64())})
 
     asked = asked.repartition(B.partitions(rows.sparkSession), "block")  # one exchange for both passes
     sent = B.on_blocks(rows, asked, carry, ASKED + ", items binary")
-    return B.on_blocks(rows, sent.unionByName(asked.withColumn("items", F.lit(None).cast("binary"))), compare, "a long, b long")
+    return B.on_blocks(rows, sent.unionByName(asked.withColumn("items", F.lit(None).cast("binary"))), compare, "a long, b long").distinct()
 
 
 def _first_pairs(nodes: DataFrame, percent: int) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from rows import ODD, VOCABULARY, frame, sentence
 
 from fairsketch.llm import jaccard as J
+from fairsketch.llm.components import stars
 from fairsketch.llm.words import SPACED, texts as slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -163,3 +164,25 @@ def test_edges(spark):
     df = frame(spark, ["a b c d e", "a b c d e", None, "", "q r"], ids=[None, 4, 4, None, None]).selectExpr("*", "1 as block", "1 as n")
     assert got(J.jaccard_components(df)) == sorted([(None, 2, 4), (4, 2, 4), (4, 0, 4), (None, 0, None), (None, 1, None)], key=str)
     assert J.jaccard_components(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_stars_connect_what_the_links_connect(seed):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(-40, 40, (2, int(rng.integers(0, 60))))
+    below = {int(x): int(x) for x in np.concatenate([a, b])}
+    for _ in below:  # the smallest node within reach, by plain repetition
+        for x, y in zip(a.tolist(), b.tolist()):
+            below[x] = below[y] = min(below[x], below[y])
+    root, node = stars(a, b)
+    assert dict(zip(node.tolist(), root.tolist())) == {x: m for x, m in below.items() if x != m}
+
+
+def test_stars_of_parts_of_a_dense_group_are_few():
+    rng = np.random.default_rng(3)
+    a, b = np.triu_indices(400, 1)
+    some = rng.random(len(a)) < .3
+    a, b = a[some], b[some]
+    part = rng.integers(0, 40, 400)[b]  # a task holds the links of some of the nodes
+    rows = {x for p in range(40) for x in zip(*(y.tolist() for y in stars(a[part == p], b[part == p])))}
+    assert len(a) > 20_000 and len(rows) < 10 * 400
