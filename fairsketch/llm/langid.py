@@ -5,9 +5,10 @@ A window of ``WINDOW`` bytes is embedded, convolved with filters of several widt
 to each filter's maximum and classified by softmax.  Every text is cut whole into such windows (the
 last one padded); a text's prediction is the mean of its windows' probabilities weighted by letters.
 
-Training takes a bounded sample: about ``PER_LANGUAGE`` labelled rows of each language, spread by hash,
-with at most ``TRAIN_WINDOWS`` windows each.  That many short byte strings reach the driver at any input
-size.  Rows whose crc32(id as text) is a multiple of ``HOLD_OUT`` are held out.  The model (a few
+Training takes a bounded sample: about ``PER_LANGUAGE`` labelled rows of each language, spread by a hash of
+id and text, with at most ``TRAIN_WINDOWS`` windows each.  Rows alike in id, text and language count once, so
+neither a hot id nor a row of very many copies decides the sample's size.  That many short byte strings reach
+the driver at any input size; more than ``MAX_LANGUAGES`` labels are refused.  Rows whose crc32(id as text) is a multiple of ``HOLD_OUT`` are held out.  The model (a few
 thousand numbers) goes to the tasks; scoring is one pass without a shuffle.
 
 In scoring, embedding and filters are folded into tables over byte-class pairs, so a window costs a
@@ -20,6 +21,7 @@ scored alike; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,13 +38,12 @@ FILTERS = 16
 EMBED = 8
 CLASSES = 128
 PER_LANGUAGE = 800
+MAX_LANGUAGES = 1000
 TRAIN_WINDOWS = 3
 EPOCHS = 6
 HOLD_OUT = 5
 BLOCK = 256  # windows scored at a time
 
-SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-
 _PAD = 26
 _BYTE_CLASS = np.full(256, 28, np.uint8)
 _BYTE_CLASS[97:123] = np.arange(26)
@@ -194,11 +195,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fits the network on a bounded sample of the labelled rows that are not held out."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")) \
         .where(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: max(1, r["n"]) for r in labelled.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("id", "text")).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values: not a language label")
     if not counts:
         return fit(np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), [])
     limit = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, per_language / n))))[F.col("lang")]
-    chosen = labelled.where(F.pmod(F.xxhash64("id", F.lit("language sample")), F.lit(1 << 30)) < limit * (1 << 30))
+    chosen = labelled.where(F.pmod(F.xxhash64("id", "text", F.lit("language sample")), F.lit(1 << 30)) < limit * (1 << 30)) \
+        .dropDuplicates(["id", "text", "lang"])
 
     def run(batches):
         for b in batches:
@@ -247,17 +252,21 @@ def score_column(col, scorer: Scorer) -> tuple[list[str], np.ndarray]:
 
 
 def identify(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", others: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, the ``others`` (and with them the text) for every row of ``docs``."""
+    """doc_id, held_out, lang_pred, score, the ``others`` (and with them the text) for every row of ``docs``.
 
-    def run(batches):
+    Only texts go to Python and only predictions come back; the other columns wait in the JVM.
+    """
+
+    @F.arrow_udf("lang_pred string, score double")
+    def told(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(net)
-        for b in batches:
-            names, scores = score_column(b.column(2), scorer)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *b.columns[2 if others else 3:]],
-                names=["doc_id", "held_out", "lang_pred", "score", *([text_col] if others else []), *others])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"),
-                       F.col(text_col).cast("string").alias(text_col), *others)
-    extra = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    return rows.mapInArrow(run, SCHEMA + (f", `{text_col}` string{extra}" if others else ""))
+        for column in columns:
+            names, scores = score_column(column, scorer)
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+
+    # not deterministic, so that a filter on the prediction does not ask for it a second time
+    told = told.asNondeterministic()
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), told(text).alias("told"),
+                       *([text.alias(text_col)] if others else []), *others) \
+        .select("doc_id", "held_out", "told.*", *([text_col] if others else []), *others)

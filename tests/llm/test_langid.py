@@ -83,3 +83,36 @@ def test_edges(spark, net):
     got = L.identify(frame(spark, ["a b", None], ids=[None, 1]), none).collect()
     assert {r.lang_pred for r in got} == {"und"} and [r.held_out for r in got if r.doc_id is None] == [False]
     L.score_column(pa.array(["long text é " * 20000]), L.Scorer(net))
+
+
+def test_sample_is_bounded_by_rows(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(L, "fit", lambda windows, labels, languages: taken.append(np.bincount(labels)))
+    rng = random.Random(5)
+    one = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    texts = [text("aa", rng, 20) for _ in range(600)]
+    # a third of the rows are one row, another third are one id with different texts, the rest differ
+    ids = [one] * 400 + list(range(1000, 1200))
+    same = frame(spark, texts[:200] * 1 + [texts[0]] * 200 + texts[400:], ids=ids, langs=["aa"] * 600)
+    L.train(same, per_language=50)
+    L.train(same, per_language=10_000)
+    few, every = taken
+    assert 20 <= few.sum() <= 100
+    different = 200 + sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1000, 1200))
+    assert every.sum() <= different  # each text is one window here, copies count once
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        L.train(corpus(spark)[0])
+
+
+def test_other_columns_stay_and_a_filter_asks_once(spark, net):
+    df, _ = corpus(spark)
+    rows = L.identify(df, net, others=("lang", "source", "n_chars")).where("lang_pred != 'und' and score >= 0.3")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("told(") <= 2, plan
+    alone = {(r.doc_id, r.lang_pred, r.score) for r in L.identify(df, net).collect() if r.lang_pred != "und" and r.score >= .3}
+    assert {(r.doc_id, r.lang_pred, r.score) for r in rows.collect()} == alone
+    assert {(r.doc_id, r.text, r.lang) for r in rows.collect()} <= {(r.doc_id, r.text, r.lang) for r in df.collect()}
