@@ -239,6 +239,11 @@ def _sql() -> dict[str, str]:
           "WHEN l_linenumber = 2 AND l_returnflag = 'R' THEN 'wrong number of fields' "
           "WHEN l_linenumber IN (3, 4) AND l_returnflag = 'A' THEN 'a coordinate is not a number' WHEN l_linestatus = 'O' THEN 'A' "
           "WHEN l_linenumber = 1 THEN 'a label is neither A nor B' ELSE 'B' END AS grp FROM lineitem) GROUP BY grp")
+    q["items_quarantine"] = (
+        "SELECT kind, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN kind = 'item' THEN user_id ELSE 0 END) AS BIGINT) AS total, "
+        "CAST(count(DISTINCT CASE WHEN kind = 'item' THEN user_id END) AS BIGINT) AS different FROM (SELECT user_id, "
+        "CASE WHEN event_id % 97 = 0 THEN 'blank line' WHEN event_id % 89 = 0 THEN 'not an integer' "
+        "WHEN event_id % 83 = 0 THEN 'beyond 64 bits' ELSE 'item' END AS kind FROM events) GROUP BY kind")
     q["group_filter"] = with_ctes([PTS3], f"SELECT {xs3}, p.grp FROM pts p WHERE p.grp = 'A'")
     q["group_counts"] = with_ctes([PTS3], "SELECT CAST(count(*) AS BIGINT) AS n, "
                                           "CAST(count(*) FILTER (WHERE grp = 'A') AS BIGINT) AS n_a, "

@@ -14,6 +14,7 @@ from ..operators import cluster, fair, heavy, objective, seeding, sketch, sketch
 from ..operators.assign import as_center_list, min_sq_distance, nearest_center, point_distances
 from ..operators.nearest_tree import nearest_center_tree
 from ..sources import tables
+from ..sources.items import read_items_checked
 from ..sources.points import flat, read_points, read_points_checked, write_points, write_sorted_out
 from ..streaming import stream
 from ..session import checkpoint_root, remove_path, scratch_path
@@ -81,6 +82,22 @@ def q_points_quarantine(spark, sf):
     return _kept(spark, out(points.unionByName(aside)), path, sorted_out)
 
 
+def q_items_quarantine(spark, sf):
+    """A file of item lines, some spoilt, read and sorted out in one scan: item totals, lines set aside by reason."""
+    path, sorted_out = scratch_path(spark, "items-spoilt"), scratch_path(spark, "items-sorted-out")
+    lines = tables.table(spark, sf, "events").selectExpr(
+        "CASE WHEN event_id % 97 = 0 THEN '  ' WHEN event_id % 89 = 0 THEN concat(user_id, 'x') "
+        "WHEN event_id % 83 = 0 THEN concat('9999999999999999999', user_id) ELSE concat(' ', user_id) END AS value")
+    lines.write.text(path)
+    good, bad = write_sorted_out(read_items_checked(spark, path), sorted_out)
+    kept = spark.read.parquet(good).agg(F.lit("item").alias("kind"), F.count("item").alias("n"), F.sum("item").alias("total"),
+                                        F.countDistinct("item").alias("different"))
+    zero = F.lit(0).cast("long")
+    aside = spark.read.parquet(bad).groupBy(F.col("reason").alias("kind")).agg(
+        F.count("line").alias("n"), zero.alias("total"), zero.alias("different"))
+    return _kept(spark, out(kept.unionByName(aside)), path, sorted_out)
+
+
 def q_group_filter(spark, sf):
     return out(flat(objective.group_filter(tables.pts3(spark, sf), "A"), 3))
 
@@ -499,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "points_roundtrip": q_points_roundtrip,
     "points_csv_fixed": q_points_csv_fixed,
     "points_quarantine": q_points_quarantine,
+    "items_quarantine": q_items_quarantine,
     "group_filter": q_group_filter,
     "group_counts": q_group_counts,
     "point_distance": q_point_distance,
