@@ -165,7 +165,7 @@ def _nearest_part(spark, sf):
     """Every lineitem point with the nearest of as many centres as there are parts."""
     parts = tables.table(spark, sf, "part").selectExpr(
         "p_partkey AS cid", "array(p_size / 50D, p_partkey * 37 % 101 / 100D, p_partkey * 53 % 81 / 100D) AS c")
-    return nearest_center_tree(tables.pts3(spark, sf), parts)
+    return nearest_center_tree(tables.pts3(spark, sf).select("p"), parts)
 
 
 def q_nearest_part(spark, sf):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import SF0001, labelled_points
 
-from fairsketch.operators import cluster, fair, objective, seeding, sweep
+from fairsketch.operators import cluster, fair, nearest_tree, objective, seeding, sweep
 from fairsketch.operators.assign import as_runs, nearest_center, nearest_center_runs
 from fairsketch.operators.nearest_tree import BallTree, nearest_center_tree
 from fairsketch.plans import params as P
@@ -112,6 +112,25 @@ def test_tree_as_an_operator(spark):
             nearest_center_tree(pts, spark.createDataFrame(bad, "cid long, c array<double>"))
 
 
+def test_centers_beyond_one_tree_stay_distributed(spark, monkeypatch):
+    for name, value in (("MAX_TREE_K", 1000), ("LEAF_CENTERS", 16), ("UNDER", 2), ("GROUP_POINTS", 50), ("LEAF_SAMPLE", 4)):
+        monkeypatch.setattr(nearest_tree, name, value, raising=False)
+    rng = np.random.default_rng(3)
+    centers = spark.createDataFrame([(int(i) * 3 - 4000, (rng.integers(0, 15, 3) / 15).tolist()) for i in rng.permutation(4000)], "cid long, c array<double>")
+    rows = [((rng.integers(-5, 40, 3) / 30).tolist(), "A") for _ in range(300)] + [([0.3, 0.7, 0.2], "B")] * 200
+    rows += [([1e6, -1e6, 0.0], "A"), ([float("inf"), 0.0, 0.0], "B"), ([0.5, -0.0, 0.5], "A"), ([0.5, 0.0, 0.5], None)]
+    pts = spark.createDataFrame(rows, "p array<double>, grp string")
+    got = nearest_center_tree(pts, centers).collect()
+    want = nearest_center(pts, centers).collect()
+    key = lambda r: (str(r["p"]), str(r["grp"]), r["cid"], r["d2"])
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    assert sum(r["n_met"] for r in got) < 0.5 * len(got) * 4000
+    with pytest.raises(Exception, match="malformed"):
+        nearest_center_tree(spark.createDataFrame([([1.0, None, 2.0],)], "p array<double>"), centers).collect()
+    with pytest.raises(ValueError, match="repeat"):
+        nearest_center_tree(pts, centers.union(centers.limit(1)))
+
+
 @pytest.mark.parametrize("dims", [fair.VECTOR_DIMS, fair.VECTOR_DIMS + 1, 768])
 def test_moments_of_many_dimensions_equal_two_passes(spark, dims):
     rng = np.random.default_rng(dims)
