@@ -9,9 +9,10 @@ strings are found by sorting suffixes, in shards that hold all occurrences of a
 * Windows with the other keys travel as segments (the text under consecutive windows of one key), each different
   segment once a block, to the shard of their key.  A key with very many windows would make a hot shard, so its
   windows travel one by one under their own fingerprints.
-* A shard builds the suffix array of its distinct segments by induced sorting (``suffixes.py``); the permuted
-  common prefixes cut it into groups of windows that share all their bytes, and each group's smallest id is
-  compared with the ids that sent it.  So strings are compared byte by byte, not by fingerprint.
+* A shard drops a key's segments if one id sent them all.  If they are all equal, every window's smallest id is the
+  smallest that sent them.  Of all others it builds the suffix array of the distinct segments by induced sorting
+  (``suffixes.py``); the permuted common prefixes cut it into groups of windows that share all their bytes, and each
+  group's smallest id is compared with the ids that sent it.  So strings are compared byte by byte, not by fingerprint.
 * Each block cuts the bytes that found windows cover.
 
 Keys and segments are plain rows, as many as the text has, whatever the number of partitions; texts are shuffled
@@ -267,23 +268,47 @@ def least_ids(texts: pa.Array, doc: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
+def _borders(route: np.ndarray) -> np.ndarray:
+    return np.append(np.flatnonzero(np.append(True, route[1:] != route[:-1])), len(route))
+
+
 def earlier_windows(rows: pa.Table, window: int) -> pa.Table:
     """For each sent segment, one bit a window that an earlier document holds (rows without any are left out)."""
-    route = _unlisted(rows.column("route"))
-    size = _unlisted(pa.compute.binary_length(rows.column("text"))).astype(np.int64)
-    order = np.argsort(route, kind="stable")
-    route, ends = route[order], np.cumsum(size[order])
-    block, mark, doc = (_unlisted(rows.column(c))[order] for c in ("block", "mark", "doc"))
-    texts = rows.column("text").take(pa.array(order))
-    borders = np.append(np.flatnonzero(np.append(True, route[1:] != route[:-1])), len(route)) if len(route) else np.zeros(1, np.int64)
-    out, lo = [], 0
+    out = []
+
+    def answer(some: np.ndarray, bits: np.ndarray) -> None:
+        got = bits != 0
+        out.append((block[some[got]], mark[some[got]], bits[got]))
+
+    route, block, mark, doc = (_unlisted(rows.column(c)) for c in ("route", "block", "mark", "doc"))
+    order = np.argsort(route)
+    if len(order):  # what one id sent alone is nowhere else
+        borders = _borders(route[order])
+        several = np.minimum.reduceat(doc[order], borders[:-1]) < np.maximum.reduceat(doc[order], borders[:-1])
+        order = order[np.repeat(several, np.diff(borders))]
+    route, block, mark, doc = (x[order] for x in (route, block, mark, doc))
+    texts = rows.column("text").take(pa.array(order)).combine_chunks()
+    if len(order):
+        borders = _borders(route)
+        size = _unlisted(pa.compute.binary_length(texts)).astype(np.int64)
+        code = texts.dictionary_encode().indices.to_numpy()
+        equal = np.minimum.reduceat(code, borders[:-1]) == np.maximum.reduceat(code, borders[:-1])
+        equal, least = (np.repeat(x, np.diff(borders)) for x in (equal, np.minimum.reduceat(doc, borders[:-1])))
+        every = (np.uint64(1) << (size - window + 1).astype(U64)) - np.uint64(1)  # MOST windows at most
+        some = np.flatnonzero(equal)
+        answer(some, np.where(least[some] < doc[some], every[some], np.uint64(0)).view(np.int64))
+        # the others, by suffix arrays
+        rest = np.flatnonzero(~equal)
+        route, block, mark, doc, size = (x[rest] for x in (route, block, mark, doc, size))
+        texts = texts.take(pa.array(rest))
+        ends = np.cumsum(size)
+    lo = 0
+    borders = _borders(route) if len(route) else np.zeros(1, np.int64)
     while lo < len(route):
         # as many whole routes as a shard's size holds, one at least
         most = np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SHARD_BYTES, "right")
         hi = int(borders[max(np.searchsorted(borders, most, "right") - 1, np.searchsorted(borders, lo, "right"))])
-        some = texts.slice(lo, hi - lo).combine_chunks().dictionary_encode()
-        if isinstance(some, pa.ChunkedArray):
-            some = some.combine_chunks()
+        some = texts.slice(lo, hi - lo).dictionary_encode()
         of = some.indices.to_numpy().astype(np.int64)
         by = np.lexsort((doc[lo:hi], of))
         head = by[np.append(True, of[by[1:]] != of[by[:-1]])]  # each text's smallest id
@@ -293,9 +318,7 @@ def earlier_windows(rows: pa.Table, window: int) -> pa.Table:
             b = min(a + (1 << 16), hi)
             flags = np.zeros((b - a, 64), np.uint8)
             flags[:, :wide] = least[of[a - lo:b - lo]] < doc[a:b, None]
-            bits = np.packbits(flags, axis=1, bitorder="little").view(np.int64).ravel()
-            got = bits != 0
-            out.append((block[a:b][got], mark[a:b][got], bits[got]))
+            answer(np.arange(a, b), np.packbits(flags, axis=1, bitorder="little").view(np.int64).ravel())
         lo = hi
     cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
     return pa.table([pa.array(cols[0].astype(np.int32)), pa.array(cols[1]), pa.array(cols[2])], schema=ANSWER_ARROW)

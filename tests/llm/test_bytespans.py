@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from rows import ODD, SCHEMA, frame, sentence
 
@@ -63,6 +64,19 @@ def test_hot_keys_split_by_window(spark):
     assert run(spark, rows, hot_segments=0) == brute(rows, 50)
 
 
+def test_only_keys_with_different_segments_are_sorted(monkeypatch):
+    a, b = ("a" * 30 + "b" * 30).encode(), ("b" * 30 + "c" * 30).encode()
+    rows = [(1, a, 0, 10, 4), (1, a, 1, 11, 2), (1, a, 2, 12, 9), (2, a[:55], 0, 13, 5), (2, b, 0, 14, 5), (3, b, 0, 15, 1)]
+    rows += [(4, b, 0, 16, 3), (4, b"x" + b, 1, 17, 8)]
+    seen, least_ids = [], bytespans.least_ids
+    monkeypatch.setattr(bytespans, "least_ids", lambda texts, *rest: (seen.extend(texts.to_pylist()), least_ids(texts, *rest))[1])
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), bytespans.SENT_ARROW.types)], schema=bytespans.SENT_ARROW)
+    got = bytespans.earlier_windows(table, 50).to_pylist()
+    assert sorted((r["block"], r["key"], r["bits"]) for r in got) == [(0, 10, 2**11 - 1), (1, 17, 2**12 - 2), (2, 12, 2**11 - 1)]
+    assert sorted(seen) == [b, b"x" + b]
+    assert bytespans.earlier_windows(table.slice(0, 0), 50).num_rows == 0
+
+
 def test_odd_rows(spark):
     rows = list(enumerate(ODD * 2)) + [(None, "w " * 60), (None, None), (3, "w " * 60), (3, "x\n" * 70), (-7, "w " * 80), (10**15, "é" * 90)]
     assert run(spark, rows) == brute(rows, 50)
