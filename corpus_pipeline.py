@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairsketch.llm import decontam, jaccard, langid, packing, substrings
+from fairsketch.llm import blocks, decontam, jaccard, langid, packing, substrings
 from fairsketch.llm.queries import table, vocabulary
 from fairsketch.session import remove_path, scratch_path
 
@@ -32,6 +32,7 @@ WORDS, PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    blocks.small_batches(spark)
     docs = docs.select(*COLUMNS)
     scored = langid.identify(docs, langid.train(docs), others=("lang", "source", "n_chars"))
     return scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)) \
@@ -39,6 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    blocks.small_batches(spark)
     docs = docs.select(*COLUMNS)
     found = jaccard.jaccard_components(docs, WORDS, PERCENT, keyed=True).where("component is not null") \
         .groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n")).checkpoint()

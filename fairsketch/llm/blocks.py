@@ -117,6 +117,17 @@ def dropping_shuffles(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Sends at most so many rows of whole texts to Python at once, from now on in this session.
+
+    A batch stands in the executor's buffers and in its Python worker at the same time; the default of 10,000 rows is
+    tens of megabytes for each.  A smaller setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def table(columns: dict, schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray))
                      else columns[f.name].cast(f.type) for f in schema], schema=schema)

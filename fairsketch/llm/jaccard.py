@@ -52,6 +52,7 @@ GROUPS = 256
 LEAF = 32
 CHUNK = 4096
 PART, PART_ITEMS = 2048, 1 << 20
+SLICE_BYTES = 1 << 18
 
 _SALT = [mix(U64(0xD1B54A32D192ED03) * np.arange(i + 1, i + 2, dtype=U64))[0] for i in range(2 * KEYS + 4)]
 
@@ -251,7 +252,7 @@ def _wanted(rows: pa.Table, ids: pa.ChunkedArray) -> pa.Table:
 
 
 def _sets(rows: pa.Table, words: int):
-    for lo, hi, t in texts(rows.column("text"), SPACED, lower=True):
+    for lo, hi, t in texts(rows.column("text"), SPACED, lower=True, slice_bytes=SLICE_BYTES):
         yield lo, hi, Sets(t, words)
 
 

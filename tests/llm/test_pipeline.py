@@ -119,6 +119,18 @@ def test_sequences_can_be_built_from_the_result(spark, corpus):
         {d: encode(" ".join(w), add_special_tokens=False).ids + [1] for d, w in want.items()}
 
 
+def test_whole_texts_go_to_python_in_small_batches(spark, corpus):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, root = spark.conf.get(key), corpus[0]
+    try:
+        for rows, stage, want in ((10_000, P.language, 2000), (0, P.near_copies, 2000), (500, P.language, 500)):
+            spark.conf.set(key, str(rows))
+            stage(spark, spark.read.parquet(f"{root}/documents.parquet"), root)
+            assert int(spark.conf.get(key)) == want
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_empty_table(spark, corpus, tmp_path):
     root, _, _ = corpus
     empty = spark.read.parquet(f"{root}/documents.parquet").limit(0)
