@@ -17,7 +17,8 @@ coordinate, so points bound it without the sets.
 4. The points of each unsettled cell form a packed R-tree (ordered by size, leaves of neighbouring
    points with their coordinate maxima and size range).  A query descends where the summed minima
    with the maxima reach the needed overlap, then compares points.  Pairs of one component are not
-   queried.  Large cells are cut into chunks; queries meet each chunk.
+   queried.  Large cells are cut into chunks; queries meet each chunk.  Steps 3, 4 and 5 are an action
+   each, so the shuffle files of one are gone when the next one writes its own.
 5. Surviving pairs are verified on the sets; components follow from all verified links.
 6. Linked texts are of one component, so links are counted there: each component's sets meet in one
    group, or in one for each pair of its parts if it is large, and every pair of sets is compared once.
@@ -109,12 +110,20 @@ def point(items: np.ndarray) -> np.ndarray:
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """A point in a byte a count, or in four if a count needs them."""
-    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32).tobytes()
+    """A point in half a byte a count, or in one or four if a count needs them."""
+    most = counts.max(initial=0)
+    if most < 16:
+        half = counts.astype(np.uint8)
+        return (half[::2] | half[1::2] << 4).tobytes()
+    return counts.astype(np.uint8 if most < 256 else np.int32).tobytes()
 
 
 def unpacked(raw: list[bytes]) -> np.ndarray:
     out = np.empty((len(raw), GROUPS), np.int32)
+    at = [i for i, x in enumerate(raw) if len(x) == GROUPS // 2]
+    if at:
+        half = np.frombuffer(b"".join(raw[i] for i in at), np.uint8).reshape(-1, GROUPS // 2)
+        out[at] = np.stack([half & 15, half >> 4], 2).reshape(-1, GROUPS)
     for width, kind in ((GROUPS, np.uint8), (4 * GROUPS, np.int32)):
         at = [i for i, x in enumerate(raw) if len(x) == width]
         if at:
@@ -360,12 +369,13 @@ def _lists(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return o[first], np.append(first, len(o)), v
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())])
-_SIDE = "block int, doc_id long, node long, component long, bucket int, bits binary"
+_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary()), ("held", pa.binary())])
+_SIDE = "block int, doc_id long, node long, component long, bucket int, bits binary, large binary"
 _SIDE_ARROW = pa.schema([("block", pa.int32()), ("doc_id", pa.int64()), ("node", pa.int64()), ("component", pa.int64()),
-                         ("bucket", pa.int32()), ("bits", pa.binary())])
+                         ("bucket", pa.int32()), ("bits", pa.binary()), ("large", pa.binary())])
 _MEMBER = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("component", pa.int64()), ("n", pa.int64()),
-                     ("doc_id", pa.int64()), ("block", pa.int32()), ("point", pa.binary())])
+                     ("doc_id", pa.int64()), ("block", pa.int32()), ("point", pa.binary()), ("open", pa.bool_()),
+                     ("n_stored", pa.int32()), ("n_open", pa.int32())])
 
 
 def _cells(block_rows: pa.Table, side: pa.Table, words: int, percent: int, points: bool = False):
@@ -401,54 +411,83 @@ def _distinct_owned(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, n
 
 def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs of different components whose points, in a common cell, allow a link, as asked for."""
-    buckets = B.partitions(rows.sparkSession)
+    buckets, chunk = B.partitions(rows.sparkSession), CHUNK
 
     def send(block_rows: pa.Table, side: pa.Table) -> pa.Table:
         keys, places, members = _cells(block_rows, side, words, percent)
         owner = np.array([m[1] for m in members], np.int64)
-        k, o, _ = _distinct_owned(keys, owner[places] if len(members) else places)
+        k, o, went = _distinct_owned(keys, owner[places] if len(members) else places)
+        held = np.bincount(went, minlength=len(k)).astype(np.int32)
         block = block_rows.column("block")[0].as_py()
         cut = B.parts(k, buckets)
         return B.table({"bucket": [b for b, _, _ in cut], "block": [block] * len(cut),
-                        "keys": [k[x:y].tobytes() for _, x, y in cut], "owners": [B.coded(o[x:y]) for _, x, y in cut]}, _SENT)
+                        "keys": [k[x:y].tobytes() for _, x, y in cut], "owners": [B.coded(o[x:y]) for _, x, y in cut],
+                        # how many nodes each key has here; nothing if one each
+                        "held": [held[x:y].tobytes() if held[x:y].max() > 1 else b"" for _, x, y in cut]}, _SENT)
 
     def judge(sent: pa.Table) -> pa.Table:
+        """Which keys are of several components; with a large cell's main component and its numbers of chunks."""
         keys = [np.frombuffer(x, U64) for x in sent.column("keys").to_pylist()]
         every = np.concatenate(keys)
         owner = np.concatenate([B.decoded(x) for x in sent.column("owners").to_pylist()])
+        held = np.concatenate([np.frombuffer(x, np.int32) if x else np.ones(len(k), np.int32)
+                               for x, k in zip(sent.column("held").to_pylist(), keys)])
         order = np.argsort(every, kind="stable")
-        k, o = every[order], owner[order]
+        k, o, n = every[order], owner[order], held[order]
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
         cut = np.flatnonzero(new)
+        long = np.diff(np.append(cut, len(k)))
         mixed = np.minimum.reduceat(o, cut) != np.maximum.reduceat(o, cut)
-        flag = np.empty(len(k), bool)
-        flag[order] = np.repeat(mixed, np.diff(np.append(cut, len(k))))
+        many = np.flatnonzero(mixed & (np.add.reduceat(n, cut, dtype=np.int64) > chunk))
+        of = np.full(len(cut), -1)
+        of[many] = np.arange(len(many))
+        split = []
+        for lo, size in zip(cut[many].tolist(), long[many].tolist()):
+            owners, place = np.unique(o[lo:lo + size], return_inverse=True)
+            c = np.bincount(place, n[lo:lo + size]).astype(np.int64)
+            split.append((owners[c.argmax()], -(-c.max() // chunk), -(-(c.sum() - c.max()) // chunk)))
+        split = np.array(split, np.int64).reshape(-1, 3)
+        flag, large = np.empty(len(k), bool), np.empty(len(k), np.int64)
+        flag[order], large[order] = np.repeat(mixed, long), np.repeat(of, long)
         out = {name: [] for name in _SIDE_ARROW.names}
         ends = np.cumsum([len(x) for x in keys]).tolist()
         for block, bucket, x, y in zip(sent.column("block").to_pylist(), sent.column("bucket").to_pylist(), [0, *ends], ends):
             if flag[x:y].any():
-                for name, v in zip(out, (block, None, None, None, bucket, B.bits(flag[x:y]))):
+                at = np.flatnonzero(large[x:y] >= 0)
+                cells = np.column_stack([at, split[large[x:y][at]]]).tobytes()
+                for name, v in zip(out, (block, None, None, None, bucket, B.bits(flag[x:y]), cells)):
                     out[name].append(v)
         return B.table(out, _SIDE_ARROW)
 
     def open_members(block_rows: pa.Table, side: pa.Table) -> pa.Table:
-        answers = {b: x for b, x in zip(side.column("bucket").to_pylist(), side.column("bits").to_pylist()) if b is not None}
-        out = {name: [] for name in _MEMBER.names}
-        if answers:
-            block = block_rows.column("block")[0].as_py()
-            keys, places, members = _cells(block_rows, side, words, percent, True)
-            owner = np.array([m[1] for m in members], np.int64)
-            k, _, went = _distinct_owned(keys, owner[places])
-            hit = np.flatnonzero(B.answered(k, buckets, answers)[went])
-            sent = {}
-            for key, p in zip(_long(keys[hit]).tolist(), places[hit].tolist()):
-                node, component, n, doc_id, items = members[p]
-                if p not in sent:
-                    sent[p] = packed(point(items))
-                for name, v in zip(out, (key, node, component, n, doc_id, block, sent[p])):
-                    out[name].append(v)
-        return B.table(out, _MEMBER)
+        """A row for each unsettled cell a node is in; ``open`` and the numbers of chunks are null but in large cells."""
+        answers, large = {}, {}
+        for b, x, y in zip(*(side.column(c).to_pylist() for c in ("bucket", "bits", "large"))):
+            if b is not None:
+                answers[b], large[b] = x, np.frombuffer(y, np.int64).reshape(-1, 4)
+        if not answers:
+            return _MEMBER.empty_table()
+        keys, places, members = _cells(block_rows, side, words, percent, True)
+        component = np.array([m[1] for m in members], np.int64)
+        k, _, went = _distinct_owned(keys, component[places] if len(members) else places)
+        split = np.full((len(k), 3), -1)
+        for b, x, _ in B.parts(k, buckets):
+            if b in large:
+                split[x + large[b][:, 0]] = large[b][:, 1:]
+        hit = np.flatnonzero(B.answered(k, buckets, answers)[went])
+        main, n_stored, n_open = split[went[hit]].T
+        own, place = np.unique(places[hit], return_inverse=True)
+        mine = [members[p] for p in own.tolist()]
+        whole = n_open < 0
+        of = lambda values, kind: pa.array(values, kind).take(pa.array(place))
+        return pa.table([
+            pa.array(_long(keys[hit])), of([m[0] for m in mine], pa.int64()), of([m[1] for m in mine], pa.int64()),
+            of([m[2] for m in mine], pa.int64()), of([m[3] for m in mine], pa.int64()),
+            pa.array(np.full(len(hit), block_rows.column("block")[0].as_py(), np.int32)),
+            of([packed(point(m[4])) for m in mine], pa.binary()),
+            pa.array(component[places[hit]] != main, pa.bool_(), mask=whole),
+            pa.array(n_stored.astype(np.int32), mask=whole), pa.array(n_open.astype(np.int32), mask=whole)], schema=_MEMBER)
 
     def search(cells: pa.Table) -> pa.Table:
         col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "block", "side")}
@@ -486,6 +525,9 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         for lo, size in zip(first[~small].tolist(), sizes[~small].tolist()):
             rows = order[lo:lo + size]
             stored, queries = rows[side[rows] != 1], rows[side[rows] != 0]
+            if len(stored) == len(queries) == size:  # the largest component is only searched
+                of_row, n_rows = np.unique(col["component"][rows], return_counts=True)
+                queries = rows[col["component"][rows] != of_row[n_rows.argmax()]]
             if len(stored) and len(queries):
                 tree = RTree(points[stored], col["n"][stored])
                 for q in queries.tolist():
@@ -518,32 +560,26 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
             "partners": pa.concat_arrays([pa.nulls(n_a, pa.list_(pa.int64())),
                                           pa.ListArray.from_arrays(pa.array(cut_b, pa.int32()), pa.array(partners, pa.int64()))])})
 
-    none = {"bucket": F.lit(None).cast("int"), "bits": F.lit(None).cast("binary")}
+    none = {"bucket": F.lit(None).cast("int"), "bits": F.lit(None).cast("binary"), "large": F.lit(None).cast("binary")}
     side = labels.select("block", "doc_id", "node", "component").withColumns(none)
-    mixed = B.on_blocks(rows, side, send, "bucket int, block int, keys binary, owners binary") \
-        .groupBy("bucket").applyInArrow(judge, _SIDE)
+    mixed = B.on_blocks(rows, side, send, "bucket int, block int, keys binary, owners binary, held binary") \
+        .groupBy("bucket").applyInArrow(judge, _SIDE).checkpoint()
     members = B.on_blocks(rows, side.unionByName(mixed), open_members,
-                          "key long, node long, component long, n long, doc_id long, block int, point binary") \
-        .repartition(buckets, "key")  # one exchange for the sizes and for the cells
-    # a cell's largest component is only searched; the others search it and each other
-    share = members.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.max_by("component", "c").alias("main"), F.max("c").alias("stored"), F.sum("c").alias("c"))
-    share = share.select("key", "main", F.ceil(F.col("stored") / CHUNK).cast("int").alias("n_stored"),
-                         F.ceil((F.col("c") - F.col("stored")) / CHUNK).cast("int").alias("n_open"))
-    dealt = members.join(share, "key").where("n_open > 0") \
-        .withColumn("open", F.col("component") != F.col("main")) \
+                          "key long, node long, component long, n long, doc_id long, block int, point binary, "
+                          "open boolean, n_stored int, n_open int") \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.when(F.col("open"), F.col("n_open")).otherwise(F.col("n_stored"))).cast("int"))
+    # a large cell's main component is only searched; the others search it and each other
     # cells (x, y): stored chunk x with open chunk y, and, with x below 0, open chunk -1 - x with open chunk y
-    cells = F.expr("""if(open,
+    cells = F.expr("""if(n_open is null, array(struct(0 as x, 0 as y, 2 as side)), if(open,
         concat(transform(sequence(0, n_stored - 1), x -> struct(x as x, chunk as y, 1 as side)),
                transform(sequence(0, n_open - 1), o -> struct(-1 - least(o, chunk) as x, greatest(o, chunk) as y,
                          if(o = chunk, 2, if(o > chunk, 0, 1)) as side))),
-        transform(sequence(0, n_open - 1), y -> struct(chunk as x, y as y, 0 as side)))""")
-    placed = dealt.withColumn("cell", F.explode(cells)).select(
+        transform(sequence(0, n_open - 1), y -> struct(chunk as x, y as y, 0 as side))))""")
+    placed = members.withColumn("cell", F.explode(cells)).select(
         "key", "cell.x", "cell.y", "cell.side", "node", "component", "n", "doc_id", "block", "point")
     # many cells a task; a cell's chunks are bounded, so a bucket is a few of them
     return placed.withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))).groupBy("bucket").applyInArrow(
-        search, ASKED)
+        search, ASKED).checkpoint()
 
 
 _HELD = pa.schema([("component", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("part", pa.int32()),

@@ -186,3 +186,36 @@ def test_stars_of_parts_of_a_dense_group_are_few():
     part = rng.integers(0, 40, 400)[b]  # a task holds the links of some of the nodes
     rows = {x for p in range(40) for x in zip(*(y.tolist() for y in stars(a[part == p], b[part == p])))}
     assert len(a) > 20_000 and len(rows) < 10 * 400
+
+
+def test_points_travel_in_half_a_byte_a_count():
+    rng = np.random.default_rng(6)
+    points = [rng.integers(0, most, J.GROUPS) for most in (1, 3, 16, 17, 256, 257, 70_000)]
+    for p, most in zip(points, (0, 2, 15, 16, 255, 256, 69_999)):
+        p[rng.integers(0, J.GROUPS)] = most
+    raw = [J.packed(p) for p in points]
+    assert [len(x) * 2 // J.GROUPS for x in raw] == [1, 1, 1, 2, 2, 8, 8]
+    assert (J.unpacked(raw) == np.array(points)).all()
+
+
+@pytest.mark.parametrize("chunk", [4096, 40, 7])
+def test_cells_of_many_nodes_without_first_links(spark, monkeypatch, chunk):
+    """Whole cells with a tree, and large ones in chunks: every component comes from the index."""
+    ts = near_copies(90) + corpus(13, 10) + [" ".join(f"v{p}" for p in range(150)) + f" x{i}" for i in range(50)]
+    monkeypatch.setattr(J, "CHUNK", chunk)
+    original = J._first_pairs
+    monkeypatch.setattr(J, "_first_pairs", lambda nodes, percent: original(nodes, percent).limit(0))
+    assert got(J.jaccard_components(frame(spark, ts), 5, 80)) == brute(ts, range(len(ts)), 5, 80)
+
+
+def test_an_action_passes_over_the_blocks_twice_at_most(spark, monkeypatch):
+    """Directory, cells and verification are an action each: no shuffle files of one stand beside another's."""
+    passes, run = [], type(spark.range(1)).checkpoint
+
+    def checkpoint(df, *args, **more):
+        passes.append(df._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow"))
+        return run(df, *args, **more)
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
+    J.jaccard_components(frame(spark, near_copies(20)), 5, 80, keyed=True)
+    assert [n for n in passes if n] == [2, 1, 1, 2]
