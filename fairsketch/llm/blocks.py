@@ -71,6 +71,12 @@ def parts(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     return [(b, x, y) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
 
 
+def shares(keys: np.ndarray, bucket: int, buckets: int, n: int) -> list[int]:
+    """Limits of ``n`` equal ranges of a bucket in its sorted keys."""
+    firsts = np.array([-(-(b << 64) // (buckets * n)) for b in range(bucket * n, bucket * n + n)], np.uint64)
+    return [*np.searchsorted(keys, firsts).tolist(), len(keys)]
+
+
 def bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
@@ -95,10 +101,10 @@ def coded(ids: np.ndarray) -> bytes:
     return np.int64(len(every)).tobytes() + every.astype(np.int64).tobytes() + place.astype(width).tobytes()
 
 
-def decoded(raw: bytes) -> np.ndarray:
+def decoded(raw: bytes, lo: int = 0, hi: int | None = None) -> np.ndarray:
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     every = np.frombuffer(raw, np.int64, n, 8)
-    return every[np.frombuffer(raw, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)]
+    return every[np.frombuffer(raw, np.uint16 if n <= 1 << 16 else np.uint32, offset=8 + 8 * n)[lo:hi]]
 
 
 @contextmanager

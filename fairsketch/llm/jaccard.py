@@ -54,6 +54,7 @@ LEAF = 32
 CHUNK = 4096
 PART, PART_ITEMS = 2048, 1 << 20
 SLICE_BYTES = 1 << 18
+SHARES, PAIRS = 8, 1 << 12
 
 _SALT = [mix(U64(0xD1B54A32D192ED03) * np.arange(i + 1, i + 2, dtype=U64))[0] for i in range(2 * KEYS + 4)]
 
@@ -315,10 +316,10 @@ def _verified(rows: DataFrame, asked: DataFrame, words: int, percent: int) -> Da
 
     def compare(block_rows: pa.Table, side: pa.Table) -> pa.Table:
         sets, wanted = {}, {}
-        for a, b, partners, items in zip(*(side.column(c).to_pylist() for c in ("a", "b", "partners", "items"))):
-            if items is not None:
-                other = np.frombuffer(items, U64)
-                sets[a] = (other, point(other))
+        for a, b, partners, items in zip(*(side.column(c).to_pylist() for c in ("a", "b", "partners")), side.column("items")):
+            if items.is_valid:
+                other = np.frombuffer(items.as_buffer(), U64)
+                sets[a] = (other, point(other).astype(np.int32))
             elif b is not None:
                 wanted.setdefault(b, set()).update(partners)
         left, right = [], []
@@ -427,36 +428,46 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
 
     def judge(sent: pa.Table) -> pa.Table:
         """Which keys are of several components; with a large cell's main component and its numbers of chunks."""
-        keys = [np.frombuffer(x, U64) for x in sent.column("keys").to_pylist()]
-        every = np.concatenate(keys)
-        owner = np.concatenate([B.decoded(x) for x in sent.column("owners").to_pylist()])
-        held = np.concatenate([np.frombuffer(x, np.int32) if x else np.ones(len(k), np.int32)
-                               for x, k in zip(sent.column("held").to_pylist(), keys)])
-        order = np.argsort(every, kind="stable")
-        k, o, n = every[order], owner[order], held[order]
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
-        cut = np.flatnonzero(new)
-        long = np.diff(np.append(cut, len(k)))
-        mixed = np.minimum.reduceat(o, cut) != np.maximum.reduceat(o, cut)
-        many = np.flatnonzero(mixed & (np.add.reduceat(n, cut, dtype=np.int64) > chunk))
-        of = np.full(len(cut), -1)
-        of[many] = np.arange(len(many))
-        split = []
-        for lo, size in zip(cut[many].tolist(), long[many].tolist()):
-            owners, place = np.unique(o[lo:lo + size], return_inverse=True)
-            c = np.bincount(place, n[lo:lo + size]).astype(np.int64)
-            split.append((owners[c.argmax()], -(-c.max() // chunk), -(-(c.sum() - c.max()) // chunk)))
-        split = np.array(split, np.int64).reshape(-1, 3)
-        flag, large = np.empty(len(k), bool), np.empty(len(k), np.int64)
-        flag[order], large[order] = np.repeat(mixed, long), np.repeat(of, long)
+        bucket = sent.column("bucket")[0].as_py()
+        keys = [np.frombuffer(x.as_buffer(), U64) for x in sent.column("keys")]
+        owners = [x.as_buffer() for x in sent.column("owners")]
+        held = sent.column("held").to_pylist()
+        flags = [np.zeros(len(k), bool) for k in keys]
+        large: list[list] = [[] for _ in keys]
+        ends = [B.shares(k, bucket, buckets, SHARES) for k in keys]
+        for share in range(SHARES):  # some keys at a time
+            some = [(i, *e[share:share + 2]) for i, e in enumerate(ends) if e[share] < e[share + 1]]
+            if not some:
+                continue
+            k = np.concatenate([keys[i][x:y] for i, x, y in some])
+            order = np.argsort(k, kind="stable")
+            k = k[order]
+            new = np.ones(len(k), bool)
+            new[1:] = k[1:] != k[:-1]
+            cut = np.flatnonzero(new)
+            long = np.diff(np.append(cut, len(k)))
+            o = np.concatenate([B.decoded(owners[i], x, y) for i, x, y in some])[order]
+            n = np.concatenate([np.frombuffer(held[i], np.int32)[x:y] if held[i] else np.ones(y - x, np.int32) for i, x, y in some])[order]
+            mixed = np.minimum.reduceat(o, cut) != np.maximum.reduceat(o, cut)
+            many = np.flatnonzero(mixed & (np.add.reduceat(n, cut, dtype=np.int64) > chunk))
+            split = []
+            for lo, size in zip(cut[many].tolist(), long[many].tolist()):
+                of, place = np.unique(o[lo:lo + size], return_inverse=True)
+                c = np.bincount(place, n[lo:lo + size]).astype(np.int64)
+                split.append((of[c.argmax()], -(-c.max() // chunk), -(-(c.sum() - c.max()) // chunk)))
+            cell = np.where(mixed, -1, -2).astype(np.int32)  # -2: of one component
+            cell[many] = np.arange(len(many))
+            at = np.empty(len(k), np.int32)
+            at[order] = np.repeat(cell, long)
+            for (i, x, y), got in zip(some, np.split(at, np.cumsum([y - x for _, x, y in some])[:-1])):
+                flags[i][x:y] = got >= -1
+                whose = np.flatnonzero(got >= 0)
+                if len(whose):
+                    large[i].append(np.column_stack([x + whose, np.array(split, np.int64)[got[whose]]]))
         out = {name: [] for name in _SIDE_ARROW.names}
-        ends = np.cumsum([len(x) for x in keys]).tolist()
-        for block, bucket, x, y in zip(sent.column("block").to_pylist(), sent.column("bucket").to_pylist(), [0, *ends], ends):
-            if flag[x:y].any():
-                at = np.flatnonzero(large[x:y] >= 0)
-                cells = np.column_stack([at, split[large[x:y][at]]]).tobytes()
-                for name, v in zip(out, (block, None, None, None, bucket, B.bits(flag[x:y]), cells)):
+        for block, flag, cells in zip(sent.column("block").to_pylist(), flags, large):
+            if flag.any():
+                for name, v in zip(out, (block, None, None, None, bucket, B.bits(flag), b"".join(x.tobytes() for x in cells))):
                     out[name].append(v)
         return B.table(out, _SIDE_ARROW)
 
@@ -492,7 +503,9 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
     def search(cells: pa.Table) -> pa.Table:
         col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "block", "side")}
         ids = cells.column("doc_id").combine_chunks()
-        points = unpacked(cells.column("point").to_pylist())
+        # one point a node, which stands in many cells; its first row speaks for it
+        nodes, speaks, place = np.unique(col["node"], return_index=True, return_inverse=True)
+        points = unpacked(cells.column("point").take(pa.array(speaks)).to_pylist())
         order = np.lexsort((col["y"], col["x"], col["key"]))
         new = np.ones(len(order), bool)
         new[1:] = np.any([col[c][order[1:]] != col[c][order[:-1]] for c in ("key", "x", "y")], axis=0)
@@ -509,16 +522,15 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
         side = col["side"]
         use = (col["component"][a] != col["component"][b]) & (((side[a] != 0) & (side[b] != 1)) | ((side[b] != 0) & (side[a] != 1)))
         a, b = a[use], b[use]
-        nodes, place = np.unique(col["node"], return_inverse=True)
         once = np.unique(np.minimum(place[a], place[b]) * len(nodes) + np.maximum(place[a], place[b]), return_index=True)[1]
         a, b = a[once], b[once]
         na, nb = col["n"][a], col["n"][b]
         near = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
         a, b = a[near], b[near]
         left, right = [], []
-        for lo in range(0, len(a), 1 << 16):
-            x, y = a[lo:lo + (1 << 16)], b[lo:lo + (1 << 16)]
-            ok = np.minimum(points[x], points[y]).sum(1) >= needed(col["n"][x] + col["n"][y], percent)
+        for lo in range(0, len(a), PAIRS):
+            x, y = a[lo:lo + PAIRS], b[lo:lo + PAIRS]
+            ok = np.minimum(points[place[x]], points[place[y]]).sum(1) >= needed(col["n"][x] + col["n"][y], percent)
             left.append(x[ok])
             right.append(y[ok])
         # larger ones: a tree each
@@ -529,17 +541,15 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
                 of_row, n_rows = np.unique(col["component"][rows], return_counts=True)
                 queries = rows[col["component"][rows] != of_row[n_rows.argmax()]]
             if len(stored) and len(queries):
-                tree = RTree(points[stored], col["n"][stored])
+                tree = RTree(points[place[stored]], col["n"][stored])
                 for q in queries.tolist():
-                    found = stored[tree.search(points[q], int(col["n"][q]), percent)]
+                    found = stored[tree.search(points[place[q]], int(col["n"][q]), percent)]
                     found = found[col["component"][found] != col["component"][q]]
                     left.append(np.full(len(found), q))
                     right.append(found)
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         swap = col["node"][a] > col["node"][b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        # a node stands in many cells; its first row speaks for it
-        speaks = np.unique(place, return_index=True)[1]
         owner, cut, to = _lists(place[a], col["block"][b])
         asks = speaks[owner]
         owner, cut_b, partners = _lists(place[b], col["node"][a])
