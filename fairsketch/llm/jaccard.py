@@ -19,7 +19,8 @@ coordinate, so points bound it without the sets.
    with the maxima reach the needed overlap, then compares points.  Pairs of one component are not
    queried.  Large cells are cut into chunks; queries meet each chunk.  Steps 3, 4 and 5 are an action
    each, so the shuffle files of one are gone when the next one writes its own.
-5. Surviving pairs are verified on the sets; components follow from all verified links.
+5. Surviving pairs connect families of sets.  A family's sets meet part by part and are verified there,
+   then across its parts if it is still of several components; components follow from all verified links.
 6. Linked texts are of one component, so links are counted there: each component's sets meet in one
    group, or in one for each pair of its parts if it is large, and every pair of sets is compared once.
    Counts leave the group, pairs do not.
@@ -54,7 +55,7 @@ LEAF = 32
 CHUNK = 4096
 PART, PART_ITEMS = 2048, 1 << 20
 SLICE_BYTES = 1 << 18
-SHARES, PAIRS = 8, 1 << 12
+SHARES, PAIRS, LEFT = 8, 1 << 12, 256
 
 _SALT = [mix(U64(0xD1B54A32D192ED03) * np.arange(i + 1, i + 2, dtype=U64))[0] for i in range(2 * KEYS + 4)]
 
@@ -359,17 +360,6 @@ def _first_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     return asks.unionByName(wants, allowMissingColumns=True).select("block", "a", "a_id", "to", "b", "b_id", "partners")
 
 
-def _lists(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owners, offsets, values): each owner's distinct values."""
-    order = np.lexsort((value, owner))
-    o, v = owner[order], value[order]
-    new = np.ones(len(o), bool)
-    new[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
-    o, v = o[new], v[new]
-    first = np.flatnonzero(np.append(True, o[1:] != o[:-1])) if len(o) else np.zeros(0, np.int64)
-    return o[first], np.append(first, len(o)), v
-
-
 _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary()), ("held", pa.binary())])
 _SIDE = "block int, doc_id long, node long, component long, bucket int, bits binary, large binary"
 _SIDE_ARROW = pa.schema([("block", pa.int32()), ("doc_id", pa.int64()), ("node", pa.int64()), ("component", pa.int64()),
@@ -411,7 +401,7 @@ def _distinct_owned(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs of different components whose points, in a common cell, allow a link, as asked for."""
+    """Pairs of different components whose points, in a common cell, allow a link, as stars that connect what they connect."""
     buckets, chunk = B.partitions(rows.sparkSession), CHUNK
 
     def send(block_rows: pa.Table, side: pa.Table) -> pa.Table:
@@ -501,8 +491,7 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
             pa.array(n_stored.astype(np.int32), mask=whole), pa.array(n_open.astype(np.int32), mask=whole)], schema=_MEMBER)
 
     def search(cells: pa.Table) -> pa.Table:
-        col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "block", "side")}
-        ids = cells.column("doc_id").combine_chunks()
+        col = {c: cells.column(c).to_numpy() for c in ("key", "x", "y", "node", "component", "n", "side")}
         # one point a node, which stands in many cells; its first row speaks for it
         nodes, speaks, place = np.unique(col["node"], return_index=True, return_inverse=True)
         points = unpacked(cells.column("point").take(pa.array(speaks)).to_pylist())
@@ -548,27 +537,8 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
                     left.append(np.full(len(found), q))
                     right.append(found)
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        swap = col["node"][a] > col["node"][b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        owner, cut, to = _lists(place[a], col["block"][b])
-        asks = speaks[owner]
-        owner, cut_b, partners = _lists(place[b], col["node"][a])
-        wants = speaks[owner]
-        n_a, n_b = len(asks), len(wants)
-        at = pa.array(np.concatenate([asks, wants]))
-        is_ask = np.arange(n_a + n_b) < n_a
-        node = np.concatenate([col["node"][asks], col["node"][wants]])
-        of = lambda x, keep: pa.array(x, pa.int64(), mask=~keep)
-        named = ids.take(at)
-        none = pa.nulls(n_a + n_b, pa.int64())
-        return pa.table({
-            "block": pa.array(col["block"][np.concatenate([asks, wants])], pa.int32()),
-            "a": of(node, is_ask), "a_id": pc.if_else(pa.array(is_ask), named, none),
-            "to": pa.concat_arrays([pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(to, pa.int32())),
-                                    pa.nulls(n_b, pa.list_(pa.int32()))]),
-            "b": of(node, ~is_ask), "b_id": pc.if_else(pa.array(is_ask), none, named),
-            "partners": pa.concat_arrays([pa.nulls(n_a, pa.list_(pa.int64())),
-                                          pa.ListArray.from_arrays(pa.array(cut_b, pa.int32()), pa.array(partners, pa.int64()))])})
+        root, node = stars(col["node"][a], col["node"][b])
+        return pa.table({"a": pa.array(root, pa.int64()), "b": pa.array(node, pa.int64())})
 
     none = {"bucket": F.lit(None).cast("int"), "bits": F.lit(None).cast("binary"), "large": F.lit(None).cast("binary")}
     side = labels.select("block", "doc_id", "node", "component").withColumns(none)
@@ -586,10 +556,88 @@ def _residual_pairs(rows: DataFrame, labels: DataFrame, words: int, percent: int
                          if(o = chunk, 2, if(o > chunk, 0, 1)) as side))),
         transform(sequence(0, n_open - 1), y -> struct(chunk as x, y as y, 0 as side))))""")
     placed = members.withColumn("cell", F.explode(cells)).select(
-        "key", "cell.x", "cell.y", "cell.side", "node", "component", "n", "doc_id", "block", "point")
+        "key", "cell.x", "cell.y", "cell.side", "node", "component", "n", "point")
     # many cells a task; a cell's chunks are bounded, so a bucket is a few of them
     return placed.withColumn("bucket", F.pmod(F.xxhash64("key", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))).groupBy("bucket").applyInArrow(
-        search, ASKED).checkpoint()
+        search, "a long, b long").distinct().checkpoint()
+
+
+_MET = pa.schema([("family", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("part", pa.int32()),
+                  ("node", pa.int64()), ("component", pa.int64()), ("items", pa.binary())])
+
+
+def _met(rows: DataFrame, side: DataFrame, words: int, percent: int, across: bool) -> DataFrame:
+    """Links, as stars, within each part of a family of sets; ``across``, between its parts.
+
+    ``side`` has block, doc_id, node, component, family, part and parts.  A set travels once for each other
+    part (once, if not ``across``), however many sets it may link with.
+    """
+    buckets = B.partitions(rows.sparkSession)
+
+    def carry(block_rows: pa.Table, side: pa.Table) -> pa.Table:
+        wanted = {node: x for node, *x in zip(*(side.column(c).to_pylist() for c in ("node", "component", "family", "part", "parts")))}
+        out: dict[str, list] = {f.name: [] for f in _MET}
+        for _, _, s in _sets(_wanted(block_rows, side.column("doc_id")), words):
+            for i, node in enumerate(_long(s.node()).tolist()):
+                if node in wanted:  # once, whatever copies the block holds
+                    component, family, part, parts = wanted.pop(node)
+                    for other in range(parts) if across else (part,):
+                        if other != part or not across:
+                            for name, x in zip(out, (family, min(part, other), max(part, other), part, node, component, s.of(i).tobytes())):
+                                out[name].append(x)
+        return B.table(out, _MET)
+
+    def compare(held: pa.Table) -> pa.Table:
+        col = {c: held.column(c).to_numpy() for c in ("family", "x", "y", "part", "node", "component")}
+        items = held.column("items").combine_chunks()
+        order = np.lexsort((col["node"], col["part"], col["y"], col["x"], col["family"]))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([col[c][order[1:]] != col[c][order[:-1]] for c in ("family", "x", "y")], axis=0)
+        cut = np.append(np.flatnonzero(new), len(order)).tolist()
+        found = [(np.zeros(0, np.int64),) * 2]
+        for lo, hi in zip(cut, cut[1:]):
+            at = order[lo:hi]
+            part, component = col["part"][at], col["component"][at]
+            a, b = (at[part == part[0]], at[part != part[0]]) if across else (at, at)
+            if not len(b) or (component == component[0]).all():
+                continue
+            right = [np.frombuffer(items[int(i)].as_buffer(), U64) for i in b]
+            n = np.array([len(x) for x in right])
+            for some in np.split(a, range(LEFT, len(a), LEFT)):
+                left = [np.frombuffer(items[int(i)].as_buffer(), U64) for i in some]
+                both = overlaps(left, right)
+                i, j = np.nonzero(100 * both >= percent * (np.array([len(x) for x in left])[:, None] + n - both))
+                x, y = some[i], b[j]
+                use = col["component"][x] != col["component"][y]
+                found.append(stars(col["node"][x[use]], col["node"][y[use]]))
+        root, node = stars(*(np.concatenate(x) for x in zip(*found)))
+        return pa.table({"a": pa.array(root, pa.int64()), "b": pa.array(node, pa.int64())})
+
+    met = B.on_blocks(rows, side, carry, "family long, x int, y int, part int, node long, component long, items binary")
+    return met.withColumn("bucket", F.pmod(F.xxhash64("family", "x", "y"), F.lit(buckets * B.BLOCKS_A_PARTITION))) \
+        .groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _linked_families(rows: DataFrame, labels: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links, as stars, between the sets that ``pairs`` connect (a family): every pair of different components is checked.
+
+    First within parts of a family.  Only what is then still of several components meets across parts.
+    """
+    family = components(pairs, "a", "b").withColumnRenamed("component", "family")
+    family = family.union(family.select(F.col("family").alias("node"), "family").distinct())
+    side = labels.join(family, "node")
+    size = side.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("n") / PART_ITEMS)).cast("int").alias("parts"))
+    side = side.join(size, "family").select("block", "doc_id", "node", "component", "family", F.expr(
+        "cast(pmod(xxhash64(node), parts) as int)").alias("part"), "parts").checkpoint()
+    within = _met(rows, side, words, percent, False).checkpoint()
+    known = side.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    joined = components(known.union(within), "a", "b").withColumnRenamed("component", "now")
+    wide = side.where("parts > 1").join(joined, "node", "left").withColumn("component", F.coalesce("now", "node")).drop("now")
+    several = wide.groupBy("family").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("family")
+    wide = wide.join(several, "family").select(*side.columns).checkpoint()
+    if wide.isEmpty():
+        return within
+    return within.union(_met(rows, wide, words, percent, True)).checkpoint()
 
 
 _HELD = pa.schema([("component", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("part", pa.int32()),
@@ -677,7 +725,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         joined = components(first, "a", "b")
         labels = nodes.select("node", "n", "texts", "doc_id", "block").join(joined, "node", "left") \
             .withColumn("component", F.coalesce("component", "node")).checkpoint()
-        more = _verified(rows, _residual_pairs(rows, labels, words, percent), words, percent).checkpoint()
+        more = _linked_families(rows, labels, _residual_pairs(rows, labels, words, percent), words, percent)
         known = labels.where("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
         whole = components(known.union(more), "a", "b")
 
